@@ -13,7 +13,7 @@ plays_base AS (
          CAST(s.s_nationkey AS VARCHAR) AS posteam,
          CAST(c.c_nationkey AS VARCHAR) AS defteam,
          CAST(round(l.l_quantity) AS BIGINT) AS qty,
-         CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents,
+         CAST(round(l.l_extendedprice / 100) AS BIGINT) AS score,
          CAST(round(l.l_discount * 100) AS BIGINT) AS disc,
          l.l_linestatus AS st, l.l_returnflag AS fl
   FROM lineitem l
@@ -29,8 +29,8 @@ plays AS (
          least(posteam, defteam) AS home_team,
          greatest(posteam, defteam) AS away_team,
          posteam, defteam,
-         CAST(cents AS DOUBLE) AS posteam_score_post,
-         CAST(cents * disc AS DOUBLE) AS epa,
+         CAST(score AS DOUBLE) AS posteam_score_post,
+         CAST(disc - 5 AS DOUBLE) AS epa,
          CAST(st = 'O' AS DOUBLE) AS rush_attempt,
          CAST(st = 'F' AS DOUBLE) AS pass_attempt,
          CAST(CASE WHEN st = 'F' THEN qty END AS DOUBLE) AS passing_yards,
@@ -102,3 +102,78 @@ FROM tws WHERE team = '7' ORDER BY season, week"""
 ORACLE["schedule_distinct"] = with_ctes(PLAYS_CTE) + """
 SELECT DISTINCT season, week, game_id, home_team, away_team FROM plays"""
 ORACLE["games"] = with_ctes(PLAYS_CTE, GAMES_CTE) + "SELECT * FROM games"
+
+
+# ------------------------------------------------------------------ history
+FEATURES = [
+    "passing_yards", "rushing_yards", "turnover_margin", "points_scored",
+    "points_allowed", "epa_total", "rush_epa", "pass_epa",
+]
+
+
+def _cols(template: str, sep: str = ",\n         ") -> str:
+    return sep.join(template.format(f=f) for f in FEATURES)
+
+
+MEANS_CTE = f"""
+means AS (
+  SELECT season, team, {_cols("coalesce(avg({f}), 0) AS {f}")}
+  FROM tws GROUP BY season, team
+)"""
+
+
+def prior_cte(lag: int) -> str:
+    exists = "" if lag == 1 else (
+        "WHERE EXISTS (SELECT 1 FROM tws t WHERE t.season = m.season + 1 AND t.team = m.team)"
+    )
+    return f"""
+prior AS (
+  SELECT CAST(m.season + {lag} AS INTEGER) AS season, m.team, {_cols("m.{f}")}
+  FROM means m {exists}
+)"""
+
+
+ROLL_CTE = f"""
+roll AS (
+  SELECT season, week, team, {_cols("avg({f}) OVER w AS rolling_{f}")}
+  FROM tws
+  WINDOW w AS (PARTITION BY season, team ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+)"""
+
+
+def blended_cte(prior_fill: bool = False) -> str:
+    w = "(CAST(4 - r.week AS DOUBLE) / 3)"
+    mix = f"{w} * p.{{f}} + (1 - {w}) * r.rolling_{{f}}"
+    if prior_fill:
+        mix = f"CASE WHEN r.rolling_{{f}} IS NULL THEN p.{{f}} ELSE {mix} END"
+    expr = f"CASE WHEN p.team IS NOT NULL AND r.week <= 3 THEN {mix} ELSE r.rolling_{{f}} END AS {{f}}"
+    return f"""
+blended AS (
+  SELECT r.season, r.week, r.team, {_cols(expr)}
+  FROM roll r LEFT JOIN prior p ON r.season = p.season AND r.team = p.team
+)"""
+
+
+MATCHUP_CTE = f"""
+matchup AS (
+  SELECT g.season, g.week, g.game_id, g.home_team, g.away_team,
+         g.week AS week_number,
+         CAST(g.week <= 3 AS INTEGER) AS is_early_season,
+         {_cols("h.{f} - a.{f} AS {f}_delta")},
+         substr(g.home_team, 1, 3) = substr(g.away_team, 1, 3) AS is_division_game,
+         CAST(g.home_score - g.away_score AS INTEGER) AS actual_spread
+  FROM games g
+  LEFT JOIN blended h ON g.season = h.season AND g.week = h.week AND g.home_team = h.team
+  LEFT JOIN blended a ON g.season = a.season AND g.week = a.week AND g.away_team = a.team
+)"""
+
+_TWS = (PLAYS_CTE, OFFENSE_CTE, DEFENSE_CTE, TWS_CTE)
+ORACLE["prior_season_means"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2)) + "SELECT * FROM prior"
+ORACLE["prior_season_means_lag1"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(1)) + "SELECT * FROM prior"
+ORACLE["expanding_prior_mean"] = with_ctes(*_TWS, ROLL_CTE) + "SELECT * FROM roll"
+ORACLE["blended_features"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte()) + "SELECT * FROM blended"
+ORACLE["blended_features_prior_fill"] = (
+    with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(True)) + "SELECT * FROM blended"
+)
+MATCHUP_CTES = (*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(), GAMES_CTE, MATCHUP_CTE)
+ORACLE["matchup_dataset"] = with_ctes(*MATCHUP_CTES) + "SELECT * FROM matchup"

@@ -70,3 +70,55 @@ def q_schedule_distinct(spark, root):
 @query("games")
 def q_games(spark, root):
     return standins.games(standins.plays(spark, root))
+
+
+# ------------------------------------------------------------------ history
+from huddle.operators import history, matchup  # noqa: E402
+from huddle.schemas import FEATURE_COLS  # noqa: E402
+
+
+def _tws(spark, root):
+    return team_stats.team_week_stats(standins.plays(spark, root))
+
+
+@query("prior_season_means")
+def q_prior_season_means(spark, root):
+    return rounded(history.prior_season_means(_tws(spark, root)))
+
+
+@query("prior_season_means_lag1")
+def q_prior_season_means_lag1(spark, root):
+    return rounded(history.prior_season_means(_tws(spark, root), lag=1))
+
+
+@query("expanding_prior_mean")
+def q_expanding_prior_mean(spark, root):
+    rolled = history.expanding_mean_before(_tws(spark, root), FEATURE_COLS)
+    return rounded(rolled.select("season", "week", "team", *[f"rolling_{f}" for f in FEATURE_COLS]))
+
+
+def _blended(spark, root, **kw):
+    tws = _tws(spark, root)
+    return history.blend_with_prior(tws, history.prior_season_means(tws), **kw)
+
+
+@query("blended_features")
+def q_blended_features(spark, root):
+    return rounded(_blended(spark, root))
+
+
+@query("blended_features_prior_fill")
+def q_blended_features_prior_fill(spark, root):
+    return rounded(_blended(spark, root, prior_only_when_no_history=True))
+
+
+def _matchups(spark, root):
+    plays = standins.plays(spark, root)
+    tws = team_stats.team_week_stats(plays)
+    blended = history.blend_with_prior(tws, history.prior_season_means(tws))
+    return matchup.matchup_dataset(standins.games(plays), blended)
+
+
+@query("matchup_dataset")
+def q_matchup_dataset(spark, root):
+    return rounded(_matchups(spark, root))

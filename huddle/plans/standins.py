@@ -6,7 +6,8 @@ which keeps the SQL oracle comparison exact):
 
 * a *play* is a lineitem: its supplier's nation has the ball (``posteam``),
   its customer's nation defends (``defteam``); season = order year,
-  week = order month;
+  week = order month; yards are its quantity, the score after the play is
+  its price in hundreds, epa is its discount in percent minus 5;
 * a *game* is every pair of nations that met in a (season, week); the
   lexically smaller team is at home; each side scores the quantity it
   moved against the other;
@@ -42,7 +43,7 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
     rows = li.join(orders, "l_orderkey").join(customers, "o_custkey").join(suppliers, "l_suppkey")
 
     qty = F.round("l_quantity").cast("bigint")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    score = F.round(F.col("l_extendedprice") / 100).cast("bigint")
     disc = F.round(F.col("l_discount") * 100).cast("bigint")
     offense = F.col("s_nationkey").cast("string")
     defense = F.col("c_nationkey").cast("string")
@@ -59,8 +60,8 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
         away.alias("away_team"),
         offense.alias("posteam"),
         defense.alias("defteam"),
-        cents.cast("double").alias("posteam_score_post"),
-        (cents * disc).cast("double").alias("epa"),
+        score.cast("double").alias("posteam_score_post"),
+        (disc - 5).cast("double").alias("epa"),
         (status == "O").cast("double").alias("rush_attempt"),
         (status == "F").cast("double").alias("pass_attempt"),
         F.when(status == "F", qty).cast("double").alias("passing_yards"),
