@@ -177,3 +177,141 @@ ORACLE["blended_features_prior_fill"] = (
 )
 MATCHUP_CTES = (*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(), GAMES_CTE, MATCHUP_CTE)
 ORACLE["matchup_dataset"] = with_ctes(*MATCHUP_CTES) + "SELECT * FROM matchup"
+
+
+# --------------------------------------------------------------- evaluation
+LINES_CTE = """
+lines AS (
+  SELECT season, week, game_id, home_team, away_team,
+         home_score - away_score AS actual_spread,
+         CAST(((home_score * 7 + away_score * 3) % 15) - 7 AS DOUBLE) AS spread_line,
+         CAST(((home_score * 3 + away_score * 5) % 21) - 10 AS DOUBLE) AS predicted_spread
+  FROM games
+)"""
+
+EVAL_CTE = """
+preds AS (
+  SELECT season, week, home_team, away_team, actual_spread, predicted_spread,
+         predicted_spread - actual_spread AS prediction_error
+  FROM lines
+),
+labelled AS (
+  SELECT p.*, g.spread_line,
+         CASE WHEN g.spread_line = 0 THEN 'Push' WHEN g.spread_line > 0 THEN 'Home' ELSE 'Away' END AS vp,
+         CASE WHEN p.actual_spread = 0 THEN 'Push' WHEN p.actual_spread > 0 THEN 'Home' ELSE 'Away' END AS ar
+  FROM preds p LEFT JOIN lines g
+    ON p.season = g.season AND p.home_team = g.home_team AND p.away_team = g.away_team AND p.week = g.week
+),
+verdicts AS (
+  SELECT *,
+         CASE WHEN vp = 'Push' OR ar = 'Push' THEN 'Push' WHEN vp = ar THEN 'Correct' ELSE 'Incorrect' END AS vc,
+         CASE WHEN predicted_spread = 0 OR actual_spread = 0 THEN 'Push'
+              WHEN (predicted_spread > 0 AND actual_spread > 0) OR (predicted_spread < 0 AND actual_spread < 0) THEN 'Correct'
+              ELSE 'Incorrect' END AS mc
+  FROM labelled
+),
+evaluated AS (
+  SELECT season, week, home_team, away_team, actual_spread, predicted_spread, prediction_error, spread_line,
+         vp AS vegas_prediction, vc AS vegas_correct, mc AS model_correct,
+         CASE WHEN abs(predicted_spread - actual_spread) < abs(spread_line - actual_spread) THEN 'Beats Vegas'
+              WHEN abs(predicted_spread - actual_spread) = abs(spread_line - actual_spread) THEN 'Tie'
+              ELSE 'Loses Vegas' END AS model_beats_spread,
+         CASE WHEN mc = 'Correct' AND vc = 'Incorrect' THEN 'Beats Vegas'
+              WHEN mc = 'Incorrect' AND vc = 'Correct' THEN 'Loses to Vegas'
+              WHEN mc = vc AND mc IN ('Correct', 'Incorrect') THEN 'Tie'
+              ELSE 'No Result' END AS model_beats_vegas
+  FROM verdicts
+)"""
+
+_GAMES = (PLAYS_CTE, GAMES_CTE, LINES_CTE)
+ORACLE["line_evaluation"] = with_ctes(*_GAMES, EVAL_CTE) + "SELECT * FROM evaluated"
+ORACLE["line_accuracy"] = with_ctes(*_GAMES, EVAL_CTE) + """
+SELECT round(count_if(model_correct = 'Correct') / count(model_correct), 6) AS model_win_accuracy,
+       round(count_if(vegas_correct = 'Correct') / count(vegas_correct), 6) AS vegas_win_accuracy,
+       round(count_if(model_beats_spread = 'Beats Vegas') / count(model_beats_spread), 6) AS model_over_vegas_spread_accuracy,
+       round(count_if(model_beats_vegas IN ('Beats Vegas', 'Tie')) / count(model_beats_vegas), 6) AS model_over_vegas_win_accuracy
+FROM evaluated"""
+ORACLE["regression_metrics"] = with_ctes(*_GAMES) + """
+, long AS (
+  SELECT 'predicted_spread' AS predictor, CAST(actual_spread AS DOUBLE) AS y, predicted_spread AS p FROM lines
+  UNION ALL
+  SELECT 'spread_line', CAST(actual_spread AS DOUBLE), spread_line FROM lines
+)
+SELECT predictor, count(p - y) AS n, round(avg((p - y) * (p - y)), 6) AS mse,
+       round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae
+FROM long GROUP BY predictor"""
+
+# ----------------------------------------------------------- player history
+ROLL_COLS = [
+    "carries", "rushing_yards", "rushing_tds", "rushing_fumbles",
+    "receptions", "targets", "receiving_yards", "receiving_tds",
+    "receiving_fumbles", "fantasy_points_ppr", "yards_per_carry", "yards_per_reception",
+]
+PLAYER_DAYS_CTE = """
+pdays AS (
+  SELECT CAST(user_id AS VARCHAR) AS player_id, CAST(year(ts) AS INTEGER) AS season,
+         CAST(dayofyear(ts) AS INTEGER) AS week,
+         CAST(count_if(event_type = 'purchase') AS INTEGER) AS carries,
+         CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS DOUBLE) AS rushing_yards,
+         CAST(count_if(event_type = 'signup') AS INTEGER) AS rushing_tds,
+         CAST(count_if(event_type = 'error') AS DOUBLE) AS rushing_fumbles,
+         CAST(count_if(event_type = 'click') AS INTEGER) AS receptions,
+         CAST(count_if(event_type = 'view') AS INTEGER) AS targets,
+         CAST(coalesce(sum(CASE WHEN event_type = 'click' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS DOUBLE) AS receiving_yards,
+         CAST(count_if(event_type = 'click') + count_if(event_type = 'purchase') AS INTEGER) AS receiving_tds,
+         CAST(coalesce(sum(CASE WHEN event_type = 'error' THEN CAST(round(value * 100) AS BIGINT) END), 0) AS DOUBLE) AS receiving_fumbles,
+         CAST(coalesce(sum(CAST(round(value * 100) AS BIGINT)), 0) AS DOUBLE) AS fantasy_points_ppr
+  FROM events GROUP BY 1, 2, 3
+),
+pfeat AS (
+  SELECT *, CASE WHEN carries <> 0 THEN rushing_yards / carries END AS yards_per_carry,
+            CASE WHEN receptions <> 0 THEN receiving_yards / receptions END AS yards_per_reception
+  FROM pdays
+)"""
+_roll = ",\n         ".join(
+    f"round(CASE WHEN count({c}) OVER w = 3 THEN avg({c}) OVER w END, 6) AS {c}_last3" for c in ROLL_COLS
+)
+_notnull = " AND ".join(f"{c}_last3 IS NOT NULL" for c in ROLL_COLS)
+ORACLE["rolling_player_features"] = with_ctes(PLAYER_DAYS_CTE) + f"""
+, rolled AS (
+  SELECT player_id, season, week, carries, rushing_yards, rushing_tds, rushing_fumbles, receptions, targets,
+         receiving_yards, receiving_tds, receiving_fumbles, fantasy_points_ppr,
+         round(yards_per_carry, 6) AS yards_per_carry, round(yards_per_reception, 6) AS yards_per_reception,
+         {_roll}
+  FROM pfeat
+  WINDOW w AS (PARTITION BY player_id ORDER BY season, week ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)
+)
+SELECT * FROM rolled WHERE {_notnull}"""
+ORACLE["rolling_means_all"] = ORACLE["rolling_player_features"].replace(f"SELECT * FROM rolled WHERE {_notnull}", "SELECT * FROM rolled")
+ORACLE["lag_one"] = """
+SELECT event_id, user_id, ts, event_type, value,
+       lag(value) OVER w AS value_prev, lag(event_type) OVER w AS event_type_prev
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+
+# ------------------------------------------------------- scaling and splits
+_CONT = ["week_number", *[f"{f}_delta" for f in FEATURES]]
+_stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _CONT)
+_scaled = ",\n       ".join(
+    f"round(({c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in _CONT
+)
+ORACLE["standardised_features"] = with_ctes(*MATCHUP_CTES) + f"""
+, st AS (SELECT {_stats} FROM matchup)
+SELECT season, game_id, {_scaled}, is_early_season,
+       CAST(is_division_game AS INTEGER) AS is_division_game, actual_spread
+FROM matchup, st"""
+
+BUCKET = "CAST(('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8)) AS BIGINT)"
+ORACLE["split_buckets"] = f"""
+SELECT o_orderkey, CAST({BUCKET.format(k='o_orderkey')} % 100 AS INTEGER) AS bucket,
+       CASE WHEN {BUCKET.format(k='o_orderkey')} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+FROM orders"""
+ORACLE["fold_buckets"] = f"""
+SELECT CAST({BUCKET.format(k='o_orderkey')} % 5 AS INTEGER) AS fold, count(*) AS n_orders,
+       min(o_orderkey) AS min_key, max(o_orderkey) AS max_key, round(sum(o_totalprice), 6) AS total_price
+FROM orders GROUP BY 1"""
+ORACLE["season_split"] = with_ctes(*MATCHUP_CTES) + """
+SELECT season,
+       CASE WHEN season < (SELECT max(season) FROM matchup) THEN 'train'
+            WHEN season = (SELECT max(season) FROM matchup) THEN 'test' ELSE 'later' END AS split,
+       count(*) AS n_games, CAST(sum(actual_spread) AS BIGINT) AS sum_spread
+FROM matchup GROUP BY 1, 2"""

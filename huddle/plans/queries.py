@@ -122,3 +122,107 @@ def _matchups(spark, root):
 @query("matchup_dataset")
 def q_matchup_dataset(spark, root):
     return rounded(_matchups(spark, root))
+
+
+# --------------------------------------------------------------- evaluation
+from huddle.operators import evaluate, player, scaling, split  # noqa: E402
+from huddle.sources.files import read_table  # noqa: E402
+from huddle.functions.columns import safe_divide  # noqa: E402
+
+
+def _lines(spark, root):
+    return standins.game_lines(standins.games(standins.plays(spark, root)))
+
+
+def _evaluated(spark, root):
+    lines = _lines(spark, root)
+    preds = lines.select(
+        "season", "week", "home_team", "away_team", "actual_spread", "predicted_spread",
+        (F.col("predicted_spread") - F.col("actual_spread")).alias("prediction_error"),
+    )
+    games = lines.select("season", "week", "home_team", "away_team", "spread_line")
+    return evaluate.evaluate_against_line(preds, games)
+
+
+@query("line_evaluation")
+def q_line_evaluation(spark, root):
+    return _evaluated(spark, root)
+
+
+@query("line_accuracy")
+def q_line_accuracy(spark, root):
+    return rounded(evaluate.accuracy_summary(_evaluated(spark, root)))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, root):
+    m = evaluate.regression_metrics(_lines(spark, root), "actual_spread", ["predicted_spread", "spread_line"])
+    return rounded(m)
+
+
+# ----------------------------------------------------------- player history
+@query("rolling_player_features")
+def q_rolling_player_features(spark, root):
+    days = standins.player_days(spark, root)
+    return rounded(player.rolling_player_features(days, window=3, position=None))
+
+
+@query("rolling_means_all")
+def q_rolling_means_all(spark, root):
+    """The lag-3 rolling means on every player-day (no history filter)."""
+    from huddle.operators.history import rolling_mean_before
+    from huddle.schemas import RB_ROLL_COLS
+
+    days = standins.player_days(spark, root)
+    days = days.withColumn("yards_per_carry", safe_divide("rushing_yards", "carries")).withColumn(
+        "yards_per_reception", safe_divide("receiving_yards", "receptions"))
+    return rounded(rolling_mean_before(days, RB_ROLL_COLS, ("player_id",), ("season", "week"), 3))
+
+
+@query("lag_one")
+def q_lag_one(spark, root):
+    ev = read_table(spark, root, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    from huddle.operators.history import lag_columns
+
+    out = lag_columns(ev, ["value", "event_type"], ("user_id",), ("ts", "event_id"), suffix="_prev")
+    return out
+
+
+# ------------------------------------------------------- scaling and splits
+CONTINUOUS = ["week_number", *[f"{f}_delta" for f in FEATURE_COLS]]
+
+
+@query("standardised_features")
+def q_standardised_features(spark, root):
+    m = _matchups(spark, root).select(
+        "season", "game_id", *CONTINUOUS, "is_early_season",
+        F.col("is_division_game").cast("int").alias("is_division_game"), "actual_spread",
+    )
+    return rounded(scaling.standardise_lazy(m, CONTINUOUS))
+
+
+@query("split_buckets")
+def q_split_buckets(spark, root):
+    o = read_table(spark, root, "orders").select("o_orderkey")
+    from huddle.functions.columns import hash_bucket
+
+    return o.select("o_orderkey", hash_bucket("o_orderkey", 100).alias("bucket"),
+                    split.split_label("o_orderkey", 20).alias("split"))
+
+
+@query("fold_buckets")
+def q_fold_buckets(spark, root):
+    o = split.with_folds(read_table(spark, root, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 5)
+    return rounded(o.groupBy("fold").agg(
+        F.count("*").alias("n_orders"), F.min("o_orderkey").alias("min_key"),
+        F.max("o_orderkey").alias("max_key"), F.sum("o_totalprice").alias("total_price"),
+    ))
+
+
+@query("season_split")
+def q_season_split(spark, root):
+    m = _matchups(spark, root)
+    last = m.agg(F.max("season")).scalar()
+    return m.groupBy("season", split.season_split_label(last).alias("split")).agg(
+        F.count("*").alias("n_games"), F.sum("actual_spread").alias("sum_spread")
+    )

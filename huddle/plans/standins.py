@@ -11,7 +11,8 @@ which keeps the SQL oracle comparison exact):
 * a *game* is every pair of nations that met in a (season, week); the
   lexically smaller team is at home; each side scores the quantity it
   moved against the other;
-* a *player-week* is a (user, day) of ``events``.
+* a *player-week* is a (user, day) of ``events``: season = year, week =
+  day of the year.
 
 Every builder reads whole tables; nothing is sampled or capped.
 """
@@ -111,7 +112,8 @@ def player_days(spark: SparkSession, root: str) -> DataFrame:
 
     return ev.groupBy(
         F.col("user_id").cast("string").alias("player_id"),
-        F.to_date("ts").alias("day"),
+        F.year("ts").cast("int").alias("season"),
+        F.dayofyear("ts").cast("int").alias("week"),
     ).agg(
         n("purchase").alias("carries"),
         s("purchase").alias("rushing_yards"),
