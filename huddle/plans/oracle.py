@@ -315,3 +315,156 @@ SELECT season,
             WHEN season = (SELECT max(season) FROM matchup) THEN 'test' ELSE 'later' END AS split,
        count(*) AS n_games, CAST(sum(actual_spread) AS BIGINT) AS sum_spread
 FROM matchup GROUP BY 1, 2"""
+
+
+# ------------------------------------------------ positions, lookups, pivot
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+POSITION_ROWS_CTE = """
+prow AS (
+  SELECT n.n_name AS Tm, CAST(year(o.o_orderdate) AS INTEGER) AS Season, c.c_mktsegment AS position,
+         CAST(round(o.o_totalprice * 100) AS BIGINT) AS cents
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""
+_piv = ", ".join(f"round(avg(CASE WHEN position = '{s}' THEN cents END), 6) AS {s}" for s in SEGMENTS)
+PIVOT_CTE = f"""
+pivoted AS (SELECT Tm, Season, {_piv} FROM prow GROUP BY Tm, Season)"""
+ORACLE["position_pivot"] = with_ctes(POSITION_ROWS_CTE, PIVOT_CTE) + "SELECT * FROM pivoted"
+_frames = ",\n".join(
+    f"f_{s} AS (SELECT Tm, Season, round(avg(cents), 6) AS {s} FROM prow WHERE position = '{s}' GROUP BY Tm, Season)"
+    for s in SEGMENTS
+)
+_joins = " ".join(f"FULL OUTER JOIN f_{s} USING (Tm, Season)" for s in SEGMENTS[1:])
+ORACLE["position_full_outer"] = with_ctes(POSITION_ROWS_CTE, _frames) + (
+    f"SELECT Tm, Season, {', '.join(SEGMENTS)} FROM f_{SEGMENTS[0]} {_joins}"
+)
+ORACLE["opponent_lookup"] = with_ctes(POSITION_ROWS_CTE, PIVOT_CTE) + """
+, names AS (SELECT n_name AS name, 'N' || CAST(n_nationkey AS VARCHAR) AS abbr FROM nation WHERE n_regionkey < 4),
+defense AS (SELECT coalesce(nm.abbr, p.Tm) AS Tm, p.Season, p.BUILDING FROM pivoted p LEFT JOIN names nm ON p.Tm = nm.name),
+first_def AS (
+  SELECT Tm, Season, BUILDING FROM (
+    SELECT *, row_number() OVER (PARTITION BY Tm, Season ORDER BY BUILDING ASC NULLS LAST) AS rn FROM defense
+  ) WHERE rn = 1
+),
+players AS (
+  SELECT o.o_orderkey, CAST(year(o.o_orderdate) AS INTEGER) AS season, 'N' || CAST(c.c_nationkey AS VARCHAR) AS opponent_team
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+)
+SELECT p.o_orderkey, p.season, p.opponent_team, d.BUILDING AS BUILDING_allowed
+FROM players p LEFT JOIN first_def d ON p.opponent_team = d.Tm AND p.season = d.Season"""
+
+# --------------------------------------------------- closed-form regressors
+XY_CTE = f"""
+xy AS (
+  SELECT l_suppkey, CAST(round(l_quantity) AS BIGINT) AS x, CAST(round(l_extendedprice / 1000) AS BIGINT) AS y,
+         CASE WHEN {BUCKET.format(k="concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)")} % 100 < 20
+              THEN 'test' ELSE 'train' END AS split
+  FROM lineitem
+)"""
+
+
+def stats_cte(name: str, source: str, group: str = "") -> str:
+    g = f"{group}, " if group else ""
+    gb = f"GROUP BY {group}" if group else ""
+    return f"""
+{name} AS (
+  SELECT {g}n, sx / n AS mean_x, sy / n AS mean_y,
+         CAST(n * sxx - sx * sx AS DOUBLE) / n / n AS var_x,
+         CAST(n * sxy - sx * sy AS DOUBLE) / n / n AS cov_xy
+  FROM (
+    SELECT {g}count(*) AS n, CAST(sum(x) AS HUGEINT) AS sx, CAST(sum(y) AS HUGEINT) AS sy,
+           CAST(sum(CAST(x AS HUGEINT) * y) AS HUGEINT) AS sxy, CAST(sum(CAST(x AS HUGEINT) * x) AS HUGEINT) AS sxx
+    FROM {source} {gb}
+  ) WHERE n > 0
+)"""
+
+
+def soft(c: str, a: float) -> str:
+    return f"sign({c}) * greatest(abs({c}) - {a!r}, 0.0)"
+
+
+SLOPES = {
+    "lr": "CASE WHEN var_x <> 0 THEN cov_xy / var_x END",
+    "lasso": f"CASE WHEN var_x <> 0 THEN {soft('cov_xy', 1.0)} / var_x ELSE 0.0 END",
+    "ridge": "cov_xy / (var_x + 1.0 / CAST(n AS DOUBLE))",
+    "en": f"{soft('cov_xy', 0.5)} / (var_x + 0.5)",
+}
+
+
+TRAIN_CTE = "train AS (SELECT * FROM xy WHERE split = 'train')"
+for _name, _kind in (("linear_fit", "lr"), ("lasso_fit", "lasso"), ("ridge_fit", "ridge"), ("elastic_net_fit", "en")):
+    ORACLE[_name] = (
+        "WITH " + XY_CTE.strip() + ",\n" + TRAIN_CTE + ",\n" + stats_cte("st", "train").strip() + "\n"
+        f"SELECT '{_kind}' AS model, n, round({SLOPES[_kind]}, 6) AS slope, "
+        f"round(mean_y - ({SLOPES[_kind]}) * mean_x, 6) AS intercept FROM st"
+    )
+
+_mse_parts = "\nUNION ALL\n".join(
+    [
+        f"SELECT '{k}' AS regressor, CAST(t.y AS DOUBLE) AS y, (s.mean_y - ({SLOPES[k]}) * s.mean_x) + ({SLOPES[k]}) * t.x AS p "
+        f"FROM test t, st s" for k in ("lr", "lasso", "ridge", "en")
+    ]
+    + ["SELECT 'mean', CAST(t.y AS DOUBLE), s.mean_y FROM test t, st s"]
+)
+REGRESSOR_MSE_CTE = f"""
+mse AS (
+  SELECT regressor, count(p - y) AS n, avg((p - y) * (p - y)) AS mse FROM (
+{_mse_parts}
+  ) GROUP BY regressor
+)"""
+_MSE = ("WITH " + XY_CTE.strip() + ",\n" + TRAIN_CTE + ",\ntest AS (SELECT * FROM xy WHERE split = 'test'),\n"
+        + stats_cte("st", "train").strip() + ",\n" + REGRESSOR_MSE_CTE.strip() + "\n")
+ORACLE["regressor_mse"] = _MSE + "SELECT regressor, n, round(mse, 6) AS mse FROM mse"
+ORACLE["per_group_fit"] = (
+    "WITH " + XY_CTE.strip() + ",\n" + stats_cte("st", "xy", "l_suppkey").strip() + "\n" +
+    "\nUNION ALL\n".join(
+        f"SELECT l_suppkey, '{k}' AS model, n, round({SLOPES[k]}, 6) AS slope, "
+        f"round(mean_y - ({SLOPES[k]}) * mean_x, 6) AS intercept FROM st" for k in ("lr", "ridge")
+    )
+)
+ORACLE["fixed_width_report"] = _MSE + """
+SELECT 0 AS line_no, rpad('Regressor', 20, ' ') || ' ' || rpad('MSE', 20, ' ') AS line
+UNION ALL SELECT 1, repeat('=', 60)
+UNION ALL
+SELECT CAST(list_position(['lr', 'lasso', 'ridge', 'en', 'mean'], regressor) + 2 AS INTEGER),
+       CASE WHEN length(regressor) >= 20 THEN regressor ELSE rpad(regressor, 20, ' ') END || ' ' ||
+       CASE WHEN length(printf('%.5f', mse)) >= 20 THEN printf('%.5f', mse) ELSE rpad(printf('%.5f', mse), 20, ' ') END
+FROM mse"""
+ORACLE["top_n_importance"] = """
+WITH p AS (SELECT p_brand, CAST(round(p_retailprice * 100) AS BIGINT) AS cents FROM part),
+share AS (SELECT p_brand AS feature, round(CAST(sum(cents) AS DOUBLE) / CAST((SELECT sum(cents) FROM p) AS DOUBLE), 6) AS importance
+          FROM p GROUP BY p_brand)
+SELECT feature, importance FROM share WHERE importance > 0 ORDER BY importance DESC, feature ASC LIMIT 15"""
+
+# ------------------------------------------------ catalogue, landing, html
+LINEITEM_COLS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+ORACLE["column_catalog"] = "\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS ordinal, '{c}' AS name, any_value(typeof({c})) AS type, count({c}) AS non_null, "
+    f"count(*) - count({c}) AS nulls FROM lineitem"
+    for i, c in enumerate(LINEITEM_COLS)
+)
+DAY = "CAST(year({c}) * 10000 + month({c}) * 100 + day({c}) AS INTEGER)"
+ORACLE["landed_anti_join"] = f"""
+SELECT o_orderkey, o_totalprice, {DAY.format(c='o_orderdate')} AS day FROM orders
+WHERE {DAY.format(c='o_orderdate')} NOT IN (SELECT {DAY.format(c='l_shipdate')} FROM lineitem)"""
+_clean = (
+    "trim(replace(replace(replace(replace(replace(replace("
+    "regexp_replace(x, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), "
+    "'&nbsp;', ' '), '&amp;', '&'))"
+)
+ORACLE["html_rows"] = f"""
+WITH blocks AS (
+  SELECT page_id, regexp_extract_all(regexp_extract(html, '(?s)<ul(?:\\s[^>]*)?>(.*?)</ul>', 1),
+                                     '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS rs
+  FROM pages
+),
+r AS (SELECT page_id, unnest(rs) AS r, generate_subscripts(rs, 1) - 1 AS row_index FROM blocks),
+c AS (
+  SELECT page_id, row_index,
+         list_transform(regexp_extract_all(r, '(?s)<a(?:\\s[^>]*)?>(.*?)</a>', 1), lambda x: {_clean}) AS cells
+  FROM r
+),
+d AS (SELECT page_id, cells, CAST(min(row_index) AS INTEGER) AS row_index FROM c GROUP BY page_id, cells)
+SELECT page_id, row_index, CAST(len(cells) AS INTEGER) AS n_cells, array_to_string(cells, '|') AS text FROM d"""

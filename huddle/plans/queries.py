@@ -226,3 +226,157 @@ def q_season_split(spark, root):
     return m.groupBy("season", split.season_split_label(last).alias("split")).agg(
         F.count("*").alias("n_games"), F.sum("actual_spread").alias("sum_spread")
     )
+
+
+# ------------------------------------------------ positions, lookups, pivot
+from huddle.operators import regression, tables  # noqa: E402
+from huddle.sinks.files import report_lines  # noqa: E402
+from huddle.sinks.landing import new_partitions  # noqa: E402
+from huddle.sources import catalog, html  # noqa: E402
+
+# Market segments of the driver's customer table (fixed values).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _position_rows(spark, root):
+    o = read_table(spark, root, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = read_table(spark, root, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    n = read_table(spark, root, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    rows = o.join(c, "o_custkey").join(n, "c_nationkey")
+    return rows.select(
+        F.col("n_name").alias("Tm"), F.year("o_orderdate").cast("int").alias("Season"),
+        F.col("c_mktsegment").alias("position"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
+
+
+@query("position_pivot")
+def q_position_pivot(spark, root):
+    return rounded(tables.pivot_positions(_position_rows(spark, root), ["Tm", "Season"], "position", "cents", SEGMENTS, agg="avg"))
+
+
+@query("position_full_outer")
+def q_position_full_outer(spark, root):
+    rows = _position_rows(spark, root)
+    frames = [
+        rows.filter(F.col("position") == seg).groupBy("Tm", "Season").agg(F.avg("cents").alias(seg))
+        for seg in SEGMENTS
+    ]
+    return rounded(tables.full_outer_merge(frames, ["Tm", "Season"]))
+
+
+@query("opponent_lookup")
+def q_opponent_lookup(spark, root):
+    defense = tables.pivot_positions(_position_rows(spark, root), ["Tm", "Season"], "position", "cents", SEGMENTS, agg="avg")
+    nation = read_table(spark, root, "nation")
+    names = nation.filter(F.col("n_regionkey") < 4).select(
+        F.col("n_name").alias("name"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("abbr"))
+    defense = player.map_values(defense, "Tm", names)
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    c = read_table(spark, root, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    players = o.join(c, "o_custkey").select(
+        "o_orderkey", F.year("o_orderdate").cast("int").alias("season"),
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("opponent_team"))
+    out = player.lookup_first(players, defense, ["opponent_team", "season"], ["Tm", "Season"], "BUILDING", "BUILDING_allowed")
+    return rounded(out)
+
+
+# --------------------------------------------------- closed-form regressors
+def _xy(spark, root):
+    li = read_table(spark, root, "lineitem")
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
+    return li.select(
+        "l_suppkey",
+        F.round("l_quantity").cast("bigint").alias("x"),
+        F.round(F.col("l_extendedprice") / 1000).cast("bigint").alias("y"),
+        split.split_label(key, 20).alias("split"),
+    )
+
+
+def _fit(kinds):
+    def run(spark, root):
+        train = _xy(spark, root).filter(F.col("split") == "train")
+        return rounded(regression.fit_closed_form(train, "x", "y", kinds))
+    return run
+
+
+query("linear_fit")(_fit(["lr"]))
+query("lasso_fit")(_fit(["lasso"]))
+query("ridge_fit")(_fit(["ridge"]))
+query("elastic_net_fit")(_fit(["en"]))
+
+REGRESSORS = ["lr", "lasso", "ridge", "en", "mean"]
+
+
+def _regressor_mse(spark, root):
+    xy = _xy(spark, root)
+    train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
+    stats = regression.sufficient_stats(train, "x", "y")
+    m = regression.moment_columns()
+    coef = stats.select(*[v.alias(k) for k, v in m.items()], "n")
+    coef = coef.select(
+        "mean_x", "mean_y",
+        *[regression.slope_expr(k).alias(f"b_{k}") for k in REGRESSORS if k != "mean"],
+    )
+    mx, my = coef.select("mean_x").scalar(), coef.select("mean_y").scalar()
+    preds = []
+    for k in REGRESSORS:
+        if k == "mean":
+            p = my
+        else:
+            b = coef.select(f"b_{k}").scalar()
+            p = (my - b * mx) + b * F.col("x")
+        preds.append(F.struct(F.lit(k).alias("regressor"), p.alias("p")))
+    long = test.select(F.col("y").cast("double").alias("y"), F.inline(F.array(*preds)))
+    err = F.col("p") - F.col("y")
+    return long.groupBy("regressor").agg(F.count(err).alias("n"), F.avg(err * err).alias("mse"))
+
+
+@query("regressor_mse")
+def q_regressor_mse(spark, root):
+    return rounded(_regressor_mse(spark, root))
+
+
+@query("per_group_fit")
+def q_per_group_fit(spark, root):
+    return rounded(regression.fit_closed_form(_xy(spark, root), "x", "y", ["lr", "ridge"], group_by=["l_suppkey"]))
+
+
+@query("fixed_width_report")
+def q_fixed_width_report(spark, root):
+    mse = _regressor_mse(spark, root).withColumn(
+        "pos", F.array_position(F.array(*[F.lit(r) for r in REGRESSORS]), F.col("regressor")))
+    return report_lines(mse, "regressor", "mse", "pos")
+
+
+@query("top_n_importance")
+def q_top_n_importance(spark, root):
+    part = read_table(spark, root, "part").select("p_brand", F.round(F.col("p_retailprice") * 100).cast("bigint").alias("cents"))
+    total = part.agg(F.sum("cents")).scalar()
+    share = part.groupBy(F.col("p_brand").alias("feature")).agg(
+        (F.sum("cents").cast("double") / total.cast("double")).alias("importance"))
+    return rounded(tables.top_n(share, "importance", 15, tie_break=["feature"]))
+
+
+# ------------------------------------------------ catalogue, landing, html
+@query("column_catalog")
+def q_column_catalog(spark, root):
+    return catalog.column_profile(read_table(spark, root, "lineitem"))
+
+
+def _day_key(c):
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
+
+
+@query("landed_anti_join")
+def q_landed_anti_join(spark, root):
+    incoming = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice", _day_key("o_orderdate").alias("day"))
+    landed = read_table(spark, root, "lineitem").select(_day_key("l_shipdate").alias("day"))
+    return new_partitions(incoming, landed, ["day"])
+
+
+@query("html_rows")
+def q_html_rows(spark, root):
+    pages = read_table(spark, root, "pages").select("page_id", "html")
+    rows = html.body_rows(pages, container="ul", row_tag="li", cell_tags="a")
+    return rows.select("page_id", "row_index", F.size("cells").alias("n_cells"), F.array_join("cells", "|").alias("text"))
