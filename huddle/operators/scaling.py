@@ -57,20 +57,3 @@ def standardise(df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None
     """Scale ``columns`` of ``df`` with statistics fitted on ``fit_on``
     (default: ``df`` itself, i.e. train and test together)."""
     return fit_scaler(fit_on if fit_on is not None else df, columns).transform(df)
-
-
-def standardise_lazy(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Same as :func:`standardise` but without a driver round trip: the
-    statistics are scalar subqueries that Spark evaluates once and inlines
-    (useful when the plan must stay lazy, e.g. inside a registered query)."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns])
-    out = []
-    for c in df.columns:
-        if c in columns:
-            mean = stats.select(f"m_{c}").scalar()
-            std = stats.select(f"s_{c}").scalar()
-            scale = F.when(std.isNull() | (std == 0), F.lit(1.0)).otherwise(std)
-            out.append(((F.col(c) - mean) / scale).alias(c))
-        else:
-            out.append(F.col(c))
-    return df.select(*out)

@@ -198,7 +198,7 @@ def q_standardised_features(spark, root):
         "season", "game_id", *CONTINUOUS, "is_early_season",
         F.col("is_division_game").cast("int").alias("is_division_game"), "actual_spread",
     )
-    return rounded(scaling.standardise_lazy(m, CONTINUOUS))
+    return rounded(scaling.standardise(m, CONTINUOUS))
 
 
 @query("split_buckets")
@@ -309,24 +309,15 @@ REGRESSORS = ["lr", "lasso", "ridge", "en", "mean"]
 
 
 def _regressor_mse(spark, root):
+    """Fit on the train split (one aggregate; coefficients come back to the
+    driver as a model would), score the test split with literal
+    coefficients in one pass, MSE per regressor in one aggregate."""
     xy = _xy(spark, root)
     train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
-    stats = regression.sufficient_stats(train, "x", "y")
-    m = regression.moment_columns()
-    coef = stats.select(*[v.alias(k) for k, v in m.items()], "n")
-    coef = coef.select(
-        "mean_x", "mean_y",
-        *[regression.slope_expr(k).alias(f"b_{k}") for k in REGRESSORS if k != "mean"],
-    )
-    mx, my = coef.select("mean_x").scalar(), coef.select("mean_y").scalar()
-    preds = []
-    for k in REGRESSORS:
-        if k == "mean":
-            p = my
-        else:
-            b = coef.select(f"b_{k}").scalar()
-            p = (my - b * mx) + b * F.col("x")
-        preds.append(F.struct(F.lit(k).alias("regressor"), p.alias("p")))
+    models = regression.fit_models(train, "x", "y", [k for k in REGRESSORS if k != "mean"])
+    mean_y = train.agg(F.avg("y")).first()[0]
+    preds = [F.struct(F.lit(k).alias("regressor"), models[k].predict(F.col("x")).alias("p")) for k in models]
+    preds.append(F.struct(F.lit("mean").alias("regressor"), F.lit(mean_y).cast("double").alias("p")))
     long = test.select(F.col("y").cast("double").alias("y"), F.inline(F.array(*preds)))
     err = F.col("p") - F.col("y")
     return long.groupBy("regressor").agg(F.count(err).alias("n"), F.avg(err * err).alias("mse"))

@@ -18,9 +18,23 @@ from huddle import schemas
 from huddle.functions.columns import nan_to_null
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the driver's tables (``<root>/<name>.parquet``)."""
-    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
+    """One of the driver's tables (``<root>/<name>.parquet``).
+
+    The DataFrame is memoised per session and path: building it lists the
+    files and reads the footer on the driver, which is worth doing once.
+    DataFrames are immutable, so sharing one is safe; the cache holds plans,
+    not data.
+    """
+    path = os.path.join(root, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def nans_to_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
