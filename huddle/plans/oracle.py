@@ -468,3 +468,25 @@ c AS (
 ),
 d AS (SELECT page_id, cells, CAST(min(row_index) AS INTEGER) AS row_index FROM c GROUP BY page_id, cells)
 SELECT page_id, row_index, CAST(len(cells) AS INTEGER) AS n_cells, array_to_string(cells, '|') AS text FROM d"""
+
+
+# ---------------------------------------------------------------------- knn
+ORACLE["knn_fit"] = f"""
+WITH part_xy AS (
+  SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS y,
+         CASE WHEN {BUCKET.format(k='p_partkey')} % 100 < 20 THEN 'test' ELSE 'train' END AS split
+  FROM part
+),
+train AS (SELECT p_partkey, x, y, row_number() OVER (ORDER BY x, p_partkey) - 1 AS rnk FROM part_xy WHERE split = 'train'),
+test AS (SELECT p_partkey, x, y FROM part_xy WHERE split = 'test'),
+ins AS (SELECT t.p_partkey, count(tr.p_partkey) AS p FROM test t LEFT JOIN train tr ON tr.x <= t.x GROUP BY t.p_partkey),
+pairs AS (
+  SELECT t.p_partkey, t.x, tr.y AS n_y,
+         row_number() OVER (PARTITION BY t.p_partkey ORDER BY abs(tr.x - t.x),
+            CASE WHEN tr.rnk < i.p THEN i.p - 1 - tr.rnk ELSE tr.rnk - i.p END, tr.x, tr.p_partkey) AS nn
+  FROM test t JOIN ins i ON t.p_partkey = i.p_partkey, train tr
+)
+SELECT p.p_partkey, any_value(p.x) AS x, round(avg(p.n_y), 6) AS prediction, count(*) AS neighbours,
+       any_value(t.y) AS actual
+FROM pairs p JOIN test t ON p.p_partkey = t.p_partkey
+WHERE p.nn <= 5 GROUP BY p.p_partkey"""

@@ -371,3 +371,17 @@ def q_html_rows(spark, root):
     pages = read_table(spark, root, "pages").select("page_id", "html")
     rows = html.body_rows(pages, container="ul", row_tag="li", cell_tags="a")
     return rows.select("page_id", "row_index", F.size("cells").alias("n_cells"), F.array_join("cells", "|").alias("text"))
+
+
+# ---------------------------------------------------------------------- knn
+from huddle.operators import knn  # noqa: E402
+
+
+@query("knn_fit")
+def q_knn_fit(spark, root):
+    part = read_table(spark, root, "part").select(
+        "p_partkey", F.col("p_size").alias("x"), F.round(F.col("p_retailprice") * 100).cast("bigint").alias("y"),
+        split.split_label("p_partkey", 20).alias("split"))
+    train, test = part.filter(F.col("split") == "train"), part.filter(F.col("split") == "test")
+    pred = knn.knn_regress(train, test, "x", "y", "p_partkey", k=5)
+    return rounded(pred.join(test.select("p_partkey", F.col("y").alias("actual")), "p_partkey"))
