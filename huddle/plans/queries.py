@@ -385,3 +385,58 @@ def q_knn_fit(spark, root):
     train, test = part.filter(F.col("split") == "train"), part.filter(F.col("split") == "test")
     pred = knn.knn_regress(train, test, "x", "y", "p_partkey", k=5)
     return rounded(pred.join(test.select("p_partkey", F.col("y").alias("actual")), "p_partkey"))
+
+
+# ------------------------------------------------------------------- models
+from huddle.operators import models  # noqa: E402
+
+
+def _prepared(spark, root):
+    # the matchup frame feeds three passes (last season, scaler, features):
+    # compute it once into the shared checkpoint folder
+    from huddle.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    m = _matchups(spark, root).checkpoint()
+    last = m.agg(F.max("season")).first()[0]
+    return models.prepare_features(m), last
+
+
+@query("gbt_predictions")
+def q_gbt_predictions(spark, root):
+    prep, last = _prepared(spark, root)
+    _, scored = models.train_and_score(prep, last)
+    return evaluate.predictions_with_keys(scored, label="label", prediction="prediction")
+
+
+@query("cv_scores")
+def q_cv_scores(spark, root):
+    prep, last = _prepared(spark, root)
+    train, _ = split.season_split(prep.frame, last)
+    _, scores = models.cross_validate(train, models.SMALL_GRID, folds=3)
+    return scores
+
+
+@query("feature_importance")
+def q_feature_importance(spark, root):
+    prep, last = _prepared(spark, root)
+    model, _ = models.train_and_score(prep, last)
+    imp = models.importances(model, prep.feature_names, spark)
+    return tables.top_n(imp, "importance", 15, tie_break=["feature"])
+
+
+@query("bayesian_ridge_fit")
+def q_bayesian_ridge_fit(spark, root):
+    train = _xy(spark, root).filter(F.col("split") == "train")
+    m = regression.fit_bayesian_ridge(train, "x", "y")
+    return spark.createDataFrame([(m.name, m.slope, m.intercept)], "model string, slope double, intercept double")
+
+
+@query("tree_regressor_mse")
+def q_tree_regressor_mse(spark, root):
+    from pyspark.ml.feature import VectorAssembler
+
+    xy = VectorAssembler(inputCols=["xd"], outputCol="features").transform(
+        _xy(spark, root).select(F.col("x").cast("double").alias("xd"), F.col("y").cast("double").alias("label"), "split"))
+    train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
+    return models.one_feature_sweep(train, test, sizes=models.QUICK_SIZES)
