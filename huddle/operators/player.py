@@ -83,7 +83,7 @@ def lookup_first(
     (NULL when none does).  The right side is reduced to one row per key
     first, so the left side is never multiplied."""
     order = list(order) if order is not None else [F.col(value).asc_nulls_last()]
-    one = first_per_key(right.select(*right_keys, value), right_keys, order)
+    one = first_per_key(right, right_keys, order).select(*right_keys, value)
     renamed = one.select(
         *[F.col(r).alias(f"_lk{i}") for i, r in enumerate(right_keys)], F.col(value).alias(out)
     )

@@ -69,8 +69,7 @@ def body_rows(
 
 def nth_position(labels: Column, label: str, n: int) -> Column:
     """0-based position of the n-th (1-based) occurrence of ``label``."""
-    idx = F.sequence(F.lit(0), F.size(labels) - 1)
-    hits = F.filter(idx, lambda i: F.element_at(labels, i + 1) == label)
+    hits = F.filter(F.transform(labels, lambda h, i: F.when(h == label, i)), lambda i: i.isNotNull())
     return F.try_element_at(hits, F.lit(n))
 
 
