@@ -168,15 +168,24 @@ matchup AS (
 )"""
 
 _TWS = (PLAYS_CTE, OFFENSE_CTE, DEFENSE_CTE, TWS_CTE)
-ORACLE["prior_season_means"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2)) + "SELECT * FROM prior"
-ORACLE["prior_season_means_lag1"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(1)) + "SELECT * FROM prior"
-ORACLE["expanding_prior_mean"] = with_ctes(*_TWS, ROLL_CTE) + "SELECT * FROM roll"
-ORACLE["blended_features"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte()) + "SELECT * FROM blended"
+_ROUND_FEATS = _cols("round({f}, 6) AS {f}")
+ORACLE["prior_season_means"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2)) + f"SELECT season, team, {_ROUND_FEATS} FROM prior"
+ORACLE["prior_season_means_lag1"] = (
+    with_ctes(*_TWS, MEANS_CTE, prior_cte(1)) + f"SELECT season, team, {_ROUND_FEATS} FROM prior"
+)
+ORACLE["expanding_prior_mean"] = with_ctes(*_TWS, ROLL_CTE) + (
+    f"SELECT season, week, team, {_cols('round(rolling_{f}, 6) AS rolling_{f}')} FROM roll"
+)
+_BLENDED_OUT = f"SELECT season, week, team, {_ROUND_FEATS} FROM blended"
+ORACLE["blended_features"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte()) + _BLENDED_OUT
 ORACLE["blended_features_prior_fill"] = (
-    with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(True)) + "SELECT * FROM blended"
+    with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(True)) + _BLENDED_OUT
 )
 MATCHUP_CTES = (*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(), GAMES_CTE, MATCHUP_CTE)
-ORACLE["matchup_dataset"] = with_ctes(*MATCHUP_CTES) + "SELECT * FROM matchup"
+ORACLE["matchup_dataset"] = with_ctes(*MATCHUP_CTES) + f"""
+SELECT season, week, game_id, home_team, away_team, week_number, is_early_season,
+       {_cols("round({f}_delta, 6) AS {f}_delta")}, is_division_game, actual_spread
+FROM matchup"""
 
 
 # --------------------------------------------------------------- evaluation
