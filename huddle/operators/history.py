@@ -146,3 +146,79 @@ def blend_with_prior(
         return F.when(use_prior, mixed).otherwise(roll_v).alias(f)
 
     return j.select(season, week, entity, *[blend(f) for f in features])
+
+
+def blend_trace(
+    weekly: DataFrame,
+    prior: DataFrame,
+    team: str,
+    weeks: Sequence[int] = (1, 2, 3),
+    features: Sequence[str] = FEATURE_COLS,
+    season: str = "season",
+    entity: str = "team",
+    week: str = "week",
+    early_weeks: int = 3,
+) -> DataFrame:
+    """Diagnostic rows for one team and some weeks where the prior was
+    blended in: (season, week, team, feature, prior, rolling, weight_prior,
+    weight_current, blended).  The team filter is applied before the window,
+    so only that team's rows are read into it."""
+    mine = weekly.filter(F.col(entity) == team)
+    rolled = expanding_mean_before(mine, features, (season, entity), (week,))
+    pri = prior.filter(F.col(entity) == team).select(
+        season, entity, *[F.col(f).alias("prior_" + f) for f in features]
+    )
+    j = rolled.join(pri, [season, entity], "inner").filter(
+        F.col(week).isin(list(weeks)) & (F.col(week) <= early_weeks)
+    )
+    w = (F.lit(early_weeks + 1) - F.col(week)) / F.lit(float(early_weeks))
+    rows = F.array(*[
+        F.struct(
+            F.lit(f).alias("feature"), F.col("prior_" + f).alias("prior"), F.col("rolling_" + f).alias("rolling"),
+        )
+        for f in features
+    ])
+    long = j.select(season, week, entity, w.alias("weight_prior"), F.inline(rows))
+    return long.select(
+        season, week, entity, "feature", "prior", "rolling", "weight_prior",
+        (F.lit(1.0) - F.col("weight_prior")).alias("weight_current"),
+        (F.col("weight_prior") * F.col("prior") + (F.lit(1.0) - F.col("weight_prior")) * F.col("rolling")).alias("blended"),
+    )
+
+
+def lag_by_time_chunks(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    ts: str,
+    tie_break: str,
+    chunk_seconds: int = 3600,
+    suffix: str = "_prev",
+) -> DataFrame:
+    """Previous row's values per ``key`` in (``ts``, ``tie_break``) order --
+    the same result as ``lag(c, 1)`` over ``partitionBy(key)`` -- without
+    putting a key's whole history into one task.
+
+    Raw rows are windowed inside (key, time chunk) partitions, so a key
+    holding a third of all rows is spread over as many tasks as it has
+    chunks.  The first row of each chunk takes its value from the last row
+    of the key's previous non-empty chunk: a per-(key, chunk) summary built
+    with ``max_by`` (map-side partial aggregation, so a hot key costs one
+    row per chunk per task) and a window over the summary, whose size per
+    key is the number of chunks -- bounded by time span, not by volume.
+    """
+    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("long")
+    base = df.withColumn("_chunk", chunk)
+    order = F.struct(F.col(ts), F.col(tie_break))
+    w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
+    inner = base.select("*", F.row_number().over(w_in).alias("_rn"),
+                        *[F.lag(c, 1).over(w_in).alias(c + suffix) for c in columns])
+    last = base.groupBy(key, "_chunk").agg(
+        F.max_by(F.struct(*[F.col(c) for c in columns]), order).alias("_last"))
+    w_chunks = Window.partitionBy(key).orderBy("_chunk")
+    carried = last.select(key, "_chunk", F.lag("_last", 1).over(w_chunks).alias("_carry"))
+    firsts = inner.filter(F.col("_rn") == 1).drop(*[c + suffix for c in columns])
+    firsts = firsts.join(carried, [key, "_chunk"], "left").select(
+        *df.columns, *[F.col("_carry")[c].alias(c + suffix) for c in columns])
+    rest = inner.filter(F.col("_rn") > 1).select(*df.columns, *[c + suffix for c in columns])
+    return firsts.unionByName(rest)

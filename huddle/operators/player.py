@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from huddle.functions.columns import safe_divide
@@ -63,11 +63,17 @@ def map_values(
     )
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per key: the first by ``order`` (a stated tie-break, not
-    whatever row happens to come first)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the first in ascending ``order`` (missing values
+    last) -- a stated tie-break, not whatever row happens to come first.
+
+    An aggregate (``min_by`` on the order), not a window: each task keeps
+    one row per key before the shuffle, so a key with a third of the rows
+    costs no more than any other."""
+    rank = F.struct(*[e for c in order for e in (F.col(c).isNull(), F.col(c))])
+    others = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in others]), rank).alias("_first"))
+    return picked.select(*keys, *[F.col("_first")[c].alias(c) for c in others])
 
 
 def lookup_first(
@@ -77,12 +83,12 @@ def lookup_first(
     right_keys: Sequence[str],
     value: str,
     out: str,
-    order: Sequence[Column | str] | None = None,
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """For each left row, ``value`` of the first right row whose keys match
     (NULL when none does).  The right side is reduced to one row per key
     first, so the left side is never multiplied."""
-    order = list(order) if order is not None else [F.col(value).asc_nulls_last()]
+    order = list(order) if order is not None else [value]
     one = first_per_key(right, right_keys, order).select(*right_keys, value)
     renamed = one.select(
         *[F.col(r).alias(f"_lk{i}") for i, r in enumerate(right_keys)], F.col(value).alias(out)

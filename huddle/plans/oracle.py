@@ -499,3 +499,17 @@ SELECT p.p_partkey, any_value(p.x) AS x, round(avg(p.n_y), 6) AS prediction, cou
        any_value(t.y) AS actual
 FROM pairs p JOIN test t ON p.p_partkey = t.p_partkey
 WHERE p.nn <= 5 GROUP BY p.p_partkey"""
+
+
+# ---------------------------------------------------------------- diagnostics
+_trace_rows = "\nUNION ALL\n".join(
+    f"SELECT r.season, r.week, r.team, '{f}' AS feature, p.{f} AS prior, r.rolling_{f} AS rolling, "
+    f"CAST(4 - r.week AS DOUBLE) / 3 AS wp FROM roll r JOIN prior p ON r.season = p.season AND r.team = p.team "
+    f"WHERE r.team = '7' AND r.week IN (1, 2, 3)"
+    for f in FEATURES
+)
+ORACLE["blend_trace"] = with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE) + f"""
+SELECT season, week, team, feature, round(prior, 6) AS prior, round(rolling, 6) AS rolling,
+       round(wp, 6) AS weight_prior, round(1 - wp, 6) AS weight_current,
+       round(wp * prior + (1 - wp) * rolling, 6) AS blended
+FROM ({_trace_rows})"""

@@ -182,10 +182,7 @@ def q_rolling_means_all(spark, root):
 @query("lag_one")
 def q_lag_one(spark, root):
     ev = read_table(spark, root, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    from huddle.operators.history import lag_columns
-
-    out = lag_columns(ev, ["value", "event_type"], ("user_id",), ("ts", "event_id"), suffix="_prev")
-    return out
+    return history.lag_by_time_chunks(ev, ["value", "event_type"], "user_id", "ts", "event_id")
 
 
 # ------------------------------------------------------- scaling and splits
@@ -440,3 +437,9 @@ def q_tree_regressor_mse(spark, root):
         _xy(spark, root).select(F.col("x").cast("double").alias("xd"), F.col("y").cast("double").alias("label"), "split"))
     train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
     return models.one_feature_sweep(train, test, sizes=models.QUICK_SIZES)
+
+
+@query("blend_trace")
+def q_blend_trace(spark, root):
+    tws = _tws(spark, root)
+    return rounded(history.blend_trace(tws, history.prior_season_means(tws), "7", (1, 2, 3)))

@@ -57,3 +57,8 @@ def report_lines(
 def write_text_lines(lines: DataFrame, path: str, order: str = "line_no") -> None:
     """Write a small ordered report as one text file."""
     lines.orderBy(order).select("line").coalesce(1).write.mode("overwrite").text(path)
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a limit: Spark stops reading once it has them)."""
+    return df.limit(n)

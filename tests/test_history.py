@@ -119,3 +119,32 @@ def test_history_ignores_future_rows(spark):
     a = history.blend_with_prior(w, prior_a, FEATS).filter("season = 2023 AND week < 4")
     b = history.blend_with_prior(changed, prior_b, FEATS).filter("season = 2023 AND week < 4")
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_lag_by_time_chunks_equals_plain_lag_on_hot_key(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    rng = np.random.default_rng(11)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 != 0  # two thirds of the rows on one key
+        user = 1 if hot else int(rng.integers(2, 40))
+        # seconds spread over ~3 days with gaps and repeated timestamps
+        sec = int(rng.integers(0, 3 * 86400)) // 7 * 7
+        rows.append((i, start + dt.timedelta(seconds=sec), user, float(i)))
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
+    chunked = history.lag_by_time_chunks(df, ["value"], "user_id", "ts", "event_id", chunk_seconds=600)
+    plain = history.lag_columns(df, ["value"], ["user_id"], ["ts", "event_id"], suffix="_prev")
+    a = {r.event_id: r.value_prev for r in chunked.collect()}
+    b = {r.event_id: r.value_prev for r in plain.collect()}
+    assert a == b and len(a) == 3000
+
+
+def test_first_per_key_missing_values_last(spark):
+    df = spark.createDataFrame([("k", None, "a"), ("k", 2.0, "b"), ("k", 1.0, "c"), ("j", None, "d")],
+                               "key string, v double, tag string")
+    got = {r.key: r.tag for r in player.first_per_key(df, ["key"], ["v"]).collect()}
+    assert got == {"k": "c", "j": "d"}
