@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from huddle.operators import scaling, split
 from huddle.schemas import FEATURE_COLS
-from huddle.session import ensure_checkpoint_dir
+from huddle.session import ensure_checkpoint_dir, materialize
 
 KEY_COLS = ["season", "week", "game_id", "home_team", "away_team"]
 BINARY_COLS = ["is_division_game", "is_early_season"]
@@ -92,8 +92,7 @@ def prepare_features(
     assembled = VectorAssembler(inputCols=names, outputCol="features").transform(df)
     # learners pass over their input many times: materialise it once in the
     # shared checkpoint folder instead of recomputing the matchup plan
-    ensure_checkpoint_dir(df.sparkSession)
-    return Prepared(assembled.checkpoint(), names, scaler)
+    return Prepared(materialize(assembled, "features"), names, scaler)
 
 
 def gbt(setting: dict, seed: int = 42, features: str = "features", label: str = "label") -> GBTRegressor:
@@ -256,8 +255,7 @@ def one_feature_sweep(train: DataFrame, test: DataFrame, seed: int = 42, sizes:
         "xgbr": GBTRegressor(featuresCol="features", labelCol="label", maxIter=sizes["xgbr_rounds"], maxDepth=6,
                              stepSize=0.3, seed=seed),
     }
-    ensure_checkpoint_dir(train.sparkSession)
-    train = train.select("features", "label").checkpoint()
+    train = materialize(train.select("features", "label"), "sweep-train")
     ev = RegressionEvaluator(metricName="mse", labelCol="label")
     rows = []
     for name, est in learners.items():

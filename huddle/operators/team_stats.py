@@ -185,3 +185,87 @@ def schedule_rows(
 ) -> DataFrame:
     """Distinct game rows carried on every play."""
     return plays.select(*columns).distinct()
+
+
+# ------------------------------------------------------- pair-level rollup
+# Decomposable per-play measures kept at pair level: (name, aggregate, input).
+PAIR_AGGS = [
+    ("passing_yards", "sum", "passing_yards"),
+    ("rushing_yards", "sum", "rushing_yards"),
+    ("interception", "sum", "interception"),
+    ("fumble_lost", "sum", "fumble_lost"),
+    ("posteam_score_post", "max", "posteam_score_post"),
+    ("epa", "sum", "epa"),
+]
+
+
+def pair_week_stats(
+    plays: DataFrame,
+    keys: Sequence[str] = ("season", "week"),
+    offense: str = "posteam",
+    defense: str = "defteam",
+) -> DataFrame:
+    """One row per (keys, offence, defence): the plays rolled up with
+    decomposable aggregates (sums stay NULL when every value is missing,
+    so later levels can apply the 0 rule once).
+
+    This is the only pass over the play rows a whole pipeline needs: team
+    statistics, games and every history feature derive from it.  Its size
+    is teams^2 x weeks, independent of the number of plays, so it is the
+    natural table to checkpoint and share between branches (column pruning
+    otherwise gives each branch its own scan of the plays).
+    """
+    rush, pas = F.col("rush_attempt") == 1, F.col("pass_attempt") == 1
+    return plays.filter(F.col(offense).isNotNull()).groupBy(*keys, offense, defense).agg(
+        F.count(F.lit(1)).alias("plays"),
+        *[(F.sum(src) if kind == "sum" else F.max(src)).alias(name) for name, kind, src in PAIR_AGGS],
+        F.sum(F.when(rush, F.col("epa"))).alias("rush_epa_cond"),
+        F.sum(F.when(pas, F.col("epa"))).alias("pass_epa_cond"),
+    )
+
+
+def team_week_from_pairs(
+    pairs: DataFrame,
+    keys: Sequence[str] = ("season", "week"),
+    offense: str = "posteam",
+    defense: str = "defteam",
+    team_col: str = "team",
+) -> DataFrame:
+    """:func:`team_week_stats` computed from :func:`pair_week_stats` rows
+    (the same values: sums of sums, max of maxes, counts of counts)."""
+    sides = F.array(
+        F.struct(F.col(offense).alias(team_col), F.lit(True).alias(_SIDE)),
+        F.struct(F.col(defense).alias(team_col), F.lit(False).alias(_SIDE)),
+    )
+    measures = ["plays", *[name for name, _, _ in PAIR_AGGS]]
+    on_off = F.col(_SIDE)
+    o = lambda c: F.when(on_off, F.col(c))
+    d = lambda c: F.when(~on_off, F.col(c))
+
+    def s(c):
+        return F.coalesce(F.sum(c), F.lit(0.0))
+
+    stats = (
+        pairs.select(*keys, *measures, F.inline(sides))
+        .filter(F.col(team_col).isNotNull())
+        .groupBy(*keys, team_col)
+        .agg(
+            F.sum(o("plays")).alias("_n_off"),
+            F.sum(d("plays")).alias("_n_def"),
+            s(o("passing_yards")).alias("passing_yards"),
+            s(o("rushing_yards")).alias("rushing_yards"),
+            s(o("interception")).alias("interceptions"),
+            s(o("fumble_lost")).alias("fumbles"),
+            F.max(o("posteam_score_post")).alias("points_scored"),
+            s(o("epa")).alias("epa_total"),
+            s(o("epa")).alias("rush_epa"),
+            s(o("epa")).alias("pass_epa"),
+            s(d("interception")).alias("interceptions_def"),
+            s(d("fumble_lost")).alias("fumbles_forced"),
+            F.max(d("posteam_score_post")).alias("points_allowed"),
+            s(d("epa")).alias("epa_allowed"),
+        )
+        .filter((F.col("_n_off") > 0) & (F.col("_n_def") > 0))
+        .drop("_n_off", "_n_def")
+    )
+    return stats.withColumn("turnover_margin", turnover_margin())

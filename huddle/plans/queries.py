@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from huddle.operators import team_stats
 from huddle.plans import standins
+from huddle.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -77,8 +78,15 @@ from huddle.operators import history, matchup  # noqa: E402
 from huddle.schemas import FEATURE_COLS  # noqa: E402
 
 
-def _tws(spark, root):
-    return team_stats.team_week_stats(standins.plays(spark, root))
+def _pairs(spark, root):
+    """Plays rolled up to (season, week, offence, defence) -- one scan of the
+    plays -- and checkpointed: every branch of a pipeline reads this small
+    table instead of scanning the plays again."""
+    return materialize(team_stats.pair_week_stats(standins.plays(spark, root)), "pairs")
+
+
+def _tws(spark, root, pairs=None):
+    return team_stats.team_week_from_pairs(pairs if pairs is not None else _pairs(spark, root))
 
 
 @query("prior_season_means")
@@ -113,10 +121,10 @@ def q_blended_features_prior_fill(spark, root):
 
 
 def _matchups(spark, root):
-    plays = standins.plays(spark, root)
-    tws = team_stats.team_week_stats(plays)
+    pairs = _pairs(spark, root)
+    tws = _tws(spark, root, pairs)
     blended = history.blend_with_prior(tws, history.prior_season_means(tws))
-    return matchup.matchup_dataset(standins.games(plays), blended)
+    return matchup.matchup_dataset(standins.games_from_pairs(pairs), blended)
 
 
 @query("matchup_dataset")
@@ -131,7 +139,7 @@ from huddle.functions.columns import safe_divide  # noqa: E402
 
 
 def _lines(spark, root):
-    return standins.game_lines(standins.games(standins.plays(spark, root)))
+    return standins.game_lines(standins.games_from_pairs(_pairs(spark, root)))
 
 
 def _evaluated(spark, root):
@@ -191,7 +199,7 @@ CONTINUOUS = ["week_number", *[f"{f}_delta" for f in FEATURE_COLS]]
 
 @query("standardised_features")
 def q_standardised_features(spark, root):
-    m = _matchups(spark, root).select(
+    m = materialize(_matchups(spark, root), "matchups").select(
         "season", "game_id", *CONTINUOUS, "is_early_season",
         F.col("is_division_game").cast("int").alias("is_division_game"), "actual_spread",
     )
@@ -218,11 +226,15 @@ def q_fold_buckets(spark, root):
 
 @query("season_split")
 def q_season_split(spark, root):
-    m = _matchups(spark, root)
-    last = m.agg(F.max("season")).scalar()
-    return m.groupBy("season", split.season_split_label(last).alias("split")).agg(
-        F.count("*").alias("n_games"), F.sum("actual_spread").alias("sum_spread")
-    )
+    """Per season: its role with the last season held out.  Aggregated per
+    season first, so the comparison with the last season runs on one row
+    per season (a window over that tiny table, not over the games)."""
+    from pyspark.sql import Window
+
+    per_season = _matchups(spark, root).groupBy("season").agg(
+        F.count("*").alias("n_games"), F.sum("actual_spread").alias("sum_spread"))
+    last = F.max("season").over(Window.partitionBy())
+    return per_season.select("season", split.season_split_label(last).alias("split"), "n_games", "sum_spread")
 
 
 # ------------------------------------------------ positions, lookups, pivot
@@ -311,10 +323,8 @@ def _regressor_mse(spark, root):
     coefficients in one pass, MSE per regressor in one aggregate."""
     xy = _xy(spark, root)
     train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
-    models = regression.fit_models(train, "x", "y", [k for k in REGRESSORS if k != "mean"])
-    mean_y = train.agg(F.avg("y")).first()[0]
-    preds = [F.struct(F.lit(k).alias("regressor"), models[k].predict(F.col("x")).alias("p")) for k in models]
-    preds.append(F.struct(F.lit("mean").alias("regressor"), F.lit(mean_y).cast("double").alias("p")))
+    models = regression.fit_models(train, "x", "y", REGRESSORS)
+    preds = [F.struct(F.lit(k).alias("regressor"), models[k].predict(F.col("x")).alias("p")) for k in REGRESSORS]
     long = test.select(F.col("y").cast("double").alias("y"), F.inline(F.array(*preds)))
     err = F.col("p") - F.col("y")
     return long.groupBy("regressor").agg(F.count(err).alias("n"), F.avg(err * err).alias("mse"))
@@ -391,10 +401,7 @@ from huddle.operators import models  # noqa: E402
 def _prepared(spark, root):
     # the matchup frame feeds three passes (last season, scaler, features):
     # compute it once into the shared checkpoint folder
-    from huddle.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    m = _matchups(spark, root).checkpoint()
+    m = materialize(_matchups(spark, root), "matchups")
     last = m.agg(F.max("season")).first()[0]
     return models.prepare_features(m), last
 

@@ -126,3 +126,22 @@ def player_days(spark: SparkSession, root: str) -> DataFrame:
         s("error").alias("receiving_fumbles"),
         F.coalesce(F.sum(cents), F.lit(0)).cast("double").alias("fantasy_points_ppr"),
     )
+
+
+def games_from_pairs(pairs: DataFrame) -> DataFrame:
+    """:func:`games` computed from pair-level rows (yards moved by each side
+    are the sums of its passing and rushing yards)."""
+    p = pairs.filter(F.col("defteam").isNotNull())
+    home = F.least("posteam", "defteam")
+    away = F.greatest("posteam", "defteam")
+    yards = F.coalesce(F.col("passing_yards"), F.lit(0.0)) + F.coalesce(F.col("rushing_yards"), F.lit(0.0))
+    on_home = F.col("posteam") == F.col("home_team")
+    g = p.select("season", "week", home.alias("home_team"), away.alias("away_team"), "posteam", yards.alias("_yards"))
+    return g.groupBy("season", "week", "home_team", "away_team").agg(
+        F.coalesce(F.sum(F.when(on_home, F.col("_yards"))), F.lit(0.0)).cast("int").alias("home_score"),
+        F.coalesce(F.sum(F.when(~on_home, F.col("_yards"))), F.lit(0.0)).cast("int").alias("away_score"),
+    ).select(
+        "season", "week",
+        F.concat_ws("_", F.col("season").cast("string"), F.col("week").cast("string"), "home_team", "away_team").alias("game_id"),
+        "home_team", "away_team", "home_score", "away_score",
+    )

@@ -82,3 +82,21 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, f"{name}.parquet")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    return a DataFrame reading it back.
+
+    This cuts the lineage like ``checkpoint()`` but computes the input once
+    (a reliable checkpoint of an unpersisted frame computes it twice) and
+    keeps a columnar copy, so each consumer reads only the columns it
+    needs.  The written files live on the shared storage the cluster names,
+    so they survive the loss of any executor.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_path(spark, "huddle-tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
