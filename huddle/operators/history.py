@@ -222,3 +222,58 @@ def lag_by_time_chunks(
         *df.columns, *[F.col("_carry")[c].alias(c + suffix) for c in columns])
     rest = inner.filter(F.col("_rn") > 1).select(*df.columns, *[c + suffix for c in columns])
     return firsts.unionByName(rest)
+
+
+def rolling_mean_by_time_chunks(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    ts: str,
+    tie_break: str,
+    window: int = 3,
+    chunk_seconds: int = 3600,
+    suffix: str = "_last{n}",
+) -> DataFrame:
+    """:func:`rolling_mean_before` (mean of the previous ``window`` rows,
+    NULL unless all exist and are non-missing) per ``key`` in (``ts``,
+    ``tie_break``) order, for raw rows where one key may hold a large share
+    of the data.
+
+    Rows are windowed per (key, time chunk), collecting at most ``window``
+    predecessors each.  A chunk's first rows complete their window from a
+    halo: the last ``window`` rows of the key's previous non-empty chunks,
+    built from each chunk's tail (a row-number limit Spark applies before
+    the shuffle) and a window over one row per chunk.  Every task holds one
+    chunk of one key; nothing per key grows with the data volume.
+    """
+    n = window
+    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("long")
+    base = df.withColumn("_chunk", chunk)
+    vals = F.struct(*[F.col(c).alias(c) for c in columns])
+    w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
+    inner = base.select("*", F.collect_list(vals).over(w_in.rowsBetween(-n, -1)).alias("_prev"))
+
+    w_desc = Window.partitionBy(key, "_chunk").orderBy(F.col(ts).desc(), F.col(tie_break).desc())
+    tail_rows = base.select(key, "_chunk", F.struct(F.col(ts), F.col(tie_break), vals.alias("v")).alias("_e"),
+                            F.row_number().over(w_desc).alias("_r")).filter(F.col("_r") <= n)
+    tails = tail_rows.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list("_e")).alias("_tail"))
+    w_chunks = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-n, -1)
+    halo = tails.select(
+        key, "_chunk",
+        F.transform(F.flatten(F.collect_list("_tail").over(w_chunks)), lambda e: e["v"]).alias("_halo"),
+    )
+    joined = inner.join(halo, [key, "_chunk"], "left")
+    element = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns)
+    no_halo = F.array().cast(f"array<struct<{element}>>")
+    seq = F.concat(F.coalesce(F.col("_halo"), no_halo), F.col("_prev"))
+    last_n = F.when(F.size(seq) >= n, F.slice(seq, -n, n))
+    def field(name: str):
+        return lambda e: e[name].cast("double")
+
+    outs = []
+    for c in columns:
+        v = F.transform(last_n, field(c))
+        total = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
+        ok = (F.size(v) == n) & ~F.exists(v, lambda x: x.isNull())
+        outs.append(F.when(ok, total / F.lit(float(n))).alias(c + suffix.format(n=n)))
+    return joined.select(*df.columns, *outs)

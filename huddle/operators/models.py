@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from huddle.operators import scaling, split
 from huddle.schemas import FEATURE_COLS
-from huddle.session import ensure_checkpoint_dir, materialize
+from huddle.session import materialize
 
 KEY_COLS = ["season", "week", "game_id", "home_team", "away_team"]
 BINARY_COLS = ["is_division_game", "is_early_season"]
@@ -177,12 +177,11 @@ def adaboost_r2(
     """AdaBoost.R2 (linear loss) with depth-3 regression trees.  Sample
     weights go to the tree learner (``weightCol``) instead of driving a
     resample.  Each round is one distributed fit and one aggregate; the
-    re-weighted frame is checkpointed so the lineage does not grow with the
-    number of rounds."""
-    ensure_checkpoint_dir(train.sparkSession)
+    re-weighted frame is written to the shared checkpoint folder each round,
+    so the lineage does not grow with the number of rounds."""
     df = train.select(features, label)
     n = df.count()
-    df = df.withColumn("_w", F.lit(1.0 / n)).checkpoint()
+    df = materialize(df.withColumn("_w", F.lit(1.0 / n)), "adaboost")
     learners, alphas = [], []
     for round_no in range(n_estimators):
         tree = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth).fit(df)
@@ -211,7 +210,7 @@ def adaboost_r2(
         new_w = F.col("_w") * F.pow(F.lit(beta), (1.0 - F.col("_loss")) * learning_rate)
         reweighted = scored.select(features, label, new_w.alias("_w"))
         total = reweighted.agg(F.sum("_w")).first()[0]
-        df = reweighted.withColumn("_w", F.col("_w") / F.lit(total)).checkpoint()
+        df = materialize(reweighted.withColumn("_w", F.col("_w") / F.lit(total)), "adaboost")
     return AdaBoostModel(learners, alphas)
 
 

@@ -5,7 +5,7 @@ task.  Here the data is range-partitioned on the sort key (sampled bounds,
 so one hot value is split across tasks), sorted inside each partition, and
 scanned once per partition; one row per partition of counts gives the
 offsets that turn local positions into global ones.  The scanned frame is
-checkpointed to the session's shared checkpoint folder so both uses of it
+written once to the session's shared checkpoint folder so both uses of it
 (the counts and the final rows) see the same partitioning, also after an
 executor is lost and tasks are recomputed.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from huddle.session import ensure_checkpoint_dir
+from huddle.session import ensure_checkpoint_dir, materialize
 
 
 def _local_scan(flag_col: str):
@@ -58,7 +58,7 @@ def global_positions(
         ordered.schema.fields
         + [T.StructField("_local_idx", T.LongType()), T.StructField("_local_before", T.LongType())]
     )
-    scanned = ordered.mapInPandas(_local_scan(flag), schema).checkpoint()
+    scanned = materialize(ordered.mapInPandas(_local_scan(flag), schema), "positions")
     # one row per partition: a window over it is bounded by the partition count
     totals = scanned.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum(flag).alias("_nf"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

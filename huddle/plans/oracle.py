@@ -513,3 +513,7 @@ SELECT season, week, team, feature, round(prior, 6) AS prior, round(rolling, 6)
        round(wp, 6) AS weight_prior, round(1 - wp, 6) AS weight_current,
        round(wp * prior + (1 - wp) * rolling, 6) AS blended
 FROM ({_trace_rows})"""
+ORACLE["rolling_event_values"] = """
+SELECT event_id, user_id, ts, value,
+       round(CASE WHEN count(value) OVER w = 3 THEN avg(value) OVER w END, 6) AS value_last3
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)"""

@@ -450,3 +450,11 @@ def q_tree_regressor_mse(spark, root):
 def q_blend_trace(spark, root):
     tws = _tws(spark, root)
     return rounded(history.blend_trace(tws, history.prior_season_means(tws), "7", (1, 2, 3)))
+
+
+@query("rolling_event_values")
+def q_rolling_event_values(spark, root):
+    """Mean of each user's previous 3 event values over the raw events
+    (skew-safe: windows per user and hour, completed from a halo)."""
+    ev = read_table(spark, root, "events").select("event_id", "user_id", "ts", "value")
+    return rounded(history.rolling_mean_by_time_chunks(ev, ["value"], "user_id", "ts", "event_id", window=3))

@@ -148,3 +148,28 @@ def test_first_per_key_missing_values_last(spark):
                                "key string, v double, tag string")
     got = {r.key: r.tag for r in player.first_per_key(df, ["key"], ["v"]).collect()}
     assert got == {"k": "c", "j": "d"}
+
+
+def test_rolling_by_time_chunks_equals_plain_rolling_on_hot_key(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    start = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(2500):
+        user = 1 if i % 3 else int(rng.integers(2, 30))
+        sec = int(rng.integers(0, 2 * 86400)) // 11 * 11
+        value = None if rng.random() < 0.03 else float(rng.integers(0, 1000))
+        rows.append((i, start + dt.timedelta(seconds=sec), user, value))
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
+    for n in (1, 3, 5):
+        chunked = history.rolling_mean_by_time_chunks(df, ["value"], "user_id", "ts", "event_id", window=n, chunk_seconds=900)
+        plain = history.rolling_mean_before(df, ["value"], ["user_id"], ["ts", "event_id"], n)
+        col = f"value_last{n}"
+        a = {r.event_id: r[col] for r in chunked.collect()}
+        b = {r.event_id: r[col] for r in plain.collect()}
+        assert a.keys() == b.keys()
+        assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a), n
+        assert sum(v is not None for v in a.values()) > 1000
