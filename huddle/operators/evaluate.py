@@ -107,3 +107,26 @@ def regression_metrics(
         F.sqrt(sq).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
     )
+
+
+def evaluate_files(
+    spark,
+    predictions_path: str,
+    games_path: str,
+    output_path: str,
+    season: int,
+) -> DataFrame:
+    """Read predictions and games CSVs (declared schemas), evaluate one
+    season's predictions against its lines, write the evaluated rows as CSV
+    to ``output_path`` (never over an input) and return the summary row."""
+    from huddle import schemas
+    from huddle.sinks.files import write_csv
+    from huddle.sources.files import read_csv
+
+    if output_path.rstrip("/") in (predictions_path.rstrip("/"), games_path.rstrip("/")):
+        raise ValueError("output_path must differ from the inputs")
+    preds = read_csv(spark, predictions_path, schemas.PREDICTIONS)
+    games = read_csv(spark, games_path, schemas.GAMES)
+    evaluated = evaluate_against_line(preds, games, season=season)
+    write_csv(evaluated, output_path)
+    return accuracy_summary(spark.read.schema(evaluated.schema).option("header", True).csv(output_path))

@@ -59,3 +59,34 @@ def matchup_dataset(
     if keep_side_features:
         out += [f"{s}_{f}" for s in ("home", "away") for f in features]
     return m.select(*out)
+
+
+def matchups_from_plays(
+    plays: DataFrame,
+    schedule: DataFrame | None = None,
+    features: Sequence[str] = FEATURE_COLS,
+    prior_lag: int = 2,
+    early_weeks: int = 3,
+    prior_only_when_no_history: bool = False,
+    division_of: DataFrame | None = None,
+) -> DataFrame:
+    """The whole play-by-play -> matchup pipeline over every season at once.
+
+    The plays are scanned once: rolled up to (season, week, offence,
+    defence) and written to the shared checkpoint folder; team-week stats,
+    prior-season means, the blend and (without an explicit ``schedule``) the
+    distinct schedule rows all read that small table or the single schedule
+    projection of the plays.
+    """
+    from huddle.operators import history, team_stats
+    from huddle.session import materialize
+
+    pairs = materialize(team_stats.pair_week_stats(plays), "pairs")
+    tws = team_stats.team_week_from_pairs(pairs)
+    prior = history.prior_season_means(tws, features, lag=prior_lag)
+    blended = history.blend_with_prior(
+        tws, prior, features, early_weeks=early_weeks, prior_only_when_no_history=prior_only_when_no_history
+    )
+    if schedule is None:
+        schedule = team_stats.schedule_rows(plays)
+    return matchup_dataset(schedule, blended, features, early_weeks=early_weeks, division_of=division_of)

@@ -99,3 +99,30 @@ def lookup_first(
         cond = c if cond is None else (cond & c)
     joined = left.join(renamed, cond, "left")
     return joined.drop(*[f"_lk{i}" for i in range(len(right_keys))])
+
+
+def player_opponent_dataset(
+    offense: DataFrame,
+    defense: DataFrame,
+    name_map: DataFrame | Mapping[str, str],
+    position: str = "QB",
+    players: Sequence[str] | None = None,
+    seasons: Sequence[int] | None = None,
+    value_template: str = "{p} FantPt",
+) -> DataFrame:
+    """Each player-week with the points its opponent allowed to
+    ``position`` that season: player rows (optionally a few players and
+    seasons -- filters that reach the scan), the defence table's full team
+    names mapped to abbreviations, and a first-match lookup on (opponent,
+    season).  Generalised from one player to all of them."""
+    rows = offense
+    if players is not None:
+        rows = rows.filter(F.col("player_display_name").isin(list(players)))
+    if seasons is not None:
+        rows = rows.filter(F.col("season").isin(list(seasons)))
+    rows = rows.select("player_id", "player_display_name", "position", "season", "recent_team", "week",
+                       "opponent_team", "fantasy_points_ppr")
+    value = value_template.format(p=position)
+    mapped = map_values(defense, "Tm", name_map)
+    return lookup_first(rows, mapped, ["opponent_team", "season"], ["Tm", "Season"], value,
+                        f"{position}_FantPt_Allowed", order=[value])

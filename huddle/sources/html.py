@@ -98,3 +98,19 @@ def position_table(
         F.col(position).alias("position"),
         F.try_element_at("cells", val_pos + 1).try_cast("double").alias("value"),
     )
+
+
+def defense_points_table(
+    pages: DataFrame,
+    positions: Sequence[str] = ("RB", "TE", "WR", "QB"),
+    season: str = "season",
+    position: str = "position",
+) -> DataFrame:
+    """(Tm, Season, '<pos> FantPt' for each position) from one page per
+    (season, position): the per-game points column of every page, one row
+    per team and season.  A team missing from one position's page gets NULL
+    there (the outer merge of the per-position tables, as one pivot)."""
+    from huddle.operators.tables import pivot_positions
+
+    rows = position_table(pages, season=season, position=position)
+    return pivot_positions(rows, ["Tm", "Season"], "position", "value", list(positions), name="{p} FantPt")
