@@ -14,7 +14,6 @@ variance of x and cov = population covariance of x and y:
 * ``en``      (1/2n)|r|^2 + a*l1|w| + a(1-l1)/2 w^2
                                             slope = soft(cov, a*l1) / (var + a(1-l1))
 * ``ridge``   |r|^2 + a w^2                 slope = cov / (var + a/n)
-* ``mean``    constant predictor            slope = 0
 
 and intercept = mean(y) - slope * mean(x).  Zero variance gives a NULL
 slope for ``lr`` and a zero slope where the penalty makes it defined.
@@ -89,8 +88,6 @@ def slope_expr(kind: str, alpha: float = 1.0, l1_ratio: float = 0.5) -> Column:
         return soft_threshold(cov, alpha * l1_ratio) / (var + F.lit(alpha * (1 - l1_ratio)))
     if kind == "ridge":
         return cov / (var + F.lit(alpha) / n)
-    if kind == "mean":  # constant predictor: the mean label
-        return F.lit(0.0)
     raise ValueError(kind)
 
 

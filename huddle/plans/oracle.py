@@ -408,11 +408,8 @@ for _name, _kind in (("linear_fit", "lr"), ("lasso_fit", "lasso"), ("ridge_fit",
     )
 
 _mse_parts = "\nUNION ALL\n".join(
-    [
-        f"SELECT '{k}' AS regressor, CAST(t.y AS DOUBLE) AS y, (s.mean_y - ({SLOPES[k]}) * s.mean_x) + ({SLOPES[k]}) * t.x AS p "
-        f"FROM test t, st s" for k in ("lr", "lasso", "ridge", "en")
-    ]
-    + ["SELECT 'mean', CAST(t.y AS DOUBLE), s.mean_y FROM test t, st s"]
+    f"SELECT '{k}' AS regressor, CAST(t.y AS DOUBLE) AS y, (s.mean_y - ({SLOPES[k]}) * s.mean_x) + ({SLOPES[k]}) * t.x AS p "
+    f"FROM test t, st s" for k in ("lr", "en", "lasso", "ridge")
 )
 REGRESSOR_MSE_CTE = f"""
 mse AS (
@@ -434,7 +431,7 @@ ORACLE["fixed_width_report"] = _MSE + """
 SELECT 0 AS line_no, rpad('Regressor', 20, ' ') || ' ' || rpad('MSE', 20, ' ') AS line
 UNION ALL SELECT 1, repeat('=', 60)
 UNION ALL
-SELECT CAST(list_position(['lr', 'lasso', 'ridge', 'en', 'mean'], regressor) + 2 AS INTEGER),
+SELECT CAST(list_position(['lr', 'en', 'lasso', 'ridge'], regressor) + 2 AS INTEGER),
        CASE WHEN length(regressor) >= 20 THEN regressor ELSE rpad(regressor, 20, ' ') END || ' ' ||
        CASE WHEN length(printf('%.5f', mse)) >= 20 THEN printf('%.5f', mse) ELSE rpad(printf('%.5f', mse), 20, ' ') END
 FROM mse"""
