@@ -186,6 +186,24 @@ def blend_trace(
     )
 
 
+def _chunk_of(df: DataFrame, ts: str, chunk_seconds: int) -> Column:
+    """Chunk number of each row, non-decreasing in ``ts`` order.
+
+    A wall-clock timestamp (``timestamp_ntz``) is converted without any time
+    zone (a session zone would make the mapping jump backwards across a
+    daylight-saving gap); an instant (``timestamp``) uses its epoch value.
+    """
+    from pyspark.sql import types as T
+
+    dtype = df.schema[ts].dataType
+    if isinstance(dtype, T.TimestampNTZType):
+        c = F.col(ts)
+        seconds = (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
+                   + F.minute(c) * 60 + F.second(c))
+        return F.floor(seconds / F.lit(chunk_seconds)).cast("long")
+    return F.floor(F.unix_micros(F.col(ts)) / F.lit(chunk_seconds * 1_000_000)).cast("long")
+
+
 def lag_by_time_chunks(
     df: DataFrame,
     columns: Sequence[str],
@@ -207,8 +225,7 @@ def lag_by_time_chunks(
     row per chunk per task) and a window over the summary, whose size per
     key is the number of chunks -- bounded by time span, not by volume.
     """
-    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("long")
-    base = df.withColumn("_chunk", chunk)
+    base = df.withColumn("_chunk", _chunk_of(df, ts, chunk_seconds))
     order = F.struct(F.col(ts), F.col(tie_break))
     w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
     inner = base.select("*", F.row_number().over(w_in).alias("_rn"),
@@ -247,8 +264,7 @@ def rolling_mean_by_time_chunks(
     chunk of one key; nothing per key grows with the data volume.
     """
     n = window
-    chunk = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("long")
-    base = df.withColumn("_chunk", chunk)
+    base = df.withColumn("_chunk", _chunk_of(df, ts, chunk_seconds))
     vals = F.struct(*[F.col(c).alias(c) for c in columns])
     w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
     inner = base.select("*", F.collect_list(vals).over(w_in.rowsBetween(-n, -1)).alias("_prev"))

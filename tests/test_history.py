@@ -173,3 +173,18 @@ def test_rolling_by_time_chunks_equals_plain_rolling_on_hot_key(spark):
         assert a.keys() == b.keys()
         assert all((a[k] is None and b[k] is None) or abs(a[k] - b[k]) < 1e-9 for k in a), n
         assert sum(v is not None for v in a.values()) > 1000
+
+
+def test_chunks_follow_wall_clock_across_dst_gap(spark):
+    import datetime as dt
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = dt.datetime(2024, 3, 10, 1, 0)  # clocks jump from 02:00 to 03:00 that night
+        rows = [(i, base + dt.timedelta(minutes=20 * i), 1, float(i)) for i in range(12)]
+        df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
+        got = {r.event_id: r.value_prev for r in
+               history.lag_by_time_chunks(df, ["value"], "user_id", "ts", "event_id", chunk_seconds=3600).collect()}
+        assert got == {i: (None if i == 0 else float(i - 1)) for i in range(12)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
