@@ -174,25 +174,28 @@ def adaboost_r2(
     learning_rate: float = 1.0,
     max_depth: int = 3,
 ):
-    """AdaBoost.R2 (linear loss) with depth-3 regression trees.  Sample
-    weights go to the tree learner (``weightCol``) instead of driving a
-    resample.  Each round is one distributed fit and one aggregate; the
-    re-weighted frame is written to the shared checkpoint folder each round,
-    so the lineage does not grow with the number of rounds."""
-    df = train.select(features, label)
-    n = df.count()
-    df = materialize(df.withColumn("_w", F.lit(1.0 / n)), "adaboost")
+    """AdaBoost.R2 (linear loss) with depth-3 regression trees.
+
+    Sample weights go to the tree learner (``weightCol``) instead of
+    driving a resample.  Tree splits and the weighted average loss do not
+    depend on the scale of the weights, so they are never renormalised, and
+    each round costs one distributed fit plus one aggregate (max error,
+    sum of w*err, sum of w).  The re-weighted frame is written to the shared
+    checkpoint folder each round, so the lineage does not grow with the
+    number of rounds."""
+    df = materialize(train.select(features, label).withColumn("_w", F.lit(1.0)), "adaboost")
     learners, alphas = [], []
     for round_no in range(n_estimators):
         tree = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth).fit(df)
         scored = tree.transform(df).withColumn("_err", F.abs(F.col("prediction") - F.col(label)))
-        max_err = scored.agg(F.max("_err")).first()[0]
+        stats = scored.agg(F.max("_err").alias("m"), F.sum(F.col("_w") * F.col("_err")).alias("we"),
+                           F.sum("_w").alias("w")).first()
+        max_err = stats["m"]
         if not max_err:  # perfect fit
             learners.append(tree)
             alphas.append(1.0)
             break
-        scored = scored.withColumn("_loss", F.col("_err") / F.lit(max_err))
-        avg_loss = scored.agg(F.sum(F.col("_w") * F.col("_loss")) / F.sum("_w")).first()[0]
+        avg_loss = stats["we"] / max_err / stats["w"]
         if avg_loss <= 0:
             learners.append(tree)
             alphas.append(1.0)
@@ -207,10 +210,9 @@ def adaboost_r2(
         alphas.append(learning_rate * math.log(1.0 / beta))
         if round_no == n_estimators - 1:
             break
-        new_w = F.col("_w") * F.pow(F.lit(beta), (1.0 - F.col("_loss")) * learning_rate)
-        reweighted = scored.select(features, label, new_w.alias("_w"))
-        total = reweighted.agg(F.sum("_w")).first()[0]
-        df = materialize(reweighted.withColumn("_w", F.col("_w") / F.lit(total)), "adaboost")
+        loss = F.col("_err") / F.lit(max_err)
+        new_w = F.col("_w") * F.pow(F.lit(beta), (1.0 - loss) * learning_rate)
+        df = materialize(scored.select(features, label, new_w.alias("_w")), "adaboost")
     return AdaBoostModel(learners, alphas)
 
 
