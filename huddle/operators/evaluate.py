@@ -90,7 +90,8 @@ def regression_metrics(
     name_col: str = "predictor",
 ) -> DataFrame:
     """MSE, RMSE and MAE of several prediction columns against one label,
-    in a single pass: predictions are unpivoted to (predictor, value) and
+    plus the label's range (the limits of a predicted-vs-actual plot), in a
+    single pass: predictions are unpivoted to (predictor, value) and
     aggregated per predictor (and optional groups)."""
     long = df.select(
         *group_by,
@@ -106,6 +107,8 @@ def regression_metrics(
         sq.alias("mse"),
         F.sqrt(sq).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
+        F.min("_y").alias("y_min"),
+        F.max("_y").alias("y_max"),
     )
 
 

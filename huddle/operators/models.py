@@ -149,6 +149,15 @@ def cross_validate(
     return model.bestModel, scores
 
 
+def best_setting(scores: DataFrame, metric: str = "mean_rmse") -> DataFrame:
+    """The grid row with the lowest mean score (ties: lowest setting id),
+    as one aggregate."""
+    cols = [c for c in scores.columns if c != metric]
+    best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(F.col(metric), F.col("setting")))
+    return scores.agg(best.alias("_b"), F.min(metric).alias(metric)).select(
+        *[F.col("_b")[c].alias(c) for c in cols], metric)
+
+
 def train_and_score(
     prepared: Prepared, test_season: int, setting: dict | None = None, seed: int = 42
 ):

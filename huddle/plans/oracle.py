@@ -247,7 +247,8 @@ ORACLE["regression_metrics"] = with_ctes(*_GAMES) + """
   SELECT 'spread_line', CAST(actual_spread AS DOUBLE), spread_line FROM lines
 )
 SELECT predictor, count(p - y) AS n, round(avg((p - y) * (p - y)), 6) AS mse,
-       round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae
+       round(sqrt(avg((p - y) * (p - y))), 6) AS rmse, round(avg(abs(p - y)), 6) AS mae,
+       min(y) AS y_min, max(y) AS y_max
 FROM long GROUP BY predictor"""
 
 # ----------------------------------------------------------- player history

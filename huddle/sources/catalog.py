@@ -46,3 +46,8 @@ def column_profile(df: DataFrame) -> DataFrame:
     return counts.select("_rows", F.inline(entries)).select(
         "ordinal", "name", "type", "non_null", (F.col("_rows") - F.col("non_null")).alias("nulls")
     )
+
+
+def write_column_catalogue(df: DataFrame, path: str) -> None:
+    """One column name per line, in schema order, as a single text file."""
+    column_names(df).orderBy("ordinal").select("name").coalesce(1).write.mode("overwrite").text(path)

@@ -102,3 +102,11 @@ def test_jdbc_round_trip(spark):
                            upper_bound=25, num_partitions=4)
     assert back.rdd.getNumPartitions() == 4
     assert back.filter(F.col("CARRIES") > 10).count() == 14
+
+
+def test_write_column_catalogue(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", 2.0)], "season int, team string, epa double")
+    out = str(tmp_path / "cols")
+    catalog.write_column_catalogue(df, out)
+    text = open([os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")][0]).read().splitlines()
+    assert text == ["season", "team", "epa"]

@@ -60,3 +60,9 @@ def test_adaboost_fits_a_step(spark):
     model = models.adaboost_r2(df, n_estimators=3)
     mse = RegressionEvaluator(metricName="mse", labelCol="label").evaluate(model.transform(df))
     assert mse < 1e-9 and len(model.learners) >= 1
+
+
+def test_best_setting(spark):
+    scores = spark.createDataFrame([(0, 3.0, 2.5), (1, 4.0, 2.0), (2, 5.0, 2.0)], "setting int, max_depth double, mean_rmse double")
+    r = models.best_setting(scores).first()
+    assert (r.setting, r.max_depth, r.mean_rmse) == (1, 4.0, 2.0)
