@@ -199,7 +199,9 @@ CONTINUOUS = ["week_number", *[f"{f}_delta" for f in FEATURE_COLS]]
 
 @query("standardised_features")
 def q_standardised_features(spark, root):
-    m = materialize(_matchups(spark, root), "matchups").select(
+    # fit and transform both read the matchup plan; it starts from the
+    # materialised pair rollup, so recomputing it is cheap
+    m = _matchups(spark, root).select(
         "season", "game_id", *CONTINUOUS, "is_early_season",
         F.col("is_division_game").cast("int").alias("is_division_game"), "actual_spread",
     )

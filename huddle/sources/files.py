@@ -18,7 +18,7 @@ from huddle import schemas
 from huddle.functions.columns import nan_to_null
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -27,13 +27,16 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     The DataFrame is memoised per session and path: building it lists the
     files and reads the footer on the driver, which is worth doing once.
     DataFrames are immutable, so sharing one is safe; the cache holds plans,
-    not data.
+    not data.  The entry keeps its session, so a new session can never be
+    handed a frame of a stopped one.
     """
     path = os.path.join(root, f"{name}.parquet")
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
+    key = (id(spark), path)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[key] = (spark, df)
     return df
 
 
