@@ -204,6 +204,20 @@ def _chunk_of(df: DataFrame, ts: str, chunk_seconds: int) -> Column:
     return F.floor(F.unix_micros(F.col(ts)) / F.lit(chunk_seconds * 1_000_000)).cast("long")
 
 
+def _join_chunk_summary(rows: DataFrame, summary: DataFrame, key: str) -> DataFrame:
+    """Left-join a per-(key, chunk) summary onto the rows with null-safe keys.
+
+    Null-safe equality keeps NULL keys as one group (as a window partition
+    does) and lets the optimizer add no ``isnotnull`` filter to one side
+    only, so both sides keep the same scan and shuffle of the raw rows,
+    which Spark then runs once and reuses.
+    """
+    other = [c for c in summary.columns if c not in (key, "_chunk")]
+    s = summary.select(F.col(key).alias("_sk"), F.col("_chunk").alias("_sc"), *other)
+    cond = F.col(key).eqNullSafe(F.col("_sk")) & F.col("_chunk").eqNullSafe(F.col("_sc"))
+    return rows.join(s, cond, "left").drop("_sk", "_sc")
+
+
 def lag_by_time_chunks(
     df: DataFrame,
     columns: Sequence[str],
@@ -226,19 +240,21 @@ def lag_by_time_chunks(
     key is the number of chunks -- bounded by time span, not by volume.
     """
     base = df.withColumn("_chunk", _chunk_of(df, ts, chunk_seconds))
-    order = F.struct(F.col(ts), F.col(tie_break))
     w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
     inner = base.select("*", F.row_number().over(w_in).alias("_rn"),
                         *[F.lag(c, 1).over(w_in).alias(c + suffix) for c in columns])
-    last = base.groupBy(key, "_chunk").agg(
-        F.max_by(F.struct(*[F.col(c) for c in columns]), order).alias("_last"))
+    # the chunk summary reads the windowed rows (already clustered by key and
+    # chunk, so no second shuffle and no second scan of the raw rows)
+    last = inner.groupBy(key, "_chunk").agg(
+        F.max_by(F.struct(*[F.col(c) for c in columns]), F.col("_rn")).alias("_last"))
     w_chunks = Window.partitionBy(key).orderBy("_chunk")
     carried = last.select(key, "_chunk", F.lag("_last", 1).over(w_chunks).alias("_carry"))
-    firsts = inner.filter(F.col("_rn") == 1).drop(*[c + suffix for c in columns])
-    firsts = firsts.join(carried, [key, "_chunk"], "left").select(
-        *df.columns, *[F.col("_carry")[c].alias(c + suffix) for c in columns])
-    rest = inner.filter(F.col("_rn") > 1).select(*df.columns, *[c + suffix for c in columns])
-    return firsts.unionByName(rest)
+    joined = _join_chunk_summary(inner, carried, key)
+    first = F.col("_rn") == 1
+    return joined.select(
+        *df.columns,
+        *[F.when(first, F.col("_carry")[c]).otherwise(F.col(c + suffix)).alias(c + suffix) for c in columns],
+    )
 
 
 def rolling_mean_by_time_chunks(
@@ -259,8 +275,8 @@ def rolling_mean_by_time_chunks(
     Rows are windowed per (key, time chunk), collecting at most ``window``
     predecessors each.  A chunk's first rows complete their window from a
     halo: the last ``window`` rows of the key's previous non-empty chunks,
-    built from each chunk's tail (a row-number limit Spark applies before
-    the shuffle) and a window over one row per chunk.  Every task holds one
+    built from each chunk's tail (its last row's predecessors plus itself)
+    and a window over one row per chunk.  Every task holds one
     chunk of one key; nothing per key grows with the data volume.
     """
     n = window
@@ -269,20 +285,21 @@ def rolling_mean_by_time_chunks(
     w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
     inner = base.select("*", F.collect_list(vals).over(w_in.rowsBetween(-n, -1)).alias("_prev"))
 
-    w_desc = Window.partitionBy(key, "_chunk").orderBy(F.col(ts).desc(), F.col(tie_break).desc())
-    tail_rows = base.select(key, "_chunk", F.struct(F.col(ts), F.col(tie_break), vals.alias("v")).alias("_e"),
-                            F.row_number().over(w_desc).alias("_r")).filter(F.col("_r") <= n)
-    tails = tail_rows.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list("_e")).alias("_tail"))
+    # a chunk's tail (its last n rows, in order) is its last row's collected
+    # predecessors plus the row itself: derived from the windowed rows, so
+    # the raw rows are scanned and shuffled once
+    inner = inner.withColumn("_rn", F.row_number().over(w_in))
+    upto = F.concat(F.col("_prev"), F.array(vals))
+    tail = F.slice(upto, F.greatest(F.size(upto) - n + 1, F.lit(1)), n)
+    tails = inner.groupBy(key, "_chunk").agg(F.max_by(tail, F.col("_rn")).alias("_tail"))
     w_chunks = Window.partitionBy(key).orderBy("_chunk").rowsBetween(-n, -1)
-    halo = tails.select(
-        key, "_chunk",
-        F.transform(F.flatten(F.collect_list("_tail").over(w_chunks)), lambda e: e["v"]).alias("_halo"),
-    )
-    joined = inner.join(halo, [key, "_chunk"], "left")
+    halo = tails.select(key, "_chunk", F.flatten(F.collect_list("_tail").over(w_chunks)).alias("_halo"))
+    joined = _join_chunk_summary(inner, halo, key)
     element = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns)
     no_halo = F.array().cast(f"array<struct<{element}>>")
     seq = F.concat(F.coalesce(F.col("_halo"), no_halo), F.col("_prev"))
     last_n = F.when(F.size(seq) >= n, F.slice(seq, -n, n))
+
     def field(name: str):
         return lambda e: e[name].cast("double")
 
