@@ -17,16 +17,10 @@ from pyspark.sql import functions as F
 from huddle.operators.ranking import global_positions
 
 
-def knn_neighbours(
-    train: DataFrame, test: DataFrame, x: str, y: str, key: str, k: int = 5
-) -> DataFrame:
-    """(test key, neighbour key, neighbour y, distance, order) for the k
-    nearest training rows of every test row."""
-    tr = train.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
-                      F.col(y).cast("double").alias("_y"), F.lit(0).alias("_side"))
-    te = test.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
-                     F.lit(None).cast("double").alias("_y"), F.lit(1).alias("_side"))
-    both = tr.unionByName(te).withColumn("_is_train", 1 - F.col("_side"))
+def _neighbours(both: DataFrame, k: int) -> DataFrame:
+    """k nearest training rows for every test row of ``both``
+    (_key, _x, _y, _side: 0 train / 1 test)."""
+    both = both.withColumn("_is_train", 1 - F.col("_side"))
     pos = global_positions(both, ["_x", "_side", "_key"], "_is_train", before_col="_train_before")
     ranked_train = pos.filter(F.col("_side") == 0).select(
         F.col("_train_before").alias("_rank"), F.col("_key").alias("n_key"),
@@ -43,9 +37,33 @@ def knn_neighbours(
     return ranked.filter(F.col("nn") <= k)
 
 
+def knn_neighbours(
+    train: DataFrame, test: DataFrame, x: str, y: str, key: str, k: int = 5
+) -> DataFrame:
+    """(test key, neighbour key, neighbour y, distance, order) for the k
+    nearest training rows of every test row."""
+    tr = train.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
+                      F.col(y).cast("double").alias("_y"), F.lit(0).alias("_side"))
+    te = test.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
+                     F.lit(None).cast("double").alias("_y"), F.lit(1).alias("_side"))
+    return _neighbours(tr.unionByName(te), k)
+
+
+def _predict(nb: DataFrame, key: str, x: str) -> DataFrame:
+    return nb.groupBy(F.col("t_key").alias(key)).agg(
+        F.first("t_x").alias(x), F.avg("n_y").alias("prediction"), F.count("*").alias("neighbours"))
+
+
 def knn_regress(train: DataFrame, test: DataFrame, x: str, y: str, key: str, k: int = 5) -> DataFrame:
     """(key, x, prediction): the mean y of the k nearest training rows (of
     all of them if there are fewer than k)."""
-    nb = knn_neighbours(train, test, x, y, key, k)
-    return nb.groupBy(F.col("t_key").alias(key)).agg(
-        F.first("t_x").alias(x), F.avg("n_y").alias("prediction"), F.count("*").alias("neighbours"))
+    return _predict(knn_neighbours(train, test, x, y, key, k), key, x)
+
+
+def knn_regress_split(df: DataFrame, x: str, y: str, key: str, is_test: str, k: int = 5) -> DataFrame:
+    """:func:`knn_regress` for one frame holding both sides (``is_test``
+    true on test rows): one scan of the input instead of one per side."""
+    both = df.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
+                     F.when(~F.col(is_test), F.col(y).cast("double")).alias("_y"),
+                     F.col(is_test).cast("int").alias("_side"))
+    return _predict(_neighbours(both, k), key, x)

@@ -268,11 +268,15 @@ def q_position_pivot(spark, root):
 
 @query("position_full_outer")
 def q_position_full_outer(spark, root):
-    rows = _position_rows(spark, root)
-    frames = [
-        rows.filter(F.col("position") == seg).groupBy("Tm", "Season").agg(F.avg("cents").alias(seg))
-        for seg in SEGMENTS
-    ]
+    """One table per position, merged by a full outer merge (as pages per
+    position would arrive).  The orders are aggregated once per (team,
+    season, position) into a small table that the per-position frames
+    split; filtering the raw rows per position would scan them once per
+    position."""
+    long = materialize(
+        _position_rows(spark, root).groupBy("Tm", "Season", "position").agg(F.avg("cents").alias("value")),
+        "positions")
+    frames = [long.filter(F.col("position") == seg).select("Tm", "Season", F.col("value").alias(seg)) for seg in SEGMENTS]
     return rounded(tables.full_outer_merge(frames, ["Tm", "Season"]))
 
 
@@ -392,9 +396,10 @@ def q_knn_fit(spark, root):
     part = read_table(spark, root, "part").select(
         "p_partkey", F.col("p_size").alias("x"), F.round(F.col("p_retailprice") * 100).cast("bigint").alias("y"),
         split.split_label("p_partkey", 20).alias("split"))
-    train, test = part.filter(F.col("split") == "train"), part.filter(F.col("split") == "test")
-    pred = knn.knn_regress(train, test, "x", "y", "p_partkey", k=5)
-    return rounded(pred.join(test.select("p_partkey", F.col("y").alias("actual")), "p_partkey"))
+    labelled = part.withColumn("is_test", F.col("split") == "test")
+    pred = knn.knn_regress_split(labelled, "x", "y", "p_partkey", "is_test", k=5)
+    actual = labelled.filter("is_test").select("p_partkey", F.col("y").alias("actual"))
+    return rounded(pred.join(actual, "p_partkey"))
 
 
 # ------------------------------------------------------------------- models

@@ -49,3 +49,14 @@ def test_global_positions(spark):
     for r in order:
         assert r.flag_before == before
         before += r.f
+
+
+def test_knn_single_frame_equals_two_frames(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    rows = [(int(i), float(rng.integers(0, 9)), float(rng.integers(0, 50)), bool(i % 4 == 0)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, x double, y double, is_test boolean")
+    a = {r.k: r.prediction for r in knn.knn_regress_split(df, "x", "y", "k", "is_test", 5).collect()}
+    b = {r.k: r.prediction for r in knn.knn_regress(df.filter(~F.col("is_test")), df.filter("is_test"), "x", "y", "k", 5).collect()}
+    assert a == b and len(a) == 50
