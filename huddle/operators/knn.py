@@ -26,14 +26,16 @@ def _neighbours(both: DataFrame, k: int) -> DataFrame:
         F.col("_train_before").alias("_rank"), F.col("_key").alias("n_key"),
         F.col("_x").alias("n_x"), F.col("_y").alias("n_y"))
     probes = pos.filter(F.col("_side") == 1).select(
-        F.col("_key").alias("t_key"), F.col("_x").alias("t_x"), F.col("_train_before").alias("_p"))
+        F.col("_key").alias("t_key"), F.col("_x").alias("t_x"), F.col("_y").alias("t_y"),
+        F.col("_train_before").alias("_p"))
     probes = probes.withColumn("_rank", F.explode(F.sequence(F.col("_p") - k, F.col("_p") + (k - 1))))
     probes = probes.filter(F.col("_rank") >= 0)
     cand = probes.join(ranked_train, "_rank")
     dist = F.abs(F.col("n_x") - F.col("t_x"))
     prox = F.when(F.col("_rank") < F.col("_p"), F.col("_p") - 1 - F.col("_rank")).otherwise(F.col("_rank") - F.col("_p"))
     w = Window.partitionBy("t_key").orderBy(dist, prox, F.col("n_x"), F.col("n_key"))
-    ranked = cand.select("t_key", "t_x", "n_key", "n_y", dist.alias("distance"), F.row_number().over(w).alias("nn"))
+    ranked = cand.select("t_key", "t_x", "t_y", "n_key", "n_y", dist.alias("distance"),
+                         F.row_number().over(w).alias("nn"))
     return ranked.filter(F.col("nn") <= k)
 
 
@@ -49,9 +51,10 @@ def knn_neighbours(
     return _neighbours(tr.unionByName(te), k)
 
 
-def _predict(nb: DataFrame, key: str, x: str) -> DataFrame:
+def _predict(nb: DataFrame, key: str, x: str, with_actual: bool = False) -> DataFrame:
+    extra = [F.first("t_y").alias("actual")] if with_actual else []
     return nb.groupBy(F.col("t_key").alias(key)).agg(
-        F.first("t_x").alias(x), F.avg("n_y").alias("prediction"), F.count("*").alias("neighbours"))
+        F.first("t_x").alias(x), F.avg("n_y").alias("prediction"), F.count("*").alias("neighbours"), *extra)
 
 
 def knn_regress(train: DataFrame, test: DataFrame, x: str, y: str, key: str, k: int = 5) -> DataFrame:
@@ -62,8 +65,9 @@ def knn_regress(train: DataFrame, test: DataFrame, x: str, y: str, key: str, k:
 
 def knn_regress_split(df: DataFrame, x: str, y: str, key: str, is_test: str, k: int = 5) -> DataFrame:
     """:func:`knn_regress` for one frame holding both sides (``is_test``
-    true on test rows): one scan of the input instead of one per side."""
+    true on test rows): one scan of the input instead of one per side.  The
+    test rows' own ``y`` is returned as ``actual`` (it never takes part in
+    the neighbour search, which reads training rows only)."""
     both = df.select(F.col(key).alias("_key"), F.col(x).cast("double").alias("_x"),
-                     F.when(~F.col(is_test), F.col(y).cast("double")).alias("_y"),
-                     F.col(is_test).cast("int").alias("_side"))
-    return _predict(_neighbours(both, k), key, x)
+                     F.col(y).cast("double").alias("_y"), F.col(is_test).cast("int").alias("_side"))
+    return _predict(_neighbours(both, k), key, x, with_actual=True)

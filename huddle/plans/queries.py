@@ -356,10 +356,14 @@ def q_fixed_width_report(spark, root):
 
 @query("top_n_importance")
 def q_top_n_importance(spark, root):
+    from pyspark.sql import Window
+
     part = read_table(spark, root, "part").select("p_brand", F.round(F.col("p_retailprice") * 100).cast("bigint").alias("cents"))
-    total = part.agg(F.sum("cents")).scalar()
-    share = part.groupBy(F.col("p_brand").alias("feature")).agg(
-        (F.sum("cents").cast("double") / total.cast("double")).alias("importance"))
+    per = part.groupBy(F.col("p_brand").alias("feature")).agg(F.sum("cents").alias("cents"))
+    # the total comes from the grouped table (one row per feature), so the
+    # parts are scanned once
+    total = F.sum("cents").over(Window.partitionBy())
+    share = per.select("feature", (F.col("cents").cast("double") / total.cast("double")).alias("importance"))
     return rounded(tables.top_n(share, "importance", 15, tie_break=["feature"]))
 
 
@@ -398,8 +402,7 @@ def q_knn_fit(spark, root):
         split.split_label("p_partkey", 20).alias("split"))
     labelled = part.withColumn("is_test", F.col("split") == "test")
     pred = knn.knn_regress_split(labelled, "x", "y", "p_partkey", "is_test", k=5)
-    actual = labelled.filter("is_test").select("p_partkey", F.col("y").alias("actual"))
-    return rounded(pred.join(actual, "p_partkey"))
+    return rounded(pred.withColumn("actual", F.col("actual").cast("bigint")))
 
 
 # ------------------------------------------------------------------- models
