@@ -19,6 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Recording the Python call site of every column function costs several
+    # driver round trips per call; plans with many expressions spend more
+    # time on that than on analysis.  Errors still carry the plan context.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
