@@ -257,38 +257,28 @@ def lag_by_time_chunks(
     )
 
 
-def rolling_mean_by_time_chunks(
-    df: DataFrame,
-    columns: Sequence[str],
-    key: str,
-    ts: str,
-    tie_break: str,
-    window: int = 3,
-    chunk_seconds: int = 3600,
-    suffix: str = "_last{n}",
-) -> DataFrame:
-    """:func:`rolling_mean_before` (mean of the previous ``window`` rows,
-    NULL unless all exist and are non-missing) per ``key`` in (``ts``,
-    ``tie_break``) order, for raw rows where one key may hold a large share
-    of the data.
-
-    Rows are windowed per (key, time chunk), collecting at most ``window``
-    predecessors each.  A chunk's first rows complete their window from a
-    halo: the last ``window`` rows of the key's previous non-empty chunks,
-    built from each chunk's tail (its last row's predecessors plus itself)
-    and a window over one row per chunk.  Every task holds one
-    chunk of one key; nothing per key grows with the data volume.
+def _with_previous_rows(
+    df: DataFrame, columns: Sequence[str], key: str, ts: str, tie_break: str, n: int, chunk_seconds: int
+) -> tuple[DataFrame, Column]:
+    """The rows of ``df`` joined with what is needed to see, for each row,
+    its key's previous ``n`` rows (oldest first).  Returns the joined frame
+    and a column holding that array (shorter near the start of a key).
+
+    Rows are windowed per (key, time chunk), collecting at most ``n``
+    predecessors each.  A chunk's first rows complete their list from a
+    halo: the last ``n`` rows of the key's previous non-empty chunks, built
+    from each chunk's tail (its last row's predecessors plus itself) and a
+    window over one row per chunk.  Every task holds one chunk of one key;
+    nothing per key grows with the data volume.
     """
-    n = window
     base = df.withColumn("_chunk", _chunk_of(df, ts, chunk_seconds))
     vals = F.struct(*[F.col(c).alias(c) for c in columns])
     w_in = Window.partitionBy(key, "_chunk").orderBy(ts, tie_break)
-    inner = base.select("*", F.collect_list(vals).over(w_in.rowsBetween(-n, -1)).alias("_prev"))
-
+    inner = base.select("*", F.collect_list(vals).over(w_in.rowsBetween(-n, -1)).alias("_prev"),
+                        F.row_number().over(w_in).alias("_rn"))
     # a chunk's tail (its last n rows, in order) is its last row's collected
     # predecessors plus the row itself: derived from the windowed rows, so
     # the raw rows are scanned and shuffled once
-    inner = inner.withColumn("_rn", F.row_number().over(w_in))
     upto = F.concat(F.col("_prev"), F.array(vals))
     tail = F.slice(upto, F.greatest(F.size(upto) - n + 1, F.lit(1)), n)
     tails = inner.groupBy(key, "_chunk").agg(F.max_by(tail, F.col("_rn")).alias("_tail"))
@@ -298,15 +288,52 @@ def rolling_mean_by_time_chunks(
     element = ",".join(f"{c}:{df.schema[c].dataType.simpleString()}" for c in columns)
     no_halo = F.array().cast(f"array<struct<{element}>>")
     seq = F.concat(F.coalesce(F.col("_halo"), no_halo), F.col("_prev"))
-    last_n = F.when(F.size(seq) >= n, F.slice(seq, -n, n))
+    return joined, F.slice(seq, F.greatest(F.size(seq) - n + 1, F.lit(1)), n)
+
+
+def rolling_mean_by_time_chunks(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    ts: str,
+    tie_break: str,
+    window: int = 3,
+    chunk_seconds: int = 3600,
+    suffix: str = "_last{n}",
+) -> DataFrame:
+    """:func:`rolling_mean_before` (mean of the previous ``window`` rows,
+    NULL unless all exist and are non-missing) per ``key`` in (``ts``,
+    ``tie_break``) order, for raw rows where one key may hold a large share
+    of the data (see :func:`_with_previous_rows`)."""
+    n = window
+    joined, prev = _with_previous_rows(df, columns, key, ts, tie_break, n, chunk_seconds)
 
     def field(name: str):
         return lambda e: e[name].cast("double")
 
     outs = []
     for c in columns:
-        v = F.transform(last_n, field(c))
+        v = F.transform(prev, field(c))
         total = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
         ok = (F.size(v) == n) & ~F.exists(v, lambda x: x.isNull())
         outs.append(F.when(ok, total / F.lit(float(n))).alias(c + suffix.format(n=n)))
     return joined.select(*df.columns, *outs)
+
+
+def lag_n_by_time_chunks(
+    df: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    ts: str,
+    tie_break: str,
+    offset: int,
+    chunk_seconds: int = 3600,
+    suffix: str = "_lag{n}",
+) -> DataFrame:
+    """``lag(c, offset)`` per ``key`` in (``ts``, ``tie_break``) order for
+    any offset, skew-safe like :func:`lag_by_time_chunks` (which is the
+    cheaper path for offset 1): the value ``offset`` rows back is the first
+    of the row's previous ``offset`` rows."""
+    joined, prev = _with_previous_rows(df, columns, key, ts, tie_break, offset, chunk_seconds)
+    first = F.when(F.size(prev) == offset, F.element_at(prev, 1))
+    return joined.select(*df.columns, *[first[c].alias(c + suffix.format(n=offset)) for c in columns])

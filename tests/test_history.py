@@ -188,3 +188,20 @@ def test_chunks_follow_wall_clock_across_dst_gap(spark):
         assert got == {i: (None if i == 0 else float(i - 1)) for i in range(12)}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_lag_n_by_time_chunks_equals_plain_lag(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(seconds=int(rng.integers(0, 86400)) // 13 * 13),
+             1 if i % 3 else int(rng.integers(2, 20)), None if i % 29 == 0 else float(i)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
+    for n in (1, 2, 4):
+        a = {r.event_id: r[f"value_lag{n}"] for r in
+             history.lag_n_by_time_chunks(df, ["value"], "user_id", "ts", "event_id", n, chunk_seconds=600).collect()}
+        b = {r.event_id: r[f"value_lag{n}"] for r in history.lag_columns(df, ["value"], ["user_id"], ["ts", "event_id"], n).collect()}
+        assert a == b, n
