@@ -9,12 +9,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from huddle.operators import team_stats
+from huddle.functions.columns import hash_bucket, safe_divide
+from huddle.operators import (
+    evaluate,
+    history,
+    knn,
+    matchup,
+    models,
+    player,
+    regression,
+    scaling,
+    split,
+    tables,
+    team_stats,
+)
 from huddle.plans import standins
+from huddle.schemas import FEATURE_COLS, RB_ROLL_COLS
 from huddle.session import materialize
+from huddle.sinks.files import report_lines
+from huddle.sinks.landing import new_partitions
+from huddle.sources import catalog, html
+from huddle.sources.files import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -74,8 +93,6 @@ def q_games(spark, root):
 
 
 # ------------------------------------------------------------------ history
-from huddle.operators import history, matchup  # noqa: E402
-from huddle.schemas import FEATURE_COLS  # noqa: E402
 
 
 def _pairs(spark, root):
@@ -133,9 +150,6 @@ def q_matchup_dataset(spark, root):
 
 
 # --------------------------------------------------------------- evaluation
-from huddle.operators import evaluate, player, scaling, split  # noqa: E402
-from huddle.sources.files import read_table  # noqa: E402
-from huddle.functions.columns import safe_divide  # noqa: E402
 
 
 def _lines(spark, root):
@@ -178,13 +192,10 @@ def q_rolling_player_features(spark, root):
 @query("rolling_means_all")
 def q_rolling_means_all(spark, root):
     """The lag-3 rolling means on every player-day (no history filter)."""
-    from huddle.operators.history import rolling_mean_before
-    from huddle.schemas import RB_ROLL_COLS
-
     days = standins.player_days(spark, root)
     days = days.withColumn("yards_per_carry", safe_divide("rushing_yards", "carries")).withColumn(
         "yards_per_reception", safe_divide("receiving_yards", "receptions"))
-    return rounded(rolling_mean_before(days, RB_ROLL_COLS, ("player_id",), ("season", "week"), 3))
+    return rounded(history.rolling_mean_before(days, RB_ROLL_COLS, ("player_id",), ("season", "week"), 3))
 
 
 @query("lag_one")
@@ -211,8 +222,6 @@ def q_standardised_features(spark, root):
 @query("split_buckets")
 def q_split_buckets(spark, root):
     o = read_table(spark, root, "orders").select("o_orderkey")
-    from huddle.functions.columns import hash_bucket
-
     return o.select("o_orderkey", hash_bucket("o_orderkey", 100).alias("bucket"),
                     split.split_label("o_orderkey", 20).alias("split"))
 
@@ -231,8 +240,6 @@ def q_season_split(spark, root):
     """Per season: its role with the last season held out.  Aggregated per
     season first, so the comparison with the last season runs on one row
     per season (a window over that tiny table, not over the games)."""
-    from pyspark.sql import Window
-
     per_season = _matchups(spark, root).groupBy("season").agg(
         F.count("*").alias("n_games"), F.sum("actual_spread").alias("sum_spread"))
     last = F.max("season").over(Window.partitionBy())
@@ -240,10 +247,6 @@ def q_season_split(spark, root):
 
 
 # ------------------------------------------------ positions, lookups, pivot
-from huddle.operators import regression, tables  # noqa: E402
-from huddle.sinks.files import report_lines  # noqa: E402
-from huddle.sinks.landing import new_partitions  # noqa: E402
-from huddle.sources import catalog, html  # noqa: E402
 
 # Market segments of the driver's customer table (fixed values).
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -356,8 +359,6 @@ def q_fixed_width_report(spark, root):
 
 @query("top_n_importance")
 def q_top_n_importance(spark, root):
-    from pyspark.sql import Window
-
     part = read_table(spark, root, "part").select("p_brand", F.round(F.col("p_retailprice") * 100).cast("bigint").alias("cents"))
     per = part.groupBy(F.col("p_brand").alias("feature")).agg(F.sum("cents").alias("cents"))
     # the total comes from the grouped table (one row per feature), so the
@@ -392,7 +393,6 @@ def q_html_rows(spark, root):
 
 
 # ---------------------------------------------------------------------- knn
-from huddle.operators import knn  # noqa: E402
 
 
 @query("knn_fit")
@@ -406,7 +406,6 @@ def q_knn_fit(spark, root):
 
 
 # ------------------------------------------------------------------- models
-from huddle.operators import models  # noqa: E402
 
 
 def _prepared(spark, root):
@@ -449,8 +448,6 @@ def q_bayesian_ridge_fit(spark, root):
 
 @query("tree_regressor_mse")
 def q_tree_regressor_mse(spark, root):
-    from pyspark.ml.feature import VectorAssembler
-
     xy = VectorAssembler(inputCols=["xd"], outputCol="features").transform(
         _xy(spark, root).select(F.col("x").cast("double").alias("xd"), F.col("y").cast("double").alias("label"), "split"))
     train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
