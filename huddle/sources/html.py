@@ -80,23 +80,38 @@ def position_table(
     key_label: str = "Tm",
     value_label: str = "FantPt",
     occurrence: int = 2,
+    html: str = "html",
 ) -> DataFrame:
     """(Tm, Season, position, value) from pages holding one table each,
     with ``season`` and ``position`` columns on the page row.  The value is
     the ``occurrence``-th column labelled ``value_label`` (the per-game
     figure), cast to double (non-numbers become NULL).  Pages whose header
-    lacks that occurrence contribute nothing."""
-    heads = header_labels(pages)
-    rows = body_rows(pages)
-    meta = pages.select("page_id", season, position)
-    j = rows.join(heads, "page_id").join(meta, "page_id")
-    key_pos = nth_position(F.col("headers"), key_label, 1)
-    val_pos = nth_position(F.col("headers"), value_label, occurrence)
-    return j.filter(val_pos.isNotNull() & key_pos.isNotNull()).select(
-        F.try_element_at("cells", key_pos + 1).alias("Tm"),
+    lacks that occurrence contribute nothing.
+
+    One projection per page yields its header positions and body rows
+    together, so the page text is read once (no join of header, rows and
+    page metadata); repeated rows of a page are kept once.
+    """
+    page = F.col(html)
+    headers = F.transform(all_blocks(first_block(page, "thead"), "th"), clean_text)
+    headers = F.filter(headers, lambda h: ~h.isin(*GROUP_LABELS))
+    per_page = pages.select(
+        "page_id",
         F.col(season).cast("int").alias("Season"),
         F.col(position).alias("position"),
-        F.try_element_at("cells", val_pos + 1).try_cast("double").alias("value"),
+        nth_position(headers, key_label, 1).alias("_kp"),
+        nth_position(headers, value_label, occurrence).alias("_vp"),
+        all_blocks(first_block(page, "tbody"), "tr").alias("_rows"),
+    ).filter(F.col("_kp").isNotNull() & F.col("_vp").isNotNull())
+    rows = per_page.select(
+        "page_id", "Season", "position", "_kp", "_vp",
+        F.explode(F.transform("_rows", lambda r: F.transform(all_blocks(r, "t[hd]"), clean_text))).alias("cells"),
+    ).distinct()
+    return rows.select(
+        F.try_element_at("cells", F.col("_kp") + 1).alias("Tm"),
+        "Season",
+        "position",
+        F.try_element_at("cells", F.col("_vp") + 1).try_cast("double").alias("value"),
     )
 
 
