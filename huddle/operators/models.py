@@ -73,12 +73,14 @@ def prepare_features(
     missing values, so a missing scaled value is set to 0 (the mean) and a
     ``<col>_missing`` flag records it.
     """
-    df = matchups.select(
+    # one row per game: written once, then read by the scaler fit and the
+    # transform (the learners persist their own training input)
+    df = materialize(matchups.select(
         *[c for c in KEY_COLS if c in matchups.columns],
         *continuous,
         *[F.col(b).cast("int").alias(b) for b in binary],
         F.col(label).cast("double").alias("label"),
-    )
+    ), "model-input")
     fit_frame = df if fit_on == "all" else df.filter(F.col("season") < test_season)
     scaler = scaling.fit_scaler(fit_frame, continuous)
     df = scaler.transform(df)
@@ -90,9 +92,7 @@ def prepare_features(
     )
     names = [*continuous, *binary, *flags]
     assembled = VectorAssembler(inputCols=names, outputCol="features").transform(df)
-    # learners pass over their input many times: materialise it once in the
-    # shared checkpoint folder instead of recomputing the matchup plan
-    return Prepared(materialize(assembled, "features"), names, scaler)
+    return Prepared(assembled, names, scaler)
 
 
 def gbt(setting: dict, seed: int = 42, features: str = "features", label: str = "label") -> GBTRegressor:

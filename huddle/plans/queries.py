@@ -409,11 +409,11 @@ def q_knn_fit(spark, root):
 
 
 def _prepared(spark, root):
-    # the matchup frame feeds three passes (last season, scaler, features):
-    # compute it once into the shared checkpoint folder
-    m = materialize(_matchups(spark, root), "matchups")
-    last = m.agg(F.max("season")).first()[0]
-    return models.prepare_features(m), last
+    # prepare_features writes its per-game input once; the last season is
+    # read from that copy
+    prep = models.prepare_features(_matchups(spark, root))
+    last = prep.frame.agg(F.max("season")).first()[0]
+    return prep, last
 
 
 @query("gbt_predictions")
