@@ -13,11 +13,24 @@ from huddle.functions.columns import fixed_width_line, pad_right
 
 
 def write_partitioned_parquet(
-    df: DataFrame, path: str, partition_by: Sequence[str] = ("season",), mode: str = "append"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = ("season",),
+    mode: str = "append",
+    max_records_per_file: int | None = None,
 ) -> None:
-    """Parquet dataset partitioned by ``partition_by``; rows are clustered by
-    the partition columns first so each task writes few files."""
-    df.repartition(*partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Parquet dataset partitioned by ``partition_by``.
+
+    Rows are clustered by the partition columns with a ``rebalance`` hint,
+    not ``repartition(cols)``: a hash repartition would send each season
+    (or a season holding a third of the data) to a single task, while
+    rebalancing lets AQE split large partitions into advisory-sized tasks
+    and still write few files per partition directory.
+    """
+    writer = df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
+    writer.parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
