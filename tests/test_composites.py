@@ -71,3 +71,34 @@ def test_evaluate_files(spark, tmp_path):
     written = spark.read.option("header", True).csv(out)
     assert written.count() == 2 and "model_beats_vegas" in written.columns
     assert written.filter(F.col("home_team") == "WAS").first().model_beats_spread == "Beats Vegas"
+
+
+def test_readme_usage_chain(spark, tmp_path):
+    """The usage example in the README, end to end on a small fixture."""
+    from huddle.operators import models, team_stats
+    from huddle.sources.files import read_plays
+
+    rows = []
+    teams = ["AAA", "BBB", "CCC", "DDD"]
+    for season in (2021, 2022, 2023):
+        for week in range(1, 7):
+            for i in range(0, 4, 2):
+                home, away = teams[(i + week) % 4], teams[(i + week + 1) % 4]
+                gid = f"{season}_{week}_{home}_{away}"
+                hs, as_ = 10 + week + i, 7 + (season % 3) * i
+                for off, dfn, yards in ((home, away, 10.0 + week), (away, home, 6.0 + i)):
+                    rows.append((season, week, gid, home, away, off, dfn, yards, 0.5, hs, as_))
+    df = spark.createDataFrame(rows, "season int, week int, game_id string, home_team string, away_team string, "
+                                     "posteam string, defteam string, passing_yards double, epa double, "
+                                     "home_score int, away_score int")
+    path = str(tmp_path / "pbp")
+    conform(df, schemas.PLAYS).write.partitionBy("season").parquet(path)
+    plays = read_plays(spark, path, seasons=range(2021, 2024))
+    assert team_stats.team_week_stats(plays).count() == 3 * 6 * 4
+    games = matchup.matchups_from_plays(plays)
+    prep = models.prepare_features(games)
+    model, scored = models.train_and_score(prep, test_season=2023)
+    preds = evaluate.predictions_with_keys(scored, label="label")
+    lines = spark.createDataFrame([(2023, r.week, r.home_team, r.away_team, 3.0) for r in preds.collect()], schemas.GAMES)
+    summary = evaluate.accuracy_summary(evaluate.evaluate_against_line(preds, lines, season=2023)).first()
+    assert preds.count() == 12 and summary.vegas_win_accuracy is not None
