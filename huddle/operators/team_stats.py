@@ -16,6 +16,11 @@ as the partial aggregate, so the doubled rows never hit the shuffle; the
 inner join of offence and defence groups becomes a HAVING on both sides
 being present.  A hot team or week is absorbed by the map-side partial
 aggregate.
+
+Pipelines that need several things from the plays (team weeks, games,
+priors) roll them up once with :func:`pair_week_stats` -- one row per
+(season, week, offence, defence), independent of the number of plays -- and
+derive everything else from that small table (:func:`team_week_from_pairs`).
 """
 
 from __future__ import annotations
