@@ -19,9 +19,10 @@ so frequent words, lines and passages make no frequent token.
 2. Similar sets form a group: each goes to its most frequent token.  A group
    is opened in blocks of about ``BLOCK`` sets, each with the group's most
    central set, so that a block of any large group is joined to the others.
-3. A token that still lies in several components opens once more, first
-   between the components' most central sets, then, for what is left, between
-   all sets with that token in different components.
+3. Tokens may still lie in several components.  First these components' most
+   central sets are compared.  For what is left, each set asks every group
+   whose token union overlaps enough with the set's tokens; askers and group
+   members meet in blocks of ``ASK_BLOCK`` each.
 
 An opened block compares its sets exactly on all their shingles, so every
 link between different sets is found or is implied by links that were found.
@@ -48,6 +49,8 @@ from huddle.llm.text import U64, Words, mix, slices, texts_of
 
 #: Sets in one opened block.
 BLOCK = 128
+#: Askers, and members, of one opened block of the last step.
+ASK_BLOCK = 512
 #: Ratio of the largest to the smallest set size in a size class.
 CLASS_RATIO = {90: 1.3, 80: 1.6}
 
@@ -212,9 +215,9 @@ def open_blocks(docs: DataFrame, members: DataFrame, percent: int, width: int) -
         block = block.drop_duplicates("id")
         ids = block["id"].to_numpy(np.int64)
         to = link_block(ids, [np.frombuffer(x, U64) for x in block["shingles"]], percent)
-        return pd.DataFrame({"id": ids, "to": to})
+        return pd.DataFrame({"id": ids, "to": to})[to < ids]
 
-    return members.join(sets, "id").groupBy("block").applyInPandas(link, "id long, to long").where("id != to")
+    return members.join(sets, "id").groupBy("block").applyInPandas(link, "id long, to long")
 
 
 def smallest_reached(edges: DataFrame) -> DataFrame:
@@ -240,6 +243,44 @@ def smallest_reached(edges: DataFrame) -> DataFrame:
         label = new.select("id", "label")
 
 
+def central():
+    """Order of sets by how much of their groups they share; ties to the smaller id."""
+    return F.struct("weight", -F.col("id"))
+
+
+def labelled(chosen: DataFrame, links: DataFrame) -> DataFrame:
+    """id, grp, weight, component of every set that shares tokens."""
+    reached = smallest_reached(links)
+    return chosen.join(reached, "id", "left").select("id", "grp", "weight", F.coalesce("component", "id").alias("component"))
+
+
+def qualifying(common: DataFrame, label: DataFrame) -> DataFrame:
+    """(block, id) of the group openings that are left.
+
+    The matrix holds the groups of each token.  A set asks a group if the
+    group holds a component that ranks above the set's own (by size, then by
+    label) and if the group's token union holds at least as many of the set's
+    tokens as a link needs.  Of two sets that link across components, the one
+    in the lower-ranked component asks the other's group, so each link is met.
+    Askers and group members are dealt into blocks of bounded size."""
+    size = label.groupBy("component").agg(F.count("*").alias("size"))
+    label = label.join(size, "component").withColumn("rank", F.struct("size", "component"))
+    top = label.groupBy("grp").agg(F.max("rank").alias("top"), F.count("*").alias("members"))
+    held = common.join(label.select("id", "grp", "rank"), "id")
+    split = held.groupBy("token").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi")
+    held = held.join(split.select("token", "hi"), "token")
+    matrix = held.select("token", "grp").distinct().join(top, "grp")
+    asks = held.where("rank < hi").select("token", "id", "need", "rank").join(matrix, "token").where("rank < top").groupBy("id", "grp", "need").agg(F.count("*").alias("overlap"), F.first("members").alias("members")).where(F.col("overlap") * 2 >= F.col("need") - F.col("need") % 2)
+    asks = written(asks.select("id", "grp", "members").distinct(), "jaccard-asks")
+    asked = asks.groupBy("grp").agg(F.count("*").alias("askers"), F.first("members").alias("members"))
+    chunks = lambda n: F.ceil(F.col(n) / ASK_BLOCK)
+    dealt = lambda n: F.pmod(F.xxhash64("id"), chunks(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), chunks(n) - 1))
+    ask_rows = asks.join(asked.select("grp", "askers"), "grp").select("id", "grp", dealt("askers").alias("a"), every("members").alias("m"))
+    member_rows = label.select("id", "grp").join(asked, "grp").select("id", "grp", every("askers").alias("a"), dealt("members").alias("m"))
+    return ask_rows.union(member_rows).select("id", F.xxhash64("grp", "a", "m").alias("block")).distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """One row per input row: id, n_shingles, component."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -259,32 +300,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     common = token.join(counted, "token")
     enough = common.groupBy("id", "need").agg(F.count("*").alias("common"), F.sum("held").alias("weight"), F.max(F.struct("held", "token")).alias("top")).where(F.col("common") * 2 >= F.col("need") - F.col("need") % 2)
     chosen = written(enough.groupBy("id").agg(F.max("top").getField("token").alias("grp"), F.sum("weight").alias("weight")), "jaccard-chosen")
-    common = written(common.select("id", "token").join(side(chosen.select("id")), "id", "left_semi"), "jaccard-common")
+    common = written(common.select("id", "token", "need").join(side(chosen.select("id")), "id", "left_semi"), "jaccard-common")
 
     # open each group in blocks that share the group's most central set
-    group = chosen.groupBy("grp").agg(F.count("*").alias("sets"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("centre")).where("sets > 1")
+    group = chosen.groupBy("grp").agg(F.count("*").alias("sets"), F.max_by("id", central()).alias("centre")).where("sets > 1")
     blocks = F.ceil(F.col("sets") / BLOCK)
     placed = chosen.join(group, "grp").select("id", F.xxhash64("grp", F.pmod(F.xxhash64("id"), blocks)).alias("block"))
     centres = group.select(F.col("centre").alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("i"), "grp").select("id", F.xxhash64("grp", F.col("i")).alias("block"))
     members = written(placed.union(centres).distinct(), "jaccard-members")
     links = written(open_blocks(docs, members, percent, width), "jaccard-found")
 
-    # tokens that still lie in several components
-    for opening in ("centres", "all"):
-        reached = smallest_reached(links)
-        label = chosen.select("id", "weight").join(reached, "id", "left").select("id", "weight", F.coalesce("component", "id").alias("component"))
-        held = common.join(label, "id")
-        split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"), F.max_by("component", F.struct("weight", -F.col("id"))).alias("hub_component")).where("lo < hi")
-        if opening == "centres":
-            pairs = held.join(split, "token").where("component != hub_component").groupBy("component", "hub").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("id"))
-        else:
-            apart = held.join(split.select("token"), "token")
-            pairs = apart.alias("a").join(apart.alias("b"), "token").where("a.component < b.component").select(F.col("a.id").alias("id"), F.col("b.id").alias("hub")).distinct()
-        pairs = written(pairs.select("id", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("id"), F.lit(16))).alias("block")), "jaccard-pairs")
-        if not has_rows(pairs):
-            break
+    # tokens that still lie in several components: first the most central sets
+    label = written(labelled(chosen, links), "jaccard-labels")
+    held = common.join(label, "id")
+    split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("id", central()).alias("hub"), F.max_by("component", central()).alias("hub_component")).where("lo < hi")
+    pairs = held.join(split, "token").where("component != hub_component").groupBy("component", "hub").agg(F.max_by("id", central()).alias("id"))
+    pairs = written(pairs.select("id", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("id"), F.lit(16))).alias("block")), "jaccard-pairs")
+    if has_rows(pairs):
         members = written(pairs.select("block", "id").union(pairs.select("block", F.col("hub").alias("id"))).distinct(), "jaccard-members")
         links = written(links.union(open_blocks(docs, members, percent, width)), "jaccard-found")
+        label = written(labelled(chosen, links), "jaccard-labels")
+
+    # then every set whose tokens overlap enough with a group that holds a larger component
+    members = written(qualifying(common, label), "jaccard-members")
+    if has_rows(members):
+        links = written(links.union(open_blocks(docs, members, percent, width)), "jaccard-found")
 
     reached = smallest_reached(links.union(copies.select("id", F.col("first").alias("to"))))
     return sig.select("id", F.col("n").alias("n_shingles")).join(reached, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
