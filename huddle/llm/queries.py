@@ -6,6 +6,9 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from huddle.llm.jaccard import jaccard_components
+from huddle.llm.mixing import mix_sources
+from huddle.llm.packing import pack_documents
+from huddle.llm.quality import judge_quality
 from huddle.session import table_path
 
 
@@ -18,6 +21,31 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(table(spark, sf_dir, "documents"))
+    return judged.withColumnRenamed("id", "doc_id").drop("cleaned")
+
+
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary file; every executor has the same installed copy."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_source_mixing": op7_source_mixing,
 }
