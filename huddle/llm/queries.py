@@ -9,6 +9,8 @@ from huddle.llm.jaccard import jaccard_components
 from huddle.llm.mixing import mix_sources
 from huddle.llm.packing import pack_documents
 from huddle.llm.quality import judge_quality
+from huddle.llm.topk import top_k
+from huddle.llm.warc import archive_round_trip
 from huddle.session import table_path
 
 
@@ -21,6 +23,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select(F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "segments", "intact")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(table(spark, sf_dir, "documents"))
     return judged.withColumnRenamed("id", "doc_id").drop("cleaned")
@@ -43,9 +50,15 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20, scale=64)
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op4_warc_segments": op4_warc_segments,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
+    "op9_ball_tree_topk": op9_ball_tree_topk,
 }
