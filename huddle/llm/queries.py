@@ -9,7 +9,9 @@ from huddle.llm.jaccard import jaccard_components
 from huddle.llm.mixing import mix_sources
 from huddle.llm.packing import pack_documents
 from huddle.llm.quality import judge_quality
+from huddle.llm.secrets import scan_secrets
 from huddle.llm.topk import top_k
+from huddle.llm.toxicity import fit_toxicity, score_toxicity
 from huddle.llm.warc import archive_round_trip
 from huddle.session import table_path
 
@@ -23,6 +25,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = archive_round_trip(table(spark, sf_dir, "pages"))
     return read.select(F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "segments", "intact")
@@ -50,15 +56,24 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("_id").alias("doc_id"), F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    scored = score_toxicity(docs, fit_toxicity(docs, labels.where(~held_out)))
+    return scored.withColumnRenamed("id", "doc_id").select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "language")
+
+
 def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20, scale=64)
 
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op3_secret_scan": op3_secret_scan,
     "op4_warc_segments": op4_warc_segments,
     "op5_quality_rules": op5_quality_rules,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_source_mixing": op7_source_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
 }
