@@ -5,7 +5,9 @@ from __future__ import annotations
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
+from huddle.llm.counts import count_edited
 from huddle.llm.jaccard import jaccard_components
+from huddle.llm.licences import scan_licences
 from huddle.llm.mixing import mix_sources
 from huddle.llm.packing import pack_documents
 from huddle.llm.quality import judge_quality
@@ -25,6 +27,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_paragraphs", F.size("hits").alias("n_licensed"), F.array_sort(F.array_distinct(F.col("hits.family"))).alias("families"), "hits")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -67,8 +74,32 @@ def op9_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), k=20, query_every=20, scale=64)
 
 
+def op10_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits to every document: its middle word run loses 9 characters, its first line break
+    becomes a blank, and its source is written behind it."""
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    n, line = F.length(text).cast("long"), F.locate("\n", text).cast("long")
+    edit = lambda start, stop, new: F.struct(start.alias("start"), stop.alias("stop"), new.alias("replacement"))
+    middle = F.floor(n / 2)
+    edits = F.array(
+        edit(middle, middle + 9, F.lit("")),
+        edit(F.greatest(line - 1, F.lit(0)), F.when((line > 0) & (line <= middle), line).otherwise(0), F.when((line > 0) & (line <= middle), F.lit(" ")).otherwise("")),
+        edit(n + 100, n + 100, F.concat(F.lit("\nsource: "), F.coalesce("source", F.lit("")))),
+    )
+    counted = count_edited(docs.withColumn("edits", edits), tokenizer_path("byte_bpe_50k.tiktoken"), token_pattern())
+    return counted.withColumnRenamed("id", "doc_id")
+
+
+def token_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_license_scan": op2_license_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_warc_segments": op4_warc_segments,
     "op5_quality_rules": op5_quality_rules,
@@ -76,4 +107,5 @@ QUERIES = {
     "op7_source_mixing": op7_source_mixing,
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
+    "op10_edited_token_counts": op10_edited_token_counts,
 }
