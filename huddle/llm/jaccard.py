@@ -44,7 +44,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from huddle.llm.shared import has_rows, side, written
+from huddle.llm.shared import has_rows, numbered, side, written
 from huddle.llm.text import U64, Words, mix, slices, texts_of
 
 #: Sets in one opened block.
@@ -328,3 +328,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     reached = smallest_reached(links.union(copies.select("id", F.col("first").alias("to"))))
     return sig.select("id", F.col("n").alias("n_shingles")).join(reached, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
+    """The documents, all columns, of which each component keeps the one with the smallest id.
+
+    An id names one document: of rows that repeat an id one stays.  Rows without an id stay."""
+    rows, name = numbered(docs)
+    found = written(jaccard_components(rows, name[id_col], name[text_col], percent, width).select("id", "component"), "jaccard-components")
+    gone = written(found.where("id != component").select("id").distinct(), "jaccard-gone")
+    own = F.col(name[id_col]).cast("long")
+    kept = rows.join(side(gone), own == F.col("id"), "left_anti")
+    again = written(found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 and id is not null").select("id"), "jaccard-again")
+    if has_rows(again):
+        again = side(again)
+        once = kept.join(again, own == F.col("id"), "left_semi").dropDuplicates([name[id_col]])
+        kept = kept.join(again, own == F.col("id"), "left_anti").union(once)
+    return kept.toDF(*docs.columns)

@@ -22,15 +22,17 @@ agree.  A hot source is spread over all shards.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyspark.sql.functions as F
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame, Window
 
-from huddle.llm.shared import written
+from huddle.llm.shared import numbered, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SHARD_WORDS = 65_536
@@ -148,3 +150,31 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pd.DataFrame({"_id": shard["_id"].astype("Int64"), "_size": size, "_source_size": shard["_source_size"], "_target": shard["_target"], "_taken": taken, "_spans": found if spans else None, **{c: shard[c] for c in carry}})
 
     return rows.groupBy("_shard").applyInPandas(run, out)
+
+
+def cut_text(text: str | None, spans: list[dict]) -> list[str]:
+    """The text of each time that the mix takes words of a document."""
+    words = [(m.start(), m.end()) for m in re.finditer(WORD, text or "")]
+    turns = max((s["times"] for s in spans), default=0)
+    return ["\n".join(text[words[s["start"]][0] : words[s["stop"] - 1][1]] for s in spans if s["times"] > turn) for turn in range(turns)]
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The mix as documents, all columns: a row for each time that words of a document are taken,
+    its text being the words taken then."""
+    rows, name = numbered(docs)
+    text = name[text_col]
+    mixed = mix_sources(rows, name[id_col], text, name[source_col], carry=tuple(rows.columns), spans=True, **options)
+    kept = rows.columns
+    at = kept.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                cut = [cut_text(t, s) for t, s in zip(part.column(text).to_pylist(), part.column("_spans").to_pylist(), strict=True)]
+                where = pa.array([i for i, texts in enumerate(cut) for _ in texts], pa.int64())
+                columns = [part.column(c).take(where) for c in kept]
+                columns[at] = pa.array([t for texts in cut for t in texts], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=kept)
+
+    return mixed.select("_spans", *rows.columns).mapInArrow(run, rows.schema).toDF(*docs.columns)

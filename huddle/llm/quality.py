@@ -114,32 +114,53 @@ def clean_lines(text: bytes) -> tuple[bytes, int, int]:
     return b"\n".join(kept), lost, repeats
 
 
+def _judge(column: pa.Array, min_words: int, max_repeat: int, max_lost: int) -> dict:
+    """The columns of SCHEMA but the id, for the texts of a slice; cleaned as bytes."""
+    words = Words(column)
+    offsets, data = raw(column)
+    n = words.counts
+    solid = _SOLID[data]
+    repeat = repeated_words(words)
+    texts = data.tobytes()
+    lines = [clean_lines(texts[offsets[i] : offsets[i + 1]]) for i in range(len(column))]
+    lost = np.array([x[1] for x in lines], np.int64)
+    failed = (n < min_words) | (100 * repeat > max_repeat * n)
+    return {
+        "n_words": n,
+        "word_chars": _count(solid & ((data & 0xC0) != 0x80), offsets),
+        "n_symbols": _count(_SYMBOL[data], offsets),
+        "n_dup_lines": np.array([x[2] for x in lines], np.int64),
+        "n_repeat_words": repeat,
+        "base_failed": failed,
+        "lost_words": lost,
+        "kept": ~failed & (100 * lost <= max_lost * n),
+        "cleaned": [x[0] for x in lines],
+    }
+
+
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, max_repeat: int = 20, max_lost: int = 50, cleaned: bool = False) -> DataFrame:
     """One row per input row; ``cleaned`` is the text without failed lines (null unless asked for)."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                column = texts_of(part.column("text"))
-                words = Words(column)
-                offsets, data = raw(column)
-                n = words.counts
-                solid = _SOLID[data] if len(data) else np.zeros(0, bool)
-                chars = _count(solid & ((data & 0xC0) != 0x80), offsets)
-                symbols = _count(_SYMBOL[data], offsets)
-                repeat = repeated_words(words)
-                texts = data.tobytes()
-                lines = [clean_lines(texts[offsets[i] : offsets[i + 1]]) for i in range(len(column))]
-                lost = np.array([x[1] for x in lines], np.int64)
-                failed = (n < min_words) | (100 * repeat > max_repeat * n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"), pa.array(n), pa.array(chars), pa.array(symbols),
-                        pa.array(np.array([x[2] for x in lines], np.int64)), pa.array(repeat), pa.array(failed),
-                        pa.array(lost), pa.array(~failed & (100 * lost <= max_lost * n)),
-                        pa.array([x[0].decode() if cleaned else None for x in lines], pa.string()),
-                    ],
-                    names=["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lost_words", "kept", "cleaned"],
-                )
+                found = _judge(texts_of(part.column("text")), min_words, max_repeat, max_lost)
+                found["cleaned"] = [x.decode() if cleaned else None for x in found["cleaned"]]
+                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(x, pa.string()) if c == "cleaned" else pa.array(x) for c, x in found.items())], names=["id", *found])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+
+
+def clean_documents(docs: DataFrame, text_col: str = "text", min_words: int = 10, max_repeat: int = 20, max_lost: int = 50) -> DataFrame:
+    """The documents that the rules keep, all columns, their texts without the failed lines."""
+    at, names = docs.columns.index(text_col), docs.columns
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, text_col):
+                found = _judge(texts_of(part.column(at)), min_words, max_repeat, max_lost)
+                columns = [*part.columns]
+                columns[at] = pa.array([x.decode() for x in found["cleaned"]], pa.string())
+                yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(found["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 
-from huddle.llm.shared import written
+from huddle.llm.shared import numbered, side, written
 
 SAMPLE = 1_200
 TREES = 24
@@ -163,7 +163,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", mask: str = MASK) -> DataFrame:
     """The documents, all columns, with every found secret replaced in the text of its id."""
-    secrets = written(scan_secrets(docs, id_col, text_col, path_col).where("secret").groupBy(F.col("id").alias("_secret_of")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("_secrets")), "secrets-found")
-    joined = docs.join(secrets, docs[id_col].cast("long").eqNullSafe(F.col("_secret_of")), "left")
-    text = F.aggregate(F.coalesce("_secrets", F.array().cast("array<string>")), F.col(text_col).cast("string"), lambda t, s: F.replace(t, s, F.lit(mask)))
-    return joined.withColumn(text_col, text).select(*docs.columns)
+    found = scan_secrets(docs, id_col, text_col, path_col).where("secret")
+    found = written(found.groupBy(F.col("id").alias("of")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("secrets")), "secrets-found")
+    rows, name = numbered(docs)
+    joined = rows.join(side(found, 100_000), F.col(name[id_col]).cast("long").eqNullSafe(F.col("of")), "left")
+    text = F.aggregate(F.coalesce("secrets", F.array().cast("array<string>")), F.col(name[text_col]).cast("string"), lambda t, s: F.replace(t, s, F.lit(mask)))
+    return joined.withColumn(name[text_col], text).select(*rows.columns).toDF(*docs.columns)

@@ -24,3 +24,10 @@ def side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with its columns called c0, c1, ..., so that none clashes with an operator's own,
+    and the new name of each old one."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
