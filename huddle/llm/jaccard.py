@@ -8,8 +8,9 @@ Method.  Equal sets are one set from the start.  Every other set is cut into
 ``k`` parts by a hash of its shingles, and each part, hashed as a whole, is a
 *token*.  Sets of at most M shingles that link differ in at most
 ``d = (100 - percent) * 2M // (100 + percent)`` shingles, hence with
-``k = d + 1 + extra`` parts they agree on ``extra + 1`` of them: a set and a
-group whose token union holds fewer of its tokens cannot be linked.  That is
+``k = d + 1 + extra`` parts they agree on ``extra + 1`` of them, and on more the
+smaller the set: a set and a group whose token union holds fewer of its tokens
+cannot be linked.  That is
 the matrix: token x group, with the bound on a set's overlap with a group.
 A long passage shared by otherwise different documents fills no whole part,
 so frequent words, lines and passages make no frequent token.
@@ -123,7 +124,10 @@ def part_tokens(h: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray,
         emit = (held > 0) | (empties > spare)[cell_doc]
         tokens.append(token[emit])
         of.append(cell_doc[emit])
-        need.append(np.maximum(1, spare + 1 - empties)[cell_doc[emit]] * 2 + up)
+        # a partner has at most `most` shingles, so the two differ in at most `apart`
+        most = np.minimum(bounds[np.minimum(level + 1, len(bounds) - 1)] - 1, n * 100 // percent)
+        apart = (100 - percent) * (n + most) // (100 + percent)
+        need.append(np.maximum(1, k - apart - empties)[cell_doc[emit]] * 2 + up)
     if not tokens:
         return np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     t, o, q = map(np.concatenate, (tokens, of, need))
