@@ -45,7 +45,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from huddle.llm.shared import has_rows, numbered, side, written
+from huddle.llm.shared import has_rows, numbered, side, small_batches, written
 from huddle.llm.text import U64, Words, mix, slices, texts_of
 
 #: Sets in one opened block.
@@ -202,7 +202,7 @@ def link_block(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndar
 
 
 def open_blocks(docs: DataFrame, members: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links inside each block.  members (block, id) -> (id, to): the smallest id reached in the block."""
+    """Links inside each block.  members (block, id), written -> (id, to): the smallest id reached in the block."""
     needed = side(written(members.select("id").distinct(), "jaccard-needed"))
     texts = docs.join(needed, "id", "left_semi")
 
@@ -221,7 +221,7 @@ def open_blocks(docs: DataFrame, members: DataFrame, percent: int, width: int) -
         to = link_block(ids, [np.frombuffer(x, U64) for x in block["shingles"]], percent)
         return pd.DataFrame({"id": ids, "to": to})[to < ids]
 
-    return members.join(sets, "id").groupBy("block").applyInPandas(link, "id long, to long")
+    return sets.join(side(members), "id").groupBy("block").applyInPandas(link, "id long, to long")
 
 
 def smallest_reached(edges: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def qualifying(common: DataFrame, label: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """One row per input row: id, n_shingles, component."""
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sig = written(signatures(docs, percent, width), "jaccard-sets")
     docs = docs.where("id is not null")
 

@@ -26,12 +26,12 @@ import pyspark.sql.functions as F
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 
-from huddle.llm.shared import written
+from huddle.llm.shared import small_batches, written
 from huddle.llm.text import _LOWER, _WHITE, raw, slices, texts_of
 
 #: Distinct words that a task remembers the ids of before it starts anew.
-REMEMBERED = 400_000
-SLICE = 4 << 20
+REMEMBERED = 250_000
+SLICE = 2 << 20
 
 
 class WordEncoder:
@@ -162,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
                     names=["id", "piece", "start", "length", "ids_crc32", "shard", "rank", "ids"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "id long, piece int, start long, length long, ids_crc32 long, shard int, rank long, ids array<int>"
     )
 

@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
+from huddle.llm.shared import small_batches
 from huddle.llm.text import Words, raw, slices, texts_of
 
 # Phrases that mark a line as boilerplate.
@@ -148,7 +149,7 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 found["cleaned"] = [x.decode() if cleaned else None for x in found["cleaned"]]
                 yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(x, pa.string()) if c == "cleaned" else pa.array(x) for c, x in found.items())], names=["id", *found])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, SCHEMA)
 
 
 def clean_documents(docs: DataFrame, text_col: str = "text", min_words: int = 10, max_repeat: int = 20, max_lost: int = 50) -> DataFrame:
@@ -163,4 +164,4 @@ def clean_documents(docs: DataFrame, text_col: str = "text", min_words: int = 10
                 columns[at] = pa.array([x.decode() for x in found["cleaned"]], pa.string())
                 yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(found["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

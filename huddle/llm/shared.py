@@ -22,6 +22,15 @@ def side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """The frame, with the session's Arrow batches held to ``rows`` rows: texts are long, and a
+    task's Python and JVM each hold whole batches."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
+
+
 def has_rows(df: DataFrame) -> bool:
     return bool(df.take(1))
 
