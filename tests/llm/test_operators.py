@@ -1,0 +1,245 @@
+"""The training-data operators against brute force on small, awkward tables."""
+
+import collections
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from huddle.llm.counts import CountTree, PieceCounts, count_edited
+from huddle.llm.jaccard import jaccard_components, one_of_each
+from huddle.llm.licences import scan_licences
+from huddle.llm.mixing import highest_quotients, mix_sources, mixed_documents
+from huddle.llm.packing import pack_documents, plan_bins
+from huddle.llm.quality import clean_documents, judge_quality
+from huddle.llm.queries import tokenizer_path
+from huddle.llm.secrets import redact, scan_secrets
+from huddle.llm.topk import top_k
+from huddle.llm.toxicity import fit_toxicity, score_toxicity
+from huddle.llm.warc import archive_round_trip, chunked, unchunked
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, component long, _size string"
+random.seed(3)
+WORDS = ["".join(random.choice("abcdefghij") for _ in range(random.randint(2, 7))) for _ in range(400)]
+
+
+def sentence(n):
+    return " ".join(random.choice(WORDS) for _ in range(n)) + "."
+
+
+def near(text, edits):
+    words = text.split(" ")
+    for _ in range(edits):
+        words[random.randrange(len(words))] = random.choice(WORDS)
+    return " ".join(words)
+
+
+def make_rows():
+    texts = [None, "", " \n\t ", "one", "Two words", "two words", "a b éß |x|"]
+    base = [sentence(120) + "\n" + sentence(60) for _ in range(12)]
+    texts += base + base[:3]
+    texts += [near(base[0], k) for k in (1, 2, 3, 5, 8, 13)] + [near(base[1], 2).upper(), sentence(9000)]
+    texts += ["home | about | help | more\n" + sentence(15)] * 2 + ["rep eat the se words " * 12]
+    texts += [f'{sentence(20)} token = "{"4f3c2b1a9d8e7f605142" * 2}" {sentence(20)}', f"{sentence(20)} 4012888888881881 {sentence(20)}"]
+    rows = [(i, t, "en", f"s{i % 4}" if i % 5 else None, 0, "x", 7, "y") for i, t in enumerate(texts)]
+    return rows + [rows[8], (None, base[2], None, None, None, None, None, None)]
+
+
+ROWS = make_rows()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def shingles(text, width):
+    w = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
+
+
+@pytest.mark.parametrize(("percent", "width"), [(90, 3), (80, 5)])
+def test_jaccard_matches_brute_force(docs, percent, width):
+    rows = [(r[0], shingles(r[1], width)) for r in ROWS if r[0] is not None]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, s in rows:
+        for b, t in rows:
+            if a < b and s and t and 100 * len(s & t) >= percent * len(s | t):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    got = jaccard_components(docs, percent=percent, width=width).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        assert r.component == (None if r.id is None else find(r.id))
+    assert {r.id: r.n_shingles for r in got if r.id is not None} == {i: len(s) for i, s in rows}
+
+
+def test_one_of_each(docs):
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and 7 in ids and 19 not in ids and None in ids
+
+
+def test_quality_matches_brute_force(docs):
+    by = {r[0]: r[1] or "" for r in ROWS}
+    got = judge_quality(docs, cleaned=True).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        if r.id is None:
+            continue
+        text, words = by[r.id], WORD.findall(by[r.id])
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        count = collections.Counter(windows)
+        covered = {p for i, w in enumerate(windows) if count[w] > 1 for p in range(i, i + 5)}
+        assert (r.n_words, r.word_chars, r.n_symbols) == (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)))
+        assert (r.n_dup_lines, r.n_repeat_words) == (len(lines) - len(set(lines)), len(covered))
+        assert r.base_failed == (len(words) < 10 or 100 * len(covered) > 20 * len(words))
+        assert not (r.kept and r.base_failed)
+    kept = clean_documents(docs)
+    assert kept.columns == docs.columns and 7 in {r.doc_id for r in kept.collect()}
+
+
+def test_packing_is_whole_and_tight(docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    got = pack_documents(docs, tokenizer_path("word_bpe_49k.json"), capacity=512, keep_ids=True).collect()
+    bins, pieces = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+        pieces[r.id].append(r)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+    for own in bins.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= 512
+    for doc_id, text in {r[0]: r[1] for r in ROWS}.items():
+        want = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        times = sum(r[0] == doc_id for r in ROWS)
+        own = sorted(pieces[doc_id], key=lambda r: r.piece)[::times]
+        assert [i for r in own for i in r.ids] == want
+    alone = sum(r.length > 256 for r in got)  # no two of these fit together
+    assert len(bins) <= max(alone, -(-sum(r.length for r in got) // 512)) + 1
+
+
+def test_plan_replaces_the_smallest_by_two():
+    plan = plan_bins({60: 1, 30: 1, 22: 1, 18: 1}, 100)
+    assert {r[0] for r in plan if r[3] == 0} == {60, 22, 18}
+
+
+def test_mixing_meets_targets(docs):
+    got = mix_sources(docs).collect()
+    again = mix_sources(docs.repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again)) and len(got) == len(ROWS)
+    assert all(0 <= r._taken <= 2 * r._size for r in got)
+    total = sum(r._size for r in got)
+    targets = {r._source_size: r._target for r in got}
+    assert abs(sum(targets.values()) - 1.5 * total) < 1e-6 * total
+    assert abs(sum(r._taken for r in got) - 1.5 * total) < 0.02 * total
+    mixed = mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    assert sum(len(WORD.findall(r.text or "")) for r in mixed.collect()) == sum(r._taken for r in got)
+
+
+def test_highest_quotients():
+    assert list(highest_quotients(np.array([5.3, 2.4, 1.3]), np.array([9, 9, 9]))) == [5, 3, 1]
+    assert list(highest_quotients(np.array([3.0, 3.0]), np.array([1, 9]))) == [1, 5]
+
+
+def test_secrets(docs):
+    got = scan_secrets(docs).collect()
+    assert {r.value for r in got if r.secret} == {"4f3c2b1a9d8e7f605142" * 2}
+    assert "4012888888881881" in {r.value for r in got if not r.secret}
+    masked = redact(docs)
+    assert masked.columns == docs.columns and masked.count() == len(ROWS)
+    assert masked.where("text like '%[SECRET]%'").count() == 1 and masked.where("text like '%4f3c2b1a%'").count() == 0
+
+
+def test_warc_round_trip(spark):
+    pages = [(1, "u1", "<p>é</p>" * 9000, 0), (2, None, "<p>é</p>" * 9000, 0), (3, "u\r\nx", None, 0), (4, "u", "", 0), (5, "u", "x", 0), (5, "u", "x", 0), (None, "u", "WARC/1.1\r\n\r\n", 0)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, type int")
+    got = sorted([(r.page or 0, r.payload_bytes, r.type, r.refers_to, r.intact) for r in archive_round_trip(df, segment_bytes=4096).collect()])
+    size = len(("<p>é</p>" * 9000).encode())
+    assert got == [(0, 12, "response", None, True), (1, size, "revisit", 2, True), (2, size, "response", None, True), (3, 0, "revisit", 4, True), (4, 0, "response", None, True), (5, 1, "response", None, True), (5, 1, "response", None, True)]
+    assert archive_round_trip(df.limit(0)).count() == 0
+    assert unchunked(chunked(b"ab" * 5000)) == b"ab" * 5000 and unchunked(b"5\r\nab") is None
+
+
+def test_topk_matches_brute_force(spark):
+    rng = np.random.default_rng(1)
+    v = np.vstack([rng.standard_normal((300, 8)), np.tile(rng.standard_normal(8), (120, 1))])
+    rows = [(i, [float(x) for x in r], 0) for i, r in enumerate(v)] + [(500, None, 0), (501, [1.0, None], 0), (502, [float("nan")] * 8, 0), (None, [1.0] * 8, 0), (520, [1.0, 2.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")
+    got = sorted(tuple(r) for r in top_k(df, k=20).collect())
+    ints, ids = np.floor(64 * v).astype(np.int64), np.arange(len(v))
+    want = []
+    for i in range(0, len(v), 20):
+        score = ints @ ints[i]
+        other = ids != i
+        best = np.lexsort((ids[other], -score[other]))[:20]
+        want += [(i, k + 1, int(ids[other][j]), int(score[other][j])) for k, j in enumerate(best)]
+    assert got == sorted(want)
+    assert top_k(df.limit(0)).count() == 0
+
+
+def test_toxicity_learns(spark, empty):
+    bad = ["vile", "rotten", "nasty"]
+    rows = [(i, sentence(30) + (" " + random.choice(bad) + " " if i % 3 == 0 else " ") + sentence(30)) for i in range(300)] + [(900, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(200)], "doc_id long, toxic int")
+    got = score_toxicity(df, fit_toxicity(df, labels)).collect()
+    held = [(r.score >= 0.5) == (r.id % 3 == 0) for r in got if r.id is not None and 200 <= r.id < 300]
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got) and np.mean(held) > 0.95
+    assert score_toxicity(empty, fit_toxicity(empty, labels.limit(0))).count() == 0
+
+
+def test_licences(spark):
+    rows = [(1, "some words here\nReleased under the MIT License.\nmore"), (2, "Licensed under CC BY-NC 4.0."), (3, sentence(40)), (4, None), (5, ""), (None, "All rights reserved.")]
+    got = {r.id: [(h.paragraph, h.family) for h in r.hits] for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [(1, "mit")], 2: [(0, "cc-by-nc")], 3: [], 4: [], 5: [], None: [(0, "proprietary")]}
+
+
+def test_counts_follow_edits(spark):
+    path, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    counts = PieceCounts(path, pattern)
+    parts = ["a", "the", " ", "  ", "\n", "'", "'s", "'re", "e", "12", "é", "-", "don't", "\t"]
+    for n in (0, 1, 5, 80, 700):
+        text = "".join(random.choice(parts) for _ in range(n))
+        tree = CountTree(text, counts)
+        for _ in range(30):
+            a = random.randint(0, len(text) + 2)
+            b, new = a + random.choice([0, 1, 5, 90]), "".join(random.choice(parts) for _ in range(random.randint(0, 4)))
+            tree.edit(a, b, new)
+            a = min(a, len(text))
+            text = text[:a] + new + text[b:]
+            assert tree.total == len(counts.encoding.encode_ordinary(text))
+    df = spark.createDataFrame([(1, "one two", [(0, 3, "six")]), (2, None, None), (None, "a", [None])], "doc_id long, text string, edits array<struct<start:long,stop:long,replacement:string>>")
+    assert {(r.id, r.n_tokens, r.n_tokens_edited) for r in count_edited(df, path, pattern).collect()} == {(1, 2, 2), (2, 0, 0), (None, 1, 1)}
+
+
+@pytest.mark.parametrize("operator", [jaccard_components, one_of_each, judge_quality, clean_documents, mix_sources, mixed_documents, scan_secrets, redact, scan_licences])
+def test_empty_tables(empty, operator):
+    assert operator(empty).count() == 0
+
+
+def test_pack_empty(empty):
+    assert pack_documents(empty, tokenizer_path("word_bpe_49k.json")).count() == 0
