@@ -73,6 +73,10 @@ def prepare_features(
     missing values, so a missing scaled value is set to 0 (the mean) and a
     ``<col>_missing`` flag records it.
     """
+    if fit_on not in ("all", "train"):
+        raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
+    if fit_on == "train" and test_season is None:
+        raise ValueError("fit_on='train' needs a test_season")
     # one row per game: written once, then read by the scaler fit and the
     # transform (the learners persist their own training input)
     df = materialize(matchups.select(

@@ -48,14 +48,15 @@ def map_values(
 
     A Python mapping becomes a literal table of at most its own size, so it
     is broadcast; a DataFrame mapping is joined and left to AQE's
-    size-checked broadcast decision.
+    size-checked broadcast decision.  Of several values of one name the
+    smallest counts, so no row is multiplied.
     """
     if isinstance(mapping, Mapping):
         spark = spark or df.sparkSession
         table = spark.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
         table = F.broadcast(table)
     else:
-        table = mapping.select(key, value)
+        table = first_per_key(mapping.select(key, value), [key], [value])
     table = table.withColumnRenamed(key, "_map_key").withColumnRenamed(value, "_map_value")
     joined = df.join(table, F.col(column) == F.col("_map_key"), "left")
     return joined.select(

@@ -41,6 +41,9 @@ PLAY_MEASURES = [
     "rushing_yards", "interception", "fumble_lost", "spread_line",
 ]
 
+# Columns that a source may lack; they are then NULL.
+OPTIONAL = ["spread_line", "div_game"]
+
 WEEKLY_PLAYER_STATS = _struct(
     ("player_id", _S),
     ("player_display_name", _S),

@@ -1,33 +1,65 @@
 """Incremental landing: add only partitions not already present.
 
-The check is an anti join against the distinct partition keys of the
-landed dataset (read from its directory listing and partition columns, so
-no data files are opened), not a per-file existence test on the driver.
-Re-running a landing is a no-op, and a retried job cannot duplicate a
-season.
+``land`` takes whole partitions: an anti join against the distinct partition
+keys of the landed dataset (a scan of its partition columns) drops what is
+there, so re-running a landing is a no-op.  ``land_files`` takes source files,
+of which a season may have several that arrive at different times.  A target
+is filled by one of the two, not by both.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from huddle.sinks.files import write_partitioned_parquet
 
 
 def new_partitions(incoming: DataFrame, landed_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``incoming`` whose partition key is not among ``landed_keys``."""
-    return incoming.join(landed_keys.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``incoming`` whose partition key is not among ``landed_keys``;
+    a NULL key equals a NULL key."""
+    landed = landed_keys.select(*[F.col(k).alias(f"_landed_{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_landed_{i}")) for i, k in enumerate(keys)])
+    return incoming.join(landed, same, "left_anti")
 
 
 def landed_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """The keys that the target holds, or None where there is no target yet."""
     try:
-        return spark.read.parquet(path).select(*keys).distinct()
-    except AnalysisException:
-        return None  # nothing landed yet
+        landed = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return landed.select(*keys).distinct()
+
+
+def land_files(batch: DataFrame, path: str, keys: Sequence[str] = ("season",), file_col: str = "_file") -> None:
+    """Append the rows of source files that ``path`` has not had yet.
+
+    The unit is the source file, named by ``file_col``.  A manifest beside the
+    data (``<path>/_landed_files``, which readers of ``path`` skip) lists the files
+    landed.  Rows go to ``<keys>/landing=<id>``, the id following from the
+    batch's files, and replace that folder: a batch that failed before its
+    files were listed is written again to the same place, one that failed
+    after adds nothing.  So no row is lost or repeated whatever the batches."""
+    spark, manifest = batch.sparkSession, f"{path}/_landed_files"
+    done = landed_keys(spark, manifest, [file_col])
+    todo = batch if done is None else new_partitions(batch, done, [file_col])
+    files = todo.select(file_col).distinct()
+    batch_id = files.agg(F.sum(F.xxhash64(file_col).cast("decimal(38,0)")).cast("string").alias("id")).first()["id"]
+    if batch_id is None:
+        return
+    rows = todo.drop(file_col).withColumn("landing", F.concat(F.lit("f"), F.lit(batch_id)))
+    by = [*keys, "landing"]
+    writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).parquet(path)
+    files.coalesce(1).write.mode("append").parquet(manifest)
 
 
 def land(spark: SparkSession, incoming: DataFrame, path: str, keys: Sequence[str] = ("season",)) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,26 +18,10 @@ from huddle import schemas
 from huddle.functions.columns import nan_to_null
 
 
-_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One of the driver's tables (``<root>/<name>.parquet``).
-
-    The DataFrame is memoised per session and path: building it lists the
-    files and reads the footer on the driver, which is worth doing once.
-    DataFrames are immutable, so sharing one is safe; the cache holds plans,
-    not data.  The entry keeps its session, so a new session can never be
-    handed a frame of a stopped one.
-    """
-    path = os.path.join(root, f"{name}.parquet")
-    key = (id(spark), path)
-    hit = _TABLES.get(key)
-    if hit is not None and hit[0] is spark and spark.sparkContext._jsc is not None:
-        return hit[1]
-    df = spark.read.parquet(path)
-    _TABLES[key] = (spark, df)
-    return df
+    """One of the driver's tables (``<root>/<name>.parquet``), listed anew on
+    every call, so rows appended since an earlier call are seen."""
+    return spark.read.parquet(os.path.join(root, f"{name}.parquet"))
 
 
 def nans_to_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -49,10 +33,12 @@ def nans_to_nulls(df: DataFrame, columns: Iterable[str] | None = None) -> DataFr
     return df.select(*[nan_to_null(c).alias(c) if c in targets else F.col(c) for c in df.columns])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` onto ``schema``: cast present columns, add missing
-    nullable ones as NULL, drop the rest, then map NaN to NULL."""
+def conform(df: DataFrame, schema: T.StructType, optional: Iterable[str] = schemas.OPTIONAL) -> DataFrame:
+    """Project ``df`` onto ``schema``: cast present columns, add absent
+    ``optional`` ones as NULL, drop the rest, then map NaN to NULL.  Any other
+    absent column is an error: its sums would silently be 0."""
     present = set(df.columns)
+    _require(present, schema, optional)
     cols = [
         (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields
@@ -60,6 +46,12 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return nans_to_nulls(df.select(*cols))
 
 
+def _require(present: set[str], schema: T.StructType, optional: Iterable[str]) -> None:
+    absent = [f.name for f in schema.fields if f.name not in present and f.name not in set(optional)]
+    if absent:
+        raise ValueError(f"input lacks the declared column(s) {', '.join(absent)}")
+
+
 def read_plays(
     spark: SparkSession,
     path: str,
@@ -82,11 +74,37 @@ def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    header: bool = True,
+    optional: Iterable[str] = schemas.OPTIONAL,
+    missing: Sequence[str] = ("NA",),
 ) -> DataFrame:
-    """CSV with a header row, read with a declared schema (no inference)."""
-    df = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
-    return nans_to_nulls(df)
+    """CSV with a header row: the declared columns, found by name.
+
+    The file may hold more columns, in any order.  A declared column that the
+    header lacks is an error unless it is ``optional`` (then NULL).  Empty
+    fields and the ``missing`` marks are NULL; any other value that its
+    declared type cannot hold is an error when the column is read.  Files of
+    one folder must share one header."""
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    _require(set(raw.columns), schema, optional)
+    cols = [
+        (_parsed(f, missing) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ]
+    return nans_to_nulls(raw.select(*cols))
+
+
+def _parsed(field: T.StructField, missing: Sequence[str]) -> Column:
+    text = F.col(f"`{field.name}`")
+    text = F.when(~text.isin(*missing), text) if missing else text
+    if isinstance(field.dataType, T.StringType):
+        return text
+    value = text.try_cast(field.dataType)
+    if isinstance(field.dataType, T.IntegralType):
+        # "3.0", as written for an integer column with missing values
+        number = text.try_cast("double")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(field.dataType)))
+    fault = F.raise_error(F.concat(F.lit(f"column {field.name}: not a {field.dataType.simpleString()}: "), text))
+    return F.coalesce(value, F.when(text.isNotNull(), fault.cast(field.dataType)))
 
 
 def read_weekly_player_stats(

@@ -4,7 +4,9 @@ matching container of every page, extracted with regular expressions on the
 
 Patterns are written without back-references so the same extraction is
 expressible in other SQL engines.  Cell text has inner tags removed, the
-common character entities decoded and surrounding whitespace trimmed.
+common and the numeric character entities decoded and surrounding white space
+(line breaks and no-break spaces too) removed.  Tags match in either case.  A
+block ends at the first closing tag of its kind: nested tables are not read.
 """
 
 from __future__ import annotations
@@ -18,24 +20,40 @@ from pyspark.sql import functions as F
 GROUP_LABELS = ["", "Rushing", "Passing", "Receiving", "Fantasy", "Fantasy per Game"]
 
 # Entities decoded in cell text (fixed values), applied in this order.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&amp;", "&")]
 
 
 def first_block(html: Column, tag: str) -> Column:
     """Inner HTML of the first ``<tag ...>...</tag>`` (empty string if none)."""
-    return F.regexp_extract(html, rf"(?s)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
+    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
 
 
 def all_blocks(html: Column, tag_pattern: str) -> Column:
     """Inner HTML of every ``<tag>...</tag>`` matching ``tag_pattern``."""
-    return F.regexp_extract_all(html, F.lit(rf"(?s)<{tag_pattern}(?:\s[^>]*)?>(.*?)</{tag_pattern}>"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag_pattern}(?:\s[^>]*)?>(.*?)</{tag_pattern}>"), F.lit(1))
 
 
 def clean_text(c: Column) -> Column:
     text = F.regexp_replace(c, r"<[^>]*>", "")
+    text = decode_numbers(text)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(text)
+    return F.regexp_replace(text, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
+def decode_numbers(text: Column) -> Column:
+    """Decimal and hexadecimal character references; one that names no character stays as it is."""
+
+    def char(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, r"(?i)^&#x?([0-9a-f]+);$", 1)
+        code = F.when(F.lower(F.substring(ref, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        real = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        found = F.decode(F.unhex(F.lpad(F.hex(F.when(real, code).otherwise(63)), 8, "0")), "UTF-32")
+        # an ampersand waits for the named entities, so that what it yields is not read again
+        return F.when(real, F.when(found == "&", "&amp;").otherwise(found)).otherwise(ref)
+
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?i)(&#(?:[0-9]{1,7}|x[0-9a-f]{1,6});)"), F.lit(1)))
+    return F.aggregate(refs, text, lambda done, r: F.replace(done, r, char(r)))
 
 
 def header_labels(pages: DataFrame, drop: Sequence[str] = GROUP_LABELS, html: str = "html") -> DataFrame:

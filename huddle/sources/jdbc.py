@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from huddle.sources.files import nans_to_nulls
+
 
 def read_table(
     spark: SparkSession,
@@ -18,7 +20,7 @@ def read_table(
     """A whole table; with ``partition_column`` and bounds the read is split
     into ``num_partitions`` range queries run by separate tasks.  Filters and
     projections applied afterwards are pushed into the SQL sent to the
-    database."""
+    database.  NaN becomes NULL, as in the file sources."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
@@ -29,7 +31,7 @@ def read_table(
             .option("upperBound", upper_bound)
             .option("numPartitions", num_partitions or 8)
         )
-    return reader.load()
+    return nans_to_nulls(reader.load())
 
 
 def write_table(

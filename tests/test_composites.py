@@ -52,7 +52,7 @@ def test_matchups_from_plays(spark):
     df = spark.createDataFrame(rows, "season int, week int, game_id string, home_team string, away_team string, "
                                      "posteam string, defteam string, passing_yards double, epa double, "
                                      "home_score int, away_score int")
-    plays = conform(df, schemas.PLAYS)
+    plays = conform(df, schemas.PLAYS, optional=schemas.PLAYS.names)
     m = {(r.season, r.week): r for r in matchup.matchups_from_plays(plays).collect()}
     assert len(m) == 6 and m[(2023, 2)].actual_spread == 7
     assert m[(2023, 2)].passing_yards_delta == 5.0  # week-1 means: 10 - 5, blended 1/3 prior + 2/3 rolling
@@ -92,7 +92,7 @@ def test_readme_usage_chain(spark, tmp_path):
                                      "posteam string, defteam string, passing_yards double, epa double, "
                                      "home_score int, away_score int")
     path = str(tmp_path / "pbp")
-    conform(df, schemas.PLAYS).write.partitionBy("season").parquet(path)
+    conform(df, schemas.PLAYS, optional=schemas.PLAYS.names).write.partitionBy("season").parquet(path)
     plays = read_plays(spark, path, seasons=range(2021, 2024))
     assert team_stats.team_week_stats(plays).count() == 3 * 6 * 4
     games = matchup.matchups_from_plays(plays)

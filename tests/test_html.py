@@ -40,3 +40,10 @@ def test_position_table_takes_second_fantpt(spark):
     assert out["Tampa Bay & Co"].value is None  # not a number
     assert out["New York Jets"].Season == 2021 and out["New York Jets"].position == "RB"
     assert len(out) == 3
+
+
+def test_markup_that_pages_really_use(spark):
+    page = "<TABLE><THEAD><TR><TH> Tm\n</TH></TR></THEAD><TBODY><Tr><TD>\n Dallas&#160;Cowboys&nbsp;\n</TD><td>&#x41;&amp;#66;&#38;lt;</td></tr></TBODY></TABLE>"
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    assert html.header_labels(df).first().headers == ["Tm"]
+    assert html.body_rows(df).first().cells == ["Dallas\u00a0Cowboys", "A&#66;&lt;"]

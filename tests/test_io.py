@@ -1,20 +1,21 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from huddle import schemas
 from huddle.sinks import files as sinks
 from huddle.sinks.landing import land
 from huddle.sources import catalog, params
-from huddle.sources.files import conform, read_csv, read_plays
+from huddle.sources.files import conform, read_csv, read_plays, read_table
 
 
 def season_rows(spark, season, n=3):
     rows = [(season, w, f"g{season}{w}", "A", "B", "A", "B", float(w)) for w in range(1, n + 1)]
     df = spark.createDataFrame(rows, "season int, week int, game_id string, home_team string, away_team string, "
                                      "posteam string, defteam string, epa double")
-    return conform(df, schemas.PLAYS)
+    return conform(df, schemas.PLAYS, optional=schemas.PLAYS.names)
 
 
 def test_landing_is_incremental(spark, tmp_path):
@@ -39,7 +40,56 @@ def test_streaming_landing(spark, tmp_path):
     q = season_landing_stream(spark, incoming + "/*", target, ckpt)
     q.awaitTermination(120)
     counts = {r.season: r["count"] for r in read_plays(spark, target).groupBy("season").count().collect()}
-    assert counts == {2021: 3, 2022: 3}
+    assert counts == {2021: 7, 2022: 3}  # the season goes on in a second file
+    q = season_landing_stream(spark, incoming + "/*", target, str(tmp_path / "ckpt2"))
+    q.awaitTermination(120)
+    assert read_plays(spark, target).count() == 10  # the same files again add nothing
+
+
+def test_streaming_landing_does_not_depend_on_batches(spark, tmp_path):
+    from huddle.streaming.landing import season_landing_stream
+
+    incoming, target, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    for n in (1, 2, 3):
+        season_rows(spark, 2023, n=n).coalesce(1).write.mode("append").parquet(incoming)
+    q = season_landing_stream(spark, incoming, target, ckpt, max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert read_plays(spark, target).count() == 6
+
+
+def test_landing_null_keys_and_misspelt_keys(spark, tmp_path):
+    target = str(tmp_path / "t")
+    rows = spark.createDataFrame([(None, 1.0), (2020, 2.0)], "season int, epa double")
+    for _ in range(3):
+        land(spark, rows, target)
+    assert spark.read.parquet(target).count() == 2
+    with pytest.raises(AnalysisException):
+        land(spark, rows.withColumnRenamed("season", "saeson"), target, keys=["saeson"])
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    path = tmp_path / "games.csv"
+    path.write_text("game_id,season,game_type,week,away_team,home_team,spread_line\ng1,2023,REG,1.0,ARI,WAS,7\ng2,2023,REG,2,BUF,NYJ,NA\n")
+    got = read_csv(spark, str(path), schemas.GAMES).orderBy("week").collect()
+    assert [(r.season, r.week, r.home_team, r.away_team, r.spread_line) for r in got] == [(2023, 1, "WAS", "ARI", 7.0), (2023, 2, "NYJ", "BUF", None)]
+    path.write_text("season,week,home_team,spread_line\n2023,1,WAS,7\n")
+    with pytest.raises(ValueError, match="away_team"):
+        read_csv(spark, str(path), schemas.GAMES)
+    path.write_text("season,week,home_team,away_team,spread_line\n2023,one,WAS,ARI,7\n")
+    with pytest.raises(Exception, match="column week"):
+        read_csv(spark, str(path), schemas.GAMES).collect()
+
+
+def test_conform_wants_declared_columns(spark):
+    with pytest.raises(ValueError, match="epa"):
+        conform(spark.createDataFrame([(2020,)], "season int"), schemas.PLAYS)
+
+
+def test_read_table_sees_appended_rows(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    for n in (3, 8):
+        spark.range(3 if n == 3 else 5).write.mode("append").parquet(path)
+        assert read_table(spark, str(tmp_path), "t").count() == n
 
 
 def test_read_plays_prunes_seasons_and_columns(spark, tmp_path):

@@ -25,7 +25,7 @@ def test_one_pass_team_stats_equals_join(spark, rows):
         [(s, w, p, d, a, b, c, c, a, b) for s, w, p, d, a, b, c in rows],
         "season int, week int, posteam string, defteam string, passing_yards double, rushing_yards double, "
         "epa double, interception double, fumble_lost double, posteam_score_post double")
-    plays = conform(df, schemas.PLAYS)
+    plays = conform(df, schemas.PLAYS, optional=schemas.PLAYS.names)
     one = team_stats.team_week_stats(plays)
     two = team_stats.team_week_stats_joined(plays).select(*one.columns)
     via_pairs = team_stats.team_week_from_pairs(team_stats.pair_week_stats(plays)).select(*one.columns)

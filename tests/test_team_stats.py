@@ -23,7 +23,7 @@ def plays(spark):
     ]
     types = {"season": "int", "week": "int", "posteam": "string", "defteam": "string"}
     schema = ", ".join(f"{c} {types.get(c, 'double')}" for c in cols)
-    return conform(spark.createDataFrame(rows, schema), schemas.PLAYS)
+    return conform(spark.createDataFrame(rows, schema), schemas.PLAYS, optional=schemas.PLAYS.names)
 
 
 def by_team(df):
