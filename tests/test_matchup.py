@@ -45,3 +45,20 @@ def test_swapping_sides_negates_deltas(spark):
     j = a.alias("a").join(b.alias("b"), "game_id")
     bad = j.filter(" OR ".join(f"NOT (a.{c} <=> -b.{c})" for c in cols) + " OR a.actual_spread <> -b.actual_spread")
     assert bad.count() == 0
+
+
+def test_a_repeated_name_in_a_map_multiplies_nothing(spark):
+    from huddle.operators.player import map_values
+
+    teams = spark.createDataFrame([("Jets",), ("Bears",)], "team string")
+    names = spark.createDataFrame([("Jets", "NYJ"), ("Jets", "XXX")], "name string, abbr string")
+    assert sorted(r.team for r in map_values(teams, "team", names).collect()) == ["Bears", "NYJ"]
+
+
+def test_scaling_on_training_seasons_needs_a_season(spark):
+    import pytest
+
+    from huddle.operators.models import prepare_features
+
+    with pytest.raises(ValueError, match="test_season"):
+        prepare_features(spark.range(1), fit_on="train")
