@@ -20,10 +20,11 @@ so frequent words, lines and passages make no frequent token.
 2. Similar sets form a group: each goes to its most frequent token.  A group
    is opened in blocks of about ``BLOCK`` sets, each with the group's most
    central set, so that a block of any large group is joined to the others.
-3. Tokens may still lie in several components.  First these components' most
-   central sets are compared.  For what is left, each set asks every group
-   whose token union overlaps enough with the set's tokens; askers and group
-   members meet in blocks of ``ASK_BLOCK`` each.
+3. Tokens may still lie in several components.  First each component's set that
+   overlaps most with some token's most central set is compared with that one.
+   For what is left, each set asks every group whose token union overlaps enough
+   with the set's tokens; askers and group members meet in blocks of
+   ``ASK_BLOCK`` each.
 
 An opened block compares its sets exactly on all their shingles, so every
 link between different sets is found or is implied by links that were found.
@@ -52,6 +53,8 @@ from huddle.llm.text import U64, Words, mix, slices, texts_of
 BLOCK = 128
 #: Askers, and members, of one opened block of the last step.
 ASK_BLOCK = 512
+#: Links that one task of a labelling round takes.
+LABEL_ROWS = 50_000
 #: Ratio of the largest to the smallest set size in a size class.
 CLASS_RATIO = {90: 1.3, 80: 1.6}
 
@@ -231,17 +234,20 @@ def smallest_reached(edges: DataFrame) -> DataFrame:
     and then follows one pointer, so long chains halve; the loop ends when
     nothing changes."""
     edges = written(edges.select("id", "to").distinct(), "links")
+    # rounds write little, so their tables follow the number of links and not the session's partitions
+    parts = max(8, edges.count() // LABEL_ROWS)
     label = edges.select(F.explode(F.array("id", "to")).alias("id")).distinct().withColumn("label", F.col("id"))
     both = edges.union(edges.select(F.col("to").alias("id"), F.col("id").alias("to")))
-    label = written(label, "labels")
+    label = written(label.coalesce(parts), "labels")
     while True:
         near = both.join(label.select(F.col("id").alias("to"), F.col("label").alias("seen")), "to").groupBy("id").agg(F.min("seen").alias("seen"))
         least = label.join(near, "id", "left").select("id", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
+        least = written(least.coalesce(parts), "labels")
         # also tell the old label's owner, so that whole components move at once
         told = least.groupBy(F.col("old").alias("id")).agg(F.min("label").alias("told"))
-        least = written(least.join(told, "id", "left").select("id", "old", F.least("label", "told").alias("label")), "labels")
         jump = least.select(F.col("id").alias("label"), F.col("label").alias("next"))
-        new = written(least.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
+        new = least.join(told, "id", "left").select("id", "old", F.least("label", "told").alias("label"))
+        new = written(new.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("next", "label")).alias("label")).coalesce(parts), "labels")
         if not has_rows(new.where("label != old")):
             return new.select("id", F.col("label").alias("component"))
         label = new.select("id", "label")
@@ -301,7 +307,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # tokens that occur in several sets, and the sets that hold enough of them
     token = sets.select("id", F.explode(F.arrays_zip("tokens", "needs")).alias("x")).select("id", F.col("x.tokens").alias("token"), F.col("x.needs").alias("need"))
     counted = token.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    common = token.join(counted, "token")
+    common = written(token.join(counted, "token"), "jaccard-shared")
     enough = common.groupBy("id", "need").agg(F.count("*").alias("common"), F.sum("held").alias("weight"), F.max(F.struct("held", "token")).alias("top")).where(F.col("common") * 2 >= F.col("need") - F.col("need") % 2)
     chosen = written(enough.groupBy("id").agg(F.max("top").getField("token").alias("grp"), F.sum("weight").alias("weight")), "jaccard-chosen")
     common = written(common.select("id", "token", "need").join(side(chosen.select("id")), "id", "left_semi"), "jaccard-common")
@@ -314,11 +320,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = written(placed.union(centres).distinct(), "jaccard-members")
     links = written(open_blocks(docs, members, percent, width), "jaccard-found")
 
-    # tokens that still lie in several components: first the most central sets
+    # tokens that still lie in several components: first each component's best meeting with a token's most central set
     label = written(labelled(chosen, links), "jaccard-labels")
     held = common.join(label, "id")
     split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("id", central()).alias("hub"), F.max_by("component", central()).alias("hub_component")).where("lo < hi")
-    pairs = held.join(split, "token").where("component != hub_component").groupBy("component", "hub").agg(F.max_by("id", central()).alias("id"))
+    meets = held.join(split, "token").where("component != hub_component").groupBy("component", "id", "hub", "need").agg(F.count("*").alias("overlap")).where(F.col("overlap") * 2 >= F.col("need") - F.col("need") % 2)
+    pairs = meets.groupBy("component").agg(F.max(F.struct("overlap", "hub", "id")).alias("best")).select("best.id", "best.hub")
     pairs = written(pairs.select("id", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("id"), F.lit(16))).alias("block")), "jaccard-pairs")
     if has_rows(pairs):
         members = written(pairs.select("block", "id").union(pairs.select("block", F.col("hub").alias("id"))).distinct(), "jaccard-members")
