@@ -20,7 +20,6 @@ plays_base AS (
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  WHERE s.s_nationkey <> c.c_nationkey
 ),
 plays AS (
   SELECT season, week,
@@ -83,7 +82,7 @@ games AS (
   SELECT season, week, game_id, home_team, away_team,
          CAST(coalesce(sum(CASE WHEN posteam = home_team THEN _qty END), 0) AS INTEGER) AS home_score,
          CAST(coalesce(sum(CASE WHEN posteam <> home_team THEN _qty END), 0) AS INTEGER) AS away_score
-  FROM plays GROUP BY season, week, game_id, home_team, away_team
+  FROM plays WHERE home_team <> away_team GROUP BY season, week, game_id, home_team, away_team
 )"""
 
 
@@ -100,7 +99,7 @@ SELECT season, week, passing_yards, rushing_yards, interceptions, fumbles, point
        turnover_margin, points_scored - points_allowed AS point_delta
 FROM tws WHERE team = '7' ORDER BY season, week"""
 ORACLE["schedule_distinct"] = with_ctes(PLAYS_CTE) + """
-SELECT DISTINCT season, week, game_id, home_team, away_team FROM plays"""
+SELECT DISTINCT season, week, game_id, home_team, away_team FROM plays WHERE home_team <> away_team"""
 ORACLE["games"] = with_ctes(PLAYS_CTE, GAMES_CTE) + "SELECT * FROM games"
 
 
@@ -478,6 +477,38 @@ SELECT page_id, row_index, CAST(len(cells) AS INTEGER) AS n_cells, array_to_stri
 
 
 # ---------------------------------------------------------------------- knn
+# evidence maximisation on the centred sums, one row per round
+ORACLE["bayesian_ridge_fit"] = f"""
+WITH RECURSIVE {XY_CTE.strip()},
+{TRAIN_CTE},
+raw AS (
+  SELECT count(*) AS n, CAST(sum(x) AS HUGEINT) AS sx, CAST(sum(y) AS HUGEINT) AS sy,
+         CAST(sum(CAST(x AS HUGEINT) * y) AS HUGEINT) AS sxy, CAST(sum(CAST(x AS HUGEINT) * x) AS HUGEINT) AS sxx,
+         CAST(sum(CAST(y AS HUGEINT) * y) AS HUGEINT) AS syy
+  FROM train
+),
+st AS (
+  SELECT CAST(n AS DOUBLE) AS n, CAST(sx AS DOUBLE) / n AS mx, CAST(sy AS DOUBLE) / n AS my,
+         CAST(n * sxx - sx * sx AS DOUBLE) / n AS cxx, CAST(n * sxy - sx * sy AS DOUBLE) / n AS cxy,
+         CAST(n * syy - sy * sy AS DOUBLE) / n AS cyy
+  FROM raw WHERE n > 0
+),
+rounds AS (
+  SELECT 0 AS i, 1.0 / (cyy / n + 2.220446049250313e-16) AS alpha, CAST(1.0 AS DOUBLE) AS lam,
+         CAST(NULL AS DOUBLE) AS coef, false AS done
+  FROM st
+  UNION ALL
+  SELECT i + 1, (n - gamma + 2e-6) / (cyy - 2 * c * cxy + c * c * cxx + 2e-6), (gamma + 2e-6) / (c * c + 2e-6),
+         c, coef IS NOT NULL AND abs(coef - c) < 1e-3
+  FROM (
+    SELECT r.i, r.coef, st.*, cxy / (cxx + r.lam / r.alpha) AS c, r.alpha * cxx / (r.lam + r.alpha * cxx) AS gamma
+    FROM rounds r CROSS JOIN st WHERE NOT r.done AND r.i < 300
+  )
+),
+last AS (SELECT * FROM rounds ORDER BY i DESC LIMIT 1),
+fitted AS (SELECT cxy / (cxx + lam / alpha) AS slope, mx, my FROM last CROSS JOIN st)
+SELECT 'bayesianridge' AS model, round(slope, 6) AS slope, round(my - slope * mx, 6) AS intercept FROM fitted"""
+
 ORACLE["knn_fit"] = f"""
 WITH part_xy AS (
   SELECT p_partkey, CAST(p_size AS DOUBLE) AS x, CAST(round(p_retailprice * 100) AS BIGINT) AS y,

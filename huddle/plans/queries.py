@@ -82,8 +82,9 @@ def q_single_team_week(spark, root):
 
 @query("schedule_distinct")
 def q_schedule_distinct(spark, root):
+    plays = standins.plays(spark, root).filter(F.col("home_team") != F.col("away_team"))
     return team_stats.schedule_rows(
-        standins.plays(spark, root), ("season", "week", "game_id", "home_team", "away_team")
+        plays, ("season", "week", "game_id", "home_team", "away_team")
     )
 
 
@@ -443,7 +444,7 @@ def q_feature_importance(spark, root):
 def q_bayesian_ridge_fit(spark, root):
     train = _xy(spark, root).filter(F.col("split") == "train")
     m = regression.fit_bayesian_ridge(train, "x", "y")
-    return spark.createDataFrame([(m.name, m.slope, m.intercept)], "model string, slope double, intercept double")
+    return rounded(spark.createDataFrame([(m.name, m.slope, m.intercept)], "model string, slope double, intercept double"))
 
 
 @query("tree_regressor_mse")

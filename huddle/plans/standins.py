@@ -56,7 +56,7 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
     week = F.month("o_orderdate").cast("int")
     home = F.least(offense, defense)
     away = F.greatest(offense, defense)
-    return rows.filter(F.col("s_nationkey") != F.col("c_nationkey")).select(
+    return rows.select(
         season.alias("season"),
         week.alias("week"),
         F.concat_ws("_", season.cast("string"), week.cast("string"), home, away).alias("game_id"),
@@ -77,7 +77,9 @@ def plays(spark: SparkSession, root: str) -> DataFrame:
 
 
 def games(plays_df: DataFrame) -> DataFrame:
-    """One row per game with integer scores (quantity moved by each side)."""
+    """One row per game with integer scores (quantity moved by each side).
+    A game needs two sides: a nation's plays against itself make none."""
+    plays_df = plays_df.filter(F.col("home_team") != F.col("away_team"))
     on_home = F.col("posteam") == F.col("home_team")
     return plays_df.groupBy("season", "week", "game_id", "home_team", "away_team").agg(
         F.coalesce(F.sum(F.when(on_home, F.col("_qty"))), F.lit(0)).cast("int").alias("home_score"),
@@ -134,7 +136,7 @@ def player_days(spark: SparkSession, root: str) -> DataFrame:
 def games_from_pairs(pairs: DataFrame) -> DataFrame:
     """:func:`games` computed from pair-level rows (yards moved by each side
     are the sums of its passing and rushing yards)."""
-    p = pairs.filter(F.col("defteam").isNotNull())
+    p = pairs.filter(F.col("defteam") != F.col("posteam"))
     home = F.least("posteam", "defteam")
     away = F.greatest("posteam", "defteam")
     yards = F.coalesce(F.col("passing_yards"), F.lit(0.0)) + F.coalesce(F.col("rushing_yards"), F.lit(0.0))

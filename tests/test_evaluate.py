@@ -1,3 +1,8 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
 from huddle.operators import evaluate
 
 PRED = "week int, home_team string, away_team string, actual_spread int, predicted_spread double, prediction_error double"
@@ -55,3 +60,26 @@ def test_regression_metrics(spark):
     assert m["a"].n == 3 and abs(m["a"].mse - 5 / 3) < 1e-12 and abs(m["a"].mae - 1.0) < 1e-12
     assert abs(m["a"].rmse - (5 / 3) ** 0.5) < 1e-12
     assert m["b"].n == 2 and m["b"].mse == 0.0
+
+
+GOLDEN = os.environ.get("HUDDLE_GOLDEN_PREDICTIONS", "")
+
+
+@pytest.mark.skipif(not os.path.isfile(GOLDEN), reason="HUDDLE_GOLDEN_PREDICTIONS names no file of evaluated predictions")
+def test_stored_predictions_evaluate_as_stored(spark):
+    """Every stored verdict, the four ratios and both errors, from the stored predictions and lines."""
+    stored = spark.read.option("header", True).csv(GOLDEN)
+    verdicts = ["vegas_prediction", "vegas_correct", "model_correct", "model_beats_spread", "model_beats_vegas"]
+    keys = ["home_team", "away_team", "week"]
+    typed = stored.select(F.col("week").cast("int").alias("week"), "home_team", "away_team",
+                          *[F.col(c).cast("double").alias(c) for c in ("actual_spread", "predicted_spread", "spread_line")])
+    lines = typed.select(*keys, "spread_line", F.lit(2023).alias("season"))
+    got = evaluate.evaluate_against_line(typed.drop("spread_line"), lines, season=2023)
+    want = stored.select(F.col("week").cast("int").alias("week"), "home_team", "away_team", *verdicts)
+    got_verdicts = got.select(*want.columns)
+    assert got_verdicts.count() == 285
+    assert got_verdicts.exceptAll(want).count() == 0 and want.exceptAll(got_verdicts).count() == 0
+    ratios = evaluate.accuracy_summary(got).first()
+    assert [round(x * 285) for x in ratios] == [167, 192, 115, 237]
+    error = evaluate.regression_metrics(typed, "actual_spread", ["predicted_spread"]).first()
+    assert (round(error["rmse"], 3), round(error["mae"], 3)) == (13.766, 10.710)

@@ -103,3 +103,16 @@ def test_team_filter_reaches_scan(spark, tmp_path):
     assert "PushedFilters" in plan and "posteam" in plan
     assert "PartitionFilters" in plan
     assert math.isclose(team_stats.single_team_week_stats(df, "A").first()["point_delta"], 11.0)
+
+
+def test_standin_plays_keep_every_lineitem_and_games_have_two_sides(spark):
+    from tests.conftest import SF_SMALL
+    from huddle.plans import standins
+
+    p = standins.plays(spark, SF_SMALL)
+    assert p.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert p.filter("posteam = defteam").count() > 0
+    games = standins.games(p)
+    assert games.filter("home_team = away_team").count() == 0
+    rolled = standins.games_from_pairs(team_stats.pair_week_stats(p)).select(*games.columns)
+    assert games.exceptAll(rolled).count() == 0 and rolled.exceptAll(games).count() == 0
