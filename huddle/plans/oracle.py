@@ -181,9 +181,10 @@ ORACLE["blended_features_prior_fill"] = (
     with_ctes(*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(True)) + _BLENDED_OUT
 )
 MATCHUP_CTES = (*_TWS, MEANS_CTE, prior_cte(2), ROLL_CTE, blended_cte(), GAMES_CTE, MATCHUP_CTE)
+# "+ 0.0": a small negative difference rounds to -0.0 here and to 0.0 in Spark; the two are the same number
 ORACLE["matchup_dataset"] = with_ctes(*MATCHUP_CTES) + f"""
 SELECT season, week, game_id, home_team, away_team, week_number, is_early_season,
-       {_cols("round({f}_delta, 6) AS {f}_delta")}, is_division_game, actual_spread
+       {_cols("round({f}_delta, 6) + 0.0 AS {f}_delta")}, is_division_game, actual_spread
 FROM matchup"""
 
 
@@ -301,7 +302,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
 _CONT = ["week_number", *[f"{f}_delta" for f in FEATURES]]
 _stats = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _CONT)
 _scaled = ",\n       ".join(
-    f"round(({c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in _CONT
+    f"round(({c} - m_{c}) / CASE WHEN s_{c} IS NULL OR s_{c} = 0 THEN 1 ELSE s_{c} END, 6) + 0.0 AS {c}" for c in _CONT
 )
 ORACLE["standardised_features"] = with_ctes(*MATCHUP_CTES) + f"""
 , st AS (SELECT {_stats} FROM matchup)
