@@ -1,9 +1,15 @@
 """Secret scans: candidates judged by a random forest, DataFrame operations only.
 
-A candidate is the first run of 16 or more of ``A-Z a-z 0-9 + / _ -`` with a
-digit in a word of the text.  The forest sees its length, its characters and
-the transitions between their kinds, how much of it dictionary words cover,
-the path of the document and the words around it.
+A candidate is a run of 16 or more of ``A-Z a-z 0-9 + / _ -`` with a digit; a
+word of the text may hold any number of them.  The forest sees its length, its
+characters and the transitions between their kinds, how much of it dictionary
+words cover, the path of the document and the words around it.
+
+The text before a word's first run is the three words before and the word up
+to the run; before a later one, the run before it and what stands between.
+Runs that only a mark like ``.`` or ``,`` joins are parts of one value (a
+JWT, a list): each stands where the value stands, with ``NEAR`` characters of
+the text before it.
 
 Labelled findings to train on: a sample of at most ``SAMPLE`` candidates of
 the corpus (lowest hashes of id and place) gives the surroundings; in each,
@@ -14,9 +20,9 @@ mixed value assigned to a credential's name is one.  ``labelled`` findings of
 another origin may be given instead.  Everything else runs over all texts.
 
 Defined results: a null or empty text has no candidate; repeated rows each
-have theirs; a null id stays null; a very long word gives one candidate; an
-empty table gives an empty result.  Only the id, text and path columns are
-read.
+have theirs; a null id stays null; a text without blanks is one word with all
+its candidates; an empty table gives an empty result.  Only the id, text and
+path columns are read.
 """
 
 from __future__ import annotations
@@ -34,7 +40,12 @@ TREES = 24
 DEPTH = 6
 MASK = "[SECRET]"
 
-CANDIDATE = r"(?=[A-Za-z+/_\-]{0,200}[0-9])[A-Za-z0-9+/_\-]{16,}"
+NEAR = 200
+
+# Whole runs, each character read a fixed number of times; possessive, so that long ones need no stack.
+CANDIDATE = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}+"
+#: Candidates joined by a mark alone; the name of a value is none of them.
+JOINED = CANDIDATE + r"(?:=*+[\"'`]?+[.,;|~][\"'`]?+" + CANDIDATE + r"(?![\"'`]?:|=\w))*+"
 # Words of the scan's dictionary and of a candidate's surroundings.
 DICTIONARY = (
     "example|sample|test|dummy|fake|mock|demo|your|here|change|changeme|insert|replace|placeholder|value|token|secret|password|passwd|"
@@ -57,26 +68,31 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """id, word_no, value, before, after, path: one row per candidate."""
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(path, F.lit("")).alias("path"))
-    beside = lambda w, which: F.call_function("substring_index", w, F.regexp_extract(w, CANDIDATE, 0), F.lit(which))
     words = F.split("text", r"[\x20\x09-\x0D]+")
     found = F.filter(
         F.transform(
             "words",
             lambda w, i: F.when(
                 w.rlike(CANDIDATE),
-                F.struct(
-                    i.alias("word_no"),
-                    F.regexp_extract(w, CANDIDATE, 0).alias("value"),
-                    F.concat_ws(" ", F.get("words", i - 3), F.get("words", i - 2), F.get("words", i - 1), beside(w, 1)).alias("before"),
-                    F.concat_ws(" ", beside(w, -1), F.get("words", i + 1)).alias("after"),
-                ),
+                F.struct(i.alias("word_no"), w.alias("word"), F.concat_ws(" ", F.get("words", i - 3), F.get("words", i - 2), F.get("words", i - 1)).alias("lead"), F.get("words", i + 1).alias("next")),
             ),
         ),
         lambda x: x.isNotNull(),
     )
     # most texts hold none and are not split
     rows = rows.where(F.col("text").rlike(CANDIDATE)).withColumn("words", words)
-    return rows.select("id", "path", F.explode(found).alias("x")).select("id", "path", "x.*")
+    rows = rows.select("id", "path", F.explode(found).alias("x")).select("id", "path", "x.*")
+    # The pieces between the joined runs are one more than these.  What comes from outside the word goes
+    # to its first and last piece alone, so that a word of many runs does not carry it along with each.
+    joined, pieces = F.regexp_extract_all("word", F.lit(JOINED), F.lit(0)), F.split("word", JOINED)
+    n = F.size(joined)
+    first = F.array(F.concat_ws(" ", F.nullif("lead", F.lit("")), F.element_at(pieces, 1)))
+    last = F.array(F.concat_ws(" ", F.element_at(pieces, -1), "next"))
+    parts = F.arrays_zip(joined.alias("joined"), F.concat(F.array(F.lit("")), F.slice(joined, 1, n - 1)).alias("prior"), F.concat(first, F.slice(pieces, 2, n - 1)).alias("left"), F.concat(F.slice(pieces, 2, n - 1), last).alias("after"))
+    rows = rows.select("id", "path", "word_no", F.explode(parts).alias("x")).select("id", "path", "word_no", "x.*")
+    values, before = F.regexp_extract_all("joined", F.lit(CANDIDATE), F.lit(0)), F.concat(F.right("prior", F.lit(NEAR)), "left")
+    places = F.arrays_zip(values.alias("value"), F.concat(F.array(before), F.array_repeat(F.right(before, F.lit(NEAR)), F.size(values) - 1)).alias("before"))
+    return rows.select("id", "path", "word_no", F.left("after", F.lit(NEAR)).alias("after"), F.explode(places).alias("x")).select("id", "word_no", "x.value", "x.before", "after", "path")
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -114,7 +130,7 @@ def features(rows: DataFrame) -> DataFrame:
 def labelled_findings(found: DataFrame, sample: int = SAMPLE, seed: int = 11) -> DataFrame:
     """value, before, after, path, label: at most 13 rows for each of ``sample`` candidates and of 64 bare places."""
     bare = found.sparkSession.range(64).select((-F.col("id") - 1).alias("id"), F.lit("").alias("path"), F.lit(0).alias("word_no"), F.lit("").alias("value"), F.lit("text before it").alias("before"), F.lit("and after").alias("after"))
-    places = found.select("id", "path", "word_no", "value", "before", "after").orderBy(F.xxhash64(F.lit(seed), "id", "word_no", "value"), "id", "word_no").limit(sample).unionByName(bare)
+    places = found.select("id", "path", "word_no", "value", "before", "after").orderBy(F.xxhash64(F.lit(seed), "id", "word_no", "value"), "id", "word_no", "before").limit(sample).unionByName(bare)
     key = F.concat_ws("-", F.lit(seed), F.coalesce("id", F.lit(0)), "word_no", "value")
     places = places.withColumns({"h": F.sha2(key, 256), "r": F.xxhash64(key), "plain": F.regexp_replace("before", "[=:\"'`]|(?i)" + CREDENTIAL, "")})
     places = places.withColumn("b", F.translate(F.base64(F.unhex("h")), "+/=", "xyz"))
