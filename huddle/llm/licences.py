@@ -11,6 +11,13 @@ a paragraph must reach is calibrated on variations that training leaves out;
 below it the family is unknown.  A prediction is confirmed only if enough of
 the paragraph's window that fits a template best is that template's text.
 
+A paragraph without a confirmed family is still a finding, of the family
+``unknown``, if it is a licence statement: a second regression tells licence
+from no licence.  It learns from the same paragraphs and from STATEMENTS with
+any name; its threshold is calibrated in the same way, and the paragraph has to
+hold a licence word or TOLD 3-word runs of statements or templates, or agree
+with a template.  The score of such a finding is the probability of a licence.
+
 Defined results: a null or empty text has no paragraph and no finding;
 repeated rows each have theirs; a null id stays null; a paragraph may be as
 long as it likes; an empty table gives an empty result and still trains on
@@ -71,6 +78,33 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "Copyright, all rights reserved. No part may be reproduced without permission.", "Unauthorized copying of this file, via any medium, is strictly prohibited."],
 }
 FAMILIES = ["", *TEMPLATES]
+UNKNOWN = "unknown"
+TOLD = 3
+# How licences state themselves, whatever their NAME, and the words that make a line one to look at.
+STATEMENTS = [
+    "Licensed under the NAME License.",
+    "Licensed under the NAME License, Version 2.0; see the file LICENSE for details.",
+    "Released under the NAME License.",
+    "Distributed under the NAME Public License, version 2.0.",
+    "Distributed under the terms of the NAME licence.",
+    "This work is licensed under a NAME License.",
+    "This Source Code Form is subject to the terms of the NAME Public License, v. 2.0.",
+    "If a copy of the NAME was not distributed with this file, you can obtain one at NAME.",
+    "This program and the accompanying materials are made available under the terms of the NAME License which accompanies this distribution.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions.",
+    "The software is provided as is, without warranty of any kind, express or implied.",
+    "You should have received a copy of the NAME License along with this program.",
+    "Use of this software is governed by the NAME license agreement.",
+    "SPDX-License-Identifier: NAME",
+    "NAME License, Version 1.0",
+    "License: NAME",
+    "Dieses Werk ist lizenziert unter der NAME Lizenz.",
+    "Veröffentlicht unter der NAME Lizenz.",
+    "Ce document est distribué sous licence NAME.",
+    "Publicado bajo la licencia NAME.",
+]
+LICENCE_WORDS = "license licence licenses licences licensed licenced licensing spdx-license-identifier copyright copyrighted lizenz lizenziert licencia licenciado licenza".split()
 _EDGE = np.ones(256, bool)
 _EDGE[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = False
 
@@ -133,18 +167,33 @@ def _paragraphs(texts: list[str]) -> Paragraphs:
 
 
 class Classifier:
-    def __init__(self):
-        self.weight = np.zeros((BUCKETS, len(FAMILIES)), np.float32)
-        self.offset = np.zeros(len(FAMILIES), np.float32)
-        self.least = np.full(len(FAMILIES), 0.5)
+    def __init__(self, classes: int = len(FAMILIES)):
+        self.weight = np.zeros((BUCKETS, classes), np.float32)
+        self.offset = np.zeros(classes, np.float32)
+        self.least = np.full(classes, 0.5)
         known = _paragraphs([t for ts in TEMPLATES.values() for t in ts])
         family = np.repeat(np.arange(1, len(FAMILIES)), [len(ts) for ts in TEMPLATES.values()])
         self.template_runs, self.template_of = known.three
         self.family_of = family
+        # whether a paragraph is a licence at all: the weights of a classifier of two classes
+        self.any_weight, self.any_offset, self.any_least = np.zeros((BUCKETS, 2), np.float32), np.zeros(2, np.float32), 0.5
+        stated = _paragraphs(STATEMENTS)
+        self.stated_runs = np.union1d(stated.three[0], self.template_runs)
+        self.licence_words = np.sort(_paragraphs(LICENCE_WORDS).hash)
 
     def probability(self, p: Paragraphs) -> np.ndarray:
         return _softmax((features(p, self.weight) + self.offset).astype(float))
 
+    def speaks(self, p: Paragraphs) -> np.ndarray:
+        """Whether a paragraph holds a licence word or TOLD 3-word runs of statements and templates."""
+        runs, of = p.three
+        known = np.bincount(of[np.isin(runs, self.stated_runs)], minlength=len(p.words))
+        return (known >= TOLD) | (np.bincount(p.of_word[np.isin(p.hash, self.licence_words)], minlength=len(p.words)) > 0)
+
+    def licence(self, p: Paragraphs, agrees: np.ndarray | bool = False) -> np.ndarray:
+        """The probability that a paragraph is a licence statement; 0 if it neither speaks like one nor agrees with a template."""
+        return np.where(self.speaks(p) | agrees, _softmax((features(p, self.any_weight) + self.any_offset).astype(float))[:, 1], 0.0)
+
     def agreement(self, p: Paragraphs, predicted: np.ndarray) -> np.ndarray:
         """For each paragraph the largest share of a template of its predicted family, or of the
         paragraph, that their common 3-word runs make up."""
@@ -172,7 +221,7 @@ class Classifier:
         rows, of = (p.runs[order] & U64(BUCKETS - 1)).astype(np.int64), p.of[order]
         ends = np.searchsorted(of, np.arange(len(texts) + 1))
         speed = np.full(self.weight.shape, 1e-4, np.float32)
-        one = np.eye(len(FAMILIES), dtype=np.float32)
+        one = np.eye(len(self.offset), dtype=np.float32)
         for _ in range(epochs):
             turn = rng.permutation(len(texts))
             for lo in range(0, len(turn), batch):
@@ -181,11 +230,11 @@ class Classifier:
                 n = np.array([ends[i + 1] - ends[i] for i in some])
                 doc = np.repeat(np.arange(len(some)), n)
                 scale = (1 / np.sqrt(np.maximum(n, 1))).astype(np.float32)
-                z = np.zeros((len(some), len(FAMILIES)), np.float32)
+                z = np.zeros((len(some), len(self.offset)), np.float32)
                 np.add.at(z, doc, self.weight[idx])
                 error = (_softmax(z * scale[:, None] + self.offset) - one[label[some]]) / len(some)
                 u, inverse = np.unique(idx, return_inverse=True)
-                grad = np.zeros((len(u), len(FAMILIES)), np.float32)
+                grad = np.zeros((len(u), len(self.offset)), np.float32)
                 np.add.at(grad, inverse, (error * scale[:, None])[doc])
                 grad += 1e-5 * self.weight[u]
                 speed[u] += grad**2
@@ -231,6 +280,29 @@ def variations(corpus: list[str], copies: int = COPIES, seed: int = 3) -> tuple[
     return texts, np.array(label)
 
 
+def statements(corpus: list[str], copies: int = COPIES, seed: int = 5) -> tuple[list[str], np.ndarray]:
+    """Training paragraphs of licence (1) or none (0): STATEMENTS under many names, and ordinary words with one licence word."""
+    rng = np.random.default_rng(seed)
+    fill = [w for t in corpus for w in t.split()[:12]] or ["some", "other", "words"]
+    some = lambda least, most: [fill[i] for i in rng.integers(0, len(fill), int(rng.integers(least, most)))]
+    texts, label = [], []
+    for statement in STATEMENTS:
+        for c in range(copies):
+            name = "".join(chr(65 + i) for i in rng.integers(0, 26, int(rng.integers(2, 5)))) + ("-2.0" if c % 4 == 1 else "") if c % 2 else " ".join(some(1, 4))
+            own = statement.replace("NAME", name).split()
+            if c % 3 == 1 and len(own) > 8:
+                cut = int(rng.integers(0, len(own) // 3 + 1))
+                own = own[cut:] if rng.random() < 0.5 else own[: len(own) - cut]
+            if c % 3 == 2:
+                own = some(0, 8) + own + some(0, 8)
+            texts.append(" ".join(own))
+            label.append(1)
+    for _ in range(copies * 8):
+        texts.append(" ".join([*some(1, 12), LICENCE_WORDS[int(rng.integers(0, len(LICENCE_WORDS)))], *some(1, 12)]))
+        label.append(0)
+    return texts, np.array(label)
+
+
 def train_classifier(corpus: list[str]) -> Classifier:
     model = Classifier()
     corpus = [t for t in corpus if t.split()]
@@ -244,11 +316,24 @@ def train_classifier(corpus: list[str]) -> Classifier:
     learn = np.flatnonzero(~aside)
     model.fit([texts[i] for i in learn], label[learn])
     model.calibrate([texts[i] for i in np.flatnonzero(aside)], label[aside])
+    # Licence or none.  A paragraph of the corpus that speaks like a licence without a template is no example of none.
+    more, of_more = statements(corpus)
+    keep = np.flatnonzero((label > 0) | ~model.speaks(_paragraphs(texts)))
+    texts, label = [texts[i] for i in keep] + more, np.concatenate([label[keep] > 0, of_more]).astype(int)
+    aside = np.arange(len(texts)) % 5 == 0
+    learn = np.flatnonzero(~aside)
+    two = Classifier(2)
+    two.fit([texts[i] for i in learn], label[learn])
+    model.any_weight, model.any_offset = two.weight, two.offset
+    prob, truth = model.licence(_paragraphs([texts[i] for i in np.flatnonzero(aside)])), label[aside]
+    wrong = np.sort(prob[(truth == 0) & (prob >= 0.5)])
+    allowed = int((prob >= 0.5).sum()) // 100
+    model.any_least = max(0.5, float(wrong[-1 - allowed]) + 1e-9 if len(wrong) > allowed else 0.5)
     return model
 
 
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, confirm: float = CONFIRM) -> DataFrame:
-    """id, n_paragraphs, hits (paragraph, family, score, agreement) of every row."""
+    """id, n_paragraphs, hits (paragraph, family or ``unknown``, score, agreement) of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # a bounded sample of paragraphs: one line, chosen by hash, of the documents with the lowest hashes
     chosen = docs.where("text is not null and id is not null").select("id", F.xxhash64(F.lit(3), "id").alias("h"), F.split("text", "\n").alias("l"))
@@ -275,10 +360,13 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     prob = model.probability(p)
                     predicted = prob.argmax(axis=1)
                     score = prob[np.arange(len(prob)), predicted]
-                    predicted[score < model.least[predicted]] = 0
                     agreement = model.agreement(p, predicted)
-                    for i in np.flatnonzero((predicted > 0) & (agreement >= confirm)):
-                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": FAMILIES[predicted[i]], "score": float(score[i]), "agreement": float(agreement[i])})
+                    agrees = (predicted > 0) & (agreement >= confirm)
+                    family = np.where(agrees & (score >= model.least[predicted]), predicted, 0)
+                    licence = model.licence(p, agrees)
+                    for i in np.flatnonzero((family > 0) | (licence >= model.any_least)):
+                        name, sure = (FAMILIES[family[i]], score[i]) if family[i] else (UNKNOWN, licence[i])
+                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": name, "score": float(sure), "agreement": float(agreement[i])})
                 count = np.bincount(p.doc, minlength=p.n_docs).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count), pa.array(hits, kind)], names=["id", "n_paragraphs", "hits"])
 

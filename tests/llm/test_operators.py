@@ -243,6 +243,17 @@ def test_licences(spark):
     assert got == {1: [(1, "mit")], 2: [(0, "cc-by-nc")], 3: [], 4: [], 5: [], None: [(0, "proprietary")]}
 
 
+def test_unknown_licences(spark):
+    unknown = ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the ISC License.", "Released under the terms of the Eclipse Public License 2.0", "SPDX-License-Identifier: EUPL-1.2", "Distributed under the Artistic License, see the notes"]
+    ordinary = ["They met at the harbour and went home.", "You can get a copy of the book at the library.", "ELLEONTION.", sentence(30)]
+    rows = [(i, f"{sentence(9)}\n{t}\n{sentence(9)}") for i, t in enumerate([*unknown, *ordinary, "Released under the MIT License."])]
+    rows += [(i, sentence(random.randint(1, 40))) for i in range(100, 500)]
+    got = {r.id: [(h.paragraph, h.family) for h in r.hits] for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    n = len(unknown)
+    assert [got.pop(i) for i in range(n)] == [[(1, "unknown")]] * n
+    assert got.pop(n + len(ordinary)) == [(1, "mit")] and not any(got.values())
+
+
 def test_counts_follow_edits(spark):
     path, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     counts = PieceCounts(path, pattern)
