@@ -42,7 +42,7 @@ FULL_GRID = {
 }
 # Default grid: small enough to run anywhere; pass FULL_GRID to search all.
 SMALL_GRID = {
-    "n_estimators": [10],
+    "n_estimators": [10, 20],
     "learning_rate": [0.1],
     "max_depth": [3, 4],
     "subsample": [1.0],
@@ -163,11 +163,17 @@ def best_setting(scores: DataFrame, metric: str = "mean_rmse") -> DataFrame:
 
 
 def train_and_score(
-    prepared: Prepared, test_season: int, setting: dict | None = None, seed: int = 42
+    prepared: Prepared, test_season: int, setting: dict | None = None, seed: int = 42,
+    grid: dict = SMALL_GRID, folds: int = 5,
 ):
-    """Fit on seasons before ``test_season`` and score it."""
+    """Fit on seasons before ``test_season`` and score it: with ``setting``,
+    or else with the best setting of ``grid`` by ``folds``-fold search on the
+    training seasons, refitted on all of them."""
     train, test = split.season_split(prepared.frame, test_season)
-    model = gbt(setting or {"n_estimators": 20, "max_depth": 4, "learning_rate": 0.1}, seed).fit(train)
+    if setting:
+        model = gbt(setting, seed).fit(train)
+    else:
+        model, _ = cross_validate(train, grid, folds, seed=seed)
     return model, model.transform(test)
 
 

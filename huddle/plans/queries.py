@@ -418,24 +418,24 @@ def _prepared(spark, root):
 
 
 @query("gbt_predictions")
-def q_gbt_predictions(spark, root):
+def q_gbt_predictions(spark, root, grid=models.SMALL_GRID):
     prep, last = _prepared(spark, root)
-    _, scored = models.train_and_score(prep, last)
+    _, scored = models.train_and_score(prep, last, grid=grid)
     return evaluate.predictions_with_keys(scored, label="label", prediction="prediction")
 
 
 @query("cv_scores")
-def q_cv_scores(spark, root):
+def q_cv_scores(spark, root, grid=models.SMALL_GRID):
     prep, last = _prepared(spark, root)
     train, _ = split.season_split(prep.frame, last)
-    _, scores = models.cross_validate(train, models.SMALL_GRID, folds=3)
+    _, scores = models.cross_validate(train, grid, folds=5)
     return scores
 
 
 @query("feature_importance")
-def q_feature_importance(spark, root):
+def q_feature_importance(spark, root, grid=models.SMALL_GRID):
     prep, last = _prepared(spark, root)
-    model, _ = models.train_and_score(prep, last)
+    model, _ = models.train_and_score(prep, last, grid=grid)
     imp = models.importances(model, prep.feature_names, spark)
     return tables.top_n(imp, "importance", 15, tie_break=["feature"])
 
@@ -452,7 +452,7 @@ def q_tree_regressor_mse(spark, root):
     xy = VectorAssembler(inputCols=["xd"], outputCol="features").transform(
         _xy(spark, root).select(F.col("x").cast("double").alias("xd"), F.col("y").cast("double").alias("label"), "split"))
     train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
-    return models.one_feature_sweep(train, test, sizes=models.QUICK_SIZES)
+    return models.one_feature_sweep(train, test, sizes=models.DEFAULT_SIZES)
 
 
 @query("blend_trace")

@@ -54,6 +54,29 @@ def test_cross_validate_small_grid(spark):
     assert best.getMaxDepth() in (2, 3)
 
 
+def test_scoring_uses_the_searched_setting(spark):
+    prep = models.prepare_features(matchups(spark))
+    grid = {"n_estimators": [2], "learning_rate": [0.1], "max_depth": [2, 3], "subsample": [1.0], "colsample_bytree": [1.0]}
+    best, scores = models.cross_validate(prep.frame.filter(F.col("season") < 2023), grid, folds=5)
+    model, scored = models.train_and_score(prep, 2023, grid=grid)
+    assert model.getNumTrees == 2 and model.getMaxDepth() == models.best_setting(scores).first().max_depth
+    assert scored.count() == 80
+
+
+def test_registered_model_queries_are_whole(spark, monkeypatch):
+    from huddle.plans import queries
+
+    prep, seen = models.prepare_features(matchups(spark)), []
+    monkeypatch.setattr(queries, "_prepared", lambda spark, root: (prep, 2023))
+    monkeypatch.setattr(models, "cross_validate", lambda train, grid, folds=5, **kw: seen.append((grid, folds)) or (None, None))
+    monkeypatch.setattr(models, "one_feature_sweep", lambda train, test, seed=42, sizes=models.DEFAULT_SIZES: seen.append(sizes))
+    queries.REGISTRY["cv_scores"](spark, "")
+    queries.REGISTRY["cv_scores"](spark, "", grid=models.FULL_GRID)
+    assert seen == [(models.SMALL_GRID, 5), (models.FULL_GRID, 5)] and len(models.grid_settings(models.FULL_GRID)) == 243
+    queries.REGISTRY["tree_regressor_mse"](spark, "/root/testdata/sf0.001")
+    assert seen[-1] == {"rfr_trees": 100, "gbr_rounds": 100, "xgbr_rounds": 100, "adaboost_rounds": 50}
+
+
 def test_adaboost_fits_a_step(spark):
     rows = [(float(x), 10.0 if x >= 5 else 0.0) for x in range(10) for _ in range(5)]
     df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(rows, "x double, label double"))
