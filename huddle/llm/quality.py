@@ -6,11 +6,15 @@ document is rejected when too much of its text is lost.
 Lines are what ``\\n`` splits; a line counts if it holds a word (a run outside
 space and 0x09-0x0D).  A line fails on the first of these rules:
 
-* ``navigation``  at least 3 bars ``|``, or bars for a fifth of its words
+* ``navigation``  at least 3 bars ``|`` and one for 20 words, or bars for a
+  fifth of its words
 * ``punctuation`` 3 or more marks of ``#*$%&<>!`` for ten words (and at least
-  two marks), or a line of 8 or more words without one mark of ``.!?:;`` in it
-* ``boilerplate`` it repeats an earlier line of the text, or contains one of
-  ``BOILERPLATE`` (ASCII letters in any case)
+  two marks), or a line of 8 or more words without one mark of ``.!?:;`` or of
+  another script's in it, unless it is wrapped: in a block of lines of at most
+  ``WRAP`` characters, none of them blank, it has no room for the next line's
+  first word, and the next line has a mark or is wrapped itself
+* ``boilerplate`` it repeats an earlier line of the text, or contains
+  ``BOILERPLATE`` (ASCII letters in any case) once for 30 words or more often
 
 A document is rejected if the base rules fail (fewer than ``min_words`` words,
 or more than ``max_repeat`` percent of its words lie in 5-word windows that
@@ -25,6 +29,8 @@ the text column are, whatever other columns are called.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyspark.sql.functions as F
@@ -48,6 +54,8 @@ BOILERPLATE = (
 )
 MARKS = b"#*$%&<>!"
 SENTENCE = b".!?:;"
+OTHER_SENTENCE = re.compile("|".join("\u3002\uff0e\uff01\uff1f\uff1b\uff1a\uff61\u2026\u061f\u061b\u06d4\u0964\u0965\u1362\u1367\u0589\u104b\u17d4\u037e").encode())
+WRAP = 120
 WINDOW = 5
 
 _SYMBOL = np.zeros(256, bool)
@@ -84,31 +92,61 @@ def repeated_words(words: Words, width: int = WINDOW) -> np.ndarray:
     return np.bincount(words.doc[covered], minlength=words.n_docs).astype(np.int64)
 
 
-def line_fails(line: bytes, words: int) -> bool:
-    """The line's own rules; repeats are told by the caller."""
+def has_mark(line: bytes) -> bool:
+    return len(line) != len(line.translate(None, SENTENCE)) or bool(OTHER_SENTENCE.search(line))
+
+
+def wrapped_lines(lines: list[bytes]) -> list[bool]:
+    """For each line whether its sentence goes on to a mark in the next lines of its block."""
+    text = [line.decode(errors="replace").rstrip() for line in lines]
+    wrapped, width, end = [False] * len(lines), 0, len(lines)
+    for i in range(len(lines) - 1, -1, -1):
+        if not text[i].strip():
+            end = i
+            continue
+        if i + 1 == end or i + 1 == len(lines):  # the last line of a block
+            first = i
+            while first and text[first - 1].strip():
+                first -= 1
+            width = max(map(len, text[first : i + 1]))
+            continue
+        full = len(text[i]) + 1 + len(text[i + 1].split()[0]) > width
+        wrapped[i] = full and width <= WRAP and (has_mark(lines[i + 1]) or wrapped[i + 1])
+    return wrapped
+
+
+def line_fails(line: bytes, words: int, wrapped=lambda: False) -> bool:
+    """The line's own rules; repeats, and whether it is wrapped, are told by the caller."""
     bars = line.count(b"|")
-    if bars >= 3 or bars * 5 >= words:
+    if (bars >= 3 and bars * 20 >= words) or bars * 5 >= words:
         return True
     marks = len(line) - len(line.translate(None, MARKS))
     if marks >= 2 and 10 * marks >= 3 * words:
         return True
-    if words >= 8 and len(line) == len(line.translate(None, SENTENCE)):
+    if words >= 8 and not has_mark(line) and not wrapped():
         return True
     low = line.lower()
-    return any(phrase in low for phrase in BOILERPLATE)
+    return any(phrase in low for phrase in BOILERPLATE) and 30 * sum(map(low.count, BOILERPLATE)) >= words
 
 
 def clean_lines(text: bytes) -> tuple[bytes, int, int]:
     """(text without failed lines, their words, lines with a word that equal an earlier one)."""
     seen: set[bytes] = set()
     kept, lost, repeats = [], 0, 0
-    for line in text.split(b"\n"):
+    lines, told = text.split(b"\n"), []
+
+    def wrapped():
+        if not told:
+            told.extend(wrapped_lines(lines))
+        return told[i]
+
+    for i, line in enumerate(lines):
         words = len(line.split())
         if words:
             repeat = line in seen
             seen.add(line)
             repeats += repeat
-            if repeat or line_fails(line, words):
+            if repeat or line_fails(line, words, wrapped):
                 lost += words
                 continue
         kept.append(line)

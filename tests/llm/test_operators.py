@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -14,7 +15,7 @@ from huddle.llm.jaccard import jaccard_components, one_of_each
 from huddle.llm.licences import scan_licences
 from huddle.llm.mixing import highest_quotients, mix_sources, mixed_documents
 from huddle.llm.packing import pack_documents, plan_bins
-from huddle.llm.quality import clean_documents, judge_quality
+from huddle.llm.quality import clean_documents, clean_lines, judge_quality
 from huddle.llm.queries import tokenizer_path
 from huddle.llm.secrets import candidates, redact, scan_secrets
 from huddle.llm.topk import top_k
@@ -116,6 +117,19 @@ def test_quality_matches_brute_force(docs):
     assert kept.columns == docs.columns and 7 in {r.doc_id for r in kept.collect()}
 
 
+def test_quality_keeps_long_and_wrapped_lines(spark):
+    prose = [sentence(25) for _ in range(8)]
+    long = " ".join([*prose[:4], "The privacy policy | of | the | town was changed.", *prose[4:]])
+    words = " ".join(prose).replace(".", "").split()
+    wrapped = textwrap.fill(" ".join(words[:90]) + ".", 60) + "\n\n" + textwrap.fill(" ".join(words[90:190]) + ".", 60)
+    other = " ".join(words[:60]) + "\u0964 " + " ".join(words[60:90]) + "\u3002"
+    good, bad = [long, wrapped, other], ["home | about | help | more", "Read our privacy policy.", " ".join(words[:40]), " ".join(words[:12]) + "\n\n" + prose[0]]
+    df = spark.createDataFrame(list(enumerate(good)), "doc_id long, text string")
+    assert {r.doc_id: r.text for r in clean_documents(df).collect()} == dict(enumerate(good))
+    assert [clean_lines(t.encode())[0].decode().strip() for t in bad] == ["", "", "", prose[0]]
+    assert clean_lines(("a b c d e f g h\n" * 3 + prose[0]).encode())[1] >= 16
+
+
 def test_packing_is_whole_and_tight(docs):
     from tokenizers import Tokenizer
 
