@@ -1,12 +1,15 @@
 """License scans: a trained paragraph classifier.
 
-A paragraph is a line of the text that holds a word.  Its features are the
+A paragraph is a line of the text that holds a word.  One of more than WIDE
+words is judged by windows of WIDE words, each half over the next, and each
+family that a window confirms is a finding of its best window.  Features are the
 hashes of its 1-, 2- and 3-word runs (ASCII lower case, marks around a word
 removed); multinomial logistic regression, trained in numpy, gives each licence
 family and the class of no licence a probability.  It learns from the
 templates below, in variations (runs cut off, words before and after, words
 lost), and from at most ``SAMPLE`` paragraphs of the corpus (lowest hashes)
-that share few runs with any template.  For every family the probability that
+that share no run with any template, a window out of the first 2,000 characters
+of each.  For every family the probability that
 a paragraph must reach is calibrated on variations that training leaves out;
 below it the family is unknown.  A prediction is confirmed only if enough of
 the paragraph's window that fits a template best is that template's text.
@@ -79,6 +82,7 @@ TEMPLATES = {
 }
 FAMILIES = ["", *TEMPLATES]
 UNKNOWN = "unknown"
+WIDE = 24
 TOLD = 3
 # How licences state themselves, whatever their NAME, and the words that make a line one to look at.
 STATEMENTS = [
@@ -136,11 +140,66 @@ class Paragraphs:
         self.words = np.diff(np.append(self.first, len(line)))
         self.n_docs, self.hash = w.n_docs, w.hash
         w.doc = self.of_word  # runs stay inside a paragraph
-        runs = [(w.window_hash(at, n), self.of_word[at]) for n in RUNS for at in [w.windows(n)]]
+        self.at = [w.windows(n) for n in RUNS]
+        runs = [(w.window_hash(at, n), self.of_word[at]) for n, at in zip(RUNS, self.at, strict=True)]
         self.runs, self.of = (np.concatenate(x) for x in zip(*runs, strict=True))
         self.three = w.window_hash(w.windows(3), 3), self.of_word[w.windows(3)]
 
 
+class Windows:
+    """Windows of WIDE words of the paragraphs, two layers of them, as Paragraphs has its paragraphs;
+    a paragraph of at most WIDE words is its own window.
+
+    ``owner``  the window's paragraph
+    ``start``  its first word in the paragraph
+    """
+
+    def __init__(self, p: Paragraphs):
+        half = WIDE // 2
+        place = np.arange(len(p.hash)) - np.repeat(p.first, p.words)
+        counts = [-(-p.words // WIDE), np.where(p.words > WIDE, -(-(p.words - half) // WIDE), 0)]
+        self.owner = np.concatenate([np.repeat(np.arange(len(p.words)), c) for c in counts])
+        layers, base = [], 0
+        for shift, c in zip((0, half), counts, strict=True):
+            first = base + np.cumsum(c) - c
+            number = (place - shift) // WIDE
+            layers.append((np.where((place >= shift) & (c[p.of_word] > 0), first[p.of_word] + number, -1), (place - shift) % WIDE))
+            base += int(c.sum())
+        self.start = np.concatenate([np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) for c in counts]) * WIDE
+        self.start[int(counts[0].sum()) :] += half
+        words = [of[of >= 0] for of, _ in layers]
+        self.of_word, self.hash = np.concatenate(words), np.concatenate([p.hash[of >= 0] for of, _ in layers])
+        self.words = np.bincount(self.of_word, minlength=base)
+        runs, done = [], 0
+        for n, at in zip(RUNS, p.at, strict=True):
+            own = p.runs[done : done + len(at)]
+            done += len(at)
+            inside = [(of[at] >= 0) & (rest[at] + n <= WIDE) for of, rest in layers]
+            runs.append((np.concatenate([own[k] for k in inside]), np.concatenate([of[at][k] for k, (of, _) in zip(inside, layers, strict=True)])))
+        self.runs, self.of = (np.concatenate(x) for x in zip(*runs, strict=True))
+        self.three = runs[RUNS.index(3)]
+
+
+def findings(v: Windows, family: np.ndarray, score: np.ndarray, agreement: np.ndarray, licence: np.ndarray, least: float) -> list[tuple[int, str, float, float]]:
+    """(paragraph, family, score, agreement), in paragraph order: each family's best window, and the best
+    unknown licence that no window of a family touches."""
+    found: dict[int, dict[str, int]] = {}
+    at = np.flatnonzero((family > 0) | (licence >= least))
+    known = {}
+    for i in at[family[at] > 0]:
+        known.setdefault(int(v.owner[i]), []).append(i)
+    for i in at:
+        own, stop = int(v.owner[i]), v.start[i] + v.words[i]
+        if not family[i] and any(v.start[j] < stop and v.start[i] < v.start[j] + v.words[j] for j in known.get(own, ())):
+            continue
+        name = FAMILIES[family[i]] if family[i] else UNKNOWN
+        best = found.setdefault(own, {})
+        rank = lambda j: (agreement[j], score[j]) if family[j] else (licence[j], 0.0)
+        if name not in best or rank(i) > rank(best[name]):
+            best[name] = i
+    return [(own, name, float(score[i] if family[i] else licence[i]), float(agreement[i])) for own in sorted(found) for name, i in sorted(found[own].items(), key=lambda x: (v.start[x[1]], x[0]))]
+
+
 def features(p: Paragraphs, table: np.ndarray) -> np.ndarray:
     """Sum of the runs' rows of a table, divided by the root of their number."""
     out = np.zeros((len(p.words), table.shape[1]), np.float32)
@@ -267,7 +326,11 @@ def variations(corpus: list[str], copies: int = COPIES, seed: int = 3) -> tuple[
                     own = own[cut:] if rng.random() < 0.5 else own[: len(own) - cut]
                 if c % 4 == 2 and len(own) > 6:
                     own.pop(int(rng.integers(0, len(own))))
-                if c % 2:
+                if c % 4 == 3:  # somewhere in a window of a long line
+                    room = int(rng.integers(0, max(0, WIDE - len(own)) + 1))
+                    lead, around = int(rng.integers(0, room + 1)), [fill[i] for i in rng.integers(0, len(fill), room)]
+                    own = around[:lead] + own + around[lead:]
+                elif c % 2:
                     pick = lambda most: [fill[i] for i in rng.integers(0, len(fill), int(rng.integers(0, most)))]
                     own = pick(8) + own + pick(8)
                 texts.append(" ".join(own))
@@ -275,7 +338,7 @@ def variations(corpus: list[str], copies: int = COPIES, seed: int = 3) -> tuple[
     texts += corpus
     label += [0] * len(corpus)
     for _ in range(copies * 4):  # ordinary words in the templates' manner
-        texts.append(" ".join(fill[i] for i in rng.integers(0, len(fill), int(rng.integers(2, 20)))))
+        texts.append(" ".join(fill[i] for i in rng.integers(0, len(fill), int(rng.integers(2, WIDE + 1)))))
         label.append(0)
     return texts, np.array(label)
 
@@ -294,7 +357,8 @@ def statements(corpus: list[str], copies: int = COPIES, seed: int = 5) -> tuple[
                 cut = int(rng.integers(0, len(own) // 3 + 1))
                 own = own[cut:] if rng.random() < 0.5 else own[: len(own) - cut]
             if c % 3 == 2:
-                own = some(0, 8) + own + some(0, 8)
+                lead, around = int(rng.integers(0, WIDE)), some(0, max(0, WIDE - len(own)) + 1) if c % 2 else some(0, 16)
+                own = around[:lead] + own + around[lead:]
             texts.append(" ".join(own))
             label.append(1)
     for _ in range(copies * 8):
@@ -305,7 +369,10 @@ def statements(corpus: list[str], copies: int = COPIES, seed: int = 5) -> tuple[
 
 def train_classifier(corpus: list[str]) -> Classifier:
     model = Classifier()
-    corpus = [t for t in corpus if t.split()]
+    rng = np.random.default_rng(7)
+    lines = [t.split() for t in corpus if t.split()]
+    at = [int(rng.integers(0, max(0, len(w) - WIDE) + 1)) for w in lines]
+    corpus = [" ".join(w[i : i + WIDE]) for w, i in zip(lines, at, strict=True)]
     if corpus:
         p = _paragraphs(corpus)
         runs, of = p.three
@@ -357,16 +424,20 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 p = Paragraphs(texts_of(part.column("text")))
                 hits = [[] for _ in range(p.n_docs)]
                 if len(p.words):
-                    prob = model.probability(p)
+                    v = Windows(p)
+                    prob = model.probability(v)
+                    licence, speaks = model.licence(v, True), model.speaks(v)
+                    # where the other regression tells a licence, the likeliest family among licences
+                    among = (prob[:, 0] >= prob[:, 1:].max(axis=1)) & speaks & (licence >= model.any_least)
+                    prob[among, 0] = 0
+                    prob[among] /= prob[among].sum(axis=1, keepdims=True)
                     predicted = prob.argmax(axis=1)
                     score = prob[np.arange(len(prob)), predicted]
-                    agreement = model.agreement(p, predicted)
+                    agreement = model.agreement(v, predicted)
                     agrees = (predicted > 0) & (agreement >= confirm)
                     family = np.where(agrees & (score >= model.least[predicted]), predicted, 0)
-                    licence = model.licence(p, agrees)
-                    for i in np.flatnonzero((family > 0) | (licence >= model.any_least)):
-                        name, sure = (FAMILIES[family[i]], score[i]) if family[i] else (UNKNOWN, licence[i])
-                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": name, "score": float(sure), "agreement": float(agreement[i])})
+                    for i, name, sure, agreed in findings(v, family, score, agreement, np.where(speaks | agrees, licence, 0.0), model.any_least):
+                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": name, "score": sure, "agreement": agreed})
                 count = np.bincount(p.doc, minlength=p.n_docs).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count), pa.array(hits, kind)], names=["id", "n_paragraphs", "hits"])
 

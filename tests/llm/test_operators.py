@@ -268,6 +268,16 @@ def test_unknown_licences(spark):
     assert got.pop(n + len(ordinary)) == [(1, "mit")] and not any(got.values())
 
 
+def test_licences_in_long_lines(spark):
+    words = lambda n: sentence(n)[:-1]
+    lines = [f"{words(a)} {t} {words(b)}" for a, t, b in [(200, "Released under the MIT License.", 250), (31, "Licensed under the Apache License, Version 2.0.", 400), (300, "Licensed under the ISC License.", 90), (150, "This work is licensed under a Creative Commons Attribution 4.0 International License.", 150)]]
+    lines += [f"{lines[0]} {lines[1]}", words(600)]
+    rows = list(enumerate(lines)) + [(i, sentence(random.randint(1, 400))) for i in range(100, 400)]
+    got = {r.id: [(h.paragraph, h.family) for h in r.hits] for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [[f for _, f in got.pop(i)] for i in range(6)] == [["mit"], ["apache"], ["unknown"], ["cc-by"], ["mit", "apache"], []]
+    assert not any(got.values())
+
+
 def test_counts_follow_edits(spark):
     path, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     counts = PieceCounts(path, pattern)
