@@ -6,11 +6,14 @@ import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
 from huddle.llm.counts import count_edited
+from huddle.llm.dedup import exact_groups
 from huddle.llm.jaccard import jaccard_components
 from huddle.llm.licences import scan_licences
+from huddle.llm.merkle import audit, build
 from huddle.llm.mixing import mix_sources
 from huddle.llm.packing import pack_documents
 from huddle.llm.quality import judge_quality
+from huddle.llm.resample import resample
 from huddle.llm.secrets import scan_secrets
 from huddle.llm.topk import top_k
 from huddle.llm.toxicity import fit_toxicity, score_toxicity
@@ -97,6 +100,22 @@ def token_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.withColumnRenamed("id", "doc_id").drop("n_words")
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks a copy of the documents in which every second text has lost its line breaks."""
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    found = F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return audit(build(table(spark, sf_dir, "documents"), found={"text": found})).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
@@ -108,4 +127,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ball_tree_topk": op9_ball_tree_topk,
     "op10_edited_token_counts": op10_edited_token_counts,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
