@@ -1,32 +1,22 @@
-"""Model operators on Spark ML: feature preparation, boosted trees with a
-season hold-out, cross-validated grid search on hash folds, importances,
-and a sweep of one-feature regressors.
+"""Model operators: feature preparation, boosted trees with a season hold-out,
+grid search on hash folds, importances.
 
-Training loops over *settings* run on the driver; every fit is distributed.
-Nothing but coefficients, importances and grid scores reaches the driver.
+The learner is ``boosting``: missing values stay missing, columns are drawn
+once per tree, importances are mean gains.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    RandomForestRegressor,
-)
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from huddle.operators import scaling, split
+from huddle.functions.columns import hash_bucket
+from huddle.operators import boosting, scaling, split
 from huddle.schemas import FEATURE_COLS
-from huddle.session import materialize
+from huddle.session import materialize, shared_path
 
 KEY_COLS = ["season", "week", "game_id", "home_team", "away_team"]
 BINARY_COLS = ["is_division_game", "is_early_season"]
@@ -42,9 +32,9 @@ FULL_GRID = {
 }
 # Default grid: small enough to run anywhere; pass FULL_GRID to search all.
 SMALL_GRID = {
-    "n_estimators": [10, 20],
-    "learning_rate": [0.1],
-    "max_depth": [3, 4],
+    "n_estimators": [100, 300],
+    "learning_rate": [0.05],
+    "max_depth": [4, 6],
     "subsample": [1.0],
     "colsample_bytree": [1.0],
 }
@@ -65,20 +55,19 @@ def prepare_features(
     fit_on: str = "all",
     test_season: int | None = None,
 ) -> Prepared:
-    """Keys + label + ``features`` vector.
+    """Keys, ``label`` and the feature columns.
 
     Continuous columns are standardised with population statistics (fitted
     on all rows by default, or on the training seasons with
-    ``fit_on='train'``); binary flags become 0/1.  Tree learners reject
-    missing values, so a missing scaled value is set to 0 (the mean) and a
-    ``<col>_missing`` flag records it.
+    ``fit_on='train'``); binary flags become 0/1.  A missing value stays
+    null: the learner sends it to the side of a split that gains more.
     """
     if fit_on not in ("all", "train"):
         raise ValueError(f"fit_on must be 'all' or 'train', not {fit_on!r}")
     if fit_on == "train" and test_season is None:
         raise ValueError("fit_on='train' needs a test_season")
-    # one row per game: written once, then read by the scaler fit and the
-    # transform (the learners persist their own training input)
+    # one row per game: written once, then read by the scaler fit, the
+    # transform and the learner
     df = materialize(matchups.select(
         *[c for c in KEY_COLS if c in matchups.columns],
         *continuous,
@@ -87,70 +76,30 @@ def prepare_features(
     ), "model-input")
     fit_frame = df if fit_on == "all" else df.filter(F.col("season") < test_season)
     scaler = scaling.fit_scaler(fit_frame, continuous)
-    df = scaler.transform(df)
-    flags = [f"{c}_missing" for c in continuous]
-    df = df.select(
-        *[c for c in df.columns if c not in continuous],
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in continuous],
-        *[F.col(c).isNull().cast("int").alias(f) for c, f in zip(continuous, flags)],
-    )
-    names = [*continuous, *binary, *flags]
-    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(df)
-    return Prepared(assembled, names, scaler)
+    return Prepared(scaler.transform(df), [*continuous, *binary], scaler)
 
 
-def gbt(setting: dict, seed: int = 42, features: str = "features", label: str = "label") -> GBTRegressor:
-    """Boosted trees from a setting named like the original grid.  ``colsample_bytree``
-    maps to ``featureSubsetStrategy`` (Spark samples per node, not per tree)."""
-    return GBTRegressor(
-        featuresCol=features,
-        labelCol=label,
-        maxIter=int(setting.get("n_estimators", 100)),
-        stepSize=float(setting.get("learning_rate", 0.1)),
-        maxDepth=int(setting.get("max_depth", 6)),
-        subsamplingRate=float(setting.get("subsample", 1.0)),
-        featureSubsetStrategy=str(setting.get("colsample_bytree", 1.0)) if setting.get("colsample_bytree", 1.0) < 1 else "all",
-        seed=seed,
-    )
-
-
-def grid_settings(grid: dict) -> list[dict]:
-    keys = list(grid)
-    return [dict(zip(keys, values)) for values in itertools.product(*(grid[k] for k in keys))]
+def _store(train: DataFrame, names: Sequence[str], folds: int) -> str:
+    """The folder of finished search scores for exactly these rows."""
+    mark = train.agg(F.count("*"), F.sum(F.xxhash64(*names, "label").cast("decimal(38,0)"))).first()
+    return shared_path(train.sparkSession, "huddle-search", "-".join(str(x) for x in (*mark, len(names), folds)))
 
 
 def cross_validate(
     train: DataFrame,
+    features: Sequence[str],
     grid: dict = SMALL_GRID,
     folds: int = 5,
     fold_key: str = "game_id",
-    parallelism: int = 4,
-    seed: int = 42,
+    store: str | None = None,
 ):
-    """Grid search with ``folds`` hash folds of ``fold_key`` scored by RMSE.
-    Returns (best model refitted on all of ``train``, scores frame)."""
-    with_folds = split.with_folds(train, fold_key, folds, "fold")
-    base = GBTRegressor(featuresCol="features", labelCol="label", seed=seed)
-    settings = grid_settings(grid)
-    maps = []
-    for setting in settings:
-        est = gbt(setting, seed)
-        params = (est.maxIter, est.stepSize, est.maxDepth, est.subsamplingRate, est.featureSubsetStrategy)
-        maps.append({base.getParam(p.name): est.getOrDefault(p) for p in params})
-    cv = CrossValidator(
-        estimator=base,
-        estimatorParamMaps=maps,
-        evaluator=RegressionEvaluator(metricName="rmse", labelCol="label"),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    model = cv.fit(with_folds)
-    rows = [(i, *[float(s[k]) for k in grid], float(m)) for i, (s, m) in enumerate(zip(settings, model.avgMetrics))]
-    spark = train.sparkSession
-    scores = spark.createDataFrame(rows, "setting int, " + ", ".join(f"{k} double" for k in grid) + ", mean_rmse double")
-    return model.bestModel, scores
+    """Grid search with ``folds`` hash folds of ``fold_key``, scored by RMSE.
+    Returns (best setting, scores frame).  Scores of the same rows that are
+    already in ``store`` are not computed again."""
+    store = store or _store(train, features, folds)
+    scores = boosting.search(train, features, "label", [fold_key], hash_bucket(fold_key, folds), grid, store, folds)
+    best = best_setting(scores).first().asDict()
+    return {k: best[k] for k in grid}, scores
 
 
 def best_setting(scores: DataFrame, metric: str = "mean_rmse") -> DataFrame:
@@ -164,122 +113,19 @@ def best_setting(scores: DataFrame, metric: str = "mean_rmse") -> DataFrame:
 
 def train_and_score(
     prepared: Prepared, test_season: int, setting: dict | None = None, seed: int = 42,
-    grid: dict = SMALL_GRID, folds: int = 5,
+    grid: dict = SMALL_GRID, folds: int = 5, fold_key: str = "game_id",
 ):
     """Fit on seasons before ``test_season`` and score it: with ``setting``,
     or else with the best setting of ``grid`` by ``folds``-fold search on the
     training seasons, refitted on all of them."""
     train, test = split.season_split(prepared.frame, test_season)
-    if setting:
-        model = gbt(setting, seed).fit(train)
-    else:
-        model, _ = cross_validate(train, grid, folds, seed=seed)
+    names = prepared.feature_names
+    if not setting:
+        setting, _ = cross_validate(train, names, grid, folds, fold_key)
+    model = boosting.fit(train, names, "label", [fold_key], boosting.Setting.of({**setting, "seed": seed}))
     return model, model.transform(test)
 
 
-def importances(model, feature_names: Sequence[str], spark) -> DataFrame:
-    """(feature, importance) of a fitted tree ensemble (a vector as long as
-    the feature list, so it is small by construction)."""
-    vec = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(feature_names, [float(v) for v in vec])), "feature string, importance double")
-
-
-# ------------------------------------------------ one-feature regressor sweep
-def adaboost_r2(
-    train: DataFrame,
-    features: str = "features",
-    label: str = "label",
-    n_estimators: int = 50,
-    learning_rate: float = 1.0,
-    max_depth: int = 3,
-):
-    """AdaBoost.R2 (linear loss) with depth-3 regression trees.
-
-    Sample weights go to the tree learner (``weightCol``) instead of
-    driving a resample.  Tree splits and the weighted average loss do not
-    depend on the scale of the weights, so they are never renormalised, and
-    each round costs one distributed fit plus one aggregate (max error,
-    sum of w*err, sum of w).  The re-weighted frame is written to the shared
-    checkpoint folder each round, so the lineage does not grow with the
-    number of rounds."""
-    df = materialize(train.select(features, label).withColumn("_w", F.lit(1.0)), "adaboost")
-    learners, alphas = [], []
-    for round_no in range(n_estimators):
-        tree = DecisionTreeRegressor(featuresCol=features, labelCol=label, weightCol="_w", maxDepth=max_depth).fit(df)
-        scored = tree.transform(df).withColumn("_err", F.abs(F.col("prediction") - F.col(label)))
-        stats = scored.agg(F.max("_err").alias("m"), F.sum(F.col("_w") * F.col("_err")).alias("we"),
-                           F.sum("_w").alias("w")).first()
-        max_err = stats["m"]
-        if not max_err:  # perfect fit
-            learners.append(tree)
-            alphas.append(1.0)
-            break
-        avg_loss = stats["we"] / max_err / stats["w"]
-        if avg_loss <= 0:
-            learners.append(tree)
-            alphas.append(1.0)
-            break
-        if avg_loss >= 0.5:  # no better than chance: stop (keep one learner)
-            if not learners:
-                learners.append(tree)
-                alphas.append(1.0)
-            break
-        beta = avg_loss / (1.0 - avg_loss)
-        learners.append(tree)
-        alphas.append(learning_rate * math.log(1.0 / beta))
-        if round_no == n_estimators - 1:
-            break
-        loss = F.col("_err") / F.lit(max_err)
-        new_w = F.col("_w") * F.pow(F.lit(beta), (1.0 - loss) * learning_rate)
-        df = materialize(scored.select(features, label, new_w.alias("_w")), "adaboost")
-    return AdaBoostModel(learners, alphas)
-
-
-@dataclass
-class AdaBoostModel:
-    learners: list
-    alphas: list
-
-    def transform(self, df: DataFrame, features: str = "features") -> DataFrame:
-        """Weighted median of the learners' predictions (AdaBoost.R2)."""
-        out = df
-        cols = []
-        for i, tree in enumerate(self.learners):
-            out = tree.setPredictionCol(f"_p{i}").transform(out)
-            cols.append(f"_p{i}")
-        pairs = F.array(*[F.struct(F.col(c).alias("p"), F.lit(a).alias("a")) for c, a in zip(cols, self.alphas)])
-        sorted_pairs = F.array_sort(pairs)
-        total = sum(self.alphas)
-        cum = F.transform(sorted_pairs, lambda s, i: F.aggregate(F.slice(sorted_pairs, 1, i + 1), F.lit(0.0), lambda acc, e: acc + e["a"]))
-        idx = F.array_position(F.transform(cum, lambda c: c >= F.lit(0.5 * total)), True)
-        pred = F.element_at(sorted_pairs, idx.cast("int"))["p"]
-        return out.withColumn("prediction", pred).drop(*cols)
-
-
-# Ensemble sizes of the sweep: library defaults, and a quick preset for
-# smoke runs (same learners, fewer rounds).
-DEFAULT_SIZES = {"rfr_trees": 100, "gbr_rounds": 100, "xgbr_rounds": 100, "adaboost_rounds": 50}
-QUICK_SIZES = {"rfr_trees": 20, "gbr_rounds": 20, "xgbr_rounds": 20, "adaboost_rounds": 10}
-
-
-def one_feature_sweep(train: DataFrame, test: DataFrame, seed: int = 42, sizes: dict = DEFAULT_SIZES) -> DataFrame:
-    """(regressor, mse) of tree learners, each fitted on ``train`` and
-    scored on ``test`` (both with ``features`` and ``label``).  Trees are
-    capped at depth 10 (Spark's limit is 30; one feature needs far less)."""
-    learners = {
-        "dtr": DecisionTreeRegressor(featuresCol="features", labelCol="label", maxDepth=10, maxBins=128, seed=seed),
-        "rfr": RandomForestRegressor(featuresCol="features", labelCol="label", numTrees=sizes["rfr_trees"],
-                                     maxDepth=10, maxBins=128, seed=seed),
-        "gbr": GBTRegressor(featuresCol="features", labelCol="label", maxIter=sizes["gbr_rounds"], maxDepth=3,
-                            stepSize=0.1, seed=seed),
-        "xgbr": GBTRegressor(featuresCol="features", labelCol="label", maxIter=sizes["xgbr_rounds"], maxDepth=6,
-                             stepSize=0.3, seed=seed),
-    }
-    train = materialize(train.select("features", "label"), "sweep-train")
-    ev = RegressionEvaluator(metricName="mse", labelCol="label")
-    rows = []
-    for name, est in learners.items():
-        rows.append((name, float(ev.evaluate(est.fit(train).transform(test)))))
-    ada = adaboost_r2(train, n_estimators=sizes["adaboost_rounds"])
-    rows.append(("adaboost", float(ev.evaluate(ada.transform(test)))))
-    return train.sparkSession.createDataFrame(rows, "regressor string, mse double")
+def importances(model: boosting.Booster, spark) -> DataFrame:
+    """(feature, importance): mean gains, one row per feature."""
+    return spark.createDataFrame([(k, float(v)) for k, v in model.gains().items()], "feature string, importance double")

@@ -421,6 +421,38 @@ mse AS (
 _MSE = ("WITH " + XY_CTE.strip() + ",\n" + TRAIN_CTE + ",\ntest AS (SELECT * FROM xy WHERE split = 'test'),\n"
         + stats_cte("st", "train").strip() + ",\n" + REGRESSOR_MSE_CTE.strip() + "\n")
 ORACLE["regressor_mse"] = _MSE + "SELECT regressor, n, round(mse, 6) AS mse FROM mse"
+
+
+def _halved(level: int) -> str:
+    """The nodes of the next level: each node's values, cut where the squared error falls most."""
+    return f"""sums{level} AS (
+  SELECT node, x, n, s, sum(n) OVER left_of AS nl, sum(s) OVER left_of AS sl, sum(n) OVER (PARTITION BY node) AS nt,
+         sum(s) OVER (PARTITION BY node) AS st, lead(x) OVER (PARTITION BY node ORDER BY x) AS next_x
+  FROM level{level} WINDOW left_of AS (PARTITION BY node ORDER BY x)
+),
+cuts{level} AS (
+  SELECT node, arg_max((x + next_x) / 2, sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) - st * st / nt) AS cut
+  FROM sums{level} WHERE next_x IS NOT NULL GROUP BY node
+),
+level{level + 1} AS (SELECT 2 * node + CASE WHEN x > cut THEN 1 ELSE 0 END AS node, x, n, s FROM level{level} LEFT JOIN cuts{level} USING (node))"""
+
+
+ORACLE["exact_tree_fit"] = f"""
+WITH {XY_CTE.strip()},
+level0 AS (SELECT 0 AS node, CAST(x AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS s FROM xy WHERE split = 'train' GROUP BY x),
+{_halved(0)},
+{_halved(1)},
+points AS (SELECT CAST(x AS DOUBLE) AS x, count(*) AS n FROM xy WHERE split = 'test' GROUP BY x),
+leaves AS (SELECT node, sum(s) / sum(n) AS value FROM level2 GROUP BY node),
+placed AS (
+  SELECT p.x, p.n, 2 * (CASE WHEN p.x > c0.cut THEN 1 ELSE 0 END) + CASE WHEN p.x > c1.cut THEN 1 ELSE 0 END AS node
+  FROM points p, cuts0 c0, cuts1 c1 WHERE c1.node = CASE WHEN p.x > c0.cut THEN 1 ELSE 0 END
+),
+nearest AS (
+  SELECT p.x, arg_min(t.s / t.n, (abs(t.x - p.x), t.x)) AS full_tree FROM points p, level0 t GROUP BY p.x
+)
+SELECT x, n, round(full_tree, 6) AS full_tree, round(value, 6) AS two_levels
+FROM placed JOIN leaves USING (node) JOIN nearest USING (x)"""
 ORACLE["per_group_fit"] = (
     "WITH " + XY_CTE.strip() + ",\n" + stats_cte("st", "xy", "l_suppkey").strip() + "\n" +
     "\nUNION ALL\n".join(

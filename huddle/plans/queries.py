@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +19,7 @@ from huddle.operators import (
     knn,
     matchup,
     models,
+    onefeature,
     player,
     regression,
     scaling,
@@ -306,6 +306,7 @@ def _xy(spark, root):
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")])
     return li.select(
         "l_suppkey",
+        key.alias("key"),
         F.round("l_quantity").cast("bigint").alias("x"),
         F.round(F.col("l_extendedprice") / 1000).cast("bigint").alias("y"),
         split.split_label(key, 20).alias("split"),
@@ -428,7 +429,7 @@ def q_gbt_predictions(spark, root, grid=models.SMALL_GRID):
 def q_cv_scores(spark, root, grid=models.SMALL_GRID):
     prep, last = _prepared(spark, root)
     train, _ = split.season_split(prep.frame, last)
-    _, scores = models.cross_validate(train, grid, folds=5)
+    _, scores = models.cross_validate(train, prep.feature_names, grid, folds=5)
     return scores
 
 
@@ -436,8 +437,7 @@ def q_cv_scores(spark, root, grid=models.SMALL_GRID):
 def q_feature_importance(spark, root, grid=models.SMALL_GRID):
     prep, last = _prepared(spark, root)
     model, _ = models.train_and_score(prep, last, grid=grid)
-    imp = models.importances(model, prep.feature_names, spark)
-    return tables.top_n(imp, "importance", 15, tie_break=["feature"])
+    return tables.top_n(models.importances(model, spark), "importance", 15, tie_break=["feature"])
 
 
 @query("bayesian_ridge_fit")
@@ -447,12 +447,55 @@ def q_bayesian_ridge_fit(spark, root):
     return rounded(spark.createDataFrame([(m.name, m.slope, m.intercept)], "model string, slope double, intercept double"))
 
 
+def _split_xy(spark, root):
+    xy = _xy(spark, root).select("key", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "split")
+    return xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
+
+
+@query("exact_tree_fit")
+def q_exact_tree_fit(spark, root):
+    """Per distinct test value: the predictions of the tree grown to the end and of one of two levels."""
+    train, test = _split_xy(spark, root)
+    points = materialize(test.groupBy("x").agg(F.count("*").alias("n")), "tree-points")
+    full = onefeature.predict_cells(points, onefeature.mean_cells(train, "x", "y")).withColumnRenamed("prediction", "full_tree")
+    two = onefeature.boost(train, "x", "y", rounds=1, rate=1.0, depth=2).predict(points).withColumnRenamed("prediction", "two_levels")
+    return rounded(points.join(full, "x").join(two, "x"))
+
+
 @query("tree_regressor_mse")
-def q_tree_regressor_mse(spark, root):
-    xy = VectorAssembler(inputCols=["xd"], outputCol="features").transform(
-        _xy(spark, root).select(F.col("x").cast("double").alias("xd"), F.col("y").cast("double").alias("label"), "split"))
-    train, test = xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
-    return models.one_feature_sweep(train, test, sizes=models.DEFAULT_SIZES)
+def q_tree_regressor_mse(spark, root, sizes=onefeature.SIZES):
+    train, test = _split_xy(spark, root)
+    points = materialize(test.select("x").distinct(), "tree-points")
+    return onefeature.score(onefeature.tree_predictions(train, points, "x", "y", sizes), test, "x", "y").select("regressor", "mse")
+
+
+# all regressors built, in the order of the original comparison table
+COMPARED = ["lr", "dtr", "rfr", "knn", "gbr", "xgbr", "en", "lasso", "ridge", "bayesianridge", "adaboost"]
+
+
+def _comparison(spark, root, sizes=onefeature.SIZES):
+    """(regressor, n, mse) of every regressor, from its predictions at the distinct test values."""
+    train, test = _split_xy(spark, root)
+    points = materialize(test.select("x").distinct(), "tree-points")
+    found = onefeature.tree_predictions(train, points, "x", "y", sizes)
+    whole = train.withColumn("x", F.col("x").cast("long")).withColumn("y", F.col("y").cast("long"))
+    linear = regression.fit_models(whole, "x", "y", REGRESSORS) | {"bayesianridge": regression.fit_bayesian_ridge(whole, "x", "y")}
+    lines = F.array(*[F.struct(F.lit(k).alias("regressor"), m.predict(F.col("x")).alias("prediction")) for k, m in linear.items()])
+    found = found.unionByName(points.select("x", F.inline(lines)))
+    near = knn.knn_regress(train, points.withColumn("key", F.concat(F.lit("point "), F.col("x").cast("string"))), "x", "y", "key", k=5)
+    found = found.unionByName(near.select(F.lit("knn").alias("regressor"), "x", "prediction"))
+    return onefeature.score(found, test, "x", "y")
+
+
+@query("regressor_comparison")
+def q_regressor_comparison(spark, root, sizes=onefeature.SIZES):
+    return rounded(_comparison(spark, root, sizes))
+
+
+@query("regressor_report")
+def q_regressor_report(spark, root, sizes=onefeature.SIZES):
+    place = F.array_position(F.array(*[F.lit(r) for r in COMPARED]), F.col("regressor"))
+    return report_lines(_comparison(spark, root, sizes).withColumn("pos", place), "regressor", "mse", "pos")
 
 
 @query("blend_trace")

@@ -1,9 +1,7 @@
 import numpy as np
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from huddle.operators import models
+from huddle.operators import boosting, models
 
 
 def matchups(spark, n=240, seed=1):
@@ -22,67 +20,46 @@ def matchups(spark, n=240, seed=1):
     return spark.createDataFrame(rows, ", ".join(f"{c} {types.get(c, 'double')}" for c in cols))
 
 
-def test_prepare_features_scales_imputes_and_flags(spark):
+def test_prepare_features_scales_and_keeps_missing_values(spark):
     prep = models.prepare_features(matchups(spark))
-    names = prep.feature_names
-    assert names[:9] == models.CONTINUOUS_COLS and "passing_yards_delta_missing" in names
-    rows = prep.frame.select("game_id", "features").collect()
-    by_id = {r.game_id: r.features.toArray() for r in rows}
-    i_flag = names.index("passing_yards_delta_missing")
-    i_val = names.index("passing_yards_delta")
-    assert by_id["g0"][i_flag] == 1.0 and by_id["g0"][i_val] == 0.0  # missing -> mean (0) + flag
-    assert by_id["g1"][i_flag] == 0.0
-    vals = np.array([v[names.index("week_number")] for v in by_id.values()])
+    assert prep.feature_names == [*models.CONTINUOUS_COLS, *models.BINARY_COLS]
+    by_id = {r.game_id: r for r in prep.frame.collect()}
+    assert by_id["g0"].passing_yards_delta is None and by_id["g1"].passing_yards_delta is not None
+    vals = np.array([r.week_number for r in by_id.values()])
     assert abs(vals.mean()) < 1e-9 and abs(vals.std() - 1.0) < 1e-9  # population scaling
 
 
 def test_train_score_and_importances(spark):
     prep = models.prepare_features(matchups(spark))
     model, scored = models.train_and_score(prep, 2023, {"n_estimators": 5, "max_depth": 3})
-    assert scored.count() == 80 and "prediction" in scored.columns
-    imp = {r.feature: r.importance for r in models.importances(model, prep.feature_names, spark).collect()}
-    assert max(imp, key=imp.get) == "passing_yards_delta"
+    assert scored.where("prediction is not null").count() == 80
+    imp = {r.feature: r.importance for r in models.importances(model, spark).collect()}
+    assert max(imp, key=imp.get) == "passing_yards_delta" and abs(sum(imp.values()) - 1) < 1e-9
 
 
-def test_cross_validate_small_grid(spark):
-    prep = models.prepare_features(matchups(spark))
-    train = prep.frame.filter(F.col("season") < 2023)
-    grid = {"n_estimators": [3], "learning_rate": [0.1], "max_depth": [2, 3], "subsample": [1.0], "colsample_bytree": [1.0]}
-    best, scores = models.cross_validate(train, grid, folds=2, parallelism=2)
-    rows = scores.collect()
-    assert len(rows) == 2 and all(r.mean_rmse > 0 for r in rows)
-    assert best.getMaxDepth() in (2, 3)
+GRID = {"n_estimators": [2, 4], "learning_rate": [0.3], "max_depth": [2, 3], "subsample": [1.0], "colsample_bytree": [1.0]}
 
 
 def test_scoring_uses_the_searched_setting(spark):
     prep = models.prepare_features(matchups(spark))
-    grid = {"n_estimators": [2], "learning_rate": [0.1], "max_depth": [2, 3], "subsample": [1.0], "colsample_bytree": [1.0]}
-    best, scores = models.cross_validate(prep.frame.filter(F.col("season") < 2023), grid, folds=5)
-    model, scored = models.train_and_score(prep, 2023, grid=grid)
-    assert model.getNumTrees == 2 and model.getMaxDepth() == models.best_setting(scores).first().max_depth
+    best, scores = models.cross_validate(prep.frame.filter(F.col("season") < 2023), prep.feature_names, GRID, folds=5)
+    assert scores.count() == 4 and scores.where("mean_rmse > 0").count() == 4
+    model, scored = models.train_and_score(prep, 2023, grid=GRID)
+    assert len(model.trees) == best["n_estimators"] == models.best_setting(scores).first().n_estimators
     assert scored.count() == 80
 
 
 def test_registered_model_queries_are_whole(spark, monkeypatch):
+    from huddle.operators import onefeature
     from huddle.plans import queries
 
     prep, seen = models.prepare_features(matchups(spark)), []
     monkeypatch.setattr(queries, "_prepared", lambda spark, root: (prep, 2023))
-    monkeypatch.setattr(models, "cross_validate", lambda train, grid, folds=5, **kw: seen.append((grid, folds)) or (None, None))
-    monkeypatch.setattr(models, "one_feature_sweep", lambda train, test, seed=42, sizes=models.DEFAULT_SIZES: seen.append(sizes))
+    monkeypatch.setattr(models, "cross_validate", lambda train, names, grid, folds=5, **kw: seen.append((grid, folds)) or (None, None))
     queries.REGISTRY["cv_scores"](spark, "")
     queries.REGISTRY["cv_scores"](spark, "", grid=models.FULL_GRID)
-    assert seen == [(models.SMALL_GRID, 5), (models.FULL_GRID, 5)] and len(models.grid_settings(models.FULL_GRID)) == 243
-    queries.REGISTRY["tree_regressor_mse"](spark, "/root/testdata/sf0.001")
-    assert seen[-1] == {"rfr_trees": 100, "gbr_rounds": 100, "xgbr_rounds": 100, "adaboost_rounds": 50}
-
-
-def test_adaboost_fits_a_step(spark):
-    rows = [(float(x), 10.0 if x >= 5 else 0.0) for x in range(10) for _ in range(5)]
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(rows, "x double, label double"))
-    model = models.adaboost_r2(df, n_estimators=3)
-    mse = RegressionEvaluator(metricName="mse", labelCol="label").evaluate(model.transform(df))
-    assert mse < 1e-9 and len(model.learners) >= 1
+    assert seen == [(models.SMALL_GRID, 5), (models.FULL_GRID, 5)] and len(boosting.settings_of(models.FULL_GRID)) == 243
+    assert onefeature.SIZES == {"rfr": 100, "gbr": 100, "xgbr": 100, "adaboost": 50}
 
 
 def test_best_setting(spark):

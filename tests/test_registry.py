@@ -14,7 +14,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
 # model training has no SQL equivalent; these are checked for shape only
-ROWS_ONLY = {"gbt_predictions", "cv_scores", "feature_importance", "tree_regressor_mse"}
+ROWS_ONLY = {"gbt_predictions", "cv_scores", "feature_importance", "tree_regressor_mse", "regressor_comparison", "regressor_report"}
 
 
 @pytest.fixture(scope="module")
