@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_right
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +30,24 @@ from pyspark.sql import DataFrame, Window
 from huddle.llm.shared import small_batches, written
 from huddle.llm.text import _LOWER, _WHITE, raw, slices, texts_of
 
-#: Distinct words that a task remembers the ids of before it starts anew.
-REMEMBERED = 250_000
+#: Distinct words that a Python worker remembers the ids of (about 250 bytes each); when full, the half that
+#: most slices have used stays.
+REMEMBERED = 600_000
 SLICE = 2 << 20
 
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[97:123] = True
+#: ASCII symbols but the apostrophe, which may open a closing of its own.
+_SYMBOL = np.zeros(256, bool)
+_SYMBOL[[c for c in range(0x21, 0x7F) if not chr(c).isalnum() and chr(c) != "'"]] = True
+
 
 class WordEncoder:
     """Token ids of whole texts, encoding each distinct word once.
 
     The vocabulary splits at white space, lower-cases and closes every
     letter or symbol run on its own, so a text's ids are its words' ids in
-    order, and a full stop or comma behind an ASCII letter stands alone."""
+    order, and a symbol behind a letter begins a unit of its own."""
 
     def __init__(self, path: str):
         import os
@@ -48,28 +56,52 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self):
         self.code: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.start, self.total = np.zeros(0, np.int64), 0
-        self.length = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int32)  # slices that a word was met in
+        self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.store = np.zeros(0, np.uint32)
 
+    @classmethod
+    def kept(cls, path: str) -> WordEncoder:
+        """The encoder of this Python worker, which outlives its tasks; they bring their own copy of this module."""
+        import sys
+        import types
+
+        kept = vars(sys.modules.setdefault("huddle_worker_memory", types.ModuleType("huddle_worker_memory")))
+        if ("encoder", path) not in kept:
+            kept["encoder", path] = cls(path)
+        return kept["encoder", path]
+
+    def _forget(self) -> None:
+        """Half of the words go, those that fewest slices have used."""
+        stay = np.sort(np.argsort(self.uses, kind="stable")[len(self.uses) - REMEMBERED // 2 :])
+        new = np.full(len(self.uses), -1)
+        new[stay] = np.arange(len(stay))
+        self.code = {w: c for w, c in zip(self.code, new[np.fromiter(self.code.values(), np.int64, len(self.code))].tolist(), strict=True) if c >= 0}
+        lengths = self.length[stay]
+        ends = np.cumsum(lengths)
+        self.store = self.store[np.repeat(self.start[stay] - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        self.start, self.length, self.uses = ends - lengths, lengths, self.uses[stay] // 2
+
     def _learn(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in words if w not in self.code]
-        if len(self.code) + len(new) > REMEMBERED and self.code:
-            self.forget()
-            new = words
-        if new:
+        get = self.code.get
+        codes = np.array([get(w, -1) for w in words], np.int64)
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown) and len(self.uses) > REMEMBERED:
+            self._forget()
+            return self._learn(words)
+        if len(unknown):
+            new = [words[i] for i in unknown]
             found = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-            self.code.update(zip(new, range(len(self.code), len(self.code) + len(new)), strict=True))
+            codes[unknown] = np.arange(len(self.uses), len(self.uses) + len(new))
+            self.code.update(zip(new, codes[unknown].tolist(), strict=True))
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             self.start = np.concatenate([self.start, len(self.store) + np.cumsum(lengths) - lengths])
             self.length = np.concatenate([self.length, lengths])
-            self.store = np.concatenate([self.store, np.fromiter((i for x in found for i in x), np.uint32, int(lengths.sum()))])
-        return np.fromiter((self.code[w] for w in words), np.int64, len(words))
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
+            self.store = np.concatenate([self.store, np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))])
+        self.uses[codes] += 1
+        return codes
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in order, number of ids of each)."""
@@ -90,28 +122,30 @@ class WordEncoder:
 
     @staticmethod
     def _units(data, offsets, solid):
-        """Words, cut before a closing stop or comma, as an Arrow array, and where they begin."""
+        """Words, cut before an ASCII symbol behind a letter, as an Arrow array, and where they begin."""
         n = len(data)
         begin = solid.copy()
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
         begin[1:] &= ~solid[:-1] | edge[1:n]
-        last = solid.copy()
-        last[:-1] &= ~solid[1:] | edge[1:n]
         low = _LOWER[data]
-        letter = (low >= 97) & (low <= 122)
-        stop = last & ~begin & ((data == 0x2E) | (data == 0x2C))
-        stop[1:] &= letter[:-1]
-        begin |= stop
+        pipes = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+        if len(pipes):
+            # a special token's string may stand in the word, told by its case: such words stay as they are
+            words = np.append(np.flatnonzero(begin), n)
+            held = np.unique(np.searchsorted(words, pipes, side="right") - 1)
+            low, whole = low.copy(), np.zeros(n, bool)
+            for lo, hi in zip(words[held], words[held + 1], strict=True):
+                low[lo:hi], whole[lo:hi] = data[lo:hi], True
+        if n > 1:
+            behind = _ASCII_LETTER[low[:-1]]
+            # Latin letters of two bytes, but the signs of times and division, and the I with a dot, which becomes two characters
+            lead, trail = low[:-2], low[1:-1]
+            wide = (lead >= 0xC3) & (lead <= 0xC8) & (trail >= 0x80) & ~((lead == 0xC3) & ((trail == 0x97) | (trail == 0xB7))) & ~((lead == 0xC4) & (trail == 0xB0))
+            behind[1:] |= wide
+            cut = _SYMBOL[data[1:]] & behind & ~edge[1:n]
+            begin[1:] |= cut & ~whole[1:] if len(pipes) else cut
         where = np.flatnonzero(begin)
-        if len(where):
-            # strings of special tokens are told by their case: leave words with "<|" as they are
-            pipes = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
-            if len(pipes):
-                low = low.copy()
-                for k in np.unique(np.searchsorted(where, pipes, side="right") - 1):
-                    stop_at = where[k + 1] if k + 1 < len(where) else n
-                    low[where[k] : stop_at] = data[where[k] : stop_at]
         packed = np.concatenate([[0], np.cumsum(solid)])
         bounds = np.append(packed[where], packed[-1]).astype(np.int32)
         body = low[solid]
@@ -135,7 +169,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """Pieces of all documents: id, piece, start, length, ids_crc32, shard, rank and, if asked for, ids."""
 
     def run(batches):
-        encoder, seen = WordEncoder(tokenizer), np.zeros(capacity + 1, np.int64)
+        encoder, seen = WordEncoder.kept(tokenizer), np.zeros(capacity + 1, np.int64)
         shard = TaskContext.get().partitionId()
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -235,7 +269,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     counts = written(counts.withColumn("before", F.coalesce(before, F.lit(0))), "packing-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("pieces").alias("n")).collect()}  # at most `capacity` rows
     plan = np.array(sorted(plan_bins(histogram, capacity)), np.int64).reshape(-1, 6)
-    ranked = pieces.join(counts.select("length", "shard", "before"), ["length", "shard"]).withColumn("rank", F.col("rank") + F.col("before")).drop("shard", "before")
+    # lengths x shards grow with the corpus: a partitioned join, never a broadcast
+    ranked = pieces.join(counts.select("length", "shard", "before").hint("merge"), ["length", "shard"]).withColumn("rank", F.col("rank") + F.col("before")).drop("shard", "before")
     names = ranked.columns
 
     def run(batches):
