@@ -65,9 +65,10 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """id, word_no, value, before, after, path: one row per candidate."""
+    """id, word_no, value, before, after, path, key (of the text and path): one row per candidate."""
     path = F.col(path_col).cast("string") if path_col else F.lit("")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(path, F.lit("")).alias("path"))
+    rows = rows.withColumn("key", F.xxhash64("text", "path"))
     words = F.split("text", r"[\x20\x09-\x0D]+")
     found = F.filter(
         F.transform(
@@ -81,7 +82,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # most texts hold none and are not split
     rows = rows.where(F.col("text").rlike(CANDIDATE)).withColumn("words", words)
-    rows = rows.select("id", "path", F.explode(found).alias("x")).select("id", "path", "x.*")
+    rows = rows.select("id", "path", "key", F.explode(found).alias("x")).select("id", "path", "key", "x.*")
     # The pieces between the joined runs are one more than these.  What comes from outside the word goes
     # to its first and last piece alone, so that a word of many runs does not carry it along with each.
     joined, pieces = F.regexp_extract_all("word", F.lit(JOINED), F.lit(0)), F.split("word", JOINED)
@@ -89,10 +90,10 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = F.array(F.concat_ws(" ", F.nullif("lead", F.lit("")), F.element_at(pieces, 1)))
     last = F.array(F.concat_ws(" ", F.element_at(pieces, -1), "next"))
     parts = F.arrays_zip(joined.alias("joined"), F.concat(F.array(F.lit("")), F.slice(joined, 1, n - 1)).alias("prior"), F.concat(first, F.slice(pieces, 2, n - 1)).alias("left"), F.concat(F.slice(pieces, 2, n - 1), last).alias("after"))
-    rows = rows.select("id", "path", "word_no", F.explode(parts).alias("x")).select("id", "path", "word_no", "x.*")
+    rows = rows.select("id", "path", "key", "word_no", F.explode(parts).alias("x")).select("id", "path", "key", "word_no", "x.*")
     values, before = F.regexp_extract_all("joined", F.lit(CANDIDATE), F.lit(0)), F.concat(F.right("prior", F.lit(NEAR)), "left")
     places = F.arrays_zip(values.alias("value"), F.concat(F.array(before), F.array_repeat(F.right(before, F.lit(NEAR)), F.size(values) - 1)).alias("before"))
-    return rows.select("id", "path", "word_no", F.left("after", F.lit(NEAR)).alias("after"), F.explode(places).alias("x")).select("id", "word_no", "x.value", "x.before", "after", "path")
+    return rows.select("id", "path", "key", "word_no", F.left("after", F.lit(NEAR)).alias("after"), F.explode(places).alias("x")).select("id", "word_no", "x.value", "x.before", "after", "path", "key")
 
 
 def features(rows: DataFrame) -> DataFrame:
@@ -168,20 +169,29 @@ def train(labelled: DataFrame, seed: int = 11):
     return forest.fit(rows.select("features", "label"))
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
-    """id, word_no, value, before, score, secret: every candidate with the forest's verdict."""
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", labelled: DataFrame | None = None, threshold: float = 0.5, keyed: bool = False) -> DataFrame:
+    """id, word_no, value, before, score, secret: every candidate with the forest's verdict.  ``keyed``
+    adds ``key``, a hash of the row's text and path."""
     found = written(candidates(docs, id_col, text_col, path_col), "secrets-candidates")
     model = train(labelled_findings(found) if labelled is None else labelled)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(features(found))
     rows = model.transform(rows).withColumn("score", F.get(vector_to_array("probability"), F.lit(1)))
-    return rows.select("id", "word_no", "value", "before", "score", (F.col("score") >= threshold).alias("secret"))
+    return rows.select("id", "word_no", "value", "before", "score", (F.col("score") >= threshold).alias("secret"), *(["key"] if keyed else []))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", mask: str = MASK) -> DataFrame:
-    """The documents, all columns, with every found secret replaced in the text of its id."""
-    found = scan_secrets(docs, id_col, text_col, path_col).where("secret")
-    found = written(found.groupBy(F.col("id").alias("of")).agg(F.sort_array(F.collect_set("value"), asc=False).alias("secrets")), "secrets-found")
+    """The documents, all columns, with every found secret masked in its text, longer ones first, so that a
+    secret that holds another is masked whole.
+
+    Rows are told apart by their text and path, not by their id: null and repeated ids are safe, and
+    copies are judged once.  A null text stays null; an empty table gives an empty result; columns
+    may have any names.  The secrets of one text are held together, never those of several."""
+    found = scan_secrets(docs, id_col, text_col, path_col, keyed=True).where("secret")
+    longest = F.transform(F.array_sort(F.collect_set(F.struct((-F.length("value")).alias("n"), "value"))), lambda x: x["value"])
+    found = written(found.groupBy(F.col("key").alias("of")).agg(longest.alias("secrets")), "secrets-found")
     rows, name = numbered(docs)
-    joined = rows.join(side(found, 100_000), F.col(name[id_col]).cast("long").eqNullSafe(F.col("of")), "left")
-    text = F.aggregate(F.coalesce("secrets", F.array().cast("array<string>")), F.col(name[text_col]).cast("string"), lambda t, s: F.replace(t, s, F.lit(mask)))
-    return joined.withColumn(name[text_col], text).select(*rows.columns).toDF(*docs.columns)
+    text, path = F.col(name[text_col]).cast("string"), F.col(name[path_col]).cast("string") if path_col else F.lit("")
+    key = F.xxhash64(text, F.coalesce(path, F.lit("")))
+    joined = rows.withColumn("_key", key).join(side(found, 100_000), F.col("_key") == F.col("of"), "left")
+    masked = F.aggregate(F.coalesce("secrets", F.array().cast("array<string>")), text, lambda t, s: F.replace(t, s, F.lit(mask)))
+    return joined.withColumn(name[text_col], masked).select(*rows.columns).toDF(*docs.columns)
