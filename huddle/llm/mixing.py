@@ -5,8 +5,10 @@ they share ``budget`` times all words by weight.  A target stops at
 ``max_epochs`` times its source's words; the excess is shared again by weight
 until no target is above its stop.
 
-Mix.  Documents are dealt to shards of about ``SHARD_WORDS`` words by a hash of
-their id.  In a shard each source's words, in seeded order of its documents,
+Mix.  Documents are dealt to shards of about ``SHARD_WORDS`` words.  A source is cut
+into pieces of about ``PIECE_WORDS`` words by a hash of the documents' ids, and a
+piece lies in one shard, so that also a thin source has many blocks where it has
+any and no quota is lost to rounding.  In a shard each source's words, in seeded order of its documents,
 are cut into equal blocks of about ``BLOCK_WORDS`` words.  The shard's seats
 are allotted to the sources by highest quotients v / (2s + 1), v being a
 source's blocks times target / size, which gives each an integer quota of
@@ -14,8 +16,8 @@ blocks; a block comes up at most ``max_epochs`` times.  All blocks are taken
 as often as the quota goes round; a seeded choice takes the rest once more.
 
 Defined results: a null or empty text has no word and takes none; a null
-source is a source of its own; a null id is dealt like any other; repeated
-rows are mixed one by one; an empty table gives an empty result.  Reruns
+source is a source of its own; rows with a null id are dealt by their text; repeated
+rows are mixed one by one; a very long text is counted whole and stays in one shard; an empty table gives an empty result.  Reruns
 agree.  A hot source is spread over all shards.
 """
 
@@ -38,11 +40,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 SHARD_WORDS = 65_536
 SHARD_ROWS = 2_000
 BLOCK_WORDS = 16
+#: Words, and rows, of a source that lie in one shard; and blocks of a source in a shard, if it has the words.
+PIECE_WORDS, PIECE_ROWS, LEAST_BLOCKS = 4_096, 250, 64
 
 
 def source_targets(sizes: DataFrame, weights=(5, 2, 1), budget: float = 1.5, max_epochs: int = 2) -> DataFrame:
-    """(source, source_size, target), one row per source.  sizes: rows of source and size."""
-    total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """(source, source_size, source_rows, target), one row per source.  sizes: rows of source and size."""
+    total = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1  # one row per source
     total = total.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place % len(weights) + 1))
     total = written(total, "mixing-sources")
@@ -58,7 +62,7 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), budget: float = 1.5, max
         if new <= level:
             break
         level = new
-    return total.select("source", "source_size", F.least(F.col("weight") * level, stop).alias("target"))
+    return total.select("source", "source_size", "source_rows", F.least(F.col("weight") * level, stop).alias("target"))
 
 
 def highest_quotients(value: np.ndarray, most: np.ndarray) -> np.ndarray:
@@ -90,18 +94,21 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     asked for, _spans: (start, stop, times) of the words that the mix takes."""
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     kept = [F.col(c) for c in carry]
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_source"), size.alias("_size"), *kept)
+    mark = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col).cast("string"))).otherwise(F.col(id_col).cast("long"))
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("_source"), size.alias("_size"), mark.alias("_mark"), *kept)
     if not carry:
         rows = written(rows, "mixing-sizes")
         sizes = rows.select(F.col("_source").alias("source"), F.col("_size").alias("size"))
     else:
         sizes = written(docs.select(F.col(source_col).cast("string").alias("source"), size.alias("size")), "mixing-sizes")
-    targets = source_targets(sizes, weights, budget, max_epochs).select(F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target"))
+    targets = source_targets(sizes, weights, budget, max_epochs).select(F.col("source").alias("_of"), F.col("source_size").alias("_source_size"), F.col("source_rows").alias("_source_rows"), F.col("target").alias("_target"))
     targets = written(targets, "mixing-targets")
     n_words, n_rows = sizes.agg(F.sum("size"), F.count("*")).first()
     shards = max(1, -(-(n_words or 0) // SHARD_WORDS), -(-n_rows // SHARD_ROWS))
     rows = rows.join(targets, rows["_source"].eqNullSafe(targets["_of"])).drop("_of")
-    rows = rows.withColumn("_order", F.xxhash64("_id", "_size", F.lit(seed))).withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "_id", "_size"), F.lit(shards)))
+    pieces = F.greatest(F.ceil(F.col("_source_size") / PIECE_WORDS), F.ceil(F.col("_source_rows") / PIECE_ROWS)).cast("long")
+    piece = F.pmod(F.xxhash64(F.lit(seed), "_mark", "_size"), pieces)
+    rows = rows.withColumn("_order", F.xxhash64("_mark", "_size", F.lit(seed))).withColumn("_shard", F.pmod(F.xxhash64(F.lit(seed), "_source", piece), F.lit(shards))).drop("_mark", "_source_rows")
     out = T.StructType(
         [
             *[T.StructField(n, T.LongType()) for n in ("_id", "_size", "_source_size")],
@@ -118,7 +125,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         name = shard["_source"].map(lambda s: "\x00" if s is None or s != s else "=" + s)
         groups = [g.to_numpy() for _, g in shard.groupby(name, sort=False).groups.items()]
         words = np.array([size[g].sum() for g in groups])
-        blocks = np.where(words > 0, np.maximum(1, np.rint(words / BLOCK_WORDS)), 0).astype(np.int64)
+        blocks = np.maximum(np.minimum(words, LEAST_BLOCKS), np.rint(words / BLOCK_WORDS)).astype(np.int64)
         whole = np.array([shard["_source_size"].iloc[g[0]] for g in groups], float)
         goal = np.array([shard["_target"].iloc[g[0]] for g in groups], float)
         quota = highest_quotients(blocks * np.divide(goal, whole, out=np.zeros(len(groups)), where=whole > 0), max_epochs * blocks)
