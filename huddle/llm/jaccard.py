@@ -33,8 +33,8 @@ No group of copies is expanded into pairs.
 Defined results: a null or empty text, or one without words, has no shingle,
 no link and itself as component; fewer words than a shingle holds make one
 shingle; a null id takes part in nothing and has a null component; rows that
-repeat an id are told apart by their texts and get the id's smallest
-component; an empty table gives an empty result.  Only the id and the text
+repeat an id are told apart by their texts, whose links are all the id's, and
+get the id's component; an empty table gives an empty result.  Only the id and the text
 column are read; other columns, whatever their names, are ignored.
 """
 
@@ -143,7 +143,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """id, n, two sums that name the set, tokens and each token's need (need * 2 + which level)."""
+    """doc, id, n, two sums that name the set, tokens and each token's need (need * 2 + which level)."""
 
     def run(batches):
         for batch in batches:
@@ -156,11 +156,11 @@ def signatures(docs: DataFrame, percent: int, width: int) -> DataFrame:
                 t, o, q = part_tokens(h, n, percent)
                 ends = np.concatenate([[0], np.cumsum(np.bincount(o, minlength=len(n)))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n), pa.array(_signed(f[0])), pa.array(_signed(f[1])), pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(t))), pa.ListArray.from_arrays(pa.array(ends), pa.array(q.astype(np.int32)))],
-                    names=["id", "n", "f1", "f2", "tokens", "needs"],
+                    [part.column("doc"), part.column("id"), pa.array(n), pa.array(_signed(f[0])), pa.array(_signed(f[1])), pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(t))), pa.ListArray.from_arrays(pa.array(ends), pa.array(q.astype(np.int32)))],
+                    names=["doc", "id", "n", "f1", "f2", "tokens", "needs"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, f1 long, f2 long, tokens array<long>, needs array<int>")
+    return docs.mapInArrow(run, "doc long, id long, n long, f1 long, f2 long, tokens array<long>, needs array<int>")
 
 
 def link_block(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -219,7 +219,7 @@ def open_blocks(docs: DataFrame, members: DataFrame, percent: int, width: int) -
     sets = texts.mapInArrow(run, "id long, shingles binary")
 
     def link(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.drop_duplicates("id")
+        block = block.drop_duplicates("id")  # an id names one text here
         ids = block["id"].to_numpy(np.int64)
         to = link_block(ids, [np.frombuffer(x, U64) for x in block["shingles"]], percent)
         return pd.DataFrame({"id": ids, "to": to})[to < ids]
@@ -293,15 +293,18 @@ def qualifying(common: DataFrame, label: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """One row per input row: id, n_shingles, component."""
-    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    # rows that repeat an id are told apart: until the end, ``id`` names an id with a text, ``doc`` the document
+    doc, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    docs = small_batches(docs).select(doc.alias("doc"), F.when(doc.isNotNull(), F.xxhash64(doc, text)).alias("id"), text.alias("text"))
     sig = written(signatures(docs, percent, width), "jaccard-sets")
-    docs = docs.where("id is not null")
+    docs = docs.where("id is not null").select("id", "text")
 
     # equal sets: the row with the smallest id stands for all
     key = ["f1", "f2", "n"]
     full = sig.where("n > 0 and id is not null")
     equal = full.groupBy(*key).agg(F.min("id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    copies = written(full.select("id", *key).join(equal, key).where("id != first").select("id", "first"), "jaccard-copies")
+    equal = side(written(equal, "jaccard-equal"))
+    copies = written(full.select("id", *key).join(equal, key).where("id != first").select("id", "first").distinct(), "jaccard-copies")
     sets = full.join(side(copies.select("id").distinct()), "id", "left_anti")
 
     # tokens that occur in several sets, and the sets that hold enough of them
@@ -326,7 +329,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("id", central()).alias("hub"), F.max_by("component", central()).alias("hub_component")).where("lo < hi")
     meets = held.join(split, "token").where("component != hub_component").groupBy("component", "id", "hub", "need").agg(F.count("*").alias("overlap")).where(F.col("overlap") * 2 >= F.col("need") - F.col("need") % 2)
     pairs = meets.groupBy("component").agg(F.max(F.struct("overlap", "hub", "id")).alias("best")).select("best.id", "best.hub")
-    pairs = written(pairs.select("id", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("id"), F.lit(16))).alias("block")), "jaccard-pairs")
+    asked = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    pairs = written(pairs.join(asked, "hub").select("id", "hub", F.xxhash64("hub", F.pmod(F.xxhash64("id"), "blocks")).alias("block")), "jaccard-pairs")
     if has_rows(pairs):
         members = written(pairs.select("block", "id").union(pairs.select("block", F.col("hub").alias("id"))).distinct(), "jaccard-members")
         links = written(links.union(open_blocks(docs, members, percent, width)), "jaccard-found")
@@ -337,14 +341,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     if has_rows(members):
         links = written(links.union(open_blocks(docs, members, percent, width)), "jaccard-found")
 
-    reached = smallest_reached(links.union(copies.select("id", F.col("first").alias("to"))))
-    return sig.select("id", F.col("n").alias("n_shingles")).join(reached, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    # the texts of one id are one document
+    own = sig.where("id is not null").select("doc", "id")
+    several = own.groupBy("doc").agg(F.min("id").alias("to"), F.max("id").alias("last")).where("to < last").select("doc", "to")
+    several = own.join(side(written(several, "jaccard-several")), "doc").where("id != to").select("id", "to")
+    reached = smallest_reached(links.union(copies.select("id", F.col("first").alias("to"))).union(several))
+    least = own.join(reached, "id").groupBy("component").agg(F.min("doc").alias("least"))
+    reached = reached.join(least, "component").select("id", "least")
+    return sig.select("doc", "id", F.col("n").alias("n_shingles")).join(reached, "id", "left").select(F.col("doc").alias("id"), "n_shingles", F.coalesce("least", "doc").alias("component"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, width: int = 5) -> DataFrame:
     """The documents, all columns, of which each component keeps the one with the smallest id.
 
-    An id names one document: of rows that repeat an id one stays.  Rows without an id stay."""
+    Of rows that repeat an id and a text one stays; rows without an id stay.  Null and empty texts link with
+    nothing and stay; an empty table gives an empty result; columns may have any names."""
     rows, name = numbered(docs)
     found = written(jaccard_components(rows, name[id_col], name[text_col], percent, width).select("id", "component"), "jaccard-components")
     gone = written(found.where("id != component").select("id").distinct(), "jaccard-gone")
@@ -353,6 +364,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     again = written(found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 and id is not null").select("id"), "jaccard-again")
     if has_rows(again):
         again = side(again)
-        once = kept.join(again, own == F.col("id"), "left_semi").dropDuplicates([name[id_col]])
+        once = kept.join(again, own == F.col("id"), "left_semi").dropDuplicates([name[id_col], name[text_col]])
         kept = kept.join(again, own == F.col("id"), "left_anti").union(once)
     return kept.toDF(*docs.columns)
