@@ -72,11 +72,10 @@ def matchups_from_plays(
 ) -> DataFrame:
     """The whole play-by-play -> matchup pipeline over every season at once.
 
-    The plays are scanned once: rolled up to (season, week, offence,
-    defence) and written to the shared checkpoint folder; team-week stats,
-    prior-season means, the blend and (without an explicit ``schedule``) the
-    distinct schedule rows all read that small table or the single schedule
-    projection of the plays.
+    The plays are rolled up to (season, week, offence, defence) and written
+    to the shared checkpoint folder; team-week stats, prior-season means and
+    the blend all read that small table.  Without an explicit ``schedule`` the
+    distinct schedule rows take a second, narrow scan of the plays.
     """
     from huddle.operators import history, team_stats
     from huddle.session import materialize

@@ -126,7 +126,10 @@ class LinearModel:
 
 
 def fit_models(df: DataFrame, x: str, y: str, kinds: Sequence[str] = ("lr", "lasso", "ridge", "en"), **kw) -> dict[str, LinearModel]:
-    """Fit and bring the coefficients (a handful of numbers) to the driver."""
+    """Fit and bring the coefficients (a handful of numbers) to the driver.  One model per kind: for
+    groups use :func:`fit_closed_form`, which keeps them in a table."""
+    if kw.get("group_by"):
+        raise ValueError("fit_models fits one model per kind; use fit_closed_form(group_by=...)")
     rows = fit_closed_form(df, x, y, kinds, **kw).collect()
     return {r["model"]: LinearModel(r["model"], r["slope"], r["intercept"]) for r in rows}
 

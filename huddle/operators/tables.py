@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,10 @@ def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], method: s
     """Merge frames that are unique on ``keys`` into one row per key present
     in any of them; a frame missing a key contributes NULLs.
 
+    ``method='pair'`` takes frames that repeat a key: the n-th row of a key in
+    one frame (ordered by its values) meets the n-th in the others, so every
+    row stays and none is multiplied.
+
     ``method='union'`` stacks the frames by name and aggregates once -- one
     shuffle whatever the number of frames.  ``method='join'`` chains
     full-outer joins (n - 1 shuffles); both give the same rows when every
@@ -38,6 +42,10 @@ def full_outer_merge(frames: Sequence[DataFrame], keys: Sequence[str], method: s
     """
     if method == "join":
         return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), frames)
+    if method == "pair":
+        ordered = [(f, [c for c in f.columns if c not in keys]) for f in frames]
+        nth = [f.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*own))) for f, own in ordered]
+        return full_outer_merge(nth, [*keys, "_nth"]).drop("_nth")
     if method != "union":
         raise ValueError(method)
     values = [c for f in frames for c in f.columns if c not in keys]
@@ -71,7 +79,5 @@ def top_n_per_group(
 ) -> DataFrame:
     """Top n rows of every group (rank filter; Spark plans a per-group
     limit below the window so each task drops most rows early)."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*group).orderBy(F.col(value).desc(), *[F.col(c).asc() for c in tie_break])
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)

@@ -1,10 +1,12 @@
-"""Incremental landing: add only partitions not already present.
+"""Incremental landing: add only what is not there yet, whatever was interrupted.
 
-``land`` takes whole partitions: an anti join against the distinct partition
-keys of the landed dataset (a scan of its partition columns) drops what is
-there, so re-running a landing is a no-op.  ``land_files`` takes source files,
-of which a season may have several that arrive at different times.  A target
-is filled by one of the two, not by both.
+``land`` takes whole partitions, ``land_files`` source files, of which a season
+may have several that arrive at different times.  Both write first and enter
+what they wrote in a log beside the data (folders that readers of the target
+skip) afterwards.  What the log does not list is written again to the same
+folders and replaces what an interrupted run left there, so no row is lost or
+repeated.  The log, not the data, is read to learn what is there.  A target is
+filled by one of the two, not by both.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from huddle.sinks.files import write_partitioned_parquet
+from huddle.session import materialize
 
 
 def new_partitions(incoming: DataFrame, landed_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,39 +44,50 @@ def landed_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
 def land_files(batch: DataFrame, path: str, keys: Sequence[str] = ("season",), file_col: str = "_file") -> None:
     """Append the rows of source files that ``path`` has not had yet.
 
-    The unit is the source file, named by ``file_col``.  A manifest beside the
-    data (``<path>/_landed_files``, which readers of ``path`` skip) lists the files
-    landed.  Rows go to ``<keys>/landing=<id>``, the id following from the
-    batch's files, and replace that folder: a batch that failed before its
-    files were listed is written again to the same place, one that failed
-    after adds nothing.  So no row is lost or repeated whatever the batches."""
-    spark, manifest = batch.sparkSession, f"{path}/_landed_files"
-    done = landed_keys(spark, manifest, [file_col])
+    The unit is the source file, named by ``file_col``: its rows go to
+    ``<keys>/landing=<id>``, the id following from the file's name alone, and
+    replace that folder.  Then the batch's files are entered in the log
+    (``<path>/_landed_files``).  A file whose rows were written but not entered is
+    written again to the same place, in whatever batch it comes next."""
+    spark, log = batch.sparkSession, f"{path}/_landed_files"
+    done = landed_keys(spark, log, [file_col])
     todo = batch if done is None else new_partitions(batch, done, [file_col])
-    files = todo.select(file_col).distinct()
-    batch_id = files.agg(F.sum(F.xxhash64(file_col).cast("decimal(38,0)")).cast("string").alias("id")).first()["id"]
-    if batch_id is None:
+    named = todo.withColumn("landing", F.concat(F.lit("f"), F.substring(F.sha2(F.col(file_col), 256), 1, 32)))
+    files = materialize(named.select(file_col, "landing").distinct(), "landing-files")
+    if not files.take(1):
         return
-    rows = todo.drop(file_col).withColumn("landing", F.concat(F.lit("f"), F.lit(batch_id)))
     by = [*keys, "landing"]
-    writer = rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*by).parquet(path)
-    files.coalesce(1).write.mode("append").parquet(manifest)
+    _replace(named.drop(file_col), path, by)
+    files.coalesce(1).write.mode("append").parquet(log)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the source files that the log lists, without those of an interrupted run."""
+    listed = spark.read.parquet(f"{path}/_landed_files").select("landing").distinct()  # one row per source file
+    return spark.read.parquet(path).join(listed, "landing", "left_semi").drop("landing")
+
+
+def _replace(rows: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Write rows partitioned by ``by``; partitions that have rows are replaced, the others stay."""
+    rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def land(spark: SparkSession, incoming: DataFrame, path: str, keys: Sequence[str] = ("season",)) -> None:
     """Append the partitions of ``incoming`` that ``path`` does not hold yet.
 
-    The landed keys are one row per partition directory (metadata-sized,
-    bounded by the partition count, not by the data), so they are taken to
-    the driver once and broadcast back: the comparison cannot change while
-    the append writes into the same folder.
-    """
-    present = landed_keys(spark, path, keys)
-    todo = incoming
-    if present is not None:
-        rows = present.collect()
-        if rows:
-            snapshot = F.broadcast(spark.createDataFrame(rows, present.schema))
-            todo = new_partitions(incoming, snapshot, keys)
-    write_partitioned_parquet(todo, path, keys, mode="append")
+    The keys landed are in the log (``<path>/_landed_keys``, one row per partition).  A
+    target that was filled before it had a log has its keys entered first."""
+    log = f"{path}/_landed_keys"
+    done = landed_keys(spark, log, keys)
+    if done is None:
+        present = landed_keys(spark, path, keys)
+        first = incoming.select(*keys).limit(0) if present is None else present
+        first.coalesce(1).write.mode("append").parquet(log)
+        done = landed_keys(spark, log, keys)
+    # a snapshot: the comparison must not change while the log grows
+    todo = new_partitions(incoming, materialize(done, "landing-keys"), keys)
+    fresh = materialize(todo.select(*keys).distinct(), "landing-keys")
+    if not fresh.take(1):
+        return
+    _replace(todo, path, keys)
+    fresh.coalesce(1).write.mode("append").parquet(log)

@@ -9,7 +9,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,12 +66,37 @@ def read_plays(
 
     Only the declared columns are read (the files may hold hundreds); a
     season list becomes a partition filter, so other seasons are never
-    opened.  Replaces a per-season loop over files.
+    opened.  Replaces a per-season loop over files.  Seasons whose files hold
+    a column in different types (``epa`` once as integers) are read as they
+    are and widened to the declared types.
     """
-    df = spark.read.option("mergeSchema", "false").parquet(path)
-    if seasons is not None:
-        df = df.filter(F.col("season").isin(list(seasons)))
-    return conform(df, schema)
+    def wanted(df: DataFrame) -> DataFrame:
+        return conform(df if seasons is None else df.filter(F.col("season").isin(list(seasons))), schema)
+
+    try:  # the footers of all files, merged by a job
+        return wanted(spark.read.option("mergeSchema", "true").parquet(path))
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e) and "Failed to merge" not in str(e):
+            raise
+    return reduce(DataFrame.unionByName, [wanted(df) for df in _by_types(spark, path, [f.name for f in schema.fields])])
+
+
+def _by_types(spark: SparkSession, path: str, names: Sequence[str]) -> list[DataFrame]:
+    """One scan for each combination of types that the folders of a dataset hold ``names`` in."""
+    folders = sorted({os.path.dirname(f) for f in spark.read.option("mergeSchema", "false").parquet(path).inputFiles()})
+    base, found = path.rstrip("/"), {}
+
+    def types(folder: str) -> T.StructType:
+        return spark.read.option("mergeSchema", "true").parquet(folder).schema
+
+    with ThreadPoolExecutor(8) as pool:  # one footer job per folder
+        for folder, kinds in zip(folders, pool.map(types, folders), strict=True):
+            held = tuple((f.name, f.dataType) for f in kinds.fields if f.name in names)
+            found.setdefault(held, []).append(folder)
+    return [
+        spark.read.option("basePath", base).schema(T.StructType([T.StructField(n, t) for n, t in held])).parquet(*group)
+        for held, group in found.items()
+    ]
 
 
 def read_csv(

@@ -1,19 +1,21 @@
 """HTML tables as DataFrames: header labels and body rows of the first
-matching container of every page, extracted with regular expressions on the
+matching container of every page, extracted with JVM array functions on the
 ``html`` column (no DOM parser, no Python per row).
 
-Patterns are written without back-references so the same extraction is
-expressible in other SQL engines.  Cell text has inner tags removed, the
-common and the numeric character entities decoded and surrounding white space
-(line breaks and no-break spaces too) removed.  Tags match in either case.  A
-block ends at the first closing tag of its kind: nested tables are not read.
+A block runs from its opening tag to the closing one of the same depth: what
+a nested table (or list) holds belongs to the cell (or item) around it.  A row
+or cell without a closing tag ends where the next one begins or its table
+ends.  Cell text has inner tags removed, the common and the numeric character
+entities decoded and surrounding white space (line breaks and no-break spaces
+too) removed.  Tags match in either case.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Group labels dropped from a table header (fixed values).
@@ -24,13 +26,47 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&nbsp;", " "), ("&
 
 
 def first_block(html: Column, tag: str) -> Column:
-    """Inner HTML of the first ``<tag ...>...</tag>`` (empty string if none)."""
-    return F.regexp_extract(html, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
-
-
-def all_blocks(html: Column, tag_pattern: str) -> Column:
-    """Inner HTML of every ``<tag>...</tag>`` matching ``tag_pattern``."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag_pattern}(?:\s[^>]*)?>(.*?)</{tag_pattern}>"), F.lit(1))
+    """Inner HTML of the first ``tag`` block (empty string if none)."""
+    return F.coalesce(F.try_element_at(all_blocks(html, tag), F.lit(1)), F.lit(""))
+
+
+def _scope(tag: str) -> str:
+    """The tags that nest: what lies inside one belongs to the block around it."""
+    if re.match(r"t(?:r|d|h|\[|head|body)", tag):
+        return "table"
+    if tag in ("ul", "ol", "li"):
+        return "ul|ol"
+    return tag if tag in ("table", "div", "span", "section") else "(?!)"
+
+
+def all_blocks(html: Column, tag: str) -> Column:
+    """Inner HTML of every outermost block of ``tag`` (a pattern of tag names)."""
+    scope = _scope(tag)
+    nests = tag in scope.split("|")  # then an inner opening tag deepens, else it begins the next block
+    pieces = F.split(F.coalesce(html, F.lit("")), rf"(?i)(?=</?(?:{scope}|{tag})(?=[\s/>]))")
+
+    def merge(state: Column, piece: Column) -> Column:
+        def to(depth, text, out):
+            return F.struct(depth.cast("int").alias("depth"), text.cast("string").alias("text"), out.alias("out"))
+
+        is_ = lambda name, end="": piece.rlike(rf"(?i)^<{end}(?:{name})[\s/>]")
+        depth, text, out = state["depth"], state["text"], state["out"]
+        inner = F.regexp_replace(piece, r"^<[^>]*>", "")
+        more, done = F.concat(text, piece), F.concat(out, F.array(text))
+        closed, open_ = depth == 0, depth == 1  # deeper: inside a nested scope
+        enter = to(F.lit(1), inner, out)
+        begins_next = F.lit(False) if nests else is_(tag) & open_
+        return (
+            F.when(closed, F.when(is_(tag), enter).otherwise(state))
+            .when(begins_next, to(F.lit(1), inner, done))
+            .when((is_(tag, "/") if not nests else is_(scope, "/")) & open_, to(F.lit(0), F.lit(""), done))
+            .when(is_(scope), to(depth + 1, more, out))
+            .when(is_(scope, "/"), F.when(open_, to(F.lit(0), F.lit(""), done)).otherwise(to(depth - 1, more, out)))
+            .otherwise(to(depth, more, out))
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(pieces, start, merge, lambda s: F.when(s["depth"] > 0, F.concat(s["out"], F.array(s["text"]))).otherwise(s["out"]))
 
 
 def clean_text(c: Column) -> Column:
@@ -100,8 +136,8 @@ def position_table(
     occurrence: int = 2,
     html: str = "html",
 ) -> DataFrame:
-    """(Tm, Season, position, value) from pages holding one table each,
-    with ``season`` and ``position`` columns on the page row.  The value is
+    """(Tm, Season, position, value, occurrence) from pages holding one table each,
+    ``occurrence`` counting a team's rows on its pages from 1, with ``season`` and ``position`` columns on the page row.  The value is
     the ``occurrence``-th column labelled ``value_label`` (the per-game
     figure), cast to double (non-numbers become NULL).  Pages whose header
     lacks that occurrence contribute nothing.
@@ -123,14 +159,19 @@ def position_table(
     ).filter(F.col("_kp").isNotNull() & F.col("_vp").isNotNull())
     rows = per_page.select(
         "page_id", "Season", "position", "_kp", "_vp",
-        F.explode(F.transform("_rows", lambda r: F.transform(all_blocks(r, "t[hd]"), clean_text))).alias("cells"),
-    ).distinct()
-    return rows.select(
+        F.posexplode(F.transform("_rows", lambda r: F.transform(all_blocks(r, "t[hd]"), clean_text))).alias("_at", "cells"),
+    )
+    rows = rows.groupBy("page_id", "Season", "position", "_kp", "_vp", "cells").agg(F.min("_at").alias("_at"))
+    rows = rows.select(
         F.try_element_at("cells", F.col("_kp") + 1).alias("Tm"),
         "Season",
         "position",
         F.try_element_at("cells", F.col("_vp") + 1).try_cast("double").alias("value"),
+        "page_id",
+        "_at",
     )
+    nth = F.row_number().over(Window.partitionBy("Tm", "Season", "position").orderBy("page_id", "_at"))
+    return rows.select("Tm", "Season", "position", "value", nth.alias("occurrence"))
 
 
 def defense_points_table(
@@ -142,8 +183,10 @@ def defense_points_table(
     """(Tm, Season, '<pos> FantPt' for each position) from one page per
     (season, position): the per-game points column of every page, one row
     per team and season.  A team missing from one position's page gets NULL
-    there (the outer merge of the per-position tables, as one pivot)."""
+    there (the outer merge of the per-position tables, as one pivot).  A team
+    that a page lists several times keeps all its rows: its n-th row of one
+    position meets its n-th of the others."""
     from huddle.operators.tables import pivot_positions
 
     rows = position_table(pages, season=season, position=position)
-    return pivot_positions(rows, ["Tm", "Season"], "position", "value", list(positions), name="{p} FantPt")
+    return pivot_positions(rows, ["Tm", "Season", "occurrence"], "position", "value", list(positions), name="{p} FantPt").drop("occurrence")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # URL template of the per-season, per-position tables (fixed value).
-DEFENSE_URL = "https://www.pro-football-reference.com/years/{season}/fantasy-points-against-{position}.htm"
+DEFENSE_URL = "https://www.pro-football-reference.com/years/{year}/fantasy-points-against-{position}.htm"
 POSITIONS = ["RB", "TE", "WR", "QB"]
 
 
@@ -24,5 +24,5 @@ def season_position_grid(
     expression."""
     rows = [(int(s), p) for s in seasons for p in positions]
     grid = spark.createDataFrame(rows, "season int, position string")
-    fmt = template.replace("{season}", "%d").replace("{position}", "%s")
+    fmt = template.replace("{year}", "%d").replace("{position}", "%s")
     return grid.withColumn("url", F.format_string(fmt, "season", "position"))

@@ -160,3 +160,78 @@ def test_write_column_catalogue(spark, tmp_path):
     catalog.write_column_catalogue(df, out)
     text = open([os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")][0]).read().splitlines()
     assert text == ["season", "team", "epa"]
+
+
+def _file_batch(spark, *files):
+    rows = [(2020 + i, i, f) for f in files for i in range(3 if f == "fa" else 2)]
+    return spark.createDataFrame(rows, "season int, week int, _file string")
+
+
+def test_landing_survives_a_crash_before_the_log(spark, tmp_path, monkeypatch):
+    """Rows written but not entered come again in another batch: same folder, same rows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from huddle.sinks import landing
+
+    target, plain = str(tmp_path / "t"), DataFrameWriter.parquet
+
+    def failing(self, path, *args, **kw):
+        if "_landed" in path:
+            raise OSError("lost")
+        return plain(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(OSError):
+        landing.land_files(_file_batch(spark, "fa"), target)
+    monkeypatch.undo()
+    for batch in (("fa", "fb"), ("fb",), ("fc", "fa")):
+        landing.land_files(_file_batch(spark, *batch), target)
+    assert spark.read.parquet(target).count() == 3 + 2 + 2 == landing.read_landed(spark, target).count()
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(OSError):
+        landing.land_files(_file_batch(spark, "fd"), target)
+    monkeypatch.undo()
+    assert landing.read_landed(spark, target).count() == 7  # not what an interrupted run left
+
+
+def test_whole_partitions_survive_a_crash_before_the_log(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    target, plain, calls = str(tmp_path / "t"), DataFrameWriter.parquet, []
+    land(spark, season_rows(spark, 2021), target)
+
+    def failing(self, path, *args, **kw):
+        calls.append(path)
+        if path.endswith("_landed_keys"):
+            raise OSError("lost")
+        return plain(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(OSError):
+        land(spark, season_rows(spark, 2022), target)
+    monkeypatch.undo()
+    land(spark, season_rows(spark, 2021).unionByName(season_rows(spark, 2022)), target)
+    land(spark, season_rows(spark, 2022, n=9), target)
+    counts = {r.season: r["count"] for r in spark.read.parquet(target).groupBy("season").count().collect()}
+    n = season_rows(spark, 2021).count()
+    assert calls and counts == {2021: n, 2022: n}
+
+
+def test_a_target_from_before_the_log_is_adopted(spark, tmp_path):
+    target = str(tmp_path / "t")
+    season_rows(spark, 2021).write.partitionBy("season").parquet(target)
+    land(spark, season_rows(spark, 2021, n=7).unionByName(season_rows(spark, 2022)), target)
+    n = season_rows(spark, 2021).count()
+    assert {r.season: r["count"] for r in spark.read.parquet(target).groupBy("season").count().collect()} == {2021: n, 2022: n}
+
+
+def test_seasons_with_different_types_are_widened(spark, tmp_path):
+    path, epa = str(tmp_path / "p"), []
+    for season, kind in ((2020, "bigint"), (2021, "double"), (2022, "int"), (2023, "double")):
+        rows = season_rows(spark, season).drop("season")
+        rows = rows.withColumn("epa", F.lit(season - 2019).cast(kind))
+        rows.write.parquet(f"{path}/season={season}")
+        epa.append((season, float(season - 2019)))
+    got = read_plays(spark, path).select("season", "epa").distinct()
+    assert sorted(map(tuple, got.collect())) == epa and got.schema["epa"].dataType.typeName() == "double"
+    assert {r.season for r in read_plays(spark, path, seasons=[2020, 2023]).select("season").distinct().collect()} == {2020, 2023}

@@ -50,3 +50,10 @@ def test_top_n(spark):
     assert [r.feature for r in tables.top_n(df, "importance", 2, tie_break=["feature"]).collect()] == ["d", "a"]
     per = tables.top_n_per_group(df.withColumn("g", F.lit(1)), ["g"], "importance", 1, ["feature"]).collect()
     assert [r.feature for r in per] == ["d"]
+
+
+def test_merge_pairs_repeated_keys(spark):
+    a = spark.createDataFrame([("x", 2.5), ("x", 9.5), ("y", 1.0)], "k string, a double")
+    b = spark.createDataFrame([("x", 4.0), ("z", 5.0)], "k string, b double")
+    out = tables.full_outer_merge([a, b], ["k"], method="pair")
+    assert sorted(map(tuple, out.collect()), key=repr) == [("x", 2.5, 4.0), ("x", 9.5, None), ("y", 1.0, None), ("z", None, 5.0)]
