@@ -13,7 +13,13 @@ the next.
 5. ``packing``         one row per token piece and its place in a sequence
 
 SQL cannot express the forest of stage 3 or the seeded choice of stage 4, so
-there is no ORACLE_SQL; tests hold each stage against a brute-force version.
+there is no ORACLE_SQL; ``tests/llm/test_pipeline.py`` holds each stage against
+a brute-force version.
+
+Defined results: null and empty texts are rejected by the first stage; copies
+and repeated rows go in the second; rows without an id, and null sources, are
+kept and mixed like others; extra columns, whatever their names, travel along;
+texts are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
