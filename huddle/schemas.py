@@ -1,7 +1,7 @@
 """Explicit schemas for every source and the main outputs.
 
-Nothing is inferred at read time: CSV and Parquet sources are read with
-these types, and every measure is nullable.
+CSV columns are parsed to these types; Parquet columns are read as the files
+hold them and cast to these types.  Every measure is nullable.
 """
 
 from pyspark.sql import types as T
