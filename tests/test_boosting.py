@@ -86,13 +86,13 @@ def test_equals_brute_force_and_keeps_missing_values(df, monkeypatch, local, set
 
 
 def test_arrays_and_table_agree_on_drawn_rows(df, monkeypatch):
-    setting = Setting(6, 0.3, 4, subsample=0.7, colsample_bytree=0.7)
+    setting = Setting(4, 0.3, 3, subsample=0.7, colsample_bytree=0.7)
     whole = boosting.fit(df, NAMES, "y", ["key"], setting)
     monkeypatch.setattr(boosting, "LOCAL", 0)
     parts = boosting.fit(df.repartition(3), NAMES, "y", ["key"], setting)
     for a, b in zip(whole.trees, parts.trees, strict=True):
         assert a.feature == b.feature and a.cut == b.cut and a.value == pytest.approx(b.value)
-    full = boosting.fit(df, NAMES, "y", ["key"], Setting(6, 0.3, 4))
+    full = boosting.fit(df, NAMES, "y", ["key"], Setting(4, 0.3, 3))
     assert any(a.cut != b.cut for a, b in zip(whole.trees, full.trees, strict=True))
 
 
