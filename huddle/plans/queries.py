@@ -16,6 +16,7 @@ from huddle.functions.columns import hash_bucket, safe_divide
 from huddle.operators import (
     evaluate,
     history,
+    kernel,
     knn,
     matchup,
     models,
@@ -24,6 +25,7 @@ from huddle.operators import (
     regression,
     scaling,
     split,
+    symmetric,
     tables,
     team_stats,
 )
@@ -447,8 +449,10 @@ def q_bayesian_ridge_fit(spark, root):
     return rounded(spark.createDataFrame([(m.name, m.slope, m.intercept)], "model string, slope double, intercept double"))
 
 
-def _split_xy(spark, root):
+def _split_xy(spark, root, write=False):
+    """Train and test rows; written once for those who read them often."""
     xy = _xy(spark, root).select("key", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), "split")
+    xy = materialize(xy, "split-rows") if write else xy
     return xy.filter(F.col("split") == "train"), xy.filter(F.col("split") == "test")
 
 
@@ -469,13 +473,13 @@ def q_tree_regressor_mse(spark, root, sizes=onefeature.SIZES):
     return onefeature.score(onefeature.tree_predictions(train, points, "x", "y", sizes), test, "x", "y").select("regressor", "mse")
 
 
-# all regressors built, in the order of the original comparison table
-COMPARED = ["lr", "dtr", "rfr", "knn", "gbr", "xgbr", "en", "lasso", "ridge", "bayesianridge", "adaboost"]
+# all regressors, in the order of the original comparison table
+COMPARED = ["lr", "dtr", "rfr", "svr", "knn", "gbr", "xgbr", "catbr", "en", "lasso", "ridge", "bayesianridge", "adaboost"]
 
 
 def _comparison(spark, root, sizes=onefeature.SIZES):
     """(regressor, n, mse) of every regressor, from its predictions at the distinct test values."""
-    train, test = _split_xy(spark, root)
+    train, test = _split_xy(spark, root, write=True)
     points = materialize(test.select("x").distinct(), "tree-points")
     found = onefeature.tree_predictions(train, points, "x", "y", sizes)
     whole = train.withColumn("x", F.col("x").cast("long")).withColumn("y", F.col("y").cast("long"))
@@ -484,6 +488,10 @@ def _comparison(spark, root, sizes=onefeature.SIZES):
     found = found.unionByName(points.select("x", F.inline(lines)))
     near = knn.knn_regress(train, points.withColumn("key", F.concat(F.lit("point "), F.col("x").cast("string"))), "x", "y", "key", k=5)
     found = found.unionByName(near.select(F.lit("knn").alias("regressor"), "x", "prediction"))
+    vectors = kernel.fit_svr(train, ["x"], "y").predict(points, ["x"])
+    ordered = symmetric.ordered_boost(train, "x", "y", "key").predict(points)
+    for name, frame in (("svr", vectors), ("catbr", ordered)):
+        found = found.unionByName(frame.select(F.lit(name).alias("regressor"), "x", "prediction"))
     return onefeature.score(found, test, "x", "y")
 
 
