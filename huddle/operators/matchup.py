@@ -72,20 +72,21 @@ def matchups_from_plays(
 ) -> DataFrame:
     """The whole play-by-play -> matchup pipeline over every season at once.
 
-    The plays are rolled up to (season, week, offence, defence) and written
-    to the shared checkpoint folder; team-week stats, prior-season means and
-    the blend all read that small table.  Without an explicit ``schedule`` the
-    distinct schedule rows take a second, narrow scan of the plays.
+    The plays are scanned once: rolled up to (game, offence, defence), or to
+    (season, week, offence, defence) where a ``schedule`` is given, and written
+    to the shared checkpoint folder.  Team-week stats, prior-season means, the
+    blend and the distinct schedule rows all read that small table.
     """
     from huddle.operators import history, team_stats
     from huddle.session import materialize
 
-    pairs = materialize(team_stats.pair_week_stats(plays), "pairs")
+    carry = team_stats.SCHEDULE if schedule is None else ()
+    pairs = materialize(team_stats.pair_week_stats(plays, carry=carry), "pairs")
     tws = team_stats.team_week_from_pairs(pairs)
     prior = history.prior_season_means(tws, features, lag=prior_lag)
     blended = history.blend_with_prior(
         tws, prior, features, early_weeks=early_weeks, prior_only_when_no_history=prior_only_when_no_history
     )
     if schedule is None:
-        schedule = team_stats.schedule_rows(plays)
+        schedule = team_stats.schedule_rows(pairs)
     return matchup_dataset(schedule, blended, features, early_weeks=early_weeks, division_of=division_of)

@@ -184,10 +184,10 @@ def single_team_week_stats(
     return out.orderBy(*keys)
 
 
-def schedule_rows(
-    plays: DataFrame,
-    columns: Sequence[str] = ("season", "week", "game_id", "home_team", "away_team", "home_score", "away_score"),
-) -> DataFrame:
+SCHEDULE = ("season", "week", "game_id", "home_team", "away_team", "home_score", "away_score")
+
+
+def schedule_rows(plays: DataFrame, columns: Sequence[str] = SCHEDULE) -> DataFrame:
     """Distinct game rows carried on every play."""
     return plays.select(*columns).distinct()
 
@@ -209,11 +209,16 @@ def pair_week_stats(
     keys: Sequence[str] = ("season", "week"),
     offense: str = "posteam",
     defense: str = "defteam",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per (keys, offence, defence): the plays rolled up with
     decomposable aggregates (sums stay NULL when every value is missing,
     so later levels can apply the 0 rule once).
 
+    ``carry`` names further columns to group by, such as those of the
+    schedule.  Plays without an offence then stay, in rows of their own: they
+    list games, and every reader of the statistics leaves them out.
+
     This is the only pass over the play rows a whole pipeline needs: team
     statistics, games and every history feature derive from it.  Its size
     is teams^2 x weeks, independent of the number of plays, so it is the
@@ -221,7 +226,8 @@ def pair_week_stats(
     otherwise gives each branch its own scan of the plays).
     """
     rush, pas = F.col("rush_attempt") == 1, F.col("pass_attempt") == 1
-    return plays.filter(F.col(offense).isNotNull()).groupBy(*keys, offense, defense).agg(
+    rows = plays if carry else plays.filter(F.col(offense).isNotNull())
+    return rows.groupBy(*keys, *[c for c in carry if c not in keys], offense, defense).agg(
         F.count(F.lit(1)).alias("plays"),
         *[(F.sum(src) if kind == "sum" else F.max(src)).alias(name) for name, kind, src in PAIR_AGGS],
         F.sum(F.when(rush, F.col("epa"))).alias("rush_epa_cond"),
@@ -251,7 +257,8 @@ def team_week_from_pairs(
         return F.coalesce(F.sum(c), F.lit(0.0))
 
     stats = (
-        pairs.select(*keys, *measures, F.inline(sides))
+        pairs.filter(F.col(offense).isNotNull())
+        .select(*keys, *measures, F.inline(sides))
         .filter(F.col(team_col).isNotNull())
         .groupBy(*keys, team_col)
         .agg(

@@ -62,3 +62,19 @@ def test_scaling_on_training_seasons_needs_a_season(spark):
 
     with pytest.raises(ValueError, match="test_season"):
         prepare_features(spark.range(1), fit_on="train")
+
+
+def test_whole_pipeline_scans_the_plays_once(spark, tmp_path):
+    """Games and statistics come from one roll-up; a game whose plays name no offence is listed too."""
+    from huddle import schemas
+    from huddle.sources.files import conform
+
+    rows = [(s, w, f"{s}{w}", "AAA", "BBB", off, dfn, y, 0.5, 21, 14) for s in (2021, 2022, 2023) for w in (1, 2, 3) for off, dfn, y in (("AAA", "BBB", 9.0 + w), ("BBB", "AAA", 4.0), ("AAA", "BBB", 2.0), (None, None, None))]
+    rows.append((2023, 4, "late", "BBB", "AAA", None, None, None, None, 0, 3))
+    schema = "season int, week int, game_id string, home_team string, away_team string, posteam string, defteam string, passing_yards double, epa double, home_score int, away_score int"
+    conform(spark.createDataFrame(rows, schema), schemas.PLAYS, optional=schemas.PLAYS.names).write.parquet(str(tmp_path / "p"))
+    plays = spark.read.parquet(str(tmp_path / "p"))
+    one = matchup.matchups_from_plays(plays)
+    two = matchup.matchups_from_plays(plays, schedule=team_stats.schedule_rows(plays))
+    assert one.count() == 10 and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    assert not any(str(tmp_path) in f for f in one.inputFiles()) and any(str(tmp_path) in f for f in two.inputFiles())
