@@ -7,7 +7,9 @@ tokens of every subtree.  An edit replaces the characters [start, stop) by a
 string: descending by characters finds the blocks; cutting starts anew two
 pre-tokens before the edit and goes on until a cut behind the edit falls on an
 old one, from where all is as before.  Only these pre-tokens are encoded, and
-the sums on the blocks' paths to the root are updated.
+the sums on the blocks' paths to the root are updated.  Blocks that grow
+beyond four times their size, and beyond the root of the number of
+pre-tokens, are cut anew, so many edits at one place stay cheap.
 
 Edits apply one after the other, positions meaning the text as edited so far;
 they are cut to the text's length, a null edit or replacement is empty.
@@ -20,6 +22,7 @@ one; an empty table gives an empty result.  Only the columns named are read.
 from __future__ import annotations
 
 import base64
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -57,8 +60,12 @@ class CountTree:
 
     def __init__(self, text: str, counts: PieceCounts):
         self.counts = counts
-        pieces = counts.pattern.findall(text)
         self.encoded = 0
+        self._plant(counts.pattern.findall(text))
+
+    def _plant(self, pieces: list[str]):
+        """Blocks of equal size, and the sums over them."""
+        self.most = max(4 * BLOCK, math.isqrt(len(pieces)))
         self.blocks = [pieces[i : i + BLOCK] for i in range(0, len(pieces), BLOCK)] or [[]]
         self.size = 1 << (len(self.blocks) - 1).bit_length()
         self.chars, self.tokens = np.zeros(2 * self.size, np.int64), np.zeros(2 * self.size, np.int64)
@@ -157,9 +164,13 @@ class CountTree:
             old += self.blocks[last]
             reach += int(self.chars[self.size + last])
         self.encoded += len(fresh)
-        for i in range(first + 1, last + 1):
-            self._replace(i, [])
-        self._replace(first, head + fresh + old[met:])
+        # the blocks share what they now hold; once they hold too much, all are cut anew
+        pieces = head + fresh + old[met:]
+        each = -(-len(pieces) // (last - first + 1))
+        for n, i in enumerate(range(first, last + 1)):
+            self._replace(i, pieces[n * each : (n + 1) * each])
+        if each > self.most:
+            self._plant([p for block in self.blocks for p in block])
 
 
 def count_edited(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
