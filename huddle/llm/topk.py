@@ -41,7 +41,7 @@ from huddle.llm.shared import side, written
 
 SHARD_VECTORS = 4096
 QUERY_BLOCK = 1024
-LEAF = 64
+LEAF = 256
 #: At most so many centres are sampled for, 16 vectors each, and so many numbers fetched for them.
 CENTRES = 1024
 SAMPLE_NUMBERS = 4_000_000
