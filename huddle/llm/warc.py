@@ -6,7 +6,7 @@ cut: the first record and its ``continuation`` records carry a segment number,
 continuations name the first one's id, the last tells the total length.  Of
 pages with equal payloads of at least ``min_bytes`` bytes the one with the
 largest id is the response; the others are ``revisit`` records without
-payload.  Spark's own writer puts the records into gzipped files of at most
+payload that name the response's page and address.  Spark's own writer puts the records into gzipped files of at most
 ``RECORDS`` records in the shared folder; two line ends separate records.
 
 Reading.  Files are split into records by Content-Length.  Continuations are
@@ -34,13 +34,15 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame, SparkSession
 
-from huddle.llm.shared import written
+from huddle.llm.shared import side, written
 from huddle.session import shared_path
 
 RECORDS = 4096
 SEGMENT_BYTES = 16_384
 CHUNK_BYTES = 4_096
 BATCH = 256
+#: Shared payloads whose keepers (digest, id, address) are broadcast, and copies of one that a join gives to one key.
+KEEPERS, COPIES = 50_000, 20_000
 CRLF = b"\r\n"
 END = b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -88,12 +90,12 @@ def record(kind: str, record_id: str, block: bytes, **more) -> bytes:
     return CRLF.join(head) + END + block
 
 
-def page_records(page: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, segment_bytes: int) -> list[bytes]:
+def page_records(page: int | None, url: str | None, payload: bytes, refers_to: int | None, refers_to_url: str | None, revisit: bool, segment_bytes: int) -> list[bytes]:
     digest = "sha1:" + base32_sha1(payload)
     own = {"WARC_Target_URI": url, "X_Page_Id": page, "WARC_Payload_Digest": digest}
     first = str(uuid.uuid4())
     if revisit:
-        return [record("revisit", first, b"HTTP/1.1 200 OK" + END, **own, WARC_Profile=PROFILE, X_Refers_To_Page_Id=refers_to)]
+        return [record("revisit", first, b"HTTP/1.1 200 OK" + END, **own, WARC_Profile=PROFILE, WARC_Refers_To_Target_URI=refers_to_url, X_Refers_To_Page_Id=refers_to)]
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked" + END + chunked(payload)
     parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
     if len(parts) == 1:
@@ -105,21 +107,41 @@ def page_records(page: int | None, url: str | None, payload: bytes, refers_to: i
     return out
 
 
+def _keepers(rows: DataFrame, min_bytes: int) -> DataFrame:
+    """sha, copies, keeper, keeper_url of the payloads that several rows share; no payload is shuffled."""
+    found = rows.where(F.length("payload") >= min_bytes).groupBy("sha").agg(F.count("*").alias("copies"), F.max(F.struct("page", "url")).alias("best"))
+    return found.where("copies > 1").select("sha", "copies", F.col("best.page").alias("keeper"), F.col("best.url").alias("keeper_url"))
+
+
+def _with_keepers(rows: DataFrame, keepers: DataFrame, limit: int = KEEPERS) -> DataFrame:
+    """The rows and the keepers of their payloads.  Up to ``limit`` keepers go to the rows.  Beyond, both
+    meet by payload, where one of more than COPIES rows is dealt to that many more keys: which are so is
+    broadcast, at most rows / COPIES of them."""
+    if keepers.count() <= limit:
+        return rows.join(F.broadcast(keepers), "sha", "left")
+    blocks = F.ceil(F.col("copies") / COPIES).cast("long")
+    hot = keepers.where(F.col("copies") > COPIES).select("sha", blocks.alias("blocks"))
+    rows = rows.withColumn("row", F.monotonically_increasing_id()).join(F.broadcast(hot), "sha", "left")
+    rows = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("row"), F.col("blocks")), F.lit(0))).drop("row", "blocks")
+    spread = keepers.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    return rows.join(spread, ["sha", "salt"], "left").drop("salt")
+
+
 def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, segment_bytes: int = SEGMENT_BYTES) -> str:
     """Write one record per page (and its continuations) below ``path``."""
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("sha", F.sha1("payload"))
-    equal = rows.where(F.length("payload") >= min_bytes).groupBy("sha").agg(F.max("page").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(equal, "sha", "left").withColumn("revisit", F.col("keeper").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page")))
+    rows = rows.withColumn("sha", F.unhex(F.sha1("payload")))
+    rows = _with_keepers(rows, written(_keepers(rows, min_bytes), "warc-keepers"))
+    rows = rows.withColumn("revisit", F.col("copies").isNotNull() & ~F.col("keeper").eqNullSafe(F.col("page")))
 
     def run(batches):
         for batch in batches:
             for part in (batch.slice(i, BATCH) for i in range(0, batch.num_rows, BATCH)):
-                out = [x for row in part.to_pylist() for x in page_records(row["page"], row["url"], row["payload"], row["keeper"], row["revisit"], segment_bytes)]
+                out = [x for row in part.to_pylist() for x in page_records(**row, segment_bytes=segment_bytes)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    records = rows.select("page", "url", "payload", "keeper", "revisit").mapInArrow(run, "record binary")
+    records = rows.select("page", "url", "payload", F.col("keeper").alias("refers_to"), F.col("keeper_url").alias("refers_to_url"), "revisit").mapInArrow(run, "record binary")
     records.select(F.col("record").cast("string")).write.option("lineSep", END.decode()).option("compression", "gzip").option("maxRecordsPerFile", RECORDS).text(path)
     return path
 
@@ -204,8 +226,10 @@ def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str =
     spark = pages.sparkSession
     path = write_archive(pages, shared_path(spark, "warc", uuid.uuid4().hex), id_col, url_col, html_col, min_bytes, segment_bytes)
     rows = written(read_archive(spark, path).select("page", "type", "refers_to", "digest", "segments", F.length("payload").cast("long").alias("bytes"), "intact"), "warc-read")
-    kept = rows.where("type = 'response'").groupBy(F.col("page").alias("refers_to"), "digest").agg(F.first("bytes").alias("kept_bytes"), F.min("intact").alias("kept_intact"))
-    revisits = rows.where("type = 'revisit'").join(kept, ["refers_to", "digest"], "left")
+    kept = rows.where("type = 'response'").groupBy(F.col("page").alias("refers_to"), "digest").agg(F.max("bytes").alias("kept_bytes"), F.min("intact").alias("kept_intact"))
+    # only what revisits refer to, counted before it is broadcast
+    asked = rows.where("type = 'revisit'").select("refers_to", "digest").distinct()
+    revisits = rows.where("type = 'revisit'").join(side(written(kept.join(asked, ["refers_to", "digest"]), "warc-kept"), KEEPERS), ["refers_to", "digest"], "left")
     columns = ["page", "type", "refers_to", "digest", "segments", "bytes", "intact"]
     revisits = revisits.withColumn("bytes", F.col("kept_bytes")).withColumn("intact", F.col("intact") & F.coalesce("kept_intact", F.lit(False)))
     return rows.where("type = 'response'").select(*columns).union(revisits.select(*columns)).withColumnRenamed("bytes", "payload_bytes")

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from huddle.llm import packing
+from huddle.llm import packing, warc
 from huddle.llm.jaccard import jaccard_components, one_of_each
 from huddle.llm.mixing import mix_sources
 from huddle.llm.secrets import redact
@@ -81,3 +81,23 @@ def test_many_thin_sources_reach_their_targets(spark):
     assert max(off.values()) < 0.05, sorted(off.items(), key=lambda x: -x[1])[:5]
     again = {r._id: r._taken for r in mix_sources(docs.repartition(7)).collect()}
     assert again == {r._id: r._taken for r in got}
+
+
+@pytest.mark.parametrize("limit", [50_000, 0])
+def test_keepers_by_broadcast_and_by_salted_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(warc, "COPIES", 7)
+    monkeypatch.setattr(warc._with_keepers, "__defaults__", (limit,))
+    rows = [(i, f"u{i}", None if i % 3 == 0 else f"text {i % 5}" if i % 3 == 1 else f"alone {i}") for i in range(120)] + [(None, None, None), (119, "u119", "alone 119")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    keeper = {}
+    for page, _, html in rows:
+        keeper.setdefault(html or "", []).append(-1 if page is None else page)
+    want = [(page, len(html or ""), "response" if page == max(keeper[html or ""]) else "revisit", None if page == max(keeper[html or ""]) else max(keeper[html or ""])) for page, _, html in rows]
+    got = warc.archive_round_trip(df).collect()
+    assert sorted(((r.page, r.payload_bytes, r.type, r.refers_to) for r in got), key=str) == sorted(want, key=str) and all(r.intact for r in got)
+
+
+def test_a_revisit_names_the_address_of_its_response(spark):
+    found = list(warc.parse(b"\r\n\r\n".join(warc.page_records(1, "u1", b"x", 2, "u2", True, 100))))
+    assert [(r["type"], r["refers_to"]) for r in found] == [("revisit", 2)]
+    assert b"WARC-Refers-To-Target-URI: u2" in warc.page_records(1, "u1", b"x", 2, "u2", True, 100)[0]
