@@ -64,6 +64,23 @@ WEEKLY_PLAYER_STATS = _struct(
     ("fantasy_points_ppr", _D),
 )
 
+# Weekly snap counts per player, as published with the play-by-play files.
+SNAP_COUNTS = _struct(
+    ("game_id", _S),
+    ("season", _I),
+    ("week", _I),
+    ("player", _S),
+    ("position", _S),
+    ("team", _S),
+    ("opponent", _S),
+    ("offense_snaps", _D),
+    ("offense_pct", _D),
+    ("defense_snaps", _D),
+    ("defense_pct", _D),
+    ("st_snaps", _D),
+    ("st_pct", _D),
+)
+
 GAMES = _struct(
     ("season", _I),
     ("week", _I),

@@ -147,3 +147,18 @@ def read_weekly_player_stats(
     if positions is not None:
         df = df.filter(F.col("position").isin(list(positions)))
     return df
+
+
+def read_snap_counts(
+    spark: SparkSession,
+    path: str,
+    seasons: Iterable[int] | None = None,
+    schema: T.StructType = schemas.SNAP_COUNTS,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Weekly snap counts, optionally limited to seasons (pushed down).  Files
+    with other columns are read by the caller's own ``schema``."""
+    df = read_csv(spark, path, schema) if fmt == "csv" else conform(spark.read.parquet(path), schema)
+    if seasons is not None:
+        df = df.filter(F.col("season").isin([int(s) for s in seasons]))
+    return df

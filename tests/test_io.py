@@ -8,7 +8,7 @@ from huddle import schemas
 from huddle.sinks import files as sinks
 from huddle.sinks.landing import land
 from huddle.sources import catalog, params
-from huddle.sources.files import conform, read_csv, read_plays, read_table
+from huddle.sources.files import conform, read_csv, read_plays, read_snap_counts, read_table
 
 
 def season_rows(spark, season, n=3):
@@ -235,3 +235,21 @@ def test_seasons_with_different_types_are_widened(spark, tmp_path):
     got = read_plays(spark, path).select("season", "epa").distinct()
     assert sorted(map(tuple, got.collect())) == epa and got.schema["epa"].dataType.typeName() == "double"
     assert {r.season for r in read_plays(spark, path, seasons=[2020, 2023]).select("season").distinct().collect()} == {2020, 2023}
+
+
+def test_snap_counts_by_season(spark, tmp_path):
+    row = "'g1' game_id, 2023 season, 1 week, 'A' player, 'QB' position, 'KC' team, 'DET' opponent, 60 offense_snaps, double('NaN') offense_pct, 0 defense_snaps, 0D defense_pct, 3 st_snaps, 0.1D st_pct, 'x' more"
+    df = spark.sql(f"select {row}")
+    df.union(df.withColumn("season", F.lit(2022))).write.parquet(str(tmp_path / "snaps"))
+    found = read_snap_counts(spark, str(tmp_path / "snaps"), seasons=[2023])
+    assert found.schema == schemas.SNAP_COUNTS
+    assert [(r.season, r.offense_snaps, r.offense_pct, r.st_pct) for r in found.collect()] == [(2023, 60.0, None, 0.1)]
+    df.coalesce(1).write.option("header", True).csv(str(tmp_path / "snaps_csv"))
+    assert read_snap_counts(spark, str(tmp_path / "snaps_csv"), fmt="csv").count() == 1
+    with pytest.raises(ValueError, match="st_pct"):
+        read_snap_counts(spark, _without(df, "st_pct", tmp_path))
+
+
+def _without(df, column, tmp_path):
+    df.drop(column).write.parquet(str(tmp_path / "without"))
+    return str(tmp_path / "without")
