@@ -153,6 +153,23 @@ def test_jdbc_round_trip(spark):
     assert back.rdd.getNumPartitions() == 4
     assert back.filter(F.col("CARRIES") > 10).count() == 14
 
+    # a replacement that fails leaves the old rows and no other table
+    broken = df.withColumn("name", F.when(F.col("id") == 20, F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("name")))
+    with pytest.raises(Exception, match="broken"):
+        jdbc.write_table(broken, url, "PLAYER_STATS", props)
+    assert jdbc.read_table(spark, url, "PLAYER_STATS", props).count() == 25
+    listed = jdbc.read_table(spark, url, "SYS.SYSTABLES", props).filter("TABLENAME like 'PLAYER_STATS%'")
+    assert [r.TABLENAME for r in listed.select("TABLENAME").collect()] == ["PLAYER_STATS"]
+
+    # a replacement that succeeds has the new rows alone; ranges by quantiles hold every row, nulls too
+    skewed = spark.range(400).select(F.when(F.col("id") < 300, F.lit(7)).when(F.col("id") < 390, F.col("id")).cast("int").alias("id"))
+    jdbc.write_table(skewed, url, "PLAYER_STATS", props)
+    back = jdbc.read_table(spark, url, "PLAYER_STATS", props, partition_column="ID", num_partitions=8)
+    assert 2 <= back.rdd.getNumPartitions() <= 8 and back.columns == ["id"]
+    assert back.count() == 400 and back.filter("ID is null").count() == 10 and back.filter("ID = 7").count() == 300
+    with pytest.raises(ValueError, match="rename"):
+        jdbc.write_table(df, "jdbc:unheardof:x", "T")
+
 
 def test_write_column_catalogue(spark, tmp_path):
     df = spark.createDataFrame([(1, "x", 2.0)], "season int, team string, epa double")
