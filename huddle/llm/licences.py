@@ -1,18 +1,21 @@
 """License scans: a trained paragraph classifier.
 
 A paragraph is a line of the text that holds a word.  One of more than WIDE
-words is judged by windows of WIDE words, each half over the next, and each
-family that a window confirms is a finding of its best window.  Features are the
+words is judged by windows of WIDE words, each half over the next, one of
+several sentences by these too.  All windows that confirm a family and do not
+overlap are findings; of windows that overlap the best is one.  Features are the
 hashes of its 1-, 2- and 3-word runs (ASCII lower case, marks around a word
 removed); multinomial logistic regression, trained in numpy, gives each licence
 family and the class of no licence a probability.  It learns from the
 templates below, in variations (runs cut off, words before and after, words
 lost), and from at most ``SAMPLE`` paragraphs of the corpus (lowest hashes)
-that share no run with any template, a window out of the first 2,000 characters
-of each.  For every family the probability that
+that share no run with any template, a window out of the first ``line_chars``
+characters of each.  For every family the probability that
 a paragraph must reach is calibrated on variations that training leaves out;
 below it the family is unknown.  A prediction is confirmed only if enough of
-the paragraph's window that fits a template best is that template's text.
+the window is the text of a template of the family, some of it in words that
+tell the family from other licences, and no template of another family fits it
+better.
 
 A paragraph without a confirmed family is still a finding, of the family
 ``unknown``, if it is a licence statement: a second regression tells licence
@@ -41,11 +44,15 @@ from huddle.llm.shared import written
 from huddle.llm.text import _LOWER, U64, Words, slices, texts_of
 
 SAMPLE = 3_000
+#: Characters of a sampled paragraph out of which training takes a window.
+LINE_CHARS = 2_000
 BUCKETS = 1 << 16
 RUNS = (1, 2, 3)
 COPIES = 120
 #: Share of a template's 3-word runs, or of the paragraph's, that must agree.
 CONFIRM = 0.5
+#: Share of a template's runs that no other licence has, or of the paragraph's, that they must have in common.
+TELLING = 0.5
 
 # Statements by which texts name their licence.
 TEMPLATES = {
@@ -64,19 +71,59 @@ TEMPLATES = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "You should have received a copy of the GNU General Public License along with this program.",
     ],
+    "lgpl": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
+    ],
+    "agpl": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU Affero General Public License along with this program.",
+    ],
+    "mpl": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+    ],
+    "epl": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "Released under the terms of the Eclipse Public License 2.0.",
+        "Licensed under the Eclipse Public License, version 1.0.",
+    ],
+    "isc": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
     "bsd": [
         "Use of this source code is governed by a BSD-style license.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
     "cc-by": [
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Licensed under CC BY 4.0.",
+    ],
+    "cc-by-sa": [
         "Licensed under CC BY-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
     ],
     "cc-by-nc": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "cc-by-nc-sa": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-nc-nd": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
     "cc0": ["Released into the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights to this work."],
     "proprietary": ["All rights reserved.", "Copyright, all rights reserved. No part may be reproduced without permission.", "Unauthorized copying of this file, via any medium, is strictly prohibited."],
 }
@@ -95,7 +142,6 @@ STATEMENTS = [
     "This Source Code Form is subject to the terms of the NAME Public License, v. 2.0.",
     "If a copy of the NAME was not distributed with this file, you can obtain one at NAME.",
     "This program and the accompanying materials are made available under the terms of the NAME License which accompanies this distribution.",
-    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions.",
     "The software is provided as is, without warranty of any kind, express or implied.",
     "You should have received a copy of the NAME License along with this program.",
@@ -111,8 +157,11 @@ STATEMENTS = [
 LICENCE_WORDS = "license licence licenses licences licensed licenced licensing spdx-license-identifier copyright copyrighted lizenz lizenziert licencia licenciado licenza".split()
 _EDGE = np.ones(256, bool)
 _EDGE[list(range(48, 58)) + list(range(65, 91)) + list(range(97, 123)) + list(range(128, 256))] = False
+_CLOSES, _STOPS, _CAPITAL = (np.zeros(256, bool) for _ in range(3))
+_CLOSES[list(b"\"')]")], _STOPS[list(b".!?")] = True, True
+_CAPITAL[list(range(65, 91)) + list(range(128, 256))] = True
 
-OUT = "id long, n_paragraphs long, hits array<struct<paragraph:long,family:string,score:double,agreement:double>>"
+OUT = "id long, n_paragraphs long, hits array<struct<paragraph:long,family:string,score:double,agreement:double,word:long>>"
 
 
 class Paragraphs:
@@ -122,10 +171,13 @@ class Paragraphs:
         w = Words(column, hashes=False)
         data = _LOWER[w.data]
         start, end = w.start.copy(), w.end.copy()
+        opens = np.zeros(len(start), bool)
         if len(start):
+            last = np.where(_CLOSES[w.data[end - 1]] & (end - start > 1), end - 2, end - 1)
             for _ in range(3):
                 start[(end - start > 1) & _EDGE[data[start]]] += 1
                 end[(end - start > 1) & _EDGE[data[end - 1]]] -= 1
+            opens[1:] = _STOPS[w.data[last[:-1]]] & _CAPITAL[w.data[start[1:]]]
         size = 1 << 17
         parts = [Words._hash(data, start[i : i + size], end[i : i + size]) for i in range(0, len(start), size)]
         w.hash = np.concatenate(parts) if parts else np.zeros(0, U64)
@@ -137,6 +189,7 @@ class Paragraphs:
         # the number of the line in its text
         self.number = np.searchsorted(breaks, w.start[self.first]) - np.searchsorted(breaks, w.offsets[self.doc])
         self.of_word = np.cumsum(new) - 1
+        self.sentence = new | opens  # whether a word begins a sentence
         self.words = np.diff(np.append(self.first, len(line)))
         self.n_docs, self.hash = w.n_docs, w.hash
         w.doc = self.of_word  # runs stay inside a paragraph
@@ -147,57 +200,74 @@ class Paragraphs:
 
 
 class Windows:
-    """Windows of WIDE words of the paragraphs, two layers of them, as Paragraphs has its paragraphs;
-    a paragraph of at most WIDE words is its own window.
+    """Windows of the paragraphs, as Paragraphs has its paragraphs: two layers of WIDE words, and the
+    sentences of paragraphs that have several, at most WIDE words of each; a paragraph of at most WIDE
+    words is its own window.
 
     ``owner``  the window's paragraph
     ``start``  its first word in the paragraph
     """
 
     def __init__(self, p: Paragraphs):
-        half = WIDE // 2
-        place = np.arange(len(p.hash)) - np.repeat(p.first, p.words)
-        counts = [-(-p.words // WIDE), np.where(p.words > WIDE, -(-(p.words - half) // WIDE), 0)]
-        self.owner = np.concatenate([np.repeat(np.arange(len(p.words)), c) for c in counts])
-        layers, base = [], 0
-        for shift, c in zip((0, half), counts, strict=True):
-            first = base + np.cumsum(c) - c
-            number = (place - shift) // WIDE
-            layers.append((np.where((place >= shift) & (c[p.of_word] > 0), first[p.of_word] + number, -1), (place - shift) % WIDE))
-            base += int(c.sum())
-        self.start = np.concatenate([np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c) for c in counts]) * WIDE
-        self.start[int(counts[0].sum()) :] += half
-        words = [of[of >= 0] for of, _ in layers]
-        self.of_word, self.hash = np.concatenate(words), np.concatenate([p.hash[of >= 0] for of, _ in layers])
+        half, n_words = WIDE // 2, len(p.hash)
+        place = np.arange(n_words) - np.repeat(p.first, p.words)
+        wide = p.words[p.of_word] > WIDE
+        several = np.bincount(p.of_word[p.sentence], minlength=len(p.words))[p.of_word] > 1
+        in_sentence = np.arange(n_words) - np.maximum.accumulate(np.where(p.sentence, np.arange(n_words), 0))
+        # for each layer the words that it covers, and those that begin a window
+        layers = [
+            (np.ones(n_words, bool), place % WIDE == 0),
+            (wide & (place >= half), (place - half) % WIDE == 0),
+            (several, in_sentence % WIDE == 0),
+        ]
+        of, owner, start, base = [], [], [], 0
+        for covered, begins in layers:
+            begins = covered & begins
+            of.append(np.where(covered, base + np.cumsum(begins) - 1, -1))
+            owner.append(p.of_word[begins])
+            start.append(place[begins])
+            base += int(begins.sum())
+        self.owner, self.start = np.concatenate(owner), np.concatenate(start)
+        self.of_word, self.hash = np.concatenate([x[x >= 0] for x in of]), np.concatenate([p.hash[x >= 0] for x in of])
         self.words = np.bincount(self.of_word, minlength=base)
         runs, done = [], 0
         for n, at in zip(RUNS, p.at, strict=True):
             own = p.runs[done : done + len(at)]
             done += len(at)
-            inside = [(of[at] >= 0) & (rest[at] + n <= WIDE) for of, rest in layers]
-            runs.append((np.concatenate([own[k] for k in inside]), np.concatenate([of[at][k] for k, (of, _) in zip(inside, layers, strict=True)])))
+            inside = [(x[at] >= 0) & (x[at] == x[at + n - 1]) for x in of]
+            runs.append((np.concatenate([own[k] for k in inside]), np.concatenate([x[at][k] for k, x in zip(inside, of, strict=True)])))
         self.runs, self.of = (np.concatenate(x) for x in zip(*runs, strict=True))
         self.three = runs[RUNS.index(3)]
 
 
-def findings(v: Windows, family: np.ndarray, score: np.ndarray, agreement: np.ndarray, licence: np.ndarray, least: float) -> list[tuple[int, str, float, float]]:
-    """(paragraph, family, score, agreement), in paragraph order: each family's best window, and the best
-    unknown licence that no window of a family touches."""
-    found: dict[int, dict[str, int]] = {}
+def findings(v: Windows, family: np.ndarray, score: np.ndarray, agreement: np.ndarray, licence: np.ndarray, least: float) -> list[tuple[int, str, float, float, int]]:
+    """(paragraph, family, score, agreement, first word), in the order of the text: the windows of a family
+    that overlap no better one (by agreement, then the shorter, then by score), then the unknown licences
+    that overlap none of them.  Windows of one family that touch are one finding, of the best of them."""
     at = np.flatnonzero((family > 0) | (licence >= least))
-    known = {}
-    for i in at[family[at] > 0]:
-        known.setdefault(int(v.owner[i]), []).append(i)
+    known = family[at] > 0
+    sure = np.where(known, score[at], licence[at])
+    at = at[np.lexsort((v.start[at], -sure, v.words[at], -np.where(known, agreement[at], sure), ~known, v.owner[at]))]
+    taken: dict[int, list[int]] = {}
     for i in at:
-        own, stop = int(v.owner[i]), v.start[i] + v.words[i]
-        if not family[i] and any(v.start[j] < stop and v.start[i] < v.start[j] + v.words[j] for j in known.get(own, ())):
-            continue
-        name = FAMILIES[family[i]] if family[i] else UNKNOWN
-        best = found.setdefault(own, {})
-        rank = lambda j: (agreement[j], score[j]) if family[j] else (licence[j], 0.0)
-        if name not in best or rank(i) > rank(best[name]):
-            best[name] = i
-    return [(own, name, float(score[i] if family[i] else licence[i]), float(agreement[i])) for own in sorted(found) for name, i in sorted(found[own].items(), key=lambda x: (v.start[x[1]], x[0]))]
+        mine, stop = taken.setdefault(int(v.owner[i]), []), v.start[i] + v.words[i]
+        if not any(v.start[j] < stop and v.start[i] < v.start[j] + v.words[j] for j in mine):
+            mine.append(i)
+    out = []
+    for own, mine in sorted(taken.items()):
+        rank = {i: n for n, i in enumerate(mine)}
+        before = None
+        for i in sorted(mine, key=lambda i: v.start[i]):
+            name = FAMILIES[family[i]] if family[i] else UNKNOWN
+            found = (own, name, float(score[i] if family[i] else licence[i]), float(agreement[i]), int(v.start[i]))
+            if before is not None and family[before] == family[i] and v.start[before] + v.words[before] == v.start[i]:
+                if rank[i] < best:
+                    out[-1], best = (*found[:4], out[-1][4]), rank[i]
+            else:
+                out.append(found)
+                best = rank[i]
+            before = i
+    return out
 
 
 def features(p: Paragraphs, table: np.ndarray) -> np.ndarray:
@@ -237,6 +307,9 @@ class Classifier:
         # whether a paragraph is a licence at all: the weights of a classifier of two classes
         self.any_weight, self.any_offset, self.any_least = np.zeros((BUCKETS, 2), np.float32), np.zeros(2, np.float32), 0.5
         stated = _paragraphs(STATEMENTS)
+        # by family the runs of its templates that neither another family's nor the statements of any licence have
+        others = [np.union1d(self.template_runs[family[self.template_of] != f], stated.three[0]) for f in range(len(FAMILIES))]
+        self.telling = [np.setdiff1d(self.template_runs[family[self.template_of] == f], others[f]) for f in range(len(FAMILIES))]
         self.stated_runs = np.union1d(stated.three[0], self.template_runs)
         self.licence_words = np.sort(_paragraphs(LICENCE_WORDS).hash)
 
@@ -253,24 +326,28 @@ class Classifier:
         """The probability that a paragraph is a licence statement; 0 if it neither speaks like one nor agrees with a template."""
         return np.where(self.speaks(p) | agrees, _softmax((features(p, self.any_weight) + self.any_offset).astype(float))[:, 1], 0.0)
 
-    def agreement(self, p: Paragraphs, predicted: np.ndarray) -> np.ndarray:
-        """For each paragraph the largest share of a template of its predicted family, or of the
-        paragraph, that their common 3-word runs make up."""
-        out = np.zeros(len(p.words))
+    def shares(self, p: Paragraphs, some: np.ndarray) -> np.ndarray:
+        """For ``some`` paragraphs (whether or not) and each family, the largest share of a template of the
+        family, or of the paragraph, that their common 3-word runs make up; 0 for the others, and for
+        templates of whose runs that tell the family from other licences too few are there."""
+        out = np.zeros((len(p.words), len(FAMILIES)))
         runs, of = p.three
-        keep = predicted[of] > 0
+        keep = some[of]
         runs, of = runs[keep], of[keep]
         order = np.lexsort((runs, of))
         runs, of = runs[order], of[order]
         once = np.concatenate([[True], (runs[1:] != runs[:-1]) | (of[1:] != of[:-1])]) if len(runs) else np.zeros(0, bool)
         runs, of = runs[once], of[once]
         own = np.bincount(of, minlength=len(out))
-        for t in range(len(self.family_of)):
-            mine = np.sort(self.template_runs[self.template_of == t])
-            hit = np.isin(runs, mine) & (predicted[of] == self.family_of[t])
-            common = np.bincount(of[hit], minlength=len(out))
-            share = np.maximum(common / max(1, len(mine)), common / np.maximum(own, 1))
-            out = np.maximum(out, share)
+        known = np.isin(runs, self.template_runs)
+        runs, of = runs[known], of[known]
+        for t, f in enumerate(self.family_of):
+            mine = np.unique(self.template_runs[self.template_of == t])
+            common = np.bincount(of[np.isin(runs, mine)], minlength=len(out))
+            telling = mine[np.isin(mine, self.telling[f])]
+            told = np.bincount(of[np.isin(runs, telling)], minlength=len(out))
+            told = np.maximum(told / max(1, len(telling)), told / np.maximum(own, 1)) >= TELLING
+            out[:, f] = np.maximum(out[:, f], told * np.maximum(common / max(1, len(mine)), common / np.maximum(own, 1)))
         return out
 
     def fit(self, texts: list[str], label: np.ndarray, epochs: int = 25, rate: float = 0.5, batch: int = 64, seed: int = 3):
@@ -379,6 +456,10 @@ def train_classifier(corpus: list[str]) -> Classifier:
         near = np.bincount(of[np.isin(runs, model.template_runs)], minlength=len(corpus))
         corpus = [t for t, n in zip(corpus, near, strict=True) if not n]
     texts, label = variations(corpus)
+    # what a variation has lost may leave another family's words, or any licence's: no example of either
+    share = model.shares(_paragraphs(texts), label > 0)
+    own = (label == 0) | ((share[np.arange(len(label)), label] > 0) & (share[np.arange(len(label)), label] >= share.max(axis=1)))
+    texts, label = [t for t, k in zip(texts, own, strict=True) if k], label[own]
     aside = np.arange(len(texts)) % 5 == 0
     learn = np.flatnonzero(~aside)
     model.fit([texts[i] for i in learn], label[learn])
@@ -399,12 +480,12 @@ def train_classifier(corpus: list[str]) -> Classifier:
     return model
 
 
-def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, confirm: float = CONFIRM) -> DataFrame:
-    """id, n_paragraphs, hits (paragraph, family or ``unknown``, score, agreement) of every row."""
+def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, confirm: float = CONFIRM, line_chars: int = LINE_CHARS) -> DataFrame:
+    """id, n_paragraphs, hits (paragraph, family or ``unknown``, score, agreement, first word) of every row."""
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     # a bounded sample of paragraphs: one line, chosen by hash, of the documents with the lowest hashes
     chosen = docs.where("text is not null and id is not null").select("id", F.xxhash64(F.lit(3), "id").alias("h"), F.split("text", "\n").alias("l"))
-    chosen = chosen.select("id", "h", F.element_at("l", (F.pmod("h", F.size("l")) + 1).cast("int")).alias("line")).select("id", "h", F.substring("line", 1, 2000).alias("line"))
+    chosen = chosen.select("id", "h", F.element_at("l", (F.pmod("h", F.size("l")) + 1).cast("int")).alias("line")).select("id", "h", F.substring("line", 1, line_chars).alias("line"))
     chosen = written(chosen.orderBy("h", "id", "line").limit(sample).withColumn("all", F.lit(0)), "licences-sample")
 
     def train(rows: pd.DataFrame) -> pd.DataFrame:
@@ -418,7 +499,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches):
         model = Classifier.__new__(Classifier)
         vars(model).update(pickle.loads(state))
-        kind = pa.list_(pa.struct([("paragraph", pa.int64()), ("family", pa.string()), ("score", pa.float64()), ("agreement", pa.float64())]))
+        kind = pa.list_(pa.struct([("paragraph", pa.int64()), ("family", pa.string()), ("score", pa.float64()), ("agreement", pa.float64()), ("word", pa.int64())]))
         for batch in batches:
             for part in slices(batch, "text"):
                 p = Paragraphs(texts_of(part.column("text")))
@@ -433,11 +514,13 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     prob[among] /= prob[among].sum(axis=1, keepdims=True)
                     predicted = prob.argmax(axis=1)
                     score = prob[np.arange(len(prob)), predicted]
-                    agreement = model.agreement(v, predicted)
-                    agrees = (predicted > 0) & (agreement >= confirm)
+                    share = model.shares(v, predicted > 0)
+                    agreement = share[np.arange(len(prob)), predicted]
+                    # confirmed by a template of the family that no other family's fits better
+                    agrees = (predicted > 0) & (agreement >= confirm) & (agreement >= share.max(axis=1))
                     family = np.where(agrees & (score >= model.least[predicted]), predicted, 0)
-                    for i, name, sure, agreed in findings(v, family, score, agreement, np.where(speaks | agrees, licence, 0.0), model.any_least):
-                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": name, "score": sure, "agreement": agreed})
+                    for i, name, sure, agreed, word in findings(v, family, score, agreement, np.where(speaks | agrees, licence, 0.0), model.any_least):
+                        hits[p.doc[i]].append({"paragraph": int(p.number[i]), "family": name, "score": sure, "agreement": agreed, "word": word})
                 count = np.bincount(p.doc, minlength=p.n_docs).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count), pa.array(hits, kind)], names=["id", "n_paragraphs", "hits"])
 

@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 
 from huddle.llm import packing, warc
 from huddle.llm.jaccard import jaccard_components, one_of_each
+from huddle.llm.licences import scan_licences
 from huddle.llm.mixing import mix_sources
 from huddle.llm.secrets import redact
 from huddle.llm.text import texts_of
@@ -101,3 +102,31 @@ def test_a_revisit_names_the_address_of_its_response(spark):
     found = list(warc.parse(b"\r\n\r\n".join(warc.page_records(1, "u1", b"x", 2, "u2", True, 100))))
     assert [(r["type"], r["refers_to"]) for r in found] == [("revisit", 2)]
     assert b"WARC-Refers-To-Target-URI: u2" in warc.page_records(1, "u1", b"x", 2, "u2", True, 100)[0]
+
+
+def test_licence_families_that_share_words(spark):
+    said = {
+        "This library is licensed under the GNU Lesser General Public License, version 2.1": ["lgpl"],
+        "You should have received a copy of the GNU Affero General Public License along with this program": ["agpl"],
+        "You should have received a copy of the GNU General Public License along with this program": ["gpl"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["mpl"],
+        "Released under the terms of the Eclipse Public License 2.0": ["epl"],
+        "Licensed under the ISC License.": ["isc"],
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse products": ["bsd"],
+        "Licensed under CC BY-SA 4.0.": ["cc-by-sa"],
+        "Licensed under CC BY 4.0.": ["cc-by"],
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.": ["cc-by-nc-nd"],
+        "Licensed under the ISC License. Released under the terms of the Eclipse Public License 2.0.": ["isc", "epl"],
+        "Released under the MIT License. Licensed under the Zlib License. Released under the MIT License.": ["mit", "unknown", "mit"],
+    }
+    filler = [(100 + i, " ".join(_text(random.Random(i), 5 + i % 30))) for i in range(200)]
+    docs = spark.createDataFrame([*enumerate(said), *filler], "doc_id long, text string")
+    got = {r.id: [h.family for h in r.hits] for r in scan_licences(docs).collect()}
+    assert {t: got.pop(i) for i, t in enumerate(said)} == said and not any(got.values())
+
+
+def test_licences_of_clashing_columns_repeated_and_very_long_texts(spark):
+    long = " ".join(_text(random.Random(1), 60_000)) + " Released under the MIT License. " + " ".join(_text(random.Random(2), 20_000))
+    rows = [(1, long, "a", 5), (1, long, "b", 6), (2, "Released under the MIT License.", None, None)]
+    found = scan_licences(spark.createDataFrame(rows, "doc_id long, text string, id string, hits int")).collect()
+    assert [(r.id, r.n_paragraphs, [h.family for h in r.hits]) for r in sorted(found, key=lambda r: r.id)] == [(1, 1, ["mit"])] * 2 + [(2, 1, ["mit"])]
