@@ -11,12 +11,21 @@ the sums on the blocks' paths to the root are updated.  Blocks that grow
 beyond four times their size, and beyond the root of the number of
 pre-tokens, are cut anew, so many edits at one place stay cheap.
 
+Trees are rows: ``plant_trees`` cuts and encodes texts once, its table holds
+the blocks and the sums, and ``apply_edits`` brings edits that come later to
+it.  An edit opens the blocks that it touches and those beside them; the others
+are neither cut nor encoded and go on as they are.  ``count_edited`` plants,
+writes the trees and edits the written ones.
+
 Edits apply one after the other, positions meaning the text as edited so far;
 they are cut to the text's length, a null edit or replacement is empty.
 
 Defined results: a null or empty text counts 0 tokens; a null or empty list of
-edits changes nothing; a null id stays null; repeated rows are counted one by
-one; an empty table gives an empty result.  Only the columns named are read.
+edits changes nothing; a null id stays null and has no edits in a table of
+them; repeated rows are counted one by one, and all rows of an id get its
+edits; edits of an id without a tree are nothing, and all edits of one text are
+one task's work, as each builds on the last; very long texts are cut whole; an
+empty table gives an empty result.  Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -29,12 +38,18 @@ import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
+from huddle.llm.shared import written
+
 BLOCK = 64
 ROWS = 256
 #: Distinct pre-tokens whose counts a task remembers before it starts anew.
 REMEMBERED = 1_000_000
 BACK = 2
 
+EDITS = "array<struct<start:long,stop:long,replacement:string>>"
+#: A stored tree: its blocks' texts, the lengths of their pre-tokens, and the sums of all nodes.
+TREE = "blocks array<string>, lengths array<array<int>>, chars array<long>, tokens array<long>"
+
 
 class PieceCounts(dict):
     """Tokens of a pre-token, encoded when first asked for."""
@@ -173,29 +188,132 @@ class CountTree:
             self._plant([p for block in self.blocks for p in block])
 
 
-def count_edited(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
-    """id, n_tokens (before the edits), n_tokens_edited, n_pretokens, n_encoded (pre-tokens that the edits re-encoded).
+class StoredBlocks:
+    """The blocks of a stored tree as lists of pre-tokens, cut when first opened."""
 
-    edits: array of (start, stop, replacement)."""
+    def __init__(self, texts: pa.Array, lengths: pa.ListArray):
+        self.texts, self.lengths = texts, lengths
+        self.opened: dict[int, list[str]] = {}
+        self.changed: set[int] = set()
+
+    def __len__(self) -> int:
+        return len(self.texts)
+
+    def __getitem__(self, i):
+        if isinstance(i, slice):
+            return [self[j] for j in range(*i.indices(len(self)))]
+        if not 0 <= i < len(self):
+            raise IndexError(i)
+        if i not in self.opened:
+            text, at = self.texts[i].as_py(), [0, *np.cumsum(self.lengths[i].values.to_numpy()).tolist()]
+            self.opened[i] = [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        return self.opened[i]
+
+    def __setitem__(self, i: int, pieces: list[str]):
+        self.opened[i] = pieces
+        self.changed.add(i)
+
+    def arrays(self) -> tuple[pa.Array, pa.Array]:
+        """Texts and lengths, those of unchanged blocks as they were."""
+        texts, lengths, at = [self.texts.slice(0, 0)], [self.lengths.slice(0, 0)], 0
+        for i in [*sorted(self.changed), len(self)]:
+            texts.append(self.texts.slice(at, i - at))
+            lengths.append(self.lengths.slice(at, i - at))
+            if i < len(self):
+                for all_of, one in zip((texts, lengths), _arrays([self.opened[i]]), strict=True):
+                    all_of.append(one)
+            at = i + 1
+        return pa.concat_arrays(texts), pa.concat_arrays([x.cast(_LENGTHS) for x in lengths])
+
+
+_LENGTHS = pa.list_(pa.int32())
+
+
+def _arrays(blocks: list[list[str]]) -> tuple[pa.Array, pa.Array]:
+    ends = np.cumsum([0, *map(len, blocks)])
+    lengths = np.fromiter((len(p) for b in blocks for p in b), np.int32, int(ends[-1]))
+    return pa.array(["".join(b) for b in blocks], pa.string()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lengths))
+
+
+def _columns(trees: list[CountTree]) -> list[pa.Array]:
+    """The columns of TREE."""
+    held = [t.blocks.arrays() if isinstance(t.blocks, StoredBlocks) else _arrays(t.blocks) for t in trees]
+    listed = lambda sizes, values: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), values)
+    texts, lengths = (pa.concat_arrays([h[k] for h in held]) for k in (0, 1))
+    sizes = [len(h[0]) for h in held]
+    sums = [listed([len(t.chars) for t in trees], pa.array(np.concatenate([getattr(t, name) for t in trees]))) for name in ("chars", "tokens")]
+    return [listed(sizes, texts), listed(sizes, lengths), *sums]
+
+
+def _stored(counts: PieceCounts, blocks, lengths, chars, tokens) -> CountTree:
+    """A tree from a row of TREE; nothing is cut or encoded."""
+    tree = CountTree.__new__(CountTree)
+    tree.counts, tree.encoded, tree.blocks = counts, 0, StoredBlocks(blocks.values, lengths.values)
+    tree.chars, tree.tokens = (np.array(x.values.to_numpy()) for x in (chars, tokens))
+    tree.size = len(tree.chars) // 2
+    tree.most = max(4 * BLOCK, math.isqrt(len(lengths.values.flatten())))
+    return tree
+
+
+def _parts(batches, rows: int = ROWS):
+    for batch in batches:
+        yield from (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+
+
+def plant_trees(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str | None = None) -> DataFrame:
+    """id and the columns of TREE of every row, and its column of edits, if one is named."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.coalesce(F.col(edits_col).cast("array<struct<start:long,stop:long,replacement:string>>"), F.array().cast("array<struct<start:long,stop:long,replacement:string>>")).alias("edits"),
+        *([F.col(edits_col).cast(EDITS).alias("edits")] if edits_col else []),
     )
 
     def run(batches):
         counts = PieceCounts(ranks_path, pattern)
-        for batch in batches:
-            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                found = []
-                for text, edits in zip(part.column("text").to_pylist(), part.column("edits").to_pylist(), strict=True):
-                    tree = CountTree(text, counts)
-                    before, pieces = tree.total, sum(map(len, tree.blocks))
-                    for e in edits:
-                        if e is not None:
-                            tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
-                    found.append((before, tree.total, pieces, tree.encoded))
-                columns = [pa.array([x[i] for x in found], pa.int64()) for i in range(4)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), *columns], names=["id", "n_tokens", "n_tokens_edited", "n_pretokens", "n_encoded"])
-
-    return rows.mapInArrow(run, "id long, n_tokens long, n_tokens_edited long, n_pretokens long, n_encoded long")
+        for part in _parts(batches):
+            rest = [x for x in part.schema.names if x != "text"]
+            trees = [CountTree(text.as_py(), counts) for text in part.column("text")]
+            yield pa.RecordBatch.from_arrays([*[part.column(x) for x in rest], *_columns(trees)], names=[*rest, "blocks", "lengths", "chars", "tokens"])
+
+    return rows.mapInArrow(run, f"id long, {f'edits {EDITS}, ' if edits_col else ''}{TREE}")
+
+
+def edit_trees(trees: DataFrame, ranks_path: str, pattern: str, keep: bool = True) -> DataFrame:
+    """Trees with a column ``edits``: id, n_tokens and n_tokens_edited, n_pretokens (before the edits), n_encoded
+    (pre-tokens that the edits encoded), n_blocks and n_opened (of them those that were opened), and, if to
+    ``keep``, the edited trees."""
+    names = ["n_tokens", "n_tokens_edited", "n_pretokens", "n_encoded", "n_blocks", "n_opened"]
+    kept = ["blocks", "lengths", "chars", "tokens"]
+
+    def run(batches):
+        counts = PieceCounts(ranks_path, pattern)
+        for part in _parts(batches):
+            found, edited = [], []
+            for row in zip(*[part.column(x) for x in kept], part.column("edits"), strict=True):
+                tree = _stored(counts, *row[:-1])
+                stored, before = tree.blocks, tree.total
+                pieces = len(row[1].values.flatten())
+                for e in row[-1].as_py() or []:
+                    if e is not None:
+                        tree.edit(e["start"] or 0, e["stop"] or 0, e["replacement"] or "")
+                found.append((before, tree.total, pieces, tree.encoded, len(stored), len(stored.opened)))
+                edited.append(tree)
+            columns = [pa.array([x[i] for x in found], pa.int64()) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([part.column("id"), *columns, *(_columns(edited) if keep else [])], names=["id", *names, *(kept if keep else [])])
+
+    return trees.select("id", *kept, "edits").mapInArrow(run, ", ".join(["id long", *[f"{x} long" for x in names], *([TREE] if keep else [])]))
+
+
+def apply_edits(trees: DataFrame, edits: DataFrame, ranks_path: str, pattern: str, keep: bool = True) -> DataFrame:
+    """As edit_trees, of stored trees and a table of later edits: id, number (their order), start, stop, replacement."""
+    edits = edits.select(F.col("id").cast("long").alias("id"), F.struct(F.col("number").cast("long").alias("number"), F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"), F.col("replacement").cast("string").alias("replacement")).alias("e"))
+    by_id = edits.groupBy("id").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    by_id = by_id.select("id", F.transform("e", lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"), e["replacement"].alias("replacement"))).alias("edits"))
+    return edit_trees(trees.drop("edits").join(by_id, "id", "left"), ranks_path, pattern, keep)
+
+
+def count_edited(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+    """id, n_tokens (before the edits), n_tokens_edited, n_pretokens, n_encoded, n_blocks, n_opened.
+
+    edits: array of (start, stop, replacement)."""
+    return edit_trees(written(plant_trees(docs, ranks_path, pattern, id_col, text_col, edits_col), "count-trees"), ranks_path, pattern, keep=False)
