@@ -44,7 +44,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyspark.sql.functions as F
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 
 from huddle.llm.shared import has_rows, numbered, side, small_batches, written
 from huddle.llm.text import U64, Words, mix, slices, texts_of
@@ -53,6 +53,8 @@ from huddle.llm.text import U64, Words, mix, slices, texts_of
 BLOCK = 128
 #: Askers, and members, of one opened block of the last step.
 ASK_BLOCK = 512
+#: Tokens that one task counts.
+TOKEN_ROWS = 400_000
 #: Links that one task of a labelling round takes.
 LABEL_ROWS = 50_000
 #: Ratio of the largest to the smallest set size in a size class.
@@ -276,9 +278,10 @@ def qualifying(common: DataFrame, label: DataFrame) -> DataFrame:
     size = label.groupBy("component").agg(F.count("*").alias("size"))
     label = label.join(size, "component").withColumn("rank", F.struct("size", "component"))
     top = label.groupBy("grp").agg(F.max("rank").alias("top"), F.count("*").alias("members"))
-    held = common.join(label.select("id", "grp", "rank"), "id")
+    held = written(common.join(label.select("id", "grp", "rank"), "id"), "jaccard-held")
     split = held.groupBy("token").agg(F.min("rank").alias("lo"), F.max("rank").alias("hi")).where("lo < hi")
-    held = held.join(split.select("token", "hi"), "token")
+    # the matrix and the asks read these rows, which are far fewer than the tokens
+    held = written(held.join(split.select("token", "hi"), "token"), "jaccard-split")
     matrix = held.select("token", "grp").distinct().join(top, "grp")
     asks = held.where("rank < hi").select("token", "id", "need", "rank").join(matrix, "token").where("rank < top").groupBy("id", "grp", "need").agg(F.count("*").alias("overlap"), F.first("members").alias("members")).where(F.col("overlap") * 2 >= F.col("need") - F.col("need") % 2)
     asks = written(asks.select("id", "grp", "members").distinct(), "jaccard-asks")
@@ -291,6 +294,17 @@ def qualifying(common: DataFrame, label: DataFrame) -> DataFrame:
     return ask_rows.union(member_rows).select("id", F.xxhash64("grp", "a", "m").alias("block")).distinct()
 
 
+def shared_tokens(sets: DataFrame) -> DataFrame:
+    """(token, id, need, held) of the tokens that several sets hold; held: by how many.
+
+    Nearly all tokens are held once, so counting ahead of the shuffle would only fill memory: each token's rows
+    meet once, in as many tasks as their number asks for, and are counted there."""
+    rows = sets.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    token = sets.select("id", F.explode(F.arrays_zip("tokens", "needs")).alias("x")).select(F.col("x.tokens").alias("token"), "id", F.col("x.needs").alias("need"))
+    token = token.repartition(max(8, rows // TOKEN_ROWS), "token")
+    return token.withColumn("held", F.count("*").over(Window.partitionBy("token"))).where("held > 1")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, width: int = 3) -> DataFrame:
     """One row per input row: id, n_shingles, component."""
     # rows that repeat an id are told apart: until the end, ``id`` names an id with a text, ``doc`` the document
@@ -308,9 +322,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sets = full.join(side(copies.select("id").distinct()), "id", "left_anti")
 
     # tokens that occur in several sets, and the sets that hold enough of them
-    token = sets.select("id", F.explode(F.arrays_zip("tokens", "needs")).alias("x")).select("id", F.col("x.tokens").alias("token"), F.col("x.needs").alias("need"))
-    counted = token.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    common = written(token.join(counted, "token"), "jaccard-shared")
+    common = written(shared_tokens(sets), "jaccard-shared")
     enough = common.groupBy("id", "need").agg(F.count("*").alias("common"), F.sum("held").alias("weight"), F.max(F.struct("held", "token")).alias("top")).where(F.col("common") * 2 >= F.col("need") - F.col("need") % 2)
     chosen = written(enough.groupBy("id").agg(F.max("top").getField("token").alias("grp"), F.sum("weight").alias("weight")), "jaccard-chosen")
     common = written(common.select("id", "token", "need").join(side(chosen.select("id")), "id", "left_semi"), "jaccard-common")
@@ -325,7 +337,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # tokens that still lie in several components: first each component's best meeting with a token's most central set
     label = written(labelled(chosen, links), "jaccard-labels")
-    held = common.join(label, "id")
+    held = written(common.join(label.select("id", "weight", "component"), "id"), "jaccard-held")
     split = held.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max_by("id", central()).alias("hub"), F.max_by("component", central()).alias("hub_component")).where("lo < hi")
     meets = held.join(split, "token").where("component != hub_component").groupBy("component", "id", "hub", "need").agg(F.count("*").alias("overlap")).where(F.col("overlap") * 2 >= F.col("need") - F.col("need") % 2)
     pairs = meets.groupBy("component").agg(F.max(F.struct("overlap", "hub", "id")).alias("best")).select("best.id", "best.hub")
