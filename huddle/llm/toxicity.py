@@ -3,39 +3,47 @@
 A word's embedding is the sum of the rows that the hashes of the word, of its
 first four and of its first six bytes name (ASCII lower case, marks behind it
 removed).  Filters of widths 1, 2 and 3 slide over the words of a text, their
-largest responses are pooled and a linear layer gives a log-odds.  numpy
-trains it, by Adagrad with half of the words left out at random, on at most ``PER_CLASS`` labelled texts of either class
-(lowest hashes of the id).  On a fifth of these that training leaves out, a
-threshold is calibrated for each language, which the text's function words
+largest responses are pooled and a linear layer gives a log-odds.  All labelled
+texts train it, by Adagrad with half of the words left out at random and both
+classes weighing the same.  They are dealt to shards of about ``SHARD_ROWS`` texts;
+in each pass every shard goes on from the same model, and the mean of what the
+shards learnt, of each embedding row by how often a shard moved it, is the next
+one.  Then the log-odds of all of them, counted by language, label and steps of
+1 / ``STEPS``, set a threshold for each language, which the text's function words
 tell; a score is the log-odds above that threshold as a probability, so 0.5 is
-the threshold in every language.  Training is one bounded task; the model,
-whose size is fixed, goes to all tasks and every whole text is scored.
+the threshold in every language.  Only the model, whose size is fixed, and
+the counts, at most two a language and step, meet in the driver; the model goes to
+all tasks and every whole text is scored.
 
 Defined results: a null or empty text has the pooled value 0 and its score;
-repeated rows score alike; a null id is not held out and not learnt from;
+repeated rows score alike; a null id is not held out and not learnt from; of
+rows that share an id the smallest text is learnt, under each label of the id;
 without labelled texts of both classes every score is 0; an empty table gives
 an empty result.  Only the id and the text column are read.
 """
 
 from __future__ import annotations
 
-import pickle
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyspark.sql.functions as F
 from pyspark.sql import DataFrame
 
-from huddle.llm.shared import written
+from huddle.llm.shared import side, small_batches, written
 from huddle.llm.text import _LOWER, U64, Words, mix, slices, texts_of
 
-PER_CLASS = 2_000
+#: Texts of a shard.
+SHARD_ROWS = 5_000
+#: Texts that all passes together see at least, within 3 to 12 passes.
+SEEN = 60_000
+#: Rounds over each slice of texts in a pass.
+ROUNDS = 2
+#: Counted log-odds: steps a unit, and the largest.
+STEPS, LARGEST = 256, 32
 BUCKETS = 1 << 15
 DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
-EPOCHS = 12
 # Function words that tell a text's language.
 FUNCTION_WORDS = {
     "en": "the of and to in is that for with was are this",
@@ -75,15 +83,32 @@ class Texts:
 
 
 class Network:
-    def __init__(self, seed: int = 5):
-        rng = np.random.default_rng(seed)
-        small = lambda *shape: (rng.standard_normal(shape) * 0.25).astype(np.float32)
-        self.embedding = small(BUCKETS, DIM)
-        self.kernel = {w: small(w, DIM, FILTERS) for w in WIDTHS}
-        self.offset = {w: np.zeros(FILTERS, np.float32) for w in WIDTHS}
-        self.out = small(FILTERS * len(WIDTHS))
-        self.bias = np.zeros(1, np.float32)
-        self.threshold = np.zeros(len(LANGUAGES))
+    """All parameters are rows of one table, so that shards can be averaged row by row: the embedding, then the
+    kernels, offsets, output weights and the bias.  ``speed`` holds Adagrad's sums of squares alike."""
+
+    def __init__(self, table: np.ndarray | None = None, speed: np.ndarray | None = None, threshold: np.ndarray | None = None, seed: int = 5):
+        dense = sum(WIDTHS) * DIM + 2 * len(WIDTHS) + 1
+        if table is None:
+            table = (np.random.default_rng(seed).standard_normal((BUCKETS + dense, DIM)) * 0.25).astype(np.float32)
+            table[BUCKETS + sum(WIDTHS) * DIM : -len(WIDTHS) - 1] = 0
+            table[-1] = 0
+        self.table = table
+        self.speed = np.full(table.shape, 1e-6, np.float32) if speed is None else speed
+        self.threshold = np.zeros(len(LANGUAGES)) if threshold is None else threshold
+        self.embedding = table[:BUCKETS]
+        self.kernel, self.offset, self.out, self.bias = self._parts(table[BUCKETS:])
+
+    @staticmethod
+    def _parts(table: np.ndarray):
+        """Kernels, offsets, output weights and bias as views of the rows behind the embedding."""
+        kernel, offset, at = {}, {}, 0
+        for w in WIDTHS:
+            kernel[w] = table[at : at + w * DIM].reshape(w, DIM, FILTERS)
+            at += w * DIM
+        for w in WIDTHS:
+            offset[w] = table[at]
+            at += 1
+        return kernel, offset, table[at : at + len(WIDTHS)].reshape(-1), table[-1, :1]
 
     def embed(self, rows, part=slice(None)):
         return sum(self.embedding[r[part]] for r in rows)
@@ -112,58 +137,48 @@ class Network:
     def odds(self, t: Texts) -> np.ndarray:
         return (self.pooled(t) @ self.out + self.bias[0]).astype(float)
 
-    def fit(self, texts: list[Texts], label: np.ndarray, epochs: int = EPOCHS, rate: float = 0.08, seed: int = 5, batch: int = 16, drop: float = 0.5):
-        """texts: one Texts per document."""
-        rng = np.random.default_rng(seed)
-        speed: dict = {}
-
-        def step(name, param, grad, rows=None):
-            v = speed.setdefault(name, np.full(param.shape, 1e-6, np.float32))
-            if rows is None:
-                v += grad**2
-                param -= rate * grad / np.sqrt(v)
-            else:
-                v[rows] += grad**2
-                param[rows] -= rate * grad / np.sqrt(v[rows])
-
-        for _ in range(epochs):
-            order = rng.permutation(len(texts))
-            for lo in range(0, len(order), batch):
-                g_out, g_bias = np.zeros_like(self.out), 0.0
-                g_kernel = {w: np.zeros_like(k) for w, k in self.kernel.items()}
-                g_offset = {w: np.zeros_like(k) for w, k in self.offset.items()}
-                touched, change = [], []
-                for i in order[lo : lo + batch]:
-                    t = texts[i]
-                    e = self.embed(t.rows)
-                    a = self.respond(e, t.doc) if len(e) else np.zeros((1, len(self.out)), np.float32)
-                    a[rng.random(len(a)) < drop] = 0  # or only a text's strongest word would ever learn
-                    top = a.argmax(axis=0)
-                    best = a[top, np.arange(a.shape[1])]
-                    error = 1 / (1 + np.exp(-(best @ self.out + self.bias[0]))) - label[i]
-                    g_out += error * best
-                    g_bias += error
-                    back = error * self.out * (best > 0)
-                    for k, w in enumerate(WIDTHS):
-                        for f in np.flatnonzero(back[k * FILTERS : (k + 1) * FILTERS]):
-                            g, p = back[k * FILTERS + f], top[k * FILTERS + f]
-                            g_offset[w][f] += g
-                            g_kernel[w][:, :, f] += g * e[p : p + w]
-                            for j in range(w):
-                                for rows in t.rows:
-                                    touched.append(rows[p + j])
-                                    change.append(g * self.kernel[w][j, :, f])
-                size = len(order[lo : lo + batch])
-                step("out", self.out, g_out / size)
-                step("bias", self.bias, np.array([g_bias / size], np.float32))
-                for w in WIDTHS:
-                    step(("k", w), self.kernel[w], g_kernel[w] / size)
-                    step(("o", w), self.offset[w], g_offset[w] / size)
-                if touched:
-                    rows, inverse = np.unique(touched, return_inverse=True)
-                    g = np.zeros((len(rows), DIM), np.float32)
-                    np.add.at(g, inverse, np.array(change, np.float32) / size)
-                    step("embedding", self.embedding, g, rows)
+    def learn(self, t: Texts, label: np.ndarray, weight: np.ndarray, moved: np.ndarray, rng, rate: float = 0.08, batch: int = 16, drop: float = 0.5):
+        """One round over the texts of a slice; ``moved`` counts the steps of each embedding row."""
+
+        def step(rows, grad):
+            self.speed[rows] += grad**2
+            self.table[rows] -= rate * grad / np.sqrt(self.speed[rows])
+
+        for lo in range(0, t.n, batch):
+            hi = min(t.n, lo + batch)
+            span = slice(t.first[lo], t.first[hi])
+            rows, at = [r[span] for r in t.rows], t.first[lo : hi + 1] - t.first[lo]
+            e = self.embed(rows)
+            a = self.respond(e, t.doc[span])
+            a[rng.random(len(a)) < drop] = 0  # or only a text's strongest word would ever learn
+            top, best = np.zeros((hi - lo, len(self.out)), np.int64), np.zeros((hi - lo, len(self.out)), np.float32)
+            for i in np.flatnonzero(np.diff(at)):
+                own = a[at[i] : at[i + 1]]
+                top[i] = own.argmax(axis=0)
+                best[i] = own[top[i], np.arange(len(self.out))]
+            top += at[:-1, None]
+            error = weight[lo:hi] * (1 / (1 + np.exp(-(best @ self.out + self.bias[0]))) - label[lo:hi]) / (hi - lo)
+            back = error[:, None] * self.out * (best > 0)
+            grad = np.zeros((len(self.table) - BUCKETS, DIM), np.float32)
+            g_kernel, g_offset, g_out, g_bias = self._parts(grad)
+            g_out += error @ best
+            g_bias += error.sum()
+            touched, change = [], []
+            for k, w in enumerate(WIDTHS):
+                of, f = np.nonzero(back[:, k * FILTERS : (k + 1) * FILTERS])
+                g, p = back[of, k * FILTERS + f].astype(np.float32), top[of, k * FILTERS + f]
+                np.add.at(g_offset[w], f, g)
+                for j in range(w):
+                    np.add.at(g_kernel[w][j].T, f, g[:, None] * e[p + j])
+                    for r in rows:
+                        touched.append(r[p + j])
+                        change.append(g[:, None] * self.kernel[w][j].T[f])
+            hit, inverse = np.unique(np.concatenate(touched), return_inverse=True)
+            g = np.zeros((len(hit), DIM), np.float32)
+            np.add.at(g, inverse, np.concatenate(change))
+            step(slice(BUCKETS, None), grad)
+            step(hit, g)
+            moved[hit] += 1
 
     def calibrate(self, odds: np.ndarray, label: np.ndarray, language: np.ndarray, weight: np.ndarray):
         """For each language the cut with the least weighted error, halfway between the two log-odds
@@ -180,63 +195,80 @@ class Network:
         every = np.arange(len(odds))
         for i in range(len(LANGUAGES)):
             own = np.flatnonzero(language == i)
-            enough = len(own) and min(label[own].sum(), (1 - label[own]).sum()) >= 10
+            enough = len(own) and min((weight * label)[own].sum(), (weight * (1 - label))[own].sum()) >= 10
             self.threshold[i] = cut(own if enough else every)
 
     def score(self, t: Texts) -> np.ndarray:
         return 1 / (1 + np.exp(-(self.odds(t) - self.threshold[t.language])))
 
 
-def train_network(rows: pd.DataFrame) -> Network | None:
-    """rows: id, text, label, share (of the class among all labelled texts) of a bounded sample."""
-    rows = rows.sort_values(["label", "id"], kind="stable").reset_index(drop=True)
-    label = rows["label"].to_numpy(float)
-    if not len(rows) or label.min() == label.max():
+def averaged(net: Network, learnt: DataFrame, weight: tuple[float, float], seed: int) -> Network:
+    """One pass: every shard goes on from ``net``, Spark averages the rows that they moved."""
+    table, speed = net.table, net.speed
+
+    def run(batches):
+        own, rng = Network(table.copy(), speed.copy()), np.random.default_rng(seed)
+        moved, texts = np.zeros(len(table)), 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                t = Texts(texts_of(part.column("text")))
+                label = part.column("label").to_numpy(zero_copy_only=False)
+                for _ in range(ROUNDS):
+                    own.learn(t, label, np.where(label == 1, weight[1], weight[0]), moved, rng)
+                texts += t.n
+        moved[BUCKETS:] = texts
+        rows = np.flatnonzero(moved)
+        values = np.concatenate([own.table[rows], own.speed[rows]], axis=1).astype(float)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(moved[rows]), *map(pa.array, values.T.copy())], names=["row", "moved", *names])
+
+    names = [f"x{i}" for i in range(2 * DIM)]
+    shards = learnt.select("text", "label").mapInArrow(run, "row long, moved double, " + ", ".join(f"{c} double" for c in names))
+    mean = shards.groupBy("row").agg(*[(F.sum(F.col(c) * F.col("moved")) / F.sum("moved")).alias(c) for c in names]).toArrow()
+    table, speed, rows = table.copy(), speed.copy(), mean.column("row").to_numpy()
+    values = np.column_stack([mean.column(c).to_numpy() for c in names])
+    table[rows], speed[rows] = values[:, :DIM], values[:, DIM:]
+    return Network(table, speed)
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict | None:
+    """The trained network's table and thresholds.  labels: id and label of the rows to learn from, all of which are learnt."""
+    labels = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
+    labels = written(labels.distinct(), "toxicity-labels")
+    shards = max(1, labels.count() // SHARD_ROWS)
+    texts = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    # one text per id, however often it is repeated; a shard's texts come in the order of a hash
+    learnt = texts.join(side(labels), "id").repartition(shards, "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    learnt = written(learnt.sortWithinPartitions(F.xxhash64("id"), "id", "label"), "toxicity-learnt").coalesce(shards)
+    totals = dict(learnt.groupBy("label").count().collect())
+    if len(totals) < 2:
         return None
-    texts = [Texts(texts_of(pa.array([t], pa.string()))) for t in rows["text"]]
-    aside = np.arange(len(rows)) % 5 == 0
-    if label[aside].min() == label[aside].max():
-        aside[:] = False
+    rows = sum(totals.values())
+    weight = tuple(rows / (2 * totals[x]) for x in (0, 1))
     net = Network()
-    learn = np.flatnonzero(~aside)
-    net.fit([texts[i] for i in learn], label[learn])
-    check = np.flatnonzero(aside) if aside.any() else np.arange(len(rows))
-    odds = np.array([net.odds(texts[i])[0] for i in check])
-    net.calibrate(odds, label[check], np.array([texts[i].language[0] for i in check]), rows["share"].to_numpy(float)[check])
-    return net
+    for i in range(min(12, max(3, SEEN // rows))):
+        net = averaged(net, learnt, weight, i)
 
+    def run(batches):
+        own = Network(table)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                t = Texts(texts_of(part.column("text")))
+                at = np.clip(np.floor(own.odds(t) * STEPS), -LARGEST * STEPS, LARGEST * STEPS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(t.language.astype(np.int64)), part.column("label"), pa.array(at)], names=["language", "label", "at"])
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> bytes | None:
-    """The trained network.  labels: id and label of the rows to learn from; at most ``per_class`` ids
-    of each label are drawn by a hash, and of rows that share an id the smallest text is learnt."""
-    labels = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
-    totals = dict(labels.groupBy("label").count().collect())
-    chosen = None
-    for value in (0, 1):
-        some = labels.where(F.col("label") == value).distinct().orderBy(F.xxhash64("id"), "id").limit(per_class)
-        some = some.withColumn("share", F.lit(totals.get(value, 0) / max(1, min(per_class, totals.get(value, 0))) / max(1, sum(totals.values()))))
-        chosen = some if chosen is None else chosen.union(some)
-    chosen = written(chosen, "toxicity-sample")  # at most 2 * per_class rows
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # one text per id, however often it is repeated
-    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "label", "share").agg(F.min("text").alias("text")).withColumn("all", F.lit(0))
-
-    def train(rows: pd.DataFrame) -> pd.DataFrame:
-        net = train_network(rows)
-        return pd.DataFrame({"model": [pickle.dumps(vars(net) if net else None)]})
-
-    row = sample.groupBy("all").applyInPandas(train, "model binary").first()
-    return bytes(row["model"]) if row else None
-
-
-def score_toxicity(docs: DataFrame, model: bytes | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    table = net.table
+    # at most two counts a language and step
+    counted = learnt.select("text", "label").mapInArrow(run, "language long, label int, at long").groupBy("language", "label", "at").count().toArrow()
+    language, label, at, count = (counted.column(c).to_numpy() for c in ("language", "label", "at", "count"))
+    net.calibrate((at + 0.5) / STEPS, label.astype(float), language, count.astype(float))
+    return {"table": table, "threshold": net.threshold}
+
+
+def score_toxicity(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, score, language (told from the text) of every row."""
 
     def run(batches):
-        state = pickle.loads(model) if model else None
-        net = Network.__new__(Network) if state else None
-        if net:
-            vars(net).update(state)
+        net = Network(**model) if model else None
         for batch in batches:
             for part in slices(batch, "text"):
                 t = Texts(texts_of(part.column("text")))
