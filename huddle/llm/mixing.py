@@ -29,7 +29,6 @@ import zlib
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import pyspark.sql.functions as F
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame, Window
@@ -89,9 +88,13 @@ def take_blocks(size: np.ndarray, quota: int, blocks: int, rng) -> tuple[np.ndar
     return bounds, times
 
 
-def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(5, 2, 1), budget: float = 1.5, max_epochs: int = 2, seed: int = 7, carry: tuple[str, ...] = (), spans: bool = False) -> DataFrame:
+def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(5, 2, 1), budget: float = 1.5, max_epochs: int = 2, seed: int = 7, carry: tuple[str, ...] = (), spans: bool = False, cut: bool = False) -> DataFrame:
     """One row per input row: _id, _size, _source_size, _target, _taken, the carried columns and, if
-    asked for, _spans: (start, stop, times) of the words that the mix takes."""
+    asked for, _spans: (start, stop, times) of the words that the mix takes.
+
+    With ``cut`` the mix itself, in the carried columns: a row for each time that words of a document are
+    taken, ``text_col`` holding the words taken then.  They are cut where they are chosen, so a task needs
+    one Python worker and not two."""
     size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
     kept = [F.col(c) for c in carry]
     mark = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col).cast("string"))).otherwise(F.col(id_col).cast("long"))
@@ -144,7 +147,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 return sums[k] + (x - bounds[k]) * times[k]
 
             taken[g] = upto(ends) - upto(begins)
-            if spans:
+            if spans or cut:
                 for row, lo, hi in zip(g, begins, ends, strict=True):
                     first = np.searchsorted(bounds, lo, side="right") - 1
                     for k in range(first, np.searchsorted(bounds, hi, side="left")):
@@ -154,8 +157,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                 found[row][-1]["stop"] = int(z)
                             else:
                                 found[row].append({"start": int(a), "stop": int(z), "times": int(times[k])})
+        if cut:
+            texts = [cut_text(t if isinstance(t, str) else None, s) for t, s in zip(shard[text_col], found, strict=True)]
+            mixed = shard[list(carry)].iloc[np.repeat(np.arange(len(shard)), [len(x) for x in texts])].reset_index(drop=True)
+            mixed[text_col] = pd.Series([t for x in texts for t in x], dtype=object)
+            return mixed
         return pd.DataFrame({"_id": shard["_id"].astype("Int64"), "_size": size, "_source_size": shard["_source_size"], "_target": shard["_target"], "_taken": taken, "_spans": found if spans else None, **{c: shard[c] for c in carry}})
 
+    if cut:
+        out = T.StructType([docs.schema[c] for c in carry])
     return rows.groupBy("_shard").applyInPandas(run, out)
 
 
@@ -170,18 +180,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix as documents, all columns: a row for each time that words of a document are taken,
     its text being the words taken then."""
     rows, name = numbered(docs)
-    text = name[text_col]
-    mixed = mix_sources(rows, name[id_col], text, name[source_col], carry=tuple(rows.columns), spans=True, **options)
-    kept = rows.columns
-    at = kept.index(text)
-
-    def run(batches):
-        for batch in batches:
-            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-                cut = [cut_text(t, s) for t, s in zip(part.column(text).to_pylist(), part.column("_spans").to_pylist(), strict=True)]
-                where = pa.array([i for i, texts in enumerate(cut) for _ in texts], pa.int64())
-                columns = [part.column(c).take(where) for c in kept]
-                columns[at] = pa.array([t for texts in cut for t in texts], pa.string())
-                yield pa.RecordBatch.from_arrays(columns, names=kept)
-
-    return mixed.select("_spans", *rows.columns).mapInArrow(run, rows.schema).toDF(*docs.columns)
+    mixed = mix_sources(rows, name[id_col], name[text_col], name[source_col], carry=tuple(rows.columns), cut=True, **options)
+    return mixed.toDF(*docs.columns)

@@ -17,6 +17,7 @@ an empty result.  Only the id and the text column are read.
 
 from __future__ import annotations
 
+import threading
 import zlib
 from bisect import bisect_right
 from itertools import chain
@@ -33,6 +34,8 @@ from huddle.llm.text import _LOWER, _WHITE, raw, slices, texts_of
 #: Distinct words that a Python worker remembers the ids of (about 250 bytes each); when full, the half that
 #: most slices have used stays.
 REMEMBERED = 600_000
+#: Seconds without a task after which a Python worker drops its encoder.
+REST_SECONDS = 5.0
 SLICE = 2 << 20
 
 _ASCII_LETTER = np.zeros(256, bool)
@@ -61,16 +64,48 @@ class WordEncoder:
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.store = np.zeros(0, np.uint32)
 
-    @classmethod
-    def kept(cls, path: str) -> WordEncoder:
-        """The encoder of this Python worker, which outlives its tasks; they bring their own copy of this module."""
+    @staticmethod
+    def _memory() -> dict:
+        """What outlives this Python worker's tasks; they bring their own copy of this module."""
         import sys
         import types
 
-        kept = vars(sys.modules.setdefault("huddle_worker_memory", types.ModuleType("huddle_worker_memory")))
-        if ("encoder", path) not in kept:
-            kept["encoder", path] = cls(path)
-        return kept["encoder", path]
+        return vars(sys.modules.setdefault("huddle_worker_memory", types.ModuleType("huddle_worker_memory")))
+
+    @classmethod
+    def kept(cls, path: str) -> WordEncoder:
+        """The encoder of this Python worker, which stays for its next task."""
+        memory = cls._memory()
+        if timer := memory.pop("timer", None):
+            timer.cancel()
+        encoder = memory.get(("encoder", path)) or cls(path)
+        memory["encoder", path] = encoder
+        return encoder
+
+    @classmethod
+    def rest(cls) -> None:
+        """A task is over.  Without another one soon the worker's encoders go: it serves other stages, too,
+        or waits for one, and an encoder's words fill more memory than all else in it."""
+        memory = cls._memory()
+        if timer := memory.pop("timer", None):
+            timer.cancel()
+        timer = memory["timer"] = threading.Timer(REST_SECONDS, cls._drop)
+        timer.daemon = True
+        timer.start()
+
+    @classmethod
+    def _drop(cls) -> None:
+        import contextlib
+        import ctypes
+        import gc
+
+        memory = cls._memory()
+        for key in [x for x in list(memory) if isinstance(x, tuple) and x[0] == "encoder"]:
+            memory.pop(key, None)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError, TypeError):  # a call of glibc alone
+            ctypes.CDLL(None).malloc_trim(0)
 
     def _forget(self) -> None:
         """Half of the words go, those that fewest slices have used."""
@@ -171,30 +206,33 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def run(batches):
         encoder, seen = WordEncoder.kept(tokenizer), np.zeros(capacity + 1, np.int64)
         shard = TaskContext.get().partitionId()
-        for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                ids, counts = encoder.encode(texts_of(part.column("text")))
-                full = counts + 1
-                ends = np.cumsum(full)
-                flow = np.full(int(ends[-1]), closing_id, "<u4")
-                inner = np.ones(len(flow), bool)
-                inner[ends - 1] = False
-                flow[inner] = ids
-                n = -(-full // capacity)
-                doc = np.repeat(np.arange(len(full)), n)
-                piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
-                start = piece * capacity
-                length = np.minimum(full[doc] - start, capacity)
-                at = (ends - full)[doc] + start
-                own = [flow[a : a + k] for a, k in zip(at, length, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
-                        pa.array(np.array([zlib.crc32(x) for x in own], np.int64)), pa.array(np.full(len(doc), shard, np.int32)),
-                        pa.array(_ranks(length, seen)), pa.array(own if keep_ids else [None] * len(own), pa.list_(pa.int32())),
-                    ],
-                    names=["id", "piece", "start", "length", "ids_crc32", "shard", "rank", "ids"],
-                )
+        try:
+            for batch in batches:
+                for part in slices(batch, "text", SLICE):
+                    ids, counts = encoder.encode(texts_of(part.column("text")))
+                    full = counts + 1
+                    ends = np.cumsum(full)
+                    flow = np.full(int(ends[-1]), closing_id, "<u4")
+                    inner = np.ones(len(flow), bool)
+                    inner[ends - 1] = False
+                    flow[inner] = ids
+                    n = -(-full // capacity)
+                    doc = np.repeat(np.arange(len(full)), n)
+                    piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+                    start = piece * capacity
+                    length = np.minimum(full[doc] - start, capacity)
+                    at = (ends - full)[doc] + start
+                    own = [flow[a : a + k] for a, k in zip(at, length, strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                            pa.array(np.array([zlib.crc32(x) for x in own], np.int64)), pa.array(np.full(len(doc), shard, np.int32)),
+                            pa.array(_ranks(length, seen)), pa.array(own if keep_ids else [None] * len(own), pa.list_(pa.int32())),
+                        ],
+                        names=["id", "piece", "start", "length", "ids_crc32", "shard", "rank", "ids"],
+                    )
+        finally:
+            WordEncoder.rest()
 
     return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, "id long, piece int, start long, length long, ids_crc32 long, shard int, rank long, ids array<int>"
